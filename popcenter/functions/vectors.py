@@ -46,3 +46,19 @@ def nearest_position(x, centers) -> Column:
     """0-based position of the closest center; ties go to the lowest position."""
     dists = F.transform(_col(centers), lambda c: euclidean(x, c))
     return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
+
+
+def block_distances(a, b):
+    """NumPy distance block ``(len(a), len(b))`` between two stacks of vectors.
+
+    Squares are accumulated coordinate by coordinate from zero -- the same order as
+    ``euclidean`` -- so a threshold test gives the same answer here and in SQL.
+    Used inside Arrow tasks only; Spark partitions the work.
+    """
+    import numpy as np
+
+    acc = np.zeros((a.shape[0], b.shape[0]))
+    for d in range(a.shape[1]):
+        diff = a[:, d, None] - b[None, :, d]
+        acc += diff * diff
+    return np.sqrt(acc)

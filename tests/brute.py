@@ -72,12 +72,11 @@ def weighted_greedy(X, W, k, z, alpha, r0=None):
         unc = [True] * n
         S = []
         wz = sum(W)
+        Wv = np.asarray(W, dtype=float)
         while len(S) < k and wz > 0:
-            best, best_w = 0, 0
-            for i in range(n):
-                bw = sum(W[j] for j in range(n) if unc[j] and D[i, j] <= (1 + 2 * alpha) * r)
-                if bw > best_w:
-                    best_w, best = bw, i
+            # ball weight of every candidate; argmax keeps the first (lowest index) maximum
+            bws = (D <= (1 + 2 * alpha) * r).astype(float) @ (Wv * np.asarray(unc, dtype=float))
+            best = int(np.argmax(bws)) if bws.max() > 0 else 0
             S.append(best)
             for j in range(n):
                 if unc[j] and D[best, j] <= (3 + 4 * alpha) * r:
