@@ -8,6 +8,8 @@ runs per row.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,10 +57,60 @@ def block_distances(a, b):
     ``euclidean`` -- so a threshold test gives the same answer here and in SQL.
     Used inside Arrow tasks only; Spark partitions the work.
     """
-    import numpy as np
-
     acc = np.zeros((a.shape[0], b.shape[0]))
     for d in range(a.shape[1]):
         diff = a[:, d, None] - b[None, :, d]
         acc += diff * diff
     return np.sqrt(acc)
+
+
+def nearest_udf(centers):
+    """Arrow-batched UDF ``x -> struct(pos int, d double)`` against one fixed center set.
+
+    ``centers`` (k x dim, at most a few thousand vectors -- callers size-check it) is
+    captured in the closure, so it reaches each executor once with the task, not with
+    every row. ``pos`` is the first closest center (lowest position on ties). Distances
+    are bit-identical to ``euclidean``; this path exists because higher-order array
+    functions are evaluated row by row outside whole-stage codegen, and a NumPy block
+    over an Arrow batch is an order of magnitude faster for the same numbers.
+    """
+    C = np.asarray(centers, dtype=float)
+
+    @F.pandas_udf("pos int, d double")
+    def nearest(xs: pd.Series) -> pd.DataFrame:
+        if len(xs) == 0:
+            return pd.DataFrame({"pos": pd.Series([], dtype="int32"), "d": pd.Series([], dtype="float64")})
+        D = block_distances(np.stack(xs.to_numpy()), C)
+        pos = D.argmin(axis=1)
+        return pd.DataFrame({"pos": pos.astype(np.int32), "d": D[np.arange(len(pos)), pos]})
+
+    return nearest
+
+
+def keyed_nearest_udf(centers_by_key: dict):
+    """Like ``nearest_udf`` with one center set per key: ``(key, x) -> struct(pos, d)``.
+
+    Rows whose key has no centers get ``pos = -1`` and ``d = +inf``.
+    """
+    table = {int(k): np.asarray(v, dtype=float) for k, v in centers_by_key.items()}
+
+    @F.pandas_udf("pos int, d double")
+    def nearest(keys: pd.Series, xs: pd.Series) -> pd.DataFrame:
+        n = len(xs)
+        pos = np.full(n, -1, dtype=np.int32)
+        dist = np.full(n, np.inf)
+        if n:
+            X = np.stack(xs.to_numpy())
+            kv = keys.to_numpy()
+            for key in np.unique(kv):
+                C = table.get(int(key))
+                if C is None or len(C) == 0:
+                    continue
+                rows = np.nonzero(kv == key)[0]
+                D = block_distances(X[rows], C)
+                p = D.argmin(axis=1)
+                pos[rows] = p
+                dist[rows] = D[np.arange(len(rows)), p]
+        return pd.DataFrame({"pos": pos, "d": dist})
+
+    return nearest

@@ -6,39 +6,31 @@ center is the point farthest from the centers chosen so far (ties: smallest
 is added twice, so no zero-weight padding). The weight of a center is the number of the
 part's points whose closest center it is (ties: the earlier center).
 
-Distributed form: the traversal is ``m - 1`` aggregation passes over the points, one
-per center. Each pass joins the points with the current centers of their part (a
-broadcast of at most ``num_parts * m`` vectors, size-checked) and keeps, per part, the
-farthest point with ``max_by`` -- a partial aggregate, so no part is ever gathered into
-one task, however large it is or however unevenly ids fall into parts. The small
-center table is checkpointed after every pass to keep plans flat. A final pass assigns
-every point to its nearest center and counts (weights) and records the largest
-assignment distance per center (``rho``, used by the approximation bound).
+Distributed form: the traversal is ``m - 1`` aggregation jobs over the (cached) points,
+one per center. In each, every point computes its distance to the current centers of
+its part and the farthest point per part is kept by ``max_by`` -- a partial aggregate,
+so no part is ever gathered into one task, however large or skewed it is. The chosen
+centers (at most ``m`` per part: the coreset itself, bounded by ``m * num_parts``) are
+the only thing the driver holds. Distances are computed by an Arrow-batched NumPy UDF
+that captures the centers (size-checked every step); oversized center sets fall back to
+a broadcast (or shuffled) join on ``part`` scored with built-in array expressions. A final job assigns every point to its nearest center and counts weights,
+also recording ``rho``, the largest point-to-representative distance (used by the
+approximation bound).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from popcenter.functions.vectors import euclidean, min_distance_to, nearest_position
-from popcenter.session import checkpoint
-
-# A per-part center table larger than this is joined with a shuffle instead of broadcast.
-MAX_BROADCAST_CENTER_BYTES = 64 * 1024 * 1024
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def _centers_by_part(centers: DataFrame) -> DataFrame:
-    """``(part, cxs array<array<double>>)`` with vectors ordered by ``pos``."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
-    return centers.groupBy("part").agg(F.transform(ordered, lambda s: s["x"]).alias("cxs"))
-
+from popcenter.functions.vectors import euclidean, keyed_nearest_udf
 
-def _join_centers(points: DataFrame, centers: DataFrame, est_bytes: int) -> DataFrame:
-    by_part = _centers_by_part(centers)
-    if est_bytes <= MAX_BROADCAST_CENTER_BYTES:
-        by_part = F.broadcast(by_part)
-    return points.join(by_part, "part")
+# Center sets up to this many coordinates are captured by the vectorized UDF (shipped once
+# per task; PySpark broadcasts closures above 1 MB).
+MAX_UDF_COORDS = 4_000_000
+# Larger center tables are broadcast up to this size; above it a shuffle join on part.
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def validate_dimension(points: DataFrame) -> int:
@@ -58,6 +50,28 @@ def validate_dimension(points: DataFrame) -> int:
     return int(row["dmin"])
 
 
+def _nearest(pts: DataFrame, centers: dict[int, list], dim: int) -> DataFrame:
+    """Add ``pos`` (nearest center of the point's part, first on ties) and its distance ``d``.
+
+    Small center sets (the usual case: m per part) are captured by an Arrow-batched
+    NumPy UDF; beyond ``MAX_UDF_COORDS`` they are joined on ``part`` as a table
+    (broadcast when it fits ``MAX_BROADCAST_BYTES``, else shuffled) and scored with
+    built-in array expressions.
+    """
+    coords = sum(len(v) for v in centers.values()) * dim
+    if coords <= MAX_UDF_COORDS:
+        udf = keyed_nearest_udf({p: [x for _, x in cs] for p, cs in centers.items()})
+        return pts.withColumn("_n", udf("part", "x")).select("*", "_n.pos", "_n.d").drop("_n")
+    rows = [(p, [list(map(float, x)) for _, x in cs]) for p, cs in centers.items()]
+    table = pts.sparkSession.createDataFrame(rows, "part int, cxs array<array<double>>")
+    if coords * 8 <= MAX_BROADCAST_BYTES:
+        table = F.broadcast(table)
+    ds = F.transform("cxs", lambda c: euclidean(F.col("x"), c))
+    scored = pts.join(table, "part").withColumn("_ds", ds)
+    return scored.select(*pts.columns, (F.array_position("_ds", F.array_min("_ds")) - 1).cast("int").alias("pos"),
+                         F.array_min("_ds").alias("d"))
+
+
 def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     """Weighted FFT coreset of ``m`` points per part.
 
@@ -68,36 +82,35 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     """
     if m < 1:
         raise ValueError(f"coreset size per part must be >= 1, got {m}")
-    pts = points.select("part", "point_id", "x").cache()
-    if dim is None:
-        dim = validate_dimension(pts)
-    first = pts.groupBy("part").agg(F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c"))
-    centers = checkpoint(first.select("part", F.lit(0).alias("pos"), "c.point_id", "c.x"))
-    num_parts = centers.count()
-    est_bytes = num_parts * m * (dim * 8 + 32)
-
-    for step in range(1, m):
-        with_md = _join_centers(pts, centers, est_bytes).select(
-            "part", "point_id", "x", min_distance_to("x", "cxs").alias("md")
-        )
-        farthest = (
-            with_md.where(F.col("md") > 0)
-            .groupBy("part")
-            .agg(F.max_by(F.struct("point_id", "x"), F.struct(F.col("md"), -F.col("point_id"))).alias("c"))
-            .select("part", F.lit(step).alias("pos"), "c.point_id", "c.x")
+    spark = points.sparkSession
+    pts = points.select(F.col("part").cast("int").alias("part"), "point_id", "x").cache()
+    try:
+        if dim is None:
+            dim = validate_dimension(pts)
+        first = pts.groupBy("part").agg(F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c")).collect()
+        centers: dict[int, list] = {int(r["part"]): [(int(r["c"]["point_id"]), r["c"]["x"])] for r in first}
+
+        for _ in range(1, m):
+            farthest = (
+                _nearest(pts, centers, dim)
+                .where(F.col("d") > 0)
+                .groupBy("part")
+                .agg(F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))
+                .collect()
+            )
+            if not farthest:
+                break  # every part is exhausted (all points coincide with centers)
+            for r in farthest:
+                centers[int(r["part"])].append((int(r["c"]["point_id"]), r["c"]["x"]))
+
+        weights = _nearest(pts, centers, dim).groupBy("part", "pos").agg(
+            F.count(F.lit(1)).alias("weight"), F.max("d").alias("rho"))
+        chosen = spark.createDataFrame(
+            [(p, i, pid, list(map(float, x))) for p, cs in centers.items() for i, (pid, x) in enumerate(cs)],
+            "part int, pos int, point_id long, x array<double>",
         )
-        centers = checkpoint(centers.unionByName(farthest))
-
-    assigned = _join_centers(pts, centers, est_bytes).select(
-        "part", "x", "cxs", nearest_position("x", "cxs").alias("pos")
-    )
-    assigned = assigned.select(
-        "part", "pos", euclidean(F.col("x"), F.element_at("cxs", F.col("pos") + 1)).alias("d")
-    )
-    weights = assigned.groupBy("part", "pos").agg(
-        F.count(F.lit(1)).alias("weight"), F.max("d").alias("rho")
-    )
-    result = centers.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho")
-    out = checkpoint(result)
-    pts.unpersist()
-    return out
+        out = chosen.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho").cache()
+        out.count()  # materialize before the points are released
+        return out
+    finally:
+        pts.unpersist()

@@ -39,7 +39,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popcenter.functions.vectors import block_distances, euclidean
-from popcenter.session import checkpoint
 
 DEFAULT_MAX_POINTS = 50_000
 CANDIDATES_PER_BLOCK = 256
@@ -80,42 +79,51 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     )
 
 
-def _ball_kernel(ball_radius: dict[int, float]):
-    guesses = sorted(ball_radius)
-    gpos = {g: t for t, g in enumerate(guesses)}
-    radii = np.array([ball_radius[g] for g in guesses])
-
-    def kernel(cand: pd.DataFrame, unc: pd.DataFrame) -> pd.DataFrame:
-        if cand.empty or unc.empty:
-            return pd.DataFrame({"g": pd.Series([], dtype="int32"), "idx": pd.Series([], dtype="int64"),
-                                 "bw": pd.Series([], dtype="int64")})
-        A = np.stack(cand["cx"].to_numpy())
-        B = np.stack(unc["x"].to_numpy())
-        D = block_distances(A, B)
-        member = np.zeros((len(unc), len(guesses)))
-        for row, gs in enumerate(unc["gs"].to_numpy()):
-            for g in gs:
-                if g in gpos:
-                    member[row, gpos[g]] = 1.0
-        wm = member * unc["w"].to_numpy(dtype=float)[:, None]
-        out_g, out_i, out_bw = [], [], []
-        ids = cand["cidx"].to_numpy()
-        for t, g in enumerate(guesses):
-            if not wm[:, t].any():
-                continue
-            bw = (D <= radii[t]).astype(float) @ wm[:, t]
-            keep = bw > 0
-            out_g.append(np.full(int(keep.sum()), g, dtype=np.int32))
-            out_i.append(ids[keep])
-            out_bw.append(np.rint(bw[keep]).astype(np.int64))
-        if not out_g:
-            return kernel(cand.iloc[:0], unc.iloc[:0])
-        return pd.DataFrame({"g": np.concatenate(out_g), "idx": np.concatenate(out_i), "bw": np.concatenate(out_bw)})
-
-    return kernel
-
-
-BW_SCHEMA = "g int, idx long, bw long"
+def _kernel(spec: dict[int, tuple[float, float, list[int], bool]]):
+    """Per-block task: coverage from the chosen centers, then ball weights.
+
+    ``spec[g] = (ball_radius, cover_radius, chosen center idx list, pick)``. For every
+    guess the block recomputes which points its centers cover (|centers| x c distances),
+    reports the uncovered weight (block 0 only), and -- when the guess still picks --
+    the ball weight of each of its candidates (a candidates x c distance block).
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        allp = pdf[pdf["role"] == 1].sort_values("idx")
+        cand = pdf[pdf["role"] == 0]
+        out_g, out_k, out_i, out_v = [], [], [], []
+        if allp.empty:
+            return pd.DataFrame({"g": out_g, "kind": out_k, "idx": out_i, "val": out_v}).astype(
+                {"g": "int32", "kind": "int32", "idx": "int64", "val": "int64"})
+        X = np.stack(allp["x"].to_numpy())
+        w = allp["w"].to_numpy(dtype=np.int64)
+        ids = allp["idx"].to_numpy()
+        row_of = {int(i): r for r, i in enumerate(ids)}
+        block = int(pdf["block"].iloc[0])
+        D = None
+        for g, (ball, cover, centers, pick) in spec.items():
+            unc = np.ones(len(ids), dtype=bool)
+            if centers:
+                C = X[[row_of[c] for c in centers]]
+                unc = ~(block_distances(C, X) <= cover).any(axis=0)
+            wz = int(w[unc].sum())
+            if block == 0:
+                out_g.append(g), out_k.append(1), out_i.append(-1), out_v.append(wz)
+            if pick and wz > 0 and not cand.empty:
+                if D is None:
+                    D = block_distances(np.stack(cand["x"].to_numpy()), X)
+                bw = (D <= ball).astype(np.int64) @ np.where(unc, w, 0)
+                keep = bw > 0
+                n = int(keep.sum())
+                out_g.extend([g] * n), out_k.extend([0] * n)
+                out_i.extend(cand["idx"].to_numpy()[keep].tolist()), out_v.extend(bw[keep].tolist())
+        return pd.DataFrame({"g": np.array(out_g, dtype=np.int32), "kind": np.array(out_k, dtype=np.int32),
+                             "idx": np.array(out_i, dtype=np.int64), "val": np.array(out_v, dtype=np.int64)})
+
+    return run
+
+
+KERNEL_SCHEMA = "g int, kind int, idx long, val long"
 
 
 def _blocks(c: int, spark) -> int:
@@ -123,31 +131,44 @@ def _blocks(c: int, spark) -> int:
     return max(1, min(4 * par, math.ceil(c / CANDIDATES_PER_BLOCK)))
 
 
-def ball_weights_step(weighted: DataFrame, uncovered: DataFrame, ball_radius: dict[int, float], blocks: int) -> DataFrame:
-    """``(g, idx, bw)``: uncovered weight inside every candidate's ball, per guess.
+def blocked_table(weighted: DataFrame, blocks: int) -> DataFrame:
+    """Kernel input, hash-partitioned by ``block`` and cached.
 
-    ``weighted``: ``(idx, x, w)``; ``uncovered``: ``(g, idx)``. Rows with ``bw = 0`` are
-    not emitted.
+    Each block holds its candidates (``role = 0``, ``idx mod blocks``) and one replica of
+    the whole weighted set (``role = 1``): blocks x c rows, bounded because c is. Cached
+    with its partitioning, so every greedy step runs without a shuffle of its input.
     """
     cand = weighted.select(F.pmod(F.col("idx"), F.lit(blocks)).cast("int").alias("block"),
-                           F.col("idx").alias("cidx"), F.col("x").alias("cx"))
-    unc = (
-        uncovered.groupBy("idx").agg(F.collect_list("g").alias("gs"))
-        .join(weighted.select("idx", "x", "w"), "idx")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    )
-    return cand.groupBy("block").cogroup(unc.groupBy("block")).applyInPandas(
-        lambda l, r: _ball_kernel(ball_radius)(l, r), schema=BW_SCHEMA
+                           F.lit(0).alias("role"), "idx", "x", "w")
+    rep = weighted.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                          F.lit(1).alias("role"), "idx", "x", "w")
+    table = cand.unionByName(rep).repartition(blocks, "block").cache()
+    table.count()
+    return table
+
+
+def greedy_step(table: DataFrame, spec: dict) -> dict[int, tuple[int | None, int]]:
+    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered weight)}.
+
+    The per-block kernel output is reduced by a partial ``max_by`` per guess (largest
+    ball weight, then lowest idx), so only one row per guess and block is shuffled.
+    """
+    out = table.groupBy("block").applyInPandas(_kernel(spec), schema=KERNEL_SCHEMA)
+    best = out.groupBy("g").agg(
+        F.expr("max_by(idx, named_struct('v', val, 'i', -idx)) FILTER (WHERE kind = 0)").alias("c_idx"),
+        F.expr("max(val) FILTER (WHERE kind = 1)").alias("wz"),
     )
+    return {int(r["g"]): (None if r["c_idx"] is None else int(r["c_idx"]), int(r["wz"] or 0))
+            for r in best.collect()}
 
 
 def ball_weights(weighted: DataFrame, radius: float) -> DataFrame:
     """Ball weight of every point with all points uncovered: ``(idx, ball_weight)``."""
     spark = weighted.sparkSession
-    c = weighted.count()
-    unc = weighted.select(F.lit(0).alias("g"), "idx")
-    bw = ball_weights_step(weighted, unc, {0: float(radius)}, _blocks(c, spark))
-    return bw.select("idx", F.col("bw").alias("ball_weight"))
+    ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
+    table = blocked_table(ws, _blocks(ws.count(), spark))
+    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, [], True)}), schema=KERNEL_SCHEMA)
+    return out.where("kind = 0").select("idx", F.col("val").alias("ball_weight"))
 
 
 @dataclass
@@ -188,7 +209,7 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     """Weighted greedy on ``(idx, point_id, x, w)``; ``idx`` orders the points (ties, head)."""
     _check_params(k, z, alpha)
     spark = weighted.sparkSession
-    ws = checkpoint(weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")))
+    ws = weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")).cache()
     stats = ws.agg(F.count(F.lit(1)).alias("c"), F.sum("w").alias("wt"),
                    F.min(F.size("x")).alias("dmin"), F.max(F.size("x")).alias("dmax"),
                    F.min("w").alias("wmin")).first()
@@ -218,39 +239,32 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     cover_r = {g: (3 + 4 * alpha) * r for g, r in enumerate(schedule)}
     blocks = _blocks(c, spark)
 
-    guesses_df = spark.createDataFrame([(g, cover_r[g]) for g in range(G)], "g int, r_cover double")
-    files = max(1, math.ceil(G * c / 1_000_000))
-    uncovered = ws.select("idx", F.explode(F.sequence(F.lit(0), F.lit(G - 1))).alias("g"))
-    wz = {g: w_total for g in range(G)}
+    table = blocked_table(ws.select("idx", "x", "w"), blocks)
     chosen: dict[int, list[int]] = {g: [] for g in range(G)}
-    active = set(range(G))
-
-    while active:
-        radii = {g: ball_r[g] for g in active}
-        live = uncovered.where(F.col("g").isin(sorted(active)))
-        bw = ball_weights_step(ws, live, radii, blocks)
-        best = bw.groupBy("g").agg(F.max_by("idx", F.struct(F.col("bw"), -F.col("idx"))).alias("c_idx")).collect()
-        picks = {int(r["g"]): int(r["c_idx"]) for r in best}
-        for g in active:
-            # a guess with uncovered weight always has a positive ball; keep index 0 as the
-            # sequential scan would if it had none
-            chosen[g].append(picks.get(g, head_idx))
-        centers_now = spark.createDataFrame([(g, chosen[g][-1]) for g in sorted(active)], "g int, c_idx long")
-        centers_x = (centers_now.join(ws.select(F.col("idx").alias("c_idx"), F.col("x").alias("xc")), "c_idx")
-                     .join(guesses_df, "g"))
-        kept = (live.join(F.broadcast(centers_x), "g").join(ws.select("idx", "x"), "idx")
-                .where(~(euclidean(F.col("x"), F.col("xc")) <= F.col("r_cover")))
-                .select("g", "idx"))
-        uncovered = checkpoint(kept.coalesce(files))
-        sums = {int(r["g"]): int(r["s"]) for r in
-                uncovered.join(ws.select("idx", "w"), "idx").groupBy("g").agg(F.sum("w").alias("s")).collect()}
-        for g in active:
-            wz[g] = sums.get(g, 0)
-        accepted = [g for g in range(G) if wz[g] <= z]
-        bound = min(accepted) if accepted else G
-        active = {g for g in active if g <= bound and wz[g] > 0 and len(chosen[g]) < k}
-
-    g_star = min(g for g in range(G) if wz[g] <= z)
+    wz: dict[int, int] = {}
+    done: set[int] = set()
+    bound = G
+    try:
+        while True:
+            live = [g for g in range(G) if g not in done and g <= bound]
+            if not live:
+                break
+            spec = {g: (ball_r[g], cover_r[g], list(chosen[g]), len(chosen[g]) < k) for g in live}
+            step = greedy_step(table, spec)
+            for g in live:
+                pick, wz[g] = step[g]
+                if wz[g] == 0 or len(chosen[g]) == k:
+                    done.add(g)
+                else:
+                    # a guess with uncovered weight always has a positive ball; index 0 is
+                    # what a sequential scan keeps if it had none
+                    chosen[g].append(pick if pick is not None else head_idx)
+            certain = [g for g, v in wz.items() if v <= z]
+            bound = min(certain) if certain else G
+    finally:
+        table.unpersist()
+
+    g_star = min(g for g in done if wz[g] <= z)
     steps = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
     centers = steps.join(ws, "idx").select("step", "idx", "point_id", "x")
     return GreedyResult(centers=centers, r_initial=schedule[0], r_final=schedule[g_star], guesses=g_star + 1,
