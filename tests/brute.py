@@ -91,3 +91,18 @@ def weighted_greedy(X, W, k, z, alpha, r0=None):
 def objective(X, C, z):
     ds = sorted((min(dist(x, c) for c in C) for x in X), reverse=True)
     return ds[z]
+
+
+def uncovered_after(X, W, k, z, alpha, r):
+    """Run one guess of the weighted greedy at radius r; return the uncovered weight."""
+    n = len(X)
+    D = dist_matrix(X)
+    unc = np.ones(n, dtype=bool)
+    Wv = np.asarray(W, dtype=float)
+    S = []
+    while len(S) < k and Wv[unc].sum() > 0:
+        bws = (D <= (1 + 2 * alpha) * r).astype(float) @ (Wv * unc)
+        best = int(np.argmax(bws)) if bws.max() > 0 else 0
+        S.append(best)
+        unc &= ~(D[best] <= (3 + 4 * alpha) * r)
+    return int(Wv[unc].sum())
