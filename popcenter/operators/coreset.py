@@ -85,9 +85,20 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     spark = points.sparkSession
     pts = points.select(F.col("part").cast("int").alias("part"), "point_id", "x").cache()
     try:
-        if dim is None:
-            dim = validate_dimension(pts)
-        first = pts.groupBy("part").agg(F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c")).collect()
+        # one job: each part's starting point plus the dimension check, materializing the cache
+        first = pts.groupBy("part").agg(
+            F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c"),
+            F.min(F.size("x")).alias("dmin"), F.max(F.size("x")).alias("dmax"),
+            F.sum(F.when(F.exists("x", lambda v: v.isNull()), 1).otherwise(0)).alias("bad"),
+        ).collect()
+        if not first:
+            raise ValueError("empty point set")
+        dims = {int(r["dmin"]) for r in first} | {int(r["dmax"]) for r in first}
+        if len(dims) != 1 or (dim is not None and dims != {dim}):
+            raise ValueError(f"points have mixed dimensions ({sorted(dims)})")
+        if any(r["bad"] for r in first):
+            raise ValueError("some point has a missing or malformed coordinate")
+        dim = dims.pop()
         centers: dict[int, list] = {int(r["part"]): [(int(r["c"]["point_id"]), r["c"]["x"])] for r in first}
 
         for _ in range(1, m):

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import block_distances, euclidean
+from popcenter.functions.vectors import block_distances, euclidean, nearest_udf
 
 DEFAULT_MAX_POINTS = 50_000
 CANDIDATES_PER_BLOCK = 256
@@ -131,19 +131,24 @@ def _blocks(c: int, spark) -> int:
     return max(1, min(4 * par, math.ceil(c / CANDIDATES_PER_BLOCK)))
 
 
-def blocked_table(weighted: DataFrame, blocks: int) -> DataFrame:
+def blocked_table(weighted: DataFrame, blocks: int, head=None) -> DataFrame:
     """Kernel input, hash-partitioned by ``block`` and cached.
 
     Each block holds its candidates (``role = 0``, ``idx mod blocks``) and one replica of
     the whole weighted set (``role = 1``): blocks x c rows, bounded because c is. Cached
     with its partitioning, so every greedy step runs without a shuffle of its input.
+    With ``head`` given, candidate rows also carry ``_dh``, their distance to it (used to
+    bound the diameter), computed while the cache is filled.
     """
     cand = weighted.select(F.pmod(F.col("idx"), F.lit(blocks)).cast("int").alias("block"),
                            F.lit(0).alias("role"), "idx", "x", "w")
+    if head is not None:
+        cand = cand.withColumn("_dh", nearest_udf([head])("x")["d"])
+    else:
+        cand = cand.withColumn("_dh", F.lit(None).cast("double"))
     rep = weighted.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                          F.lit(1).alias("role"), "idx", "x", "w")
+                          F.lit(1).alias("role"), "idx", "x", "w", F.lit(None).cast("double").alias("_dh"))
     table = cand.unionByName(rep).repartition(blocks, "block").cache()
-    table.count()
     return table
 
 
@@ -167,6 +172,7 @@ def ball_weights(weighted: DataFrame, radius: float) -> DataFrame:
     spark = weighted.sparkSession
     ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
     table = blocked_table(ws, _blocks(ws.count(), spark))
+    table.count()
     out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, [], True)}), schema=KERNEL_SCHEMA)
     return out.where("kind = 0").select("idx", F.col("val").alias("ball_weight"))
 
@@ -212,7 +218,7 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     ws = weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")).cache()
     stats = ws.agg(F.count(F.lit(1)).alias("c"), F.sum("w").alias("wt"),
                    F.min(F.size("x")).alias("dmin"), F.max(F.size("x")).alias("dmax"),
-                   F.min("w").alias("wmin")).first()
+                   F.min("w").alias("wmin"), F.min_by(F.struct("idx", "x"), F.col("idx")).alias("head")).first()
     c, w_total = int(stats["c"]), int(stats["wt"] or 0)
     if c == 0:
         raise ValueError("empty point set")
@@ -224,22 +230,20 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
         raise ValueError("points have mixed dimensions")
     if stats["wmin"] < 1:
         raise ValueError("weights must be >= 1")
+    head, head_idx = stats["head"]["x"], int(stats["head"]["idx"])
 
     m = k + z + 1
     r0row = initial_radius(ws, m).first()
     r0, r0_pos = float(r0row["r0"] or 0.0), r0row["r0_positive"]
-    head_row = ws.orderBy("idx").select("idx", "x").first()
-    head, head_idx = head_row["x"], int(head_row["idx"])
-    far = ws.select(euclidean(F.col("x"), F.lit(head).cast("array<double>")).alias("d")).agg(
-        F.max("d").alias("dmax"), F.min(F.when(F.col("d") > 0, F.col("d"))).alias("dpos")).first()
+    blocks = _blocks(c, spark)
+    table = blocked_table(ws.select("idx", "x", "w"), blocks, head)
+    far = table.agg(F.max("_dh").alias("dmax"), F.min(F.when(F.col("_dh") > 0, F.col("_dh"))).alias("dpos")).first()
     schedule = guess_schedule(r0, r0_pos, (far["dpos"] / 2) if far["dpos"] else None,
                               2 * float(far["dmax"] or 0.0), alpha)
     G = len(schedule)
     ball_r = {g: (1 + 2 * alpha) * r for g, r in enumerate(schedule)}
     cover_r = {g: (3 + 4 * alpha) * r for g, r in enumerate(schedule)}
-    blocks = _blocks(c, spark)
 
-    table = blocked_table(ws.select("idx", "x", "w"), blocks)
     chosen: dict[int, list[int]] = {g: [] for g in range(G)}
     wz: dict[int, int] = {}
     done: set[int] = set()

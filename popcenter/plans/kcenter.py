@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.operators.coreset import fft_coreset, validate_dimension
+from popcenter.operators.coreset import fft_coreset
 from popcenter.operators.kcenter import DEFAULT_MAX_POINTS, GreedyResult, weighted_kcenter_outliers
 from popcenter.operators.objective import kcenter_objective
 from popcenter.operators.partitioning import assign_parts
@@ -83,8 +83,7 @@ def clustering_summary(points: DataFrame, k: int, z: int, num_parts: int, alpha:
     """
     _check(k, z)
     t0 = time.perf_counter()
-    pts = points.select("point_id", "x").cache()
-    validate_dimension(pts)
+    pts = points.select("point_id", "x")
     n = pts.count()
     if z >= n:
         raise ValueError(f"z={z} must be smaller than the number of points ({n})")
