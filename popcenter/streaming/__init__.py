@@ -1,0 +1,5 @@
+"""Retail popularity over a stream of transaction files (Structured Streaming)."""
+
+from popcenter.streaming.retail import popularity_stream, run_available
+
+__all__ = ["popularity_stream", "run_available"]

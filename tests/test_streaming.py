@@ -1,0 +1,22 @@
+"""Streaming popularity equals the batch result over the same files."""
+
+from conftest import SF001
+from pyspark.sql import functions as F
+
+from popcenter.operators import retail as R
+from popcenter.sources import read_transactions
+from popcenter.streaming import popularity_stream, run_available
+from __spark_entry__ import _retail_as_text
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    lines = _retail_as_text(spark, SF001).withColumn("f", F.pmod(F.xxhash64("value"), F.lit(3)))
+    for i in range(3):  # three files arrive
+        lines.where(F.col("f") == i).select("value").write.text(str(tmp_path / f"batch{i}"))
+        (tmp_path / f"batch{i}" / "_SUCCESS").unlink()
+    src = str(tmp_path / "*")
+    for country in (None, "NATION_1"):
+        name = f"pop_{country or 'all'}"
+        got = run_available(popularity_stream(spark, src, country, max_files_per_trigger=1), name)
+        want = R.product_popularity(read_transactions(spark, src), country)
+        assert sorted(got.collect()) == sorted(want.collect())
