@@ -21,10 +21,12 @@ approximation bound).
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import euclidean, keyed_nearest_udf
+from popcenter.functions.vectors import block_distances, euclidean, keyed_nearest_udf
 
 # Center sets up to this many coordinates are captured by the vectorized UDF (shipped once
 # per task; PySpark broadcasts closures above 1 MB).
@@ -72,6 +74,39 @@ def _nearest(pts: DataFrame, centers: dict[int, list], dim: int) -> DataFrame:
                          F.array_min("_ds").alias("d"))
 
 
+def _farthest_udf_frame(pts: DataFrame, centers: dict[int, list]) -> DataFrame:
+    """Per Arrow batch and part, the point farthest from the part's centers (ties: lowest id).
+
+    A map-side pre-aggregation: each task emits at most one candidate per part and batch,
+    so the final ``max_by`` per part shuffles and sorts a handful of rows, not the points.
+    Candidates at distance 0 (already a center) are not emitted.
+    """
+    table = {int(p): np.asarray([x for _, x in cs], dtype=float) for p, cs in centers.items()}
+
+    def farthest(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            parts = pdf["part"].to_numpy()
+            ids = pdf["point_id"].to_numpy()
+            X = np.stack(pdf["x"].to_numpy())
+            d = np.full(len(ids), -1.0)
+            for p in np.unique(parts):
+                C = table.get(int(p))
+                if C is None:
+                    continue
+                rows = np.nonzero(parts == p)[0]
+                d[rows] = block_distances(X[rows], C).min(axis=1)
+            order = np.lexsort((ids, -d, parts))  # by part, then distance desc, then id asc
+            sp = parts[order]
+            head = order[np.r_[True, sp[1:] != sp[:-1]]]
+            head = head[d[head] > 0]
+            yield pd.DataFrame({"part": parts[head].astype(np.int32), "point_id": ids[head],
+                                "x": [X[i] for i in head], "d": d[head]})
+
+    return pts.mapInPandas(farthest, "part int, point_id long, x array<double>, d double")
+
+
 def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     """Weighted FFT coreset of ``m`` points per part.
 
@@ -102,10 +137,11 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
         centers: dict[int, list] = {int(r["part"]): [(int(r["c"]["point_id"]), r["c"]["x"])] for r in first}
 
         for _ in range(1, m):
+            coords = sum(len(v) for v in centers.values()) * dim
+            cands = (_farthest_udf_frame(pts, centers) if coords <= MAX_UDF_COORDS
+                     else _nearest(pts, centers, dim).where(F.col("d") > 0))
             farthest = (
-                _nearest(pts, centers, dim)
-                .where(F.col("d") > 0)
-                .groupBy("part")
+                cands.groupBy("part")
                 .agg(F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))
                 .collect()
             )
