@@ -101,6 +101,8 @@ def _farthest_udf_frame(pts: DataFrame, centers: dict[int, list]) -> DataFrame:
             sp = parts[order]
             head = order[np.r_[True, sp[1:] != sp[:-1]]]
             head = head[d[head] > 0]
+            if len(head) == 0:
+                continue
             yield pd.DataFrame({"part": parts[head].astype(np.int32), "point_id": ids[head],
                                 "x": [X[i] for i in head], "d": d[head]})
 
