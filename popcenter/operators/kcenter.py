@@ -185,6 +185,7 @@ class GreedyResult:
     guesses: int
     uncovered_weight: int
     schedule: list[float] = field(default_factory=list)
+    center_idx: list[int] = field(default_factory=list)
 
 
 def guess_schedule(r0: float, r0_positive: float | None, fallback_positive: float | None,
@@ -272,4 +273,4 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     steps = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
     centers = steps.join(ws, "idx").select("step", "idx", "point_id", "x")
     return GreedyResult(centers=centers, r_initial=schedule[0], r_final=schedule[g_star], guesses=g_star + 1,
-                        uncovered_weight=wz[g_star], schedule=schedule)
+                        uncovered_weight=wz[g_star], schedule=schedule, center_idx=list(chosen[g_star]))
