@@ -7,15 +7,17 @@ is added twice, so no zero-weight padding). The weight of a center is the number
 part's points whose closest center it is (ties: the earlier center).
 
 Distributed form: the traversal is ``m - 1`` aggregation jobs over the (cached) points,
-one per center. In each, every point computes its distance to the current centers of
-its part and the farthest point per part is kept by ``max_by`` -- a partial aggregate,
-so no part is ever gathered into one task, however large or skewed it is. The chosen
-centers (at most ``m`` per part: the coreset itself, bounded by ``m * num_parts``) are
-the only thing the driver holds. Distances are computed by an Arrow-batched NumPy UDF
-that captures the centers (size-checked every step); oversized center sets fall back to
-a broadcast (or shuffled) join on ``part`` scored with built-in array expressions. A final job assigns every point to its nearest center and counts weights,
-also recording ``rho``, the largest point-to-representative distance (used by the
-approximation bound).
+one per center. In each, an Arrow task computes every point's distance to the current
+centers of its part (NumPy over the batch) and emits only the farthest point per part of
+that batch; ``max_by`` per part then picks the winner (largest distance, then lowest id).
+No part is ever gathered into one task, however large or skewed it is. The chosen centers
+(at most ``m`` per part: the coreset itself, bounded by ``m * num_parts``) are the only
+thing the driver holds; they travel in the task closure, size-checked every pass, and an
+oversized center set falls back to a broadcast (or shuffled) join on ``part`` scored with
+built-in array expressions. A final job assigns every point to its nearest center and
+counts weights, also recording ``rho``, the largest point-to-representative distance (used
+by the approximation bound). The coreset is then written with a reliable checkpoint to
+``spark.checkpoint.dir``, so round 2 never re-runs round 1 after an executor loss.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popcenter.functions.vectors import block_distances, euclidean, keyed_nearest_udf
+from popcenter.session import checkpoint
 
 # Center sets up to this many coordinates are captured by the vectorized UDF (shipped once
 # per task; PySpark broadcasts closures above 1 MB).
@@ -159,7 +162,11 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
             "part int, pos int, point_id long, x array<double>",
         )
         out = chosen.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho").cache()
-        out.count()  # materialize before the points are released
-        return out
+        out.count()
+        # the round-1 result is written to the shared checkpoint folder (read back from the
+        # cache, not recomputed): losing an executor later never re-runs the m passes
+        saved = checkpoint(out)
+        out.unpersist()
+        return saved
     finally:
         pts.unpersist()
