@@ -112,6 +112,32 @@ def _farthest_udf_frame(pts: DataFrame, centers: dict[int, list]) -> DataFrame:
     return pts.mapInPandas(farthest, "part int, point_id long, x array<double>, d double")
 
 
+def _first_points_frame(pts: DataFrame) -> DataFrame:
+    """Per Arrow batch and part: the smallest-id point plus dimension statistics.
+
+    Pre-aggregated in the task, so choosing each part's starting point never sorts the
+    points (a struct-valued ``min_by`` over all rows would plan a sort-based aggregate).
+    """
+    def first(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            xs = pdf["x"].to_numpy()
+            parts = pdf["part"].to_numpy()
+            ids = pdf["point_id"].to_numpy()
+            sizes = np.array([-1 if v is None else len(v) for v in xs])
+            bad = np.array([v is None or bool(np.isnan(np.asarray(v, dtype=float)).any()) for v in xs])
+            rows = []
+            for p in np.unique(parts):
+                sel = np.nonzero(parts == p)[0]
+                h = sel[np.argmin(ids[sel])]
+                rows.append((int(p), int(ids[h]), xs[h], int(sizes[sel].min()), int(sizes[sel].max()),
+                             int(bad[sel].sum())))
+            yield pd.DataFrame(rows, columns=["part", "point_id", "x", "dmin", "dmax", "bad"])
+
+    return pts.mapInPandas(first, "part int, point_id long, x array<double>, dmin int, dmax int, bad long")
+
+
 def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     """Weighted FFT coreset of ``m`` points per part.
 
@@ -126,10 +152,9 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     pts = points.select(F.col("part").cast("int").alias("part"), "point_id", "x").cache()
     try:
         # one job: each part's starting point plus the dimension check, materializing the cache
-        first = pts.groupBy("part").agg(
+        first = _first_points_frame(pts).groupBy("part").agg(
             F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c"),
-            F.min(F.size("x")).alias("dmin"), F.max(F.size("x")).alias("dmax"),
-            F.sum(F.when(F.exists("x", lambda v: v.isNull()), 1).otherwise(0)).alias("bad"),
+            F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad"),
         ).collect()
         if not first:
             raise ValueError("empty point set")

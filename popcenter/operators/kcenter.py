@@ -79,13 +79,14 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     )
 
 
-def _kernel(spec: dict[int, tuple[float, float, list[int], bool]]):
+def _kernel(spec: dict[int, tuple[float, float, list[int], bool]], emit_all: bool = False):
     """Per-block task: coverage from the chosen centers, then ball weights.
 
     ``spec[g] = (ball_radius, cover_radius, chosen center idx list, pick)``. For every
     guess the block recomputes which points its centers cover (|centers| x c distances),
     reports the uncovered weight (block 0 only), and -- when the guess still picks --
-    the ball weight of each of its candidates (a candidates x c distance block).
+    the ball weight of its best candidate (a candidates x c distance block; with
+    ``emit_all``, of every candidate).
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -113,10 +114,17 @@ def _kernel(spec: dict[int, tuple[float, float, list[int], bool]]):
                 if D is None:
                     D = block_distances(np.stack(cand["x"].to_numpy()), X)
                 bw = (D <= ball).astype(np.int64) @ np.where(unc, w, 0)
-                keep = bw > 0
-                n = int(keep.sum())
-                out_g.extend([g] * n), out_k.extend([0] * n)
-                out_i.extend(cand["idx"].to_numpy()[keep].tolist()), out_v.extend(bw[keep].tolist())
+                if emit_all:
+                    keep = bw > 0
+                    n = int(keep.sum())
+                    out_g.extend([g] * n), out_k.extend([0] * n)
+                    out_i.extend(cand["idx"].to_numpy()[keep].tolist()), out_v.extend(bw[keep].tolist())
+                elif bw.max() > 0:
+                    # pre-aggregate: only this block's best candidate (largest ball, lowest idx)
+                    cidx = cand["idx"].to_numpy()
+                    top = np.nonzero(bw == bw.max())[0]
+                    best = top[np.argmin(cidx[top])]
+                    out_g.append(g), out_k.append(0), out_i.append(int(cidx[best])), out_v.append(int(bw[best]))
         return pd.DataFrame({"g": np.array(out_g, dtype=np.int32), "kind": np.array(out_k, dtype=np.int32),
                              "idx": np.array(out_i, dtype=np.int64), "val": np.array(out_v, dtype=np.int64)})
 
@@ -173,7 +181,8 @@ def ball_weights(weighted: DataFrame, radius: float) -> DataFrame:
     ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
     table = blocked_table(ws, _blocks(ws.count(), spark))
     table.count()
-    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, [], True)}), schema=KERNEL_SCHEMA)
+    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, [], True)}, emit_all=True),
+                                               schema=KERNEL_SCHEMA)
     return out.where("kind = 0").select("idx", F.col("val").alias("ball_weight"))
 
 
