@@ -59,18 +59,3 @@ def checkpoint(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def materialize(df, label: str, num_files: int | None = None):
-    """Cut lineage by writing ``df`` as parquet under the shared checkpoint folder.
-
-    One job (the write) instead of the two a non-persisted ``checkpoint()`` runs; the
-    table is read back with its row count and statistics known, so later joins can be
-    planned from real sizes. ``num_files`` coalesces small tables to fewer files.
-    """
-    import uuid
-
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/popcenter-tables/{label}-{uuid.uuid4().hex}"
-    out = df.coalesce(num_files) if num_files else df
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -219,3 +219,16 @@ def test_coreset_bound_and_summary(spark):
     assert row["num_centers"] <= 10 and set(timings) >= {"round1", "round2"}
     res = coreset_kcenter_outliers(pts, 10, 3, 4, 2.0, part_method="hash")
     assert res.coreset.agg(F.sum("weight")).first()[0] == 2000
+
+
+def test_fft_join_fallback_matches_udf_path(spark, monkeypatch):
+    """Oversized center sets go through a table join scored with built-in expressions."""
+    import popcenter.operators.coreset as C
+
+    pts = assign_parts(points2_view(spark, SF01), 4, "mod")
+    fast = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
+    monkeypatch.setattr(C, "MAX_UDF_COORDS", 0)
+    slow = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
+    monkeypatch.setattr(C, "MAX_BROADCAST_BYTES", 0)
+    shuffled = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
+    assert fast == slow == shuffled
