@@ -6,22 +6,22 @@ is a candidate, covered ones too; ties: the lowest order index), then mark every
 uncovered point within ``(3+4*alpha)*r`` of it as covered. The guess is accepted when the
 uncovered weight is at most z; otherwise r doubles.
 
-Spark form. Guesses share no state, so all of them run side by side as a column ``g``:
-the state is the set of ``(g, idx)`` pairs still uncovered (at most G x c rows for a
-weighted set of c points), checkpointed after every step. One step is
-
-1. ball weights: candidates are split into blocks; each block is cogrouped with the
-   uncovered points (a replica per block, size-checked) and an Arrow task computes its
-   distance block in NumPy and emits one ``(g, idx, bw)`` row per candidate and guess --
-   never a pair row;
-2. ``max_by`` per guess picks the center (a partial aggregate);
-3. coverage is an equi-join of the state with the chosen centers on ``g``.
-
-The driver only drives the loop: it reads one row per guess per step (center id and
-remaining weight), stops a guess once it is finished, and drops every guess above the
-smallest one already certain to be accepted. The accepted guess is the smallest with
-uncovered weight <= z, exactly as in the sequential loop. A guess schedule is fixed in
-advance: enough doublings that the last guess covers everything with one center (the
+Spark form. Guesses share no state, so all of them run side by side (a guess index
+``g``). The weighted set is laid out once as a cached table hash-partitioned by candidate
+block: each block holds its candidates and a replica of the whole set (blocks x c rows,
+bounded because c is). One greedy step is one job with no shuffle of that input:
+
+1. per block, an Arrow task recomputes coverage from the centers chosen so far for each
+   guess (the state is just those center lists, held by the driver), reports the
+   uncovered weight, and computes the ball weight of each of its candidates from a NumPy
+   distance block -- never a pair row -- emitting only its best candidate per guess;
+2. a ``max_by`` per guess (largest ball weight, then lowest idx) picks the center.
+
+The driver reads one row per guess per step (center id and remaining weight), stops a
+guess once it is finished, and drops every guess above the smallest one already certain
+to be accepted (uncovered weight only decreases). The accepted guess is the smallest
+with uncovered weight <= z, exactly as in the sequential loop. A guess schedule is fixed
+in advance: enough doublings that the last guess covers everything with one center (the
 diameter is bounded by twice the largest distance from the first point).
 
 The input weighted set is bounded by construction ((k+z+1) points per part for a coreset)
