@@ -277,6 +277,7 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
             bound = min(certain) if certain else G
     finally:
         table.unpersist()
+        ws.unpersist()  # the centers below re-derive their few rows from the input lineage
 
     g_star = min(g for g in done if wz[g] <= z)
     steps = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
