@@ -79,59 +79,61 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     )
 
 
-def _kernel(spec: dict[int, tuple[float, float, list[int], bool]], emit_all: bool = False):
-    """Per-block task: coverage from the chosen centers, then ball weights.
-
-    ``spec[g] = (ball_radius, cover_radius, chosen center idx list, pick)``. For every
-    guess the block recomputes which points its centers cover (|centers| x c distances),
-    reports the uncovered weight (block 0 only), and -- when the guess still picks --
-    the ball weight of its best candidate (a candidates x c distance block; with
-    ``emit_all``, of every candidate).
+def _kernel(spec: dict, emit_all: bool = False):
+    """Per-block task: apply each guess's newest center to its coverage, then ball weights.
+
+    ``spec[g] = (ball_radius, cover_radius, new_center_idx | None, pick, uncovered_mask | None)``
+    where the mask is the packed uncovered bitmap (points in ``idx`` order) from the
+    previous step. Each block applies the newest center of every guess (one distance row
+    per distinct new center), reports the uncovered weight and the updated bitmap (block 0
+    only), and -- when the guess still picks -- the ball weight of its best candidate
+    (with ``emit_all``: of every candidate) from a candidates x c NumPy distance block.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         allp = pdf[pdf["role"] == 1].sort_values("idx")
         cand = pdf[pdf["role"] == 0]
-        out_g, out_k, out_i, out_v = [], [], [], []
+        rows: list[tuple] = []
         if allp.empty:
-            return pd.DataFrame({"g": out_g, "kind": out_k, "idx": out_i, "val": out_v}).astype(
-                {"g": "int32", "kind": "int32", "idx": "int64", "val": "int64"})
+            return pd.DataFrame(rows, columns=["g", "kind", "idx", "val", "mask"])
         X = np.stack(allp["x"].to_numpy())
         w = allp["w"].to_numpy(dtype=np.int64)
         ids = allp["idx"].to_numpy()
         row_of = {int(i): r for r, i in enumerate(ids)}
         block = int(pdf["block"].iloc[0])
+        cidx = cand["idx"].to_numpy()
         D = None
-        for g, (ball, cover, centers, pick) in spec.items():
-            unc = np.ones(len(ids), dtype=bool)
-            if centers:
-                C = X[[row_of[c] for c in centers]]
-                unc = ~(block_distances(C, X) <= cover).any(axis=0)
+        center_rows: dict[int, np.ndarray] = {}
+        for g, (ball, cover, new_c, pick, mask) in spec.items():
+            if mask is None:
+                unc = np.ones(len(ids), dtype=bool)
+            else:
+                unc = np.unpackbits(np.frombuffer(mask, dtype=np.uint8), count=len(ids)).astype(bool)
+            if new_c is not None:
+                if new_c not in center_rows:
+                    center_rows[new_c] = block_distances(X[[row_of[new_c]]], X)[0]
+                unc &= ~(center_rows[new_c] <= cover)
             wz = int(w[unc].sum())
             if block == 0:
-                out_g.append(g), out_k.append(1), out_i.append(-1), out_v.append(wz)
-            if pick and wz > 0 and not cand.empty:
+                rows.append((g, 1, -1, wz, None))
+                rows.append((g, 2, -1, 0, np.packbits(unc).tobytes()))
+            if pick and wz > 0 and len(cidx):
                 if D is None:
                     D = block_distances(np.stack(cand["x"].to_numpy()), X)
                 bw = (D <= ball).astype(np.int64) @ np.where(unc, w, 0)
                 if emit_all:
-                    keep = bw > 0
-                    n = int(keep.sum())
-                    out_g.extend([g] * n), out_k.extend([0] * n)
-                    out_i.extend(cand["idx"].to_numpy()[keep].tolist()), out_v.extend(bw[keep].tolist())
+                    rows.extend((g, 0, int(i), int(v), None) for i, v in zip(cidx[bw > 0], bw[bw > 0]))
                 elif bw.max() > 0:
                     # pre-aggregate: only this block's best candidate (largest ball, lowest idx)
-                    cidx = cand["idx"].to_numpy()
                     top = np.nonzero(bw == bw.max())[0]
                     best = top[np.argmin(cidx[top])]
-                    out_g.append(g), out_k.append(0), out_i.append(int(cidx[best])), out_v.append(int(bw[best]))
-        return pd.DataFrame({"g": np.array(out_g, dtype=np.int32), "kind": np.array(out_k, dtype=np.int32),
-                             "idx": np.array(out_i, dtype=np.int64), "val": np.array(out_v, dtype=np.int64)})
+                    rows.append((g, 0, int(cidx[best]), int(bw[best]), None))
+        return pd.DataFrame(rows, columns=["g", "kind", "idx", "val", "mask"])
 
     return run
 
 
-KERNEL_SCHEMA = "g int, kind int, idx long, val long"
+KERNEL_SCHEMA = "g int, kind int, idx long, val long, mask binary"
 
 
 def _blocks(c: int, spark) -> int:
@@ -160,8 +162,9 @@ def blocked_table(weighted: DataFrame, blocks: int, head=None) -> DataFrame:
     return table
 
 
-def greedy_step(table: DataFrame, spec: dict) -> dict[int, tuple[int | None, int]]:
-    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered weight)}.
+def greedy_step(table: DataFrame, spec: dict) -> dict[int, tuple[int | None, int, bytes]]:
+    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered
+    weight, uncovered bitmap)}.
 
     The per-block kernel output is reduced by a partial ``max_by`` per guess (largest
     ball weight, then lowest idx), so only one row per guess and block is shuffled.
@@ -170,8 +173,10 @@ def greedy_step(table: DataFrame, spec: dict) -> dict[int, tuple[int | None, int
     best = out.groupBy("g").agg(
         F.expr("max_by(idx, named_struct('v', val, 'i', -idx)) FILTER (WHERE kind = 0)").alias("c_idx"),
         F.expr("max(val) FILTER (WHERE kind = 1)").alias("wz"),
+        F.expr("max(mask) FILTER (WHERE kind = 2)").alias("mask"),
     )
-    return {int(r["g"]): (None if r["c_idx"] is None else int(r["c_idx"]), int(r["wz"] or 0))
+    return {int(r["g"]): (None if r["c_idx"] is None else int(r["c_idx"]), int(r["wz"] or 0),
+                          bytes(r["mask"]) if r["mask"] is not None else None)
             for r in best.collect()}
 
 
@@ -181,7 +186,7 @@ def ball_weights(weighted: DataFrame, radius: float) -> DataFrame:
     ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
     table = blocked_table(ws, _blocks(ws.count(), spark))
     table.count()
-    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, [], True)}, emit_all=True),
+    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, None, True, None)}, emit_all=True),
                                                schema=KERNEL_SCHEMA)
     return out.where("kind = 0").select("idx", F.col("val").alias("ball_weight"))
 
@@ -255,6 +260,8 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     cover_r = {g: (3 + 4 * alpha) * r for g, r in enumerate(schedule)}
 
     chosen: dict[int, list[int]] = {g: [] for g in range(G)}
+    pending: dict[int, int | None] = {}
+    masks: dict[int, bytes | None] = {}
     wz: dict[int, int] = {}
     done: set[int] = set()
     bound = G
@@ -263,16 +270,19 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
             live = [g for g in range(G) if g not in done and g <= bound]
             if not live:
                 break
-            spec = {g: (ball_r[g], cover_r[g], list(chosen[g]), len(chosen[g]) < k) for g in live}
+            # the state per guess: uncovered bitmap (G x c bits) and the center not yet applied
+            spec = {g: (ball_r[g], cover_r[g], pending.get(g), len(chosen[g]) < k, masks.get(g)) for g in live}
             step = greedy_step(table, spec)
             for g in live:
-                pick, wz[g] = step[g]
+                pick, wz[g], masks[g] = step[g]
+                pending[g] = None
                 if wz[g] == 0 or len(chosen[g]) == k:
                     done.add(g)
                 else:
                     # a guess with uncovered weight always has a positive ball; index 0 is
                     # what a sequential scan keeps if it had none
-                    chosen[g].append(pick if pick is not None else head_idx)
+                    pending[g] = pick if pick is not None else head_idx
+                    chosen[g].append(pending[g])
             certain = [g for g, v in wz.items() if v <= z]
             bound = min(certain) if certain else G
     finally:
