@@ -19,15 +19,21 @@ class RetailReport:
     listing_two_stage: DataFrame | None
 
 
-def retail_popularity(rows: DataFrame, country: str | None = "all", h: int = 0) -> RetailReport:
+def retail_popularity(rows: DataFrame, country: str | None = "all", h: int = 0,
+                      num_partitions: int | None = None) -> RetailReport:
     """Counts plus either the top-H products (h > 0) or both full listings (h == 0).
 
     Nothing is executed here; each field is a lazy DataFrame. With h == 0 the two
     listings come from the two popularity computations (single aggregate and two-stage)
-    so they can be compared, as a debugging aid.
+    so they can be compared, as a debugging aid. ``num_partitions`` redistributes the raw
+    rows round-robin first (an extra shuffle; by default the scan's splits and AQE decide).
     """
     if h < 0:
         raise ValueError(f"h must be >= 0, got {h}")
+    if num_partitions is not None:
+        if num_partitions < 1:
+            raise ValueError(f"num_partitions must be >= 1, got {num_partitions}")
+        rows = rows.repartition(num_partitions)
     popularity = R.product_popularity(rows, country)
     top = R.top_products(popularity, h) if h > 0 else None
     listing = R.popularity_listing(popularity) if h == 0 else None
