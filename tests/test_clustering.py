@@ -232,3 +232,18 @@ def test_fft_join_fallback_matches_udf_path(spark, monkeypatch):
     monkeypatch.setattr(C, "MAX_BROADCAST_BYTES", 0)
     shuffled = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
     assert fast == slow == shuffled
+
+
+def test_objective_histogram_selection_matches_top_k(spark, monkeypatch):
+    """Large z goes through exact histogram selection; force it with a tiny top-k limit."""
+    import popcenter.operators.objective as O
+
+    X = _clustered(seed=5, per=60) .tolist() + [[0.0, 0.0]] * 30  # ties at one distance
+    pts = _pts(spark, X)
+    centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [50.0, -20.0])], "step int, x array<double>")
+    C = [[0.0, 0.0], [50.0, -20.0]]
+    monkeypatch.setattr(O, "TOPK_LIMIT", 7)
+    monkeypatch.setattr(O, "HISTOGRAM_BUCKETS", 4)
+    for z in (7, 20, 100, 250, len(X) - 1):
+        assert kcenter_objective(pts, centers, z).first()["objective"] == brute.objective(X, C, z)
+    assert kcenter_objective(pts, centers, len(X)).count() == 0
