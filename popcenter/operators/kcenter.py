@@ -62,6 +62,11 @@ def _pair_distances(xs):
     ))).otherwise(F.array().cast("array<double>"))
 
 
+# Heads up to this many points are paired inside one row with built-in array functions;
+# larger heads are spread over tasks with a NumPy kernel.
+MAX_INLINE_HEAD = 256
+
+
 def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     """Half the least distance among the first ``m`` points by ``idx``.
 
@@ -69,7 +74,10 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     *positive* distance among them (null when all coincide), used when duplicates make
     ``r0`` zero. Only the m head points are combined; nothing else is paired.
     """
-    head = weighted.orderBy("idx").limit(m).agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("h"))
+    head = weighted.orderBy("idx").limit(m)
+    if m > MAX_INLINE_HEAD:
+        return _initial_radius_distributed(head)
+    head = head.agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("h"))
     xs = F.transform("h", lambda s: s["x"])
     ds = _pair_distances(xs)
     return head.select(
@@ -79,6 +87,30 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     )
 
 
+def _initial_radius_distributed(head: DataFrame) -> DataFrame:
+    """Same result for a large head: each task pairs its head rows with the later ones."""
+    rows = head.select("idx", "x").collect()  # the head: at most m <= max_points vectors
+    order = sorted(rows, key=lambda r: r["idx"])
+    H = np.asarray([r["x"] for r in order], dtype=float)
+    pos = {int(r["idx"]): i for i, r in enumerate(order)}
+
+    def pair_mins(batches):
+        for pdf in batches:
+            out = []
+            for i, x in zip(pdf["idx"].to_numpy(), pdf["x"].to_numpy()):
+                p = pos[int(i)]
+                if p + 1 < len(H):
+                    dv = block_distances(np.asarray([x], dtype=float), H[p + 1:])[0]
+                    positive = dv[dv > 0]
+                    out.append((float(dv.min()), float(positive.min()) if len(positive) else None))
+            if out:
+                yield pd.DataFrame(out, columns=["d", "dpos"])
+
+    mins = head.select("idx", "x").mapInPandas(pair_mins, "d double, dpos double")
+    return mins.agg((F.min("d") / 2).alias("r0"), (F.min("dpos") / 2).alias("r0_positive"),
+                    F.lit(len(H)).alias("head_size"))
+
+
 def _kernel(spec: dict, emit_all: bool = False):
     """Per-block task: apply each guess's newest center to its coverage, then ball weights.
 

@@ -247,3 +247,18 @@ def test_objective_histogram_selection_matches_top_k(spark, monkeypatch):
     for z in (7, 20, 100, 250, len(X) - 1):
         assert kcenter_objective(pts, centers, z).first()["objective"] == brute.objective(X, C, z)
     assert kcenter_objective(pts, centers, len(X)).count() == 0
+
+
+def test_initial_radius_distributed_matches_inline(spark, monkeypatch):
+    import popcenter.operators.kcenter as K
+
+    X = _clustered(seed=9, per=15, clusters=4, outliers=3) .tolist() + [[1.0, 1.0]] * 2
+    ws = unit_weighted(_pts(spark, X))
+    for m in (5, 40, len(X) + 10):
+        inline = initial_radius(ws, m).first()
+        monkeypatch.setattr(K, "MAX_INLINE_HEAD", 0)
+        spread = initial_radius(ws, m).first()
+        monkeypatch.setattr(K, "MAX_INLINE_HEAD", 256)
+        assert (spread["r0"], spread["r0_positive"], spread["head_size"]) == \
+            (inline["r0"], inline["r0_positive"], inline["head_size"])
+        assert inline["r0"] == brute.initial_radius(X, m)
