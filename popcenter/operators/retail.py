@@ -37,6 +37,40 @@ def qualifying_rows(rows: DataFrame, country: str | None = None) -> DataFrame:
     return rows.where(cond)
 
 
+def _malformed(raw: str, parsed: str):
+    return F.col(raw).isNotNull() & (F.col(raw) != "") & F.col(parsed).isNull()
+
+
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    """Rows (parsed with ``keep_raw=True``) whose quantity or customer is not an integer.
+
+    Permissive mode drops them silently (they never qualify); this lists them with the
+    reason, as one filter over the rows.
+    """
+    return rows.where(_malformed("raw_quantity", "quantity") | _malformed("raw_customer", "customer_id")).select(
+        "*", _malformed("raw_quantity", "quantity").alias("bad_quantity"),
+        _malformed("raw_customer", "customer_id").alias("bad_customer"))
+
+
+def check_strict(rows: DataFrame, country: str | None = None) -> None:
+    """Strict mode: fail like a positional parser that parses numbers as it filters.
+
+    Every row's quantity is parsed, so any malformed quantity fails; the customer is
+    parsed only on qualifying rows (positive quantity, matching country), so a malformed
+    customer fails only there. One aggregation job; raises ``ValueError`` with the counts.
+    """
+    qualifies = F.col("quantity") > 0
+    if country is not None and country != ALL_COUNTRIES:
+        qualifies = qualifies & (F.col("country") == F.lit(country))
+    row = rows.agg(
+        F.sum(F.when(_malformed("raw_quantity", "quantity"), 1).otherwise(0)).alias("q"),
+        F.sum(F.when(qualifies & _malformed("raw_customer", "customer_id"), 1).otherwise(0)).alias("c"),
+    ).first()
+    if (row["q"] or 0) or (row["c"] or 0):
+        raise ValueError(f"malformed numbers: {row['q'] or 0} quantity field(s), "
+                         f"{row['c'] or 0} customer field(s) on qualifying rows")
+
+
 def product_customer_pairs(rows: DataFrame, country: str | None = None) -> DataFrame:
     """Distinct ``(product_id, customer_id)`` pairs of qualifying rows."""
     return qualifying_rows(rows, country).select("product_id", "customer_id").distinct()

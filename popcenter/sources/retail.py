@@ -43,10 +43,18 @@ def _token(tokens: Column, i: int) -> Column:
     return F.get(tokens, i)
 
 
-def parse_transactions(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Split text lines into the eight retail fields (all JVM-side expressions)."""
-    trimmed = F.regexp_replace(F.col(column), ",+$", "")
-    tokens = F.split(trimmed, ",")
+def _tokens(column: str):
+    return F.split(F.regexp_replace(F.col(column), ",+$", ""), ",")
+
+
+def parse_transactions(lines: DataFrame, column: str = "value", keep_raw: bool = False) -> DataFrame:
+    """Split text lines into the eight retail fields (all JVM-side expressions).
+
+    With ``keep_raw`` the unparsed quantity and customer tokens are kept as
+    ``raw_quantity`` / ``raw_customer`` (for strict validation and reject listings).
+    """
+    tokens = _tokens(column)
+    raw = [F.trim(_token(tokens, 3)).alias("raw_quantity"), F.trim(_token(tokens, 6)).alias("raw_customer")]
     return lines.select(
         _token(tokens, 0).alias("transaction_id"),
         _token(tokens, 1).alias("product_id"),
@@ -56,6 +64,7 @@ def parse_transactions(lines: DataFrame, column: str = "value") -> DataFrame:
         _try_cast(F.trim(_token(tokens, 5)), "double").alias("unit_price"),
         _try_cast(F.trim(_token(tokens, 6)), "int").alias("customer_id"),
         _token(tokens, 7).alias("country"),
+        *(raw if keep_raw else []),
     )
 
 

@@ -107,3 +107,21 @@ def test_two_stage_spreads_hot_product(spark):
         F.col("id").cast("int").alias("customer_id"), F.lit("X").alias("country"))
     assert R.popularity_two_stage(rows, buckets=8).first()["popularity"] == 3000
     assert R.product_popularity(rows).first()["popularity"] == 3000
+
+
+def test_strict_mode_and_rejects(spark, tmp_text):
+    from popcenter.sources.retail import parse_transactions
+
+    lines = spark.read.text(tmp_text(HAND))
+    rows = parse_transactions(lines, keep_raw=True)
+    rej = {(r.transaction_id, r.bad_quantity, r.bad_customer) for r in R.rejected_rows(rows).collect()}
+    # T9's comma in the description shifts a text token into the quantity field
+    assert rej == {("T6", True, False), ("T7", False, True), ("T9", True, True)}
+    with pytest.raises(ValueError, match="2 quantity field"):
+        R.check_strict(rows)
+    kept = [h for h in HAND if not h.startswith(("T6,", "T9,"))]
+    ok = parse_transactions(spark.read.text(tmp_text(kept, "ok.txt")), keep_raw=True)
+    with pytest.raises(ValueError, match="1 customer field"):
+        R.check_strict(ok, "Italy")          # T7 qualifies in Italy: its customer must parse
+    R.check_strict(ok, "France")             # T7 does not qualify in France: no failure
+    assert R.pair_count(ok, "France").first()[0] == 2
