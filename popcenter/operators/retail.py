@@ -96,8 +96,10 @@ def popularity_two_stage(rows: DataFrame, country: str | None = None, buckets: i
     product is spread over ``buckets`` tasks before the final sum. The result equals
     ``product_popularity``.
     """
-    spark = rows.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        setting = rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        buckets = int(setting) if str(setting).isdigit() else 200
+    n = buckets
     pairs = product_customer_pairs(rows, country)
     partial = pairs.groupBy("product_id", F.pmod(F.xxhash64("customer_id"), F.lit(n)).alias("slice")).agg(
         F.count(F.lit(1)).alias("partial_popularity")
