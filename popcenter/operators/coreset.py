@@ -187,7 +187,6 @@ def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
             "part int, pos int, point_id long, x array<double>",
         )
         out = chosen.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho").cache()
-        out.count()
         # the round-1 result is written to the shared checkpoint folder (read back from the
         # cache, not recomputed): losing an executor later never re-runs the m passes
         saved = checkpoint(out)
