@@ -197,7 +197,7 @@ FROM hpairs
 def ball_weights_sql(prefix_ctes: str, weighted: str, m: int, factor: float) -> str:
     return f"""WITH RECURSIVE {prefix_ctes}, {_head_ctes(weighted, m)},
 rad AS (SELECT {factor} * (min(d) / 2) AS r FROM hpairs)
-SELECT a.point_id, sum(b.w) AS ball_weight
+SELECT a.point_id, CAST(sum(b.w) AS BIGINT) AS ball_weight
 FROM hp a JOIN hp b ON {dist('a.x', 'b.x')} <= (SELECT r FROM rad)
 GROUP BY a.point_id
 """
