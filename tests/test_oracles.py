@@ -25,6 +25,10 @@ def _canon(cols, rows):
     return [cols[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "array<double>": "DOUBLE[]"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -47,4 +51,6 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     rel = con.sql(E.oracle_sql()[name])
+    assert sorted((c, SPARK_TO_DUCK.get(t, t)) for c, t in df.dtypes) == \
+        sorted((c, str(t)) for c, t in zip(rel.columns, rel.types))
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(rel.columns, rel.fetchall())
