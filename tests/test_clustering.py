@@ -262,3 +262,34 @@ def test_initial_radius_distributed_matches_inline(spark, monkeypatch):
         assert (spread["r0"], spread["r0_positive"], spread["head_size"]) == \
             (inline["r0"], inline["r0_positive"], inline["head_size"])
         assert inline["r0"] == brute.initial_radius(X, m)
+
+
+def test_greedy_step_plan_reads_cache_without_shuffle(spark):
+    import popcenter.operators.kcenter as K
+
+    ws = unit_weighted(points64_view(spark, SF01)).cache()
+    head = ws.orderBy("idx").first()["x"]
+    table = K.blocked_table(ws.select("idx", "x", "w"), 2, head)
+    table.agg(F.max("_dh")).first()  # the greedy fills the cache this way before its first step
+    step = table.groupBy("block").applyInPandas(K._kernel({0: (1.0, 3.0, None, True, None)}),
+                                                schema=K.KERNEL_SCHEMA)
+    step.collect()
+    final = step._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above_cache = final.split("InMemoryRelation")[0]
+    assert "FlatMapGroupsInPandas" in above_cache and "Exchange" not in above_cache
+    table.unpersist()
+    ws.unpersist()
+
+
+def test_fft_pass_plan_pre_aggregates_once(spark):
+    import popcenter.operators.coreset as C
+
+    pts = assign_parts(points64_view(spark, SF01), 4).select("part", "point_id", "x").cache()
+    pts.count()
+    centers = {p: [(0, [0.0] * 64)] for p in range(4)}
+    q = C._farthest_udf_frame(pts, centers).groupBy("part").agg(
+        F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))
+    plan = q._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
+    assert plan.count("Exchange") == 1  # only the per-part candidates are shuffled
+    pts.unpersist()
