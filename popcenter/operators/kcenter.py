@@ -53,13 +53,21 @@ def _check_params(k: int, z: int, alpha: float) -> None:
         raise ValueError(f"alpha must be >= 0, got {alpha}")
 
 
-def _pair_distances(xs):
-    """All distances among the vectors of one bounded array column (m points)."""
+def _head_minima(xs):
+    """(least distance, least positive distance) among the vectors of one bounded array.
+
+    Nested minima: for each point the least distance to the later points, then the least
+    of those -- the pair distances are never collected into one list.
+    """
     n = F.size(xs)
-    return F.when(n > 1, F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 2),
-        lambda i: F.transform(F.slice(xs, i + 2, n), lambda y: euclidean(F.element_at(xs, i + 1), y)),
-    ))).otherwise(F.array().cast("array<double>"))
+
+    def later(i):
+        return F.transform(F.slice(xs, i + 2, n), lambda y: euclidean(F.element_at(xs, i + 1), y))
+
+    idx = F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    least = F.array_min(F.transform(idx, lambda i: F.array_min(later(i))))
+    least_pos = F.array_min(F.transform(idx, lambda i: F.array_min(F.filter(later(i), lambda d: d > 0))))
+    return least, least_pos
 
 
 # Heads up to this many points are paired inside one row with built-in array functions;
@@ -78,13 +86,8 @@ def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
     if m > MAX_INLINE_HEAD:
         return _initial_radius_distributed(head)
     head = head.agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("h"))
-    xs = F.transform("h", lambda s: s["x"])
-    ds = _pair_distances(xs)
-    return head.select(
-        (F.array_min(ds) / 2).alias("r0"),
-        (F.array_min(F.filter(ds, lambda d: d > 0)) / 2).alias("r0_positive"),
-        F.size("h").alias("head_size"),
-    )
+    least, least_pos = _head_minima(F.transform("h", lambda s: s["x"]))
+    return head.select((least / 2).alias("r0"), (least_pos / 2).alias("r0_positive"), F.size("h").alias("head_size"))
 
 
 def _initial_radius_distributed(head: DataFrame) -> DataFrame:
