@@ -125,3 +125,13 @@ def test_strict_mode_and_rejects(spark, tmp_text):
         R.check_strict(ok, "Italy")          # T7 qualifies in Italy: its customer must parse
     R.check_strict(ok, "France")             # T7 does not qualify in France: no failure
     assert R.pair_count(ok, "France").first()[0] == 2
+
+
+def test_report_with_explicit_partitions(spark):
+    v = retail_view(spark, SF001)
+    rep = retail_popularity(v, "NATION_4", 5, num_partitions=3)
+    base = retail_popularity(v, "NATION_4", 5)
+    assert rep.top_products.collect() == base.top_products.collect()
+    assert rep.pair_count.first()[0] == base.pair_count.first()[0]
+    with pytest.raises(ValueError):
+        retail_popularity(v, "all", 1, num_partitions=0)
