@@ -5,6 +5,7 @@ from __future__ import annotations
 from popcenter.llm.decontamination import op10_suffix_arrays
 from popcenter.llm.lines import op9_line_frequency
 from popcenter.llm.mixing import op8_mix
+from popcenter.llm.neardup import op4_near_duplicates
 from popcenter.llm.quality import op7_quality
 from popcenter.llm.sharding import op3_interleaved_shards
 from popcenter.llm.urls import op6_url_filter
@@ -13,6 +14,7 @@ from popcenter.llm.urls import op6_url_filter
 def queries():
     return {
         "op3_interleaved_shards": op3_interleaved_shards,
+        "op4_near_duplicates": op4_near_duplicates,
         "op6_url_filter": op6_url_filter,
         "op7_quality": op7_quality,
         "op8_mix": op8_mix,
