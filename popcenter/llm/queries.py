@@ -8,6 +8,7 @@ from popcenter.llm.mixing import op8_mix
 from popcenter.llm.neardup import op4_near_duplicates
 from popcenter.llm.quality import op7_quality
 from popcenter.llm.sharding import op3_interleaved_shards
+from popcenter.llm.substrings import op5_substrings
 from popcenter.llm.urls import op6_url_filter
 
 
@@ -15,6 +16,7 @@ def queries():
     return {
         "op3_interleaved_shards": op3_interleaved_shards,
         "op4_near_duplicates": op4_near_duplicates,
+        "op5_substrings": op5_substrings,
         "op6_url_filter": op6_url_filter,
         "op7_quality": op7_quality,
         "op8_mix": op8_mix,
