@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from popcenter.llm.decontamination import op10_suffix_arrays
+from popcenter.llm.licenses import op2_licenses
 from popcenter.llm.lines import op9_line_frequency
 from popcenter.llm.mixing import op8_mix
 from popcenter.llm.neardup import op4_near_duplicates
 from popcenter.llm.quality import op7_quality
+from popcenter.llm.secrets import op1_secrets
 from popcenter.llm.sharding import op3_interleaved_shards
 from popcenter.llm.substrings import op5_substrings
 from popcenter.llm.urls import op6_url_filter
@@ -14,6 +16,8 @@ from popcenter.llm.urls import op6_url_filter
 
 def queries():
     return {
+        "op1_secrets": op1_secrets,
+        "op2_licenses": op2_licenses,
         "op3_interleaved_shards": op3_interleaved_shards,
         "op4_near_duplicates": op4_near_duplicates,
         "op5_substrings": op5_substrings,
