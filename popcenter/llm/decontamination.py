@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from popcenter.llm.common import read
-from popcenter.llm.text import buffer, letters, list_array, lower, ranges, slices, word_hashes, word_spans
+from popcenter.llm.text import buffer, letters, list_array, load, lower, ranges, slices, word_hashes, word_spans
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -149,7 +149,7 @@ def finder(test_blocks: list, window: int = WINDOW):
         shards = list(slices(offs))
         one = None
         if len(test_blocks) == 1:
-            ids, texts = test_blocks[0].value
+            ids, texts = load(test_blocks[0])
             one = ids, Tests(pa.array(texts, pa.large_string()), window)
         n_words, n_hit, counts, cols = [], [], [], []
         for i, j in shards:
@@ -161,9 +161,8 @@ def finder(test_blocks: list, window: int = WINDOW):
                 if one:
                     ids, tests = one
                 else:
-                    ids, texts = block.value
+                    ids, texts = load(block)
                     tests = Tests(pa.array(texts, pa.large_string()), window)
-                    block.unpersist()
                 win, place = tests.occurrences(shard)
                 if not len(win):
                     continue

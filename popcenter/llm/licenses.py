@@ -32,7 +32,8 @@ from pyspark.sql.functions import arrow_udf
 
 from popcenter.llm.common import read
 from popcenter.llm.decontamination import blocks
-from popcenter.llm.text import Grams, U, buffer, letters, list_array, lower, mix, ranges, slices, word_hashes, word_spans
+from popcenter.llm.text import (Grams, U, buffer, letters, list_array, load, lower, mix, ranges, slices,
+                                word_hashes, word_spans)
 
 SHINGLE = 5
 BANDS = 96
@@ -128,12 +129,12 @@ def scanner(library: list, k: int = SHINGLE, bands: int = BANDS, containment: fl
     @arrow_udf(FOUND)
     def scan(text: pa.Array) -> pa.Array:
         buf, offs = buffer(text)
-        libs = [Library(*b.value, k, bands) for b in library] if len(library) == 1 else None
+        libs = [Library(*load(b), k, bands) for b in library] if len(library) == 1 else None
         rows, counts = [], np.zeros(len(text), np.int64)
         for i, j in slices(offs):
             grams, first = shingles((buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]))
             found: list = []
-            for lib in libs or (Library(*b.value, k, bands) for b in library):
+            for lib in libs or (Library(*load(b), k, bands) for b in library):
                 for size, block in lib.classes:
                     scan_class(lib, size, block, grams, first, found)
             joined: list = []

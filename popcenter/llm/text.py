@@ -155,3 +155,11 @@ def list_array(values: pa.Array, counts: np.ndarray) -> pa.Array:
 def signed(h: np.ndarray) -> pa.Array:
     """64-bit hashes as Arrow longs."""
     return pa.array(np.ascontiguousarray(h).view(np.int64))
+
+
+def load(block):
+    """A broadcast's value in a task, without the handle keeping it: of several blocks a task
+    holds one at a time."""
+    value = block.value
+    vars(block).pop("_value", None)
+    return value

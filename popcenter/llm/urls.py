@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from popcenter.llm.common import keep_columns, read
-from popcenter.llm.text import ranges
+from popcenter.llm.text import load, ranges
 
 BLOCK_ENTRIES = 4_000_000
 #: The rules of the registered query.
@@ -84,7 +84,7 @@ def matcher(digests: list):
         row = np.repeat(np.arange(len(keys)), keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         best: dict[int, tuple] = {}
         for block in digests:
-            raw, entries, verdicts = block.value
+            raw, entries, verdicts = load(block)
             with tempfile.TemporaryFile() as f:
                 f.write(raw)
                 f.flush()
