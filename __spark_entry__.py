@@ -19,6 +19,7 @@ from popcenter.operators.kcenter import ball_weights, initial_radius, weighted_k
 from popcenter.operators.objective import kcenter_objective, nearest_center
 from popcenter.operators.partitioning import assign_parts
 from popcenter.plans.kcenter import clustering_summary, coreset_weighted, kcenter_outliers
+from popcenter.plans.retail import retail_popularity
 from popcenter.sources import parse_points, points2_view, points64_view, points_as_text, retail_view
 from popcenter.sources.retail import parse_transactions
 
@@ -50,6 +51,32 @@ def _retail(spark, d):
     return retail_view(spark, d)
 
 
+def _purchases(spark, d):
+    return retail_view(spark, d, purchases_only=True)
+
+
+def _faulty_text(spark, d) -> DataFrame:
+    """The retail view as lines of which some are malformed, by rules on their keys: no number for
+    a quantity (every 50th product), no customer (41st order), no country (77th customer)."""
+    v = retail_view(spark, d)
+    lost = F.col("customer_id") % 77 == 0
+    fields = [F.col("transaction_id"), F.col("product_id"), F.lit("item"),
+              F.when(F.col("product_id") % 50 == 0, "n/a").otherwise(F.col("quantity").cast("int").cast("string")),
+              F.date_format("invoice_date", "yyyy-MM-dd HH:mm"), F.lit("1.0"),
+              F.when((F.col("transaction_id") % 41 == 0) & ~lost, "").otherwise(F.col("customer_id").cast("string")),
+              F.when(lost, "").otherwise(F.col("country"))]
+    return v.select(F.concat_ws(",", *fields).alias("value"))
+
+
+def _retail_rejects(spark, d) -> DataFrame:
+    return R.rejected_rows(parse_transactions(_faulty_text(spark, d)), COUNTRY).select(
+        "transaction_id", "product_id", "bad_country", "bad_quantity", "bad_customer")
+
+
+def _retail_report(country, h):
+    return lambda s, d: retail_popularity(_retail(s, d), country, h, num_partitions=PARTS).rows()
+
+
 def _retail_as_text(spark, d) -> DataFrame:
     """The retail view rendered as comma-separated lines (the text source's input)."""
     v = retail_view(spark, d)
@@ -135,16 +162,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
         # retail popularity
         "row_count": lambda s, d: R.row_count(_retail(s, d)),
-        "product_customer_pairs": lambda s, d: R.product_customer_pairs(_retail(s, d)),
-        "product_customer_pairs_country": lambda s, d: R.product_customer_pairs(_retail(s, d), COUNTRY),
-        "pair_count": lambda s, d: R.pair_count(_retail(s, d)),
-        "pair_count_country": lambda s, d: R.pair_count(_retail(s, d), COUNTRY),
-        "product_popularity": lambda s, d: R.product_popularity(_retail(s, d)),
-        "popularity_two_stage": lambda s, d: R.popularity_two_stage(_retail(s, d)),
-        "popularity_listing": lambda s, d: R.popularity_listing(R.product_popularity(_retail(s, d), COUNTRY)),
-        "top_products": lambda s, d: R.top_products(R.product_popularity(_retail(s, d)), TOP_H),
-        "top_products_country": lambda s, d: R.top_products(R.product_popularity(_retail(s, d), COUNTRY), TOP_H),
+        "product_customer_pairs": lambda s, d: R.product_customer_pairs(_purchases(s, d)),
+        "product_customer_pairs_country": lambda s, d: R.product_customer_pairs(_purchases(s, d), COUNTRY),
+        "pair_count": lambda s, d: R.pair_count(_purchases(s, d)),
+        "pair_count_country": lambda s, d: R.pair_count(_purchases(s, d), COUNTRY),
+        "product_popularity": lambda s, d: R.product_popularity(_purchases(s, d)),
+        "popularity_two_stage": lambda s, d: R.popularity_two_stage(_purchases(s, d)),
+        "popularity_listing": lambda s, d: R.popularity_listing(R.product_popularity(_purchases(s, d), COUNTRY)),
+        "top_products": lambda s, d: R.top_products(R.product_popularity(_purchases(s, d)), TOP_H),
+        "top_products_country": lambda s, d: R.top_products(R.product_popularity(_purchases(s, d), COUNTRY), TOP_H),
         "retail_text_popularity": lambda s, d: R.product_popularity(parse_transactions(_retail_as_text(s, d))),
+        "popularity_listing_positions": lambda s, d: R.listing_positions(R.product_popularity(_purchases(s, d))),
+        "retail_report_top": _retail_report(None, TOP_H),
+        "retail_report_listing": _retail_report(COUNTRY, 0),
+        "retail_rejects": _retail_rejects,
         # points and distances
         "parse_points": lambda s, d: parse_points(points_as_text(points2_view(s, d)), id_col="point_id"),
         "nearest_center": lambda s, d: nearest_center(points64_view(s, d), _label_centers(s, d)).select(
@@ -189,6 +220,10 @@ def oracle_sql() -> dict[str, str]:
         "top_products_country": O.retail_top(COUNTRY, TOP_H),
         "retail_text_popularity": (f"SELECT CAST(product_id AS VARCHAR) AS product_id, popularity "
                                    f"FROM ({O.retail_popularity(None)}) q"),
+        "popularity_listing_positions": O.retail_listing(None),
+        "retail_report_top": O.retail_report(None, TOP_H),
+        "retail_report_listing": O.retail_report(COUNTRY, 0),
+        "retail_rejects": O.retail_rejects(COUNTRY),
         "parse_points": O.parse_points_sql(),
         "nearest_center": O.nearest(O.POINTS64, O.LABEL_CENTERS),
         "kcenter_objective": O.objective(O.POINTS64, O.LABEL_CENTERS, OBJECTIVE_Z),

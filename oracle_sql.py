@@ -42,8 +42,35 @@ def retail_top(country: str | None, h: int) -> str:
             f"ORDER BY popularity DESC, product_id LIMIT {h}")
 
 
+def retail_listing(country: str | None) -> str:
+    return (f"SELECT row_number() OVER (ORDER BY pid) AS position, pid AS product_id, popularity FROM ("
+            f"SELECT CAST(product_id AS VARCHAR) AS pid, popularity FROM ({retail_popularity(country)}) q) s")
+
+
+def retail_report(country: str | None, h: int) -> str:
+    head = (f"SELECT 'rows' AS section, 1::BIGINT AS position, NULL::VARCHAR AS product_id, count(*) AS value FROM ({RETAIL}) a "
+            f"UNION ALL SELECT 'pairs', 1, NULL, count(*) FROM ({retail_pairs(country)}) b")
+    if h:
+        return head + f" UNION ALL SELECT 'top', rank, CAST(product_id AS VARCHAR), popularity FROM ({retail_top(country, h)}) c"
+    return head + "".join(f" UNION ALL SELECT '{s}', position, product_id, popularity FROM ({retail_listing(country)}) d_{s}"
+                          for s in ("popularity", "popularity_two_stage"))
+
+
+def retail_rejects(country: str) -> str:
+    """Strict faults of the rendered text: every 50th product has no number for a quantity, every
+    41st order no customer, every 77th customer a row that ends before the country."""
+    return f"""
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(product_id AS VARCHAR) AS product_id, short AS bad_country,
+       NOT short AND country = '{country}' AND bad_q AS bad_quantity,
+       NOT short AND country = '{country}' AND NOT bad_q AND quantity > 0 AND bad_c AS bad_customer
+FROM (SELECT *, customer_id % 77 = 0 AS short, product_id % 50 = 0 AS bad_q, transaction_id % 41 = 0 AS bad_c FROM ({RETAIL}) r) s
+WHERE short OR (country = '{country}' AND (bad_q OR (quantity > 0 AND bad_c)))
+"""
+
+
 # ---------------------------------------------------------------- points
 
+POINTS1 = "SELECT c_custkey AS point_id, [c_acctbal] AS x FROM customer"
 POINTS64 = "SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
 POINTS2 = "SELECT p_partkey AS point_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE)] AS x FROM part"
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from popcenter.session import checkpoint
+
 ALL_COUNTRIES = "all"
 
 
@@ -37,38 +39,40 @@ def qualifying_rows(rows: DataFrame, country: str | None = None) -> DataFrame:
     return rows.where(cond)
 
 
-def _malformed(raw: str, parsed: str):
-    return F.col(raw).isNotNull() & (F.col(raw) != "") & F.col(parsed).isNull()
+def _all(country: str | None) -> bool:
+    return country is None or country == ALL_COUNTRIES
+
 
+def _faults(country: str | None):
+    """Conditions (country field missing, bad quantity, bad customer) under which a positional
+    parser fails on a row: with a country it looks at that field of every row first and parses
+    the quantity of matching rows only; without one it parses every quantity. The customer is
+    parsed where the quantity is positive. An absent, empty or non-integer field is malformed."""
+    short = F.lit(False) if _all(country) else F.col("country").isNull()
+    looked_at = F.lit(True) if _all(country) else F.coalesce(F.col("country") == F.lit(country), F.lit(False))
+    quantity = looked_at & F.col("quantity").isNull()
+    customer = looked_at & F.coalesce(F.col("quantity") > 0, F.lit(False)) & F.col("customer_id").isNull()
+    return short, quantity, customer
 
-def rejected_rows(rows: DataFrame) -> DataFrame:
-    """Rows (parsed with ``keep_raw=True``) whose quantity or customer is not an integer.
 
-    Permissive mode drops them silently (they never qualify); this lists them with the
-    reason, as one filter over the rows.
+def rejected_rows(rows: DataFrame, country: str | None = None) -> DataFrame:
+    """Rows on which strict parsing fails, with the reason.
+
+    Permissive mode drops them silently (they never qualify); this lists them with
+    ``bad_country``, ``bad_quantity`` and ``bad_customer``, as one filter over the rows.
     """
-    return rows.where(_malformed("raw_quantity", "quantity") | _malformed("raw_customer", "customer_id")).select(
-        "*", _malformed("raw_quantity", "quantity").alias("bad_quantity"),
-        _malformed("raw_customer", "customer_id").alias("bad_customer"))
+    short, quantity, customer = _faults(country)
+    return rows.where(short | quantity | customer).select(
+        "*", short.alias("bad_country"), quantity.alias("bad_quantity"), customer.alias("bad_customer"))
 
 
 def check_strict(rows: DataFrame, country: str | None = None) -> None:
-    """Strict mode: fail like a positional parser that parses numbers as it filters.
-
-    Every row's quantity is parsed, so any malformed quantity fails; the customer is
-    parsed only on qualifying rows (positive quantity, matching country), so a malformed
-    customer fails only there. One aggregation job; raises ``ValueError`` with the counts.
-    """
-    qualifies = F.col("quantity") > 0
-    if country is not None and country != ALL_COUNTRIES:
-        qualifies = qualifies & (F.col("country") == F.lit(country))
-    row = rows.agg(
-        F.sum(F.when(_malformed("raw_quantity", "quantity"), 1).otherwise(0)).alias("q"),
-        F.sum(F.when(qualifies & _malformed("raw_customer", "customer_id"), 1).otherwise(0)).alias("c"),
-    ).first()
-    if (row["q"] or 0) or (row["c"] or 0):
-        raise ValueError(f"malformed numbers: {row['q'] or 0} quantity field(s), "
-                         f"{row['c'] or 0} customer field(s) on qualifying rows")
+    """Strict mode: raise ``ValueError`` if ``rejected_rows`` has any (one aggregation job)."""
+    short, quantity, customer = _faults(country)
+    row = rows.agg(*[F.count_if(c).alias(n) for c, n in ((short, "s"), (quantity, "q"), (customer, "c"))]).first()
+    if row["s"] or row["q"] or row["c"]:
+        raise ValueError(f"malformed rows: {row['s']} without a country field, {row['q']} quantity field(s), "
+                         f"{row['c']} customer field(s) on qualifying rows")
 
 
 def product_customer_pairs(rows: DataFrame, country: str | None = None) -> DataFrame:
@@ -83,7 +87,11 @@ def pair_count(rows: DataFrame, country: str | None = None) -> DataFrame:
 
 def product_popularity(rows: DataFrame, country: str | None = None) -> DataFrame:
     """``(product_id, popularity)``: distinct customers per product, map-side combined."""
-    pairs = product_customer_pairs(rows, country)
+    return popularity_of_pairs(product_customer_pairs(rows, country))
+
+
+def popularity_of_pairs(pairs: DataFrame) -> DataFrame:
+    """``(product_id, popularity)`` from distinct pairs."""
     return pairs.groupBy("product_id").agg(F.count(F.lit(1)).alias("popularity"))
 
 
@@ -92,18 +100,23 @@ def popularity_two_stage(rows: DataFrame, country: str | None = None, buckets: i
 
     Stage 1 counts each product's distinct customers inside ``buckets`` disjoint slices
     of customers (slice = hash of the customer id); stage 2 sums the partial counts per
-    product. Each stage moves at most one row per (product, slice), so one very popular
-    product is spread over ``buckets`` tasks before the final sum. The result equals
+    product. Rows are clustered by (product, slice) once, which serves the distinct and the
+    partial count alike, and one very popular product is spread over ``buckets`` tasks; the
+    final sum moves one row per (product, slice). Two exchanges in all. The result equals
     ``product_popularity``.
     """
+    rows = qualifying_rows(rows, country).select("product_id", "customer_id")
+    return two_stage_of_pairs(rows, buckets)
+
+
+def two_stage_of_pairs(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The two stages over qualifying (product, customer) pairs, distinct or not."""
     if buckets is None:
-        setting = rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        setting = pairs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
         buckets = int(setting) if str(setting).isdigit() else 200
-    n = buckets
-    pairs = product_customer_pairs(rows, country)
-    partial = pairs.groupBy("product_id", F.pmod(F.xxhash64("customer_id"), F.lit(n)).alias("slice")).agg(
-        F.count(F.lit(1)).alias("partial_popularity")
-    )
+    sliced = pairs.select("product_id", "customer_id", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).alias("slice"))
+    partial = sliced.repartition("product_id", "slice").distinct().groupBy("product_id", "slice").agg(
+        F.count(F.lit(1)).alias("partial_popularity"))
     return partial.groupBy("product_id").agg(F.sum("partial_popularity").cast("bigint").alias("popularity"))
 
 
@@ -123,3 +136,19 @@ def top_products(popularity: DataFrame, h: int) -> DataFrame:
 def popularity_listing(popularity: DataFrame) -> DataFrame:
     """Full listing ordered by increasing product id (range-partitioned sort)."""
     return popularity.orderBy(F.col("product_id").asc())
+
+
+def listing_positions(popularity: DataFrame) -> DataFrame:
+    """``(position, product_id, popularity)``: the listing with its 1-based order made explicit.
+
+    Products are compared as text. They are range-partitioned, numbered inside their range and
+    shifted by the row counts of the ranges before; no task holds the whole listing. The ranges
+    are checkpointed first, because Spark samples their borders.
+    """
+    by_text = popularity.select(F.col("product_id").cast("string").alias("product_id"), "popularity")
+    ranged = checkpoint(by_text.repartitionByRange("product_id").withColumn("range", F.spark_partition_id()))
+    counts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # one row per range
+    before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    numbered = ranged.withColumn("r", F.row_number().over(Window.partitionBy("range").orderBy("product_id")))
+    return numbered.join(before, "range").select(
+        (F.col("before") + F.col("r")).cast("bigint").alias("position"), "product_id", "popularity")

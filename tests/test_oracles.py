@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -25,7 +26,7 @@ def _canon(cols, rows):
     return [cols[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+SPARK_TO_DUCK = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "array<double>": "DOUBLE[]"}
 
 
@@ -43,11 +44,16 @@ def test_entry_runs(spark):
     assert df.columns == ["rank", "product_id", "popularity"] and len(rows) == 10
 
 
+def _add_on(name):
+    """Training-data queries; those without SQL are tested against plain Python in tests/llm."""
+    return re.match(r"op\d+_", name) or name == "pipeline"
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert {q for q in E.queries() if not _add_on(q)} <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     rel = con.sql(E.oracle_sql()[name])

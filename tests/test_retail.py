@@ -114,12 +114,12 @@ def test_strict_mode_and_rejects(spark, tmp_text):
 
     lines = spark.read.text(tmp_text(HAND))
     rows = parse_transactions(lines, keep_raw=True)
-    rej = {(r.transaction_id, r.bad_quantity, r.bad_customer) for r in R.rejected_rows(rows).collect()}
-    # T9's comma in the description shifts a text token into the quantity field
-    assert rej == {("T6", True, False), ("T7", False, True), ("T9", True, True)}
-    with pytest.raises(ValueError, match="2 quantity field"):
+    rej = {(r.transaction_id, r.bad_country, r.bad_quantity, r.bad_customer) for r in R.rejected_rows(rows).collect()}
+    # T9's comma in the description shifts a text token into the quantity field; the blank line has no fields
+    assert rej == {("T6", False, True, False), ("T7", False, False, True), ("T9", False, True, False), ("", False, True, False)}
+    with pytest.raises(ValueError, match="3 quantity field"):
         R.check_strict(rows)
-    kept = [h for h in HAND if not h.startswith(("T6,", "T9,"))]
+    kept = [h for h in HAND if h and not h.startswith(("T6,", "T8,", "T9,"))]
     ok = parse_transactions(spark.read.text(tmp_text(kept, "ok.txt")), keep_raw=True)
     with pytest.raises(ValueError, match="1 customer field"):
         R.check_strict(ok, "Italy")          # T7 qualifies in Italy: its customer must parse
@@ -127,6 +127,45 @@ def test_strict_mode_and_rejects(spark, tmp_text):
     assert R.pair_count(ok, "France").first()[0] == 2
 
 
+@pytest.mark.parametrize("line,country,fault", [
+    ("T1,P1,X,x7,d,1,100,Italy", "France", None),      # another country's quantity is never parsed
+    ("T1,P1,X,x7,d,1,100,Italy", "Italy", "1 quantity"),
+    ("T1,P1,X,,d,1,100,France", "France", "1 quantity"),
+    ("T1,P1", None, "1 quantity"),
+    ("T1,P1,X,3,d,1,100", "France", "1 without a country"),
+    ("T1,P1,X,3,d,1,100", None, None),
+    ("T1,P1,X,3,d,1,,France", "France", "1 customer"),
+    ("T1,P1,X,0,d,1,,France", "France", None),
+])
+def test_strict_rules(spark, line, country, fault):
+    from popcenter.sources.retail import parse_transactions
+
+    rows = parse_transactions(spark.createDataFrame([(line,)], "value string"))
+    if fault:
+        with pytest.raises(ValueError, match=fault):
+            R.check_strict(rows, country)
+    else:
+        R.check_strict(rows, country)
+    assert R.rejected_rows(rows, country).count() == (1 if fault else 0)
+
+
+def test_listing_positions(spark):
+    pop = spark.createDataFrame([(f"P{k}é" if k % 3 else f"p{k}", k) for k in range(500)], "product_id string, popularity long")
+    got = R.listing_positions(pop.repartition(4)).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(1, 501))
+    assert [r.product_id for r in got] == sorted((r[0] for r in pop.collect()), key=str.encode)
+
+
+def test_purchases_predicate_reaches_the_scan_and_two_exchanges(spark):
+    v = retail_view(spark, SF001, purchases_only=True)
+    assert R.pair_count(v).first()[0] == R.pair_count(retail_view(spark, SF001)).first()[0]
+    df = R.popularity_two_stage(v)
+    plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = [x for x in plan.split("\n") if "PushedFilters" in x and "l_quantity" in x]
+    assert pushed and all("GreaterThan(l_quantity,0" in x for x in pushed)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
 def test_report_with_explicit_partitions(spark):
     v = retail_view(spark, SF001)
     rep = retail_popularity(v, "NATION_4", 5, num_partitions=3)
