@@ -1,0 +1,256 @@
+"""The training-data operators on small odd tables, against plain Python."""
+
+import random
+from collections import Counter, defaultdict
+
+import llm_brute as B
+import pytest
+from pyspark.sql import functions as F
+
+from popcenter.llm import decontamination, licenses, lines, mixing, neardup, quality, secrets, sharding, substrings, urls
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(rnd, n, vocabulary=400):
+    return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
+
+
+def odd_rows():
+    """Nulls in every column, empty and long texts, copies, near copies, repeated rows, self-overlap."""
+    rnd = random.Random(4)
+    base, passage = prose(rnd, 120), prose(rnd, 50)
+    words = base.split()
+    texts = [None, "", " \t\n\x0b ", "one", "one two three four", "five words are one shingle", base, base, base.upper(),
+             base + "  ", "\n".join(words), passage, prose(rnd, 40) + " " + passage + " " + prose(rnd, 40),
+             passage + " " + prose(rnd, 30), " ".join(["again and"] * 60), prose(rnd, 3000), "ä\u2028ö 🙂 ñ " + prose(rnd, 60),
+             "x" * 5000, "a\rb\fc " + passage]
+    for k in range(14):  # a chain of near copies, each a few words further from the first
+        words = list(words)
+        words[(k * 17) % 120] = f"new{k}"
+        texts.append(" ".join(words))
+    texts += [prose(rnd, rnd.randrange(1, 90), 60) for _ in range(40)]
+    rows = [(k, t, "en", f"s{k % 4}", len(t or "")) for k, t in enumerate(texts)]
+    rows += [rows[6], rows[15], (None, base, None, None, None), (None, None, None, None, None), (6, passage, "en", None, 1)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return odd_rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def key(row):
+    return tuple((x is not None, x) for x in row)
+
+
+def same(got, want):
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+def test_near_duplicates(docs, rows):
+    out = neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    same(out, B.near_duplicates([r[:2] for r in rows]))
+
+
+def test_near_duplicates_in_tiny_blocks(docs, rows):
+    out = neardup.near_duplicates(docs, block_bytes=2000).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    same(out, B.near_duplicates([r[:2] for r in rows]))
+
+
+def test_sketch_fills_every_bin_and_estimates_similarity():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    a, b = rnd.integers(0, 2**63, 800).astype(np.uint64), rnd.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [a, np.concatenate([a[:700], b]), a[:1], a[:3]]
+    x, at = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    s = neardup.sketches(x, at, 360)
+    assert (s != np.iinfo(np.uint64).max).all()
+    assert abs((s[0] == s[1]).mean() - 0.7) < 0.08
+    assert (neardup.sketches(a, np.array([0, 800]), 360)[0] == s[0]).all()
+
+
+@pytest.mark.parametrize("window,gram", [(35, 8), (6, 2), (5, 5), (4, 1)])
+def test_substrings(docs, rows, window, gram):
+    out = substrings.remove_repeats(docs, window, gram).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256)).collect()
+    same(out, B.substrings([r[:2] for r in rows], window))
+
+
+ITEMS = [(1, None), (2, ""), (3, "..!"), (None, "w1 w2"), (4, "Five, words; are ONE shingle"), (4, "one"), (10, "one")]
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 40])
+def test_leaks(spark, docs, rows, block_bytes):
+    items = [*ITEMS, (5, rows[11][1].title()), (6, " ".join(rows[15][1].split()[100:130])), (7, rows[17][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontamination.find_leaks(docs.withColumn("found", F.lit(1)), bench, block_bytes=block_bytes)
+    names = F.array_sort(F.array_distinct("found.matches.item"))
+    got = out.select("doc_id", "found.n_words", "found.n_hit", F.size(names),
+                     F.sha2(F.array_join(names, ",").cast("binary"), 256), F.col("found.n_hit") > 0).collect()
+    same(got, B.leaks([r[:2] for r in rows], items))
+    longest = {r["doc_id"]: r["m"] for r in out.select("doc_id", F.array_max("found.matches.n_words").alias("m")).collect()}
+    assert longest[15] == 30
+
+
+def test_line_rules(docs, rows):
+    got = lines.line_rules(docs, 2, 0.05).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words").collect()
+    lost = B.lost_words([(r[3], r[1]) for r in rows], 2, 0.05)
+    same(got, [(r[0], *B.base_rules(r[1]), n) for r, n in zip(rows, lost)])
+
+
+def test_boilerplate_depletes(spark):
+    rnd = random.Random(9)
+    line = "  All   rights Reserved " + prose(rnd, 60)
+    rows = [(k, line + f"\nalone {k}", None, "h", 1) for k in range(30)] + [
+        (100 + k, line.lower() + "\n" + prose(rnd, 200), None, "h", 1) for k in range(30)] + [
+        (200 + k, prose(rnd, 80), None, "h", 1) for k in range(5)] + [(300 + k, rows_text, None, "g", 1) for k, rows_text in
+                                                                     enumerate([prose(rnd, 100)] * 40)]
+    out = {r["doc_id"]: r["kept"] for r in lines.line_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(kept == (not 0 <= d < 30) for d, kept in out.items())  # copies of one text are one document
+
+
+def test_mix(docs, rows):
+    from popcenter.llm.common import word_count
+
+    clash = docs.withColumn("taken", F.lit("x")).withColumn("Size", F.lit(1))
+    out = mixing.mix(clash, word_count(F.col("text")), F.lit(None).cast("double"))
+    again = mixing.mix(clash.repartition(3), word_count(F.col("text")), F.lit(None).cast("double"))
+    got = out.select("doc_id", "source", "size", "source_size", "target", "taken").collect()
+    same(got, again.select("doc_id", "source", "size", "source_size", "target", "taken").collect())
+    assert len(got) == len(rows)
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+        assert r["taken"] <= 2 * r["size"]
+    want = B.targets(sizes)
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(float(want[r["source"]]))
+    for s in sizes:
+        assert abs(taken[s] - float(want[s])) <= largest[s]
+
+
+def test_mix_prefers_heavy_documents(spark):
+    d = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("w").alias("text"),
+                                  F.when(F.col("id") < 14000, "a").otherwise("b").alias("source"),
+                                  F.when(F.col("id") % 2 == 0, 2.0).otherwise(0.5).alias("w"))
+    out = mixing.mix(d, F.lit(1), F.col("w")).where("target < source_size * 2 and target > source_size")
+    heavy = out.groupBy(F.col("doc_id") % 2).agg(F.avg("taken").alias("t")).orderBy("t").collect()
+    assert heavy[0][1] < heavy[1][1] - 0.2 and heavy[1][0] == 0
+
+
+def test_mix_stage_repeats_documents(spark, docs, rows):
+    out = mixing.mix_documents(spark, docs, None)
+    assert out.columns == docs.columns
+    assert max(Counter((r["doc_id"], r["text"]) for r in out.collect()).values()) <= 4  # repeated rows, twice each
+
+
+@pytest.mark.parametrize("n", [1, 7, 200])
+def test_shards(docs, rows, n):
+    out = sharding.interleave(docs.withColumn("slot", F.lit("x")).withColumn("SHARD", F.lit(1)), n)
+    got = out.select("doc_id", "text", "source", "shard", "slot").collect()
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in got) == Counter((r[0], r[1], r[3]) for r in rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r["shard"]].append(r)
+    counts = [len(by[k]) for k in range(n)]
+    assert sum(counts) == len(rows) and max(counts) - min(counts) <= 1
+    total = Counter(r[3] for r in rows)
+    for k, members in by.items():
+        assert sorted(r["slot"] for r in members) == list(range(len(members)))
+        for s, c in Counter(r["source"] for r in members).items():
+            assert abs(c - len(members) * total[s] / len(rows)) <= 2
+
+
+RULES = [*urls.RULES, ("example.net/en/1", "block"), ("a.b.c/x", "block"), ("noslash", "block"), (None, "block")]
+
+
+@pytest.mark.parametrize("block", [1, 100])
+def test_urls(spark, block):
+    given = [None, "", "no scheme", "HTTP://X.Net/", "http://x.net", "http://net/", "http://example.net/en/2?x=/de/",
+             "http://www.example.net/en/12#a", "http://notexample.net/en/1", "a://b://c.org/fr/", "http://org/fr/x", "http://org/de/",
+             "http://z.a.b.c/xyz", "http://a.b.c/y", "http://a.b.c?x", "http://user@Example.COM/de/ü", "http://é.org/fr/\n"] * 2
+    pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(given)], "page_id long, url string, rule string")
+    out = urls.filter_urls(pages, spark.createDataFrame(RULES, "entry string, verdict string"), block_entries=block)
+    got = out.select("page_id", "host", "path", "rule", "verdict").collect()
+    usable = [r for r in RULES if r[0] and "/" in r[0]]
+    same(got, [(k, *B.url_verdict(u, usable)) for k, u in enumerate(given)])
+    none = urls.filter_urls(pages, spark.createDataFrame([], "entry string, verdict string"))
+    assert {r["verdict"] for r in none.collect()} == {"allow"}
+
+
+def test_licenses(spark, docs, rows):
+    notice = dict(licenses.TEMPLATES)["Apache-2.0-notice"]
+    cut = notice.split()
+    cut[20] = "altered"
+    extra = [(900, "Released under the MIT License.", None, None, None), (901, rows[15][1] + "\n" + notice.upper() + " " + rows[15][1], None, None, None),
+             (902, " ".join(cut), None, None, None), (903, " ".join(cut[:30]), None, None, None),
+             (904, "released\nunder the mit license! " * 3, None, None, None), (905, "under the MIT License", None, None, None)]
+    templates = licenses.default_templates(spark).union(
+        spark.createDataFrame([("none", None), ("empty", " "), ("two", "altered software")], "template_id string, text string"))
+    out = licenses.scan_licenses(docs.union(spark.createDataFrame(extra, SCHEMA)), templates).collect()
+    got = sorted({(r["doc_id"], r["template"]) for r in out}, key=key)
+    assert got == [(900, "MIT-line"), (901, "Apache-2.0-line"), (901, "Apache-2.0-notice"), (902, "Apache-2.0-line"),
+                   (902, "Apache-2.0-notice"), (903, "Apache-2.0-line"), (904, "MIT-line")]
+    at = {(r["doc_id"], r["template"]): r for r in out}
+    assert at[901, "Apache-2.0-notice"]["start_word"] == 3000 and at[901, "Apache-2.0-notice"]["containment"] == 1
+    assert 0.8 <= at[902, "Apache-2.0-notice"]["containment"] < 1
+
+
+def test_secrets(spark):
+    rnd = random.Random(3)
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    rows = [(k, f"{prose(rnd, 30)} password={hexa(18)} {prose(rnd, 9)} {'abcdefghijk' * 2}xyz\n{prose(rnd, 5)}", "en", "src/a", 1)
+            for k in range(150)]
+    rows += [(200 + k, f"{prose(rnd, 9)} secret: {w}{k} {prose(rnd, 9)}", "en", "src/a", 1)
+             for k, w in enumerate(["changeme", "example_pw", "your_token", "dummy-key"] * 15)]
+    rows += [(None, None, None, None, None), (500, "", "en", "s", 0), (501, "", None, "s", 0),
+             (502, 'token = "' + hexa(40) + '" and password=changeme1 end', "en", None, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = secrets.scan_secrets(docs).collect()
+    by = {(r["doc_id"], r["candidate"]): r for r in out}
+    assert len(out) == 362 and len({d for d, _ in by}) == 211
+    real = {c for _, c in by if set(c) <= set("0123456789abcdef")}
+    assert len(real) == 151 and all(r["is_secret"] == (r["candidate"] in real) for r in out)
+    assert all(rows[r["doc_id"]][1][r["start"]:].startswith(r["candidate"]) for r in out if r["doc_id"] < 150)
+    assert all(r["is_secret"] for r in secrets.scan_secrets(docs.where("doc_id > 400")).collect())  # nothing to learn from
+
+
+def test_quality(spark, docs, rows):
+    rnd = random.Random(2)
+    good = [(k, prose(rnd, 60), 1) for k in range(0, 600, 2)]
+    bad = [(k, " ".join(f"W{rnd.randrange(90)}!!" for _ in range(50)), 0) for k in range(1, 600, 2)]
+    made = spark.createDataFrame([(d, t, "en", "s", 1) for d, t, _ in good + bad], SCHEMA)
+    labels = spark.createDataFrame([(d, q, 0) for d, _, q in good + bad] + [(None, 1, 0), (5, None, 0), (7, 1, 0), (9999, 0, 0)],
+                                   "doc_id long, quality int, toxic int")
+    model = quality.train(made, labels)
+    assert (model == quality.train(made.repartition(7), labels)).all()
+    scored = made.union(docs).select("doc_id", "text", "lang", quality.scorer(model)("text").alias("score")).collect()
+    assert len(scored) == 600 + len(rows) and all(0 <= r["score"] <= 1 for r in scored)
+    wrong = [r for r in scored[:600] if (r["score"] >= 0.5) != (r["doc_id"] % 2 == 0)]
+    assert len(wrong) <= 6
+    empty = quality.train(made, labels.limit(0))
+    assert {r[0] for r in made.select(quality.scorer(empty)("text")).collect()} == {0.5}
+
+
+def test_empty_tables(spark, docs):
+    none, labels = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([], "item_id long, text string")
+    from popcenter.llm.common import word_count
+
+    for out in (neardup.near_duplicates(none), substrings.remove_repeats(none), decontamination.find_leaks(none, bench),
+                lines.line_rules(none), mixing.mix(none, word_count(F.col("text")), F.lit(1.0)), sharding.interleave(none, 40),
+                licenses.scan_licenses(none, licenses.default_templates(spark)), secrets.scan_secrets(none),
+                none.select(quality.scorer(quality.train(none, labels))("text"))):
+        assert out.count() == 0
+    assert decontamination.find_leaks(docs, bench).where("found.n_hit > 0").count() == 0
