@@ -14,10 +14,13 @@ Steps, each over all documents:
    threshold of 0.85 is missed with probability (1 - 0.85^8)^45, about 6e-7. Every member of a
    band value is tied to its smallest one (no pairs are listed), and the ties' connected
    components are the candidate clusters.
-3. Within a cluster every pair is decided on the full sets, so a candidate never gets lost: the
-   sets of a cluster are cut into blocks of about BLOCK_BYTES, each pair of blocks is one group
-   of rows, and a task returns a spanning forest of the links it found (linear in the rows it
-   read). A task holds two blocks at most, whatever the size of the cluster.
+3. Within a cluster every pair is decided on the full sets, so no candidate gets lost. The sets
+   of a cluster are cut into blocks of about BLOCK_BYTES and one member, the hub, joins each
+   block. A task links the members of one block and returns a spanning forest of the links
+   (linear in the rows it read); components over these forests follow. In a cluster of several
+   blocks the members outside its largest component are then compared with all its members, two
+   blocks a task. So a cluster of copies of one text costs in proportion to its size, whatever
+   that is, and only members that did not link are compared further.
 4. Connected components of the links, and the smallest doc_id of each.
 
 Sets are compared as sets of 64-bit shingle hashes.
@@ -159,7 +162,8 @@ def forest(sets: list[np.ndarray], side: np.ndarray, link: tuple[int, int] = LIN
 
 
 def linker(link: tuple[int, int] = LINK):
-    """For mapInArrow over rows sorted by (cluster, p, q): links as (a, b) of class names."""
+    """For mapInArrow over rows (cluster, p, q, side, name, set) sorted by the first three: links
+    as (a, b) of class names, within a group or, if it has two sides, between them."""
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {"key": None, "names": [], "sets": [], "side": []}
 
@@ -172,13 +176,13 @@ def linker(link: tuple[int, int] = LINK):
         for batch in batches:
             found = []
             cols = [batch.column(k).to_pylist() for k in range(6)]  # keys and bytes objects, no words
-            for cluster, p, q, block, name, raw in zip(*cols):
+            for cluster, p, q, side, name, raw in zip(*cols):
                 if (cluster, p, q) != held["key"]:
                     found += done()
                     held = {"key": (cluster, p, q), "names": [], "sets": [], "side": []}
                 held["names"].append(name)
                 held["sets"].append(np.frombuffer(raw, U))
-                held["side"].append(int(block != p))
+                held["side"].append(side)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], ["a", "b"])
         if found := done():
@@ -204,19 +208,36 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
 
     members = full.select("doc_id", "text_hash", "n", "hi", "lo").join(clusters, "hi").groupBy("hi", "lo", "cluster", "n") \
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    members = members.select("*", name)
     weight = F.sum(F.col("n") * 8)
-    blocks = members.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_blocks"))
+    blocks = members.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_blocks"), F.min("name").alias("hub"))
     members = members.join(blocks, "cluster").select(
-        F.col("one.doc_id").alias("m_id"), F.col("one.text_hash").alias("m_hash"), "cluster", "n_blocks", name,
-        F.pmod(F.xxhash64("lo"), F.col("n_blocks")).cast("int").alias("block"))
+        F.col("one.doc_id").alias("m_id"), F.col("one.text_hash").alias("m_hash"), "cluster", "n_blocks", "hub", "name", "n",
+        F.pmod(F.xxhash64("name"), F.col("n_blocks")).cast("int").alias("block"))
     same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash"))
-    texts = base.join(members, same).groupBy("cluster", "n_blocks", "block", "name").agg(F.first("text").alias("text"))
-    grouped = texts.select(
-        "cluster", "block", "name", arrow_udf(shingle_bytes, "binary")("text").alias("set"),
-        F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).select(
-        "cluster", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "name", "set")
-    links = grouped.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(
-        linker(link), "a string, b string")
+    sets = base.join(members, same).groupBy("cluster", "n_blocks", "hub", "block", "name", "n").agg(F.first("text").alias("text"))
+    sets = checkpoint(sets.withColumn("set", arrow_udf(shingle_bytes, "binary")("text")).drop("text"))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        rows = rows.select("cluster", "p", "q", "side", "name", "set").repartition("cluster", "p", "q")
+        return rows.sortWithinPartitions("cluster", "p", "q").mapInArrow(linker(link), "a string, b string")
+
+    every = F.sequence(F.lit(0), F.col("n_blocks") - 1)
+    own = F.when(F.col("name") == F.col("hub"), every).otherwise(F.array("block"))
+    links = checkpoint(linked(sets.withColumn("p", F.explode(own)).withColumn("q", F.col("p")).withColumn("side", F.lit(0))))
+    several = sets.where(F.col("n_blocks") > 1)
+    if not several.isEmpty():
+        parts = several.join(components(links), F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
+        sizes = parts.groupBy("cluster", "root").agg(F.count("*").alias("c"))
+        largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
+        rest = parts.join(largest, "cluster").where(F.col("root") != F.col("largest"))
+        n_rest = rest.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_rest"))
+        left = rest.join(n_rest, "cluster").withColumn("p", F.pmod(F.xxhash64("name"), F.col("n_rest")).cast("int")) \
+            .withColumn("q", F.explode(every)).withColumn("side", F.lit(0))
+        right = several.join(n_rest, "cluster").withColumn("p", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1))) \
+            .withColumn("q", F.col("block")).withColumn("side", F.lit(1))
+        cols = ("cluster", "p", "q", "side", "name", "set")
+        links = links.unionByName(checkpoint(linked(left.select(*cols).unionByName(right.select(*cols)))))
     roots = components(links)
 
     named = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least")).withColumn("name", name) \
