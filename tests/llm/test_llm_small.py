@@ -58,8 +58,9 @@ def test_near_duplicates(docs, rows):
     same(out, B.near_duplicates([r[:2] for r in rows]))
 
 
-def test_near_duplicates_in_tiny_blocks(docs, rows):
-    out = neardup.near_duplicates(docs, block_bytes=2000).select("doc_id", "n_shingles", "component_id", "kept").collect()
+@pytest.mark.parametrize("block_bytes", [1200, 4000])
+def test_near_duplicates_in_tiny_blocks(docs, rows, block_bytes):
+    out = neardup.near_duplicates(docs, block_bytes=block_bytes).select("doc_id", "n_shingles", "component_id", "kept").collect()
     same(out, B.near_duplicates([r[:2] for r in rows]))
 
 
