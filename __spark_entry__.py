@@ -20,7 +20,7 @@ from popcenter.operators.objective import kcenter_objective, nearest_center
 from popcenter.operators.partitioning import assign_parts
 from popcenter.plans.kcenter import clustering_summary, coreset_weighted, kcenter_outliers
 from popcenter.plans.retail import retail_popularity
-from popcenter.sources import parse_points, points2_view, points64_view, points_as_text, retail_view
+from popcenter.sources import parse_points, points1_view, points2_view, points64_view, points_as_text, retail_view
 from popcenter.sources.retail import parse_transactions
 
 try:  # the training-data operators are an add-on: without them everything else still works
@@ -37,6 +37,7 @@ TOP_H = 10
 PARTS = 4
 K64, Z64 = 5, 3          # embeddings: k, z
 K2, Z2 = 10, 3           # part points: k, z
+K1, Z1 = 3, 60           # customer balances: several centers and guesses with alpha = 2
 OBJECTIVE_Z = 3
 
 
@@ -121,9 +122,9 @@ def _weighted_kcenter(view, k, z, alpha):
     return run
 
 
-def _kcenter_outliers(view, k, z):
+def _kcenter_outliers(view, k, z, alpha=0.0):
     def run(spark, d):
-        return _centers_out(kcenter_outliers(view(spark, d), k, z, 0.0))
+        return _centers_out(kcenter_outliers(view(spark, d), k, z, alpha))
     return run
 
 
@@ -190,7 +191,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ball_weights": _ball_weights,
         "weighted_kcenter": _weighted_kcenter(points2_view, K2, Z2, 2.0),
         "weighted_kcenter_alpha0": _weighted_kcenter(points2_view, K2, Z2, 0.0),
+        "weighted_kcenter_points1": _weighted_kcenter(points1_view, K1, Z1, 2.0),
+        "kcenter_objective_half": lambda s, d: kcenter_objective(
+            points64_view(s, d), _label_centers(s, d), points64_view(s, d).count() // 2).select(
+            F.round("objective", 9).alias("objective")),
         # composite jobs
+        "kcenter_outliers_points1": _kcenter_outliers(points1_view, K1, Z1, 2.0),
+        "clustering_summary_points1": _summary(points1_view, K1, Z1),
         "kcenter_outliers": _kcenter_outliers(points2_view, K2, Z2),
         "kcenter_outliers_points64": _kcenter_outliers(points64_view, K64, Z64),
         "coreset_kcenter_outliers": _weighted_kcenter(points64_view, K64, Z64, 2.0),
@@ -201,7 +208,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for each query (same column names)."""
-    m64, m2 = K64 + Z64 + 1, K2 + Z2 + 1
+    m64, m2, m1 = K64 + Z64 + 1, K2 + Z2 + 1, K1 + Z1 + 1
+    cs1 = O.fft_ctes(O.POINTS1, PARTS, m1)
+    unit1 = f"SELECT point_id AS idx, point_id, x, CAST(1 AS BIGINT) AS w FROM ({O.POINTS1}) u"
     cs2 = O.fft_ctes(O.POINTS2, PARTS, m2)
     cs64 = O.fft_ctes(O.POINTS64, PARTS, m64)
     unit2 = f"SELECT point_id AS idx, point_id, x, CAST(1 AS BIGINT) AS w FROM ({O.POINTS2}) u"
@@ -233,6 +242,10 @@ def oracle_sql() -> dict[str, str]:
         "ball_weights": O.ball_weights_sql(cs2, O.coreset_weighted(m2), m2, 5.0),
         "weighted_kcenter": O.greedy_centers(cs2, O.coreset_weighted(m2), K2, Z2, 2.0),
         "weighted_kcenter_alpha0": O.greedy_centers(cs2, O.coreset_weighted(m2), K2, Z2, 0.0),
+        "weighted_kcenter_points1": O.greedy_centers(cs1, O.coreset_weighted(m1), K1, Z1, 2.0),
+        "kcenter_objective_half": O.objective(O.POINTS64, O.LABEL_CENTERS, "(SELECT count(*) // 2 FROM embeddings)"),
+        "kcenter_outliers_points1": O.greedy_centers("", unit1, K1, Z1, 2.0),
+        "clustering_summary_points1": O.summary_sql(O.POINTS1, cs1, O.coreset_weighted(m1), K1, Z1, PARTS, 2.0),
         "kcenter_outliers": O.greedy_centers("", unit2, K2, Z2, 0.0),
         "kcenter_outliers_points64": O.greedy_centers("", unit64, K64, Z64, 0.0),
         "coreset_kcenter_outliers": O.greedy_centers(cs64, O.coreset_weighted(m64), K64, Z64, 2.0),

@@ -86,7 +86,7 @@ FROM (SELECT point_id, list_transform({cx}, lambda cc: {dist('x', 'cc')}) AS ds
 """
 
 
-def objective(points: str, centers: str, z: int) -> str:
+def objective(points: str, centers: str, z: int | str) -> str:
     cx = f"(SELECT list(x ORDER BY step) FROM ({centers}) c)"
     return f"""
 SELECT round(d, 9) AS objective FROM (

@@ -4,14 +4,13 @@ Sub-packages:
 
 * ``sources``   -- readers for comma-separated retail rows and point files, and the
                    views built from the driver's parquet tables.
-* ``functions`` -- column expressions (vector parsing, Euclidean distance).
+* ``functions`` -- column expressions (vector parsing, Euclidean distance) and kernels.
 * ``operators`` -- one function per operator (distinct pairs, popularity, top-H,
                    farthest-first coreset, ball weights, weighted greedy, objective).
 * ``plans``     -- composite jobs (retail report, sequential and coreset k-center).
-* ``streaming`` -- the retail popularity operators over a file stream.
 """
 
-__all__ = ["sources", "functions", "operators", "plans", "streaming"]
+__all__ = ["sources", "functions", "operators", "plans"]
 
 
 def _ship_by_value() -> None:

@@ -1,5 +1,5 @@
-"""Column expressions used by the operators (all built-in Spark functions)."""
+"""Column expressions and the NumPy kernels used by the operators."""
 
-from popcenter.functions.vectors import euclidean, min_distance_to, nearest_position, parse_vector, sq_distance
+from popcenter.functions.vectors import euclidean, parse_vector, sq_distance
 
-__all__ = ["euclidean", "sq_distance", "parse_vector", "min_distance_to", "nearest_position"]
+__all__ = ["euclidean", "sq_distance", "parse_vector"]

@@ -1,17 +1,25 @@
-"""Vector expressions over ``array<double>`` columns.
+"""Vector expressions over ``array<double>`` columns and the NumPy kernels behind them.
 
-Distances are summed left to right over coordinates, the same order a scalar loop
-uses, so equal inputs give bit-identical distances inside Spark. Everything here is a
-built-in higher-order function (``zip_with``/``aggregate``/``transform``); no Python
-runs per row.
+Distances are summed left to right over coordinates, the same order a scalar loop uses, so
+equal inputs give bit-identical distances whichever form computes them:
+
+* built-in higher-order functions (``zip_with``/``aggregate``) for single expressions;
+* NumPy blocks over Arrow batches where many distances are needed. A batch's list column is
+  flattened and reshaped without a Python object per vector.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+#: Distances held at once in a task (a block of rows times a block of centers).
+BLOCK_DISTANCES = 1 << 20
+#: Coordinates of one broadcast block of centers (8 MB).
+BLOCK_COORDS = 1 << 20
 
 
 def _col(c) -> Column:
@@ -39,15 +47,40 @@ def parse_vector(text) -> Column:
     return F.transform(F.split(trimmed, ","), lambda t: F.trim(t).try_cast("double"))
 
 
-def min_distance_to(x, centers) -> Column:
-    """Distance from ``x`` to the closest vector in the array-of-arrays ``centers``."""
-    return F.array_min(F.transform(_col(centers), lambda c: euclidean(x, c)))
+def malformed(x) -> Column:
+    """True for a null vector and for one with a null or NaN coordinate."""
+    x = _col(x)
+    return x.isNull() | F.coalesce(F.exists(x, lambda v: v.isNull() | F.isnan(v)), F.lit(False))
+
+
+def check_vectors(points: DataFrame, what: str = "points", dim: int | None = None) -> int | None:
+    """The common dimension of ``points`` (point_id, x), or ValueError: one aggregate of built-ins.
+
+    None for no rows. ``dim`` is the dimension that the other side has.
+    """
+    row = points.agg(F.count_if(malformed("x") | F.col("point_id").isNull()).alias("bad"), F.min(F.size("x")).alias("lo"),
+                     F.max(F.size("x")).alias("hi")).first()
+    if row["bad"]:
+        raise ValueError(f"{row['bad']} of the {what} have a missing id or a missing or malformed coordinate")
+    if row["lo"] != row["hi"]:
+        raise ValueError(f"{what} have mixed dimensions ({row['lo']} to {row['hi']})")
+    if dim is not None and row["lo"] not in (None, dim):
+        raise ValueError(f"{what} have dimension {row['lo']}, not {dim}")
+    return row["lo"]
+
+
+def matrix(col: pa.Array) -> np.ndarray:
+    """A list column of equally long vectors without nulls as a (rows, dimension) array."""
+    if len(col) == 0:
+        return np.empty((0, 0))
+    values = col.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    return values.reshape(len(col), -1)
 
 
-def nearest_position(x, centers) -> Column:
-    """0-based position of the closest center; ties go to the lowest position."""
-    dists = F.transform(_col(centers), lambda c: euclidean(x, c))
-    return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
+def vectors(block: np.ndarray) -> pa.Array:
+    """The list column of a (rows, dimension) array."""
+    offsets = np.arange(len(block) + 1, dtype=np.int32) * (block.shape[1] if len(block) else 0)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(block).reshape(-1)))
 
 
 def block_distances(a, b):
@@ -57,6 +90,8 @@ def block_distances(a, b):
     ``euclidean`` -- so a threshold test gives the same answer here and in SQL.
     Used inside Arrow tasks only; Spark partitions the work.
     """
+    if a.shape[0] and b.shape[0] and a.shape[1] != b.shape[1]:
+        raise ValueError(f"vectors of dimension {a.shape[1]} and {b.shape[1]}")
     acc = np.zeros((a.shape[0], b.shape[0]))
     for d in range(a.shape[1]):
         diff = a[:, d, None] - b[None, :, d]
@@ -64,53 +99,50 @@ def block_distances(a, b):
     return np.sqrt(acc)
 
 
-def nearest_udf(centers):
-    """Arrow-batched UDF ``x -> struct(pos int, d double)`` against one fixed center set.
-
-    ``centers`` (k x dim, at most a few thousand vectors -- callers size-check it) is
-    captured in the closure, so it reaches each executor once with the task, not with
-    every row. ``pos`` is the first closest center (lowest position on ties). Distances
-    are bit-identical to ``euclidean``; this path exists because higher-order array
-    functions are evaluated row by row outside whole-stage codegen, and a NumPy block
-    over an Arrow batch is an order of magnitude faster for the same numbers.
+def nearest_rows(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of and distance to the closest center (the first of equals) of each row."""
+    pos, dist = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+    step = max(1, BLOCK_DISTANCES // max(1, len(centers)))
+    for i in range(0, len(x), step):
+        block = block_distances(x[i:i + step], centers)
+        pos[i:i + step] = block.argmin(axis=1)
+        dist[i:i + step] = block[np.arange(len(block)), pos[i:i + step]]
+    return pos, dist
+
+
+def center_blocks(centers: DataFrame, order_col: str) -> list:
+    """The centers in ``order_col`` order as broadcast blocks of at most ``BLOCK_COORDS`` coordinates
+    (or one center). The driver holds one block at a time, so any number of centers can be used."""
+    sc, out, rows, first = centers.sparkSession.sparkContext, [], [], 0
+    for r in centers.select(order_col, "x").orderBy(order_col).toLocalIterator():
+        if rows and (len(rows) + 1) * len(r["x"]) > BLOCK_COORDS:
+            out.append(sc.broadcast((first, np.asarray(rows, dtype=float))))
+            first, rows = first + len(rows), []
+        rows.append(r["x"])
+    if rows:
+        out.append(sc.broadcast((first, np.asarray(rows, dtype=float))))
+    return out
+
+
+def nearest_udf(blocks):
+    """Arrow-batched UDF ``x -> struct(pos int, d double)`` against the centers of ``blocks``
+    (broadcasts of (first position, matrix), or such pairs).
+
+    ``pos`` is the first closest center (lowest position on ties). Distances are bit-identical
+    to ``euclidean``. The x's must have the centers' dimension and no nulls (``check_vectors``).
     """
-    C = np.asarray(centers, dtype=float)
-
-    @F.pandas_udf("pos int, d double")
-    def nearest(xs: pd.Series) -> pd.DataFrame:
-        if len(xs) == 0:
-            return pd.DataFrame({"pos": pd.Series([], dtype="int32"), "d": pd.Series([], dtype="float64")})
-        D = block_distances(np.stack(xs.to_numpy()), C)
-        pos = D.argmin(axis=1)
-        return pd.DataFrame({"pos": pos.astype(np.int32), "d": D[np.arange(len(pos)), pos]})
-
-    return nearest
 
-
-def keyed_nearest_udf(centers_by_key: dict):
-    """Like ``nearest_udf`` with one center set per key: ``(key, x) -> struct(pos, d)``.
-
-    Rows whose key has no centers get ``pos = -1`` and ``d = +inf``.
-    """
-    table = {int(k): np.asarray(v, dtype=float) for k, v in centers_by_key.items()}
-
-    @F.pandas_udf("pos int, d double")
-    def nearest(keys: pd.Series, xs: pd.Series) -> pd.DataFrame:
-        n = len(xs)
-        pos = np.full(n, -1, dtype=np.int32)
-        dist = np.full(n, np.inf)
-        if n:
-            X = np.stack(xs.to_numpy())
-            kv = keys.to_numpy()
-            for key in np.unique(kv):
-                C = table.get(int(key))
-                if C is None or len(C) == 0:
-                    continue
-                rows = np.nonzero(kv == key)[0]
-                D = block_distances(X[rows], C)
-                p = D.argmin(axis=1)
-                pos[rows] = p
-                dist[rows] = D[np.arange(len(rows)), p]
-        return pd.DataFrame({"pos": pos, "d": dist})
+    @arrow_udf("struct<pos:int,d:double>")
+    def nearest(xs: pa.Array) -> pa.Array:
+        x = matrix(xs)
+        pos, dist = np.full(len(x), -1), np.full(len(x), np.inf)
+        for block in blocks:
+            first, centers = block if isinstance(block, tuple) else block.value
+            p, d = nearest_rows(x, centers)
+            closer = d < dist
+            pos, dist = np.where(closer, p + first, pos), np.where(closer, d, dist)
+            if not isinstance(block, tuple):
+                vars(block).pop("_value", None)  # a task holds one block at a time
+        return pa.StructArray.from_arrays([pa.array(pos.astype(np.int32)), pa.array(dist)], ["pos", "d"])
 
     return nearest

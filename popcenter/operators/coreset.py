@@ -1,196 +1,174 @@
 """Round 1: farthest-first traversal (FFT) coreset with weights, per part.
 
-For every part the traversal starts at the part's smallest ``point_id``; each next
-center is the point farthest from the centers chosen so far (ties: smallest
-``point_id``). A part stops early when every point coincides with a center (no point
-is added twice, so no zero-weight padding). The weight of a center is the number of the
-part's points whose closest center it is (ties: the earlier center).
-
-Distributed form: the traversal is ``m - 1`` aggregation jobs over the (cached) points,
-one per center. In each, an Arrow task computes every point's distance to the current
-centers of its part (NumPy over the batch) and emits only the farthest point per part of
-that batch; ``max_by`` per part then picks the winner (largest distance, then lowest id).
-No part is ever gathered into one task, however large or skewed it is. The chosen centers
-(at most ``m`` per part: the coreset itself, bounded by ``m * num_parts``) are the only
-thing the driver holds; they travel in the task closure, size-checked every pass, and an
-oversized center set falls back to a broadcast (or shuffled) join on ``part`` scored with
-built-in array expressions. A final job assigns every point to its nearest center and
-counts weights, also recording ``rho``, the largest point-to-representative distance (used
-by the approximation bound). The coreset is then written with a reliable checkpoint to
-``spark.checkpoint.dir``, so round 2 never re-runs round 1 after an executor loss.
+For every part the traversal starts at the part's smallest ``point_id``; each next center is
+the point farthest from the centers chosen so far (ties: smallest ``point_id``). A part stops
+early when every point coincides with a center (no point is added twice, so no zero-weight
+padding). The weight of a center is the number of the part's points whose closest center it is
+(ties: the earlier center).
+
+Distributed form: every point carries its distance ``d`` to the closest center so far and that
+center's position. A pass (1) applies the centers that are new since the last pass to ``d``,
+checkpointed to ``spark.checkpoint.dir``, and (2) takes each part's ``CANDIDATES`` farthest
+points and the farthest one left out. Distances only shrink, so as long as the best candidate,
+after the centers just added, is farther than the left-out bound, it is the next center for
+certain; on a tie with the bound a new pass decides. A pass thus adds one center per part at
+least and usually many, each distance is computed once, and the weights are there at the end.
+
+No part is gathered into one task, however large or skewed: tasks keep their best candidates
+per part, which are merged in two levels. The driver holds the chosen centers, ``m`` a part,
+and ``CANDIDATES`` vectors a part; new centers reach the tasks in the closure of the pass that
+applies them, in blocks of bounded distances.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import block_distances, euclidean, keyed_nearest_udf
+from popcenter.functions.vectors import block_distances, malformed, matrix, nearest_rows, vectors
 from popcenter.session import checkpoint
 
-# Center sets up to this many coordinates are captured by the vectorized UDF (shipped once
-# per task; PySpark broadcasts closures above 1 MB).
-MAX_UDF_COORDS = 4_000_000
-# Larger center tables are broadcast up to this size; above it a shuffle join on part.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-def validate_dimension(points: DataFrame) -> int:
-    """All vectors must have one dimension and no null coordinate; returns it."""
-    row = points.agg(
-        F.min(F.size("x")).alias("dmin"),
-        F.max(F.size("x")).alias("dmax"),
-        F.sum(F.when(F.exists("x", lambda v: v.isNull()), 1).otherwise(0)).alias("bad"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    if row["n"] == 0:
-        raise ValueError("empty point set")
-    if row["dmin"] != row["dmax"]:
-        raise ValueError(f"points have mixed dimensions ({row['dmin']} to {row['dmax']})")
-    if row["bad"]:
-        raise ValueError(f"{row['bad']} point(s) have a missing or malformed coordinate")
-    return int(row["dmin"])
-
-
-def _nearest(pts: DataFrame, centers: dict[int, list], dim: int) -> DataFrame:
-    """Add ``pos`` (nearest center of the point's part, first on ties) and its distance ``d``.
-
-    Small center sets (the usual case: m per part) are captured by an Arrow-batched
-    NumPy UDF; beyond ``MAX_UDF_COORDS`` they are joined on ``part`` as a table
-    (broadcast when it fits ``MAX_BROADCAST_BYTES``, else shuffled) and scored with
-    built-in array expressions.
-    """
-    coords = sum(len(v) for v in centers.values()) * dim
-    if coords <= MAX_UDF_COORDS:
-        udf = keyed_nearest_udf({p: [x for _, x in cs] for p, cs in centers.items()})
-        return pts.withColumn("_n", udf("part", "x")).select("*", "_n.pos", "_n.d").drop("_n")
-    rows = [(p, [list(map(float, x)) for _, x in cs]) for p, cs in centers.items()]
-    table = pts.sparkSession.createDataFrame(rows, "part int, cxs array<array<double>>")
-    if coords * 8 <= MAX_BROADCAST_BYTES:
-        table = F.broadcast(table)
-    ds = F.transform("cxs", lambda c: euclidean(F.col("x"), c))
-    scored = pts.join(table, "part").withColumn("_ds", ds)
-    return scored.select(*pts.columns, (F.array_position("_ds", F.array_min("_ds")) - 1).cast("int").alias("pos"),
-                         F.array_min("_ds").alias("d"))
-
-
-def _farthest_udf_frame(pts: DataFrame, centers: dict[int, list]) -> DataFrame:
-    """Per Arrow batch and part, the point farthest from the part's centers (ties: lowest id).
-
-    A map-side pre-aggregation: each task emits at most one candidate per part and batch,
-    so the final ``max_by`` per part shuffles and sorts a handful of rows, not the points.
-    Candidates at distance 0 (already a center) are not emitted.
-    """
-    table = {int(p): np.asarray([x for _, x in cs], dtype=float) for p, cs in centers.items()}
+CANDIDATES = 256
+_SALT = 64
+_STATE = "part int, point_id long, x array<double>, d double, pos int"
 
-    def farthest(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            parts = pdf["part"].to_numpy()
-            ids = pdf["point_id"].to_numpy()
-            X = np.stack(pdf["x"].to_numpy())
-            d = np.full(len(ids), -1.0)
-            for p in np.unique(parts):
-                C = table.get(int(p))
-                if C is None:
-                    continue
-                rows = np.nonzero(parts == p)[0]
-                d[rows] = block_distances(X[rows], C).min(axis=1)
-            order = np.lexsort((ids, -d, parts))  # by part, then distance desc, then id asc
-            sp = parts[order]
-            head = order[np.r_[True, sp[1:] != sp[:-1]]]
-            head = head[d[head] > 0]
-            if len(head) == 0:
-                continue
-            yield pd.DataFrame({"part": parts[head].astype(np.int32), "point_id": ids[head],
-                                "x": [X[i] for i in head], "d": d[head]})
 
-    return pts.mapInPandas(farthest, "part int, point_id long, x array<double>, d double")
+@dataclass
+class Traversal:
+    coreset: DataFrame  # (part, pos, point_id, x, weight, rho)
+    passes: int
 
 
-def _first_points_frame(pts: DataFrame) -> DataFrame:
-    """Per Arrow batch and part: the smallest-id point plus dimension statistics.
-
-    Pre-aggregated in the task, so choosing each part's starting point never sorts the
-    points (a struct-valued ``min_by`` over all rows would plan a sort-based aggregate).
-    """
-    def first(batches):
-        for pdf in batches:
-            if pdf.empty:
+def _first_points(pts: DataFrame, dim: int | None) -> list[tuple[int, int, list[float]]]:
+    """(part, point_id, x) of each part's smallest id, after checking all points: one hash
+    aggregate of built-ins, then the few starting vectors by id."""
+    parts = pts.groupBy("part").agg(
+        F.min("point_id").alias("point_id"), F.min(F.size("x")).alias("lo"), F.max(F.size("x")).alias("hi"),
+        F.count_if(malformed("x") | F.col("point_id").isNull()).alias("bad")).collect()  # a row per part
+    if not parts:
+        raise ValueError("empty point set")
+    if any(r["bad"] for r in parts):
+        raise ValueError("some point has a missing id or a missing or malformed coordinate")
+    dims = {r["lo"] for r in parts} | {r["hi"] for r in parts}
+    if len(dims) != 1 or (dim is not None and dims != {dim}):
+        raise ValueError(f"points have mixed dimensions ({sorted(dims)})")
+    ids = pts.sparkSession.createDataFrame([(r["part"], r["point_id"]) for r in parts], "part int, point_id long")
+    rows = pts.join(F.broadcast(ids), ["part", "point_id"]).groupBy("part", "point_id").agg(F.min("x").alias("x"))
+    return [(r["part"], r["point_id"], r["x"]) for r in rows.collect()]
+
+
+def _applier(new: dict[int, tuple[int, np.ndarray]]):
+    """For mapInArrow: lower d and pos by each part's new centers (first position, vectors)."""
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, dist, pos = (batch.column(k).to_numpy(zero_copy_only=False).copy() for k in (0, 3, 4))
+            x = matrix(batch.column(2))
+            for p in np.unique(part):
+                if int(p) in new:
+                    first, centers = new[int(p)]
+                    rows = np.flatnonzero(part == p)
+                    at, d = nearest_rows(x[rows], centers)
+                    closer = d < dist[rows]
+                    dist[rows[closer]], pos[rows[closer]] = d[closer], at[closer] + first
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(dist), pa.array(pos.astype(np.int32))],
+                                             ["part", "point_id", "x", "d", "pos"])
+
+    return apply
+
+
+def _top_of_task(n: int):
+    """For mapInArrow: the n farthest points (ties: lowest id) of each part in a task."""
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            xs = pdf["x"].to_numpy()
-            parts = pdf["part"].to_numpy()
-            ids = pdf["point_id"].to_numpy()
-            sizes = np.array([-1 if v is None else len(v) for v in xs])
-            bad = np.array([v is None or bool(np.isnan(np.asarray(v, dtype=float)).any()) for v in xs])
-            rows = []
-            for p in np.unique(parts):
-                sel = np.nonzero(parts == p)[0]
-                h = sel[np.argmin(ids[sel])]
-                rows.append((int(p), int(ids[h]), xs[h], int(sizes[sel].min()), int(sizes[sel].max()),
-                             int(bad[sel].sum())))
-            yield pd.DataFrame(rows, columns=["part", "point_id", "x", "dmin", "dmax", "bad"])
-
-    return pts.mapInPandas(first, "part int, point_id long, x array<double>, dmin int, dmax int, bad long")
+            part, ids, d = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
+            some = np.flatnonzero(d > 0)
+            mine = part[some], ids[some], d[some], matrix(batch.column(2))[some]
+            held = mine if held is None else tuple(np.concatenate(c) for c in zip(held, mine))
+            order = np.lexsort((held[1], -held[2], held[0]))
+            by_part = held[0][order]
+            begin = np.flatnonzero(np.r_[True, by_part[1:] != by_part[:-1]]) if len(by_part) else np.empty(0, int)
+            rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.r_[begin, len(order)]))
+            held = tuple(c[order[rank < n]] for c in held)
+        if held is not None and len(held[0]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held[0].astype(np.int32)), pa.array(held[1]), vectors(held[3]), pa.array(held[2])],
+                ["part", "point_id", "x", "d"])
+
+    return top
+
+
+def _candidates(state: DataFrame, n: int) -> dict[int, list]:
+    """Each part's n farthest points, best first (at most n rows a part reach the driver)."""
+    best = state.select("part", "point_id", "x", "d").mapInArrow(_top_of_task(n), "part int, point_id long, x array<double>, d double")
+    order = (F.col("d").desc(), "point_id")
+    salted = best.withColumn("salt", F.pmod(F.xxhash64("point_id"), F.lit(_SALT)))
+    some = salted.withColumn("r", F.row_number().over(Window.partitionBy("part", "salt").orderBy(*order))).where(F.col("r") <= n)
+    few = some.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy(*order))).where(F.col("r") <= n)
+    out: dict[int, list] = {}
+    for r in few.select("part", "r", "point_id", "x", "d").collect():
+        out.setdefault(r["part"], []).append((r["r"], r["point_id"], r["x"], r["d"]))
+    return {p: sorted(rows) for p, rows in out.items()}
+
+
+def _next_centers(rows: list, room: int, n: int) -> list[tuple[int, list[float]]]:
+    """The centers that follow for certain from a part's candidates, ``room`` at most."""
+    bound = rows[n - 1][3] if len(rows) == n else 0.0  # the last one stands for all points left out
+    rows = rows[:n - 1] if len(rows) == n else rows
+    ids, x = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    d = np.array([r[3] for r in rows])
+    out: list[tuple[int, list[float]]] = []
+    while len(out) < room and len(d):
+        best = np.lexsort((ids, -d))[0]
+        if d[best] <= 0 or (out and not d[best] > bound):
+            break
+        out.append((int(ids[best]), x[best].tolist()))
+        d = np.minimum(d, block_distances(x, x[[best]])[:, 0])
+    return out
+
+
+def fft_traversal(points: DataFrame, m: int, dim: int | None = None, candidates: int = CANDIDATES) -> Traversal:
+    """The coreset of ``fft_coreset`` and the number of passes over the points it took."""
+    if m < 1:
+        raise ValueError(f"coreset size per part must be >= 1, got {m}")
+    spark, n = points.sparkSession, max(2, candidates + 1)
+    pts = points.select(F.col("part").cast("int").alias("part"), "point_id", "x")
+    chosen = {p: [(i, x)] for p, i, x in _first_points(pts, dim)}
+    new = {p: (0, np.array([x])) for p, ((_, x),) in chosen.items()}
+    state = pts.select("*", F.lit(float("inf")).alias("d"), F.lit(-1).alias("pos"))
+    passes = 0
+    while new:
+        state = checkpoint(state.mapInArrow(_applier(new), _STATE))
+        passes += 1
+        new = {}
+        if all(len(c) >= m for c in chosen.values()):
+            break
+        for p, rows in _candidates(state, n).items():
+            added = _next_centers(rows, m - len(chosen[p]), n)
+            if added:
+                new[p] = (len(chosen[p]), np.array([x for _, x in added]))
+                chosen[p] += added
+    weights = state.groupBy("part", "pos").agg(F.count(F.lit(1)).alias("weight"), F.max("d").alias("rho"))
+    table = spark.createDataFrame(
+        [(p, k, i, list(map(float, x))) for p, cs in chosen.items() for k, (i, x) in enumerate(cs)],
+        "part int, pos int, point_id long, x array<double>")
+    out = table.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho")
+    return Traversal(checkpoint(out), passes)
 
 
 def fft_coreset(points: DataFrame, m: int, dim: int | None = None) -> DataFrame:
     """Weighted FFT coreset of ``m`` points per part.
 
-    ``points`` has ``part, point_id, x``. Returns
-    ``(part, pos, point_id, x, weight, rho)``: ``pos`` is the traversal step (0-based),
-    ``weight`` the number of points assigned to the center, ``rho`` the largest distance
-    from one of them to it. At most ``m`` rows per non-empty part; empty parts emit none.
+    ``points`` has ``part, point_id, x``. Returns ``(part, pos, point_id, x, weight, rho)``:
+    ``pos`` is the traversal step (0-based), ``weight`` the number of points assigned to the
+    center, ``rho`` the largest distance from one of them to it. At most ``m`` rows per
+    non-empty part; empty parts emit none.
     """
-    if m < 1:
-        raise ValueError(f"coreset size per part must be >= 1, got {m}")
-    spark = points.sparkSession
-    pts = points.select(F.col("part").cast("int").alias("part"), "point_id", "x").cache()
-    try:
-        # one job: each part's starting point plus the dimension check, materializing the cache
-        first = _first_points_frame(pts).groupBy("part").agg(
-            F.min_by(F.struct("point_id", "x"), F.col("point_id")).alias("c"),
-            F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad"),
-        ).collect()
-        if not first:
-            raise ValueError("empty point set")
-        dims = {int(r["dmin"]) for r in first} | {int(r["dmax"]) for r in first}
-        if len(dims) != 1 or (dim is not None and dims != {dim}):
-            raise ValueError(f"points have mixed dimensions ({sorted(dims)})")
-        if any(r["bad"] for r in first):
-            raise ValueError("some point has a missing or malformed coordinate")
-        dim = dims.pop()
-        centers: dict[int, list] = {int(r["part"]): [(int(r["c"]["point_id"]), r["c"]["x"])] for r in first}
-
-        for _ in range(1, m):
-            coords = sum(len(v) for v in centers.values()) * dim
-            cands = (_farthest_udf_frame(pts, centers) if coords <= MAX_UDF_COORDS
-                     else _nearest(pts, centers, dim).where(F.col("d") > 0))
-            farthest = (
-                cands.groupBy("part")
-                .agg(F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))
-                .collect()
-            )
-            if not farthest:
-                break  # every part is exhausted (all points coincide with centers)
-            for r in farthest:
-                centers[int(r["part"])].append((int(r["c"]["point_id"]), r["c"]["x"]))
-
-        weights = _nearest(pts, centers, dim).groupBy("part", "pos").agg(
-            F.count(F.lit(1)).alias("weight"), F.max("d").alias("rho"))
-        chosen = spark.createDataFrame(
-            [(p, i, pid, list(map(float, x))) for p, cs in centers.items() for i, (pid, x) in enumerate(cs)],
-            "part int, pos int, point_id long, x array<double>",
-        )
-        out = chosen.join(weights, ["part", "pos"]).select("part", "pos", "point_id", "x", "weight", "rho").cache()
-        # the round-1 result is written to the shared checkpoint folder (read back from the
-        # cache, not recomputed): losing an executor later never re-runs the m passes
-        saved = checkpoint(out)
-        out.unpersist()
-        return saved
-    finally:
-        pts.unpersist()
+    return fft_traversal(points, m, dim).coreset

@@ -6,42 +6,44 @@ is a candidate, covered ones too; ties: the lowest order index), then mark every
 uncovered point within ``(3+4*alpha)*r`` of it as covered. The guess is accepted when the
 uncovered weight is at most z; otherwise r doubles.
 
-Spark form. Guesses share no state, so all of them run side by side (a guess index
-``g``). The weighted set is laid out once as a cached table hash-partitioned by candidate
-block: each block holds its candidates and a replica of the whole set (blocks x c rows,
-bounded because c is). One greedy step is one job with no shuffle of that input:
-
-1. per block, an Arrow task recomputes coverage from the centers chosen so far for each
-   guess (the state is just those center lists, held by the driver), reports the
-   uncovered weight, and computes the ball weight of each of its candidates from a NumPy
-   distance block -- never a pair row -- emitting only its best candidate per guess;
-2. a ``max_by`` per guess (largest ball weight, then lowest idx) picks the center.
-
-The driver reads one row per guess per step (center id and remaining weight), stops a
-guess once it is finished, and drops every guess above the smallest one already certain
-to be accepted (uncovered weight only decreases). The accepted guess is the smallest
-with uncovered weight <= z, exactly as in the sequential loop. A guess schedule is fixed
-in advance: enough doublings that the last guess covers everything with one center (the
-diameter is bounded by twice the largest distance from the first point).
-
-The input weighted set is bounded by construction ((k+z+1) points per part for a coreset)
-and is checked against ``max_points`` before anything runs.
+Spark form. Guesses share no state, so all of them run side by side (a guess index ``g``).
+The weighted set, of any size, is hashed into tiles of about ``TILE`` points. A unit of work is
+one tile of candidates and a stripe of ``STRIPE`` tiles of points; the table of units is laid
+out once and cached. One greedy step is one job:
+
+1. a task goes through its stripe tile by tile: it finds each guess's uncovered points from the
+   centers chosen so far, one distance block candidates x points, and adds up the candidates'
+   ball weights for every guess. Distances are never stored, and no array is larger than a tile
+   by a tile, whatever the size of the set;
+2. the partial ball weights, one row per guess, candidate tile and stripe, are summed per
+   candidate tile, whose best candidate (largest weight, then lowest idx) goes on;
+3. the best of each guess is one row for the driver.
+
+The driver keeps the chosen centers (k vectors a guess) and nothing that grows with the set. It
+stops a guess once it is finished and drops every guess above the smallest one already certain
+to be accepted (uncovered weight only decreases). The accepted guess is the smallest with
+uncovered weight <= z, exactly as in the sequential loop. The guesses are fixed in advance:
+enough doublings that the last one covers everything with one center (the diameter is bounded
+by twice the largest distance from the first point). The work is quadratic in the set, as the
+algorithm is; ``max_points`` is an optional guard, off by default.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import block_distances, euclidean, nearest_udf
+from popcenter.functions.vectors import block_distances, check_vectors, matrix, nearest_udf
+from popcenter.operators.selection import kth_value
+from popcenter.session import checkpoint
 
-DEFAULT_MAX_POINTS = 50_000
-CANDIDATES_PER_BLOCK = 256
+TILE = 1024
+STRIPE = 16
 
 
 def _check_params(k: int, z: int, alpha: float) -> None:
@@ -53,179 +55,204 @@ def _check_params(k: int, z: int, alpha: float) -> None:
         raise ValueError(f"alpha must be >= 0, got {alpha}")
 
 
-def _head_minima(xs):
-    """(least distance, least positive distance) among the vectors of one bounded array.
+# ---------------------------------------------------------------- tiles
 
-    Nested minima: for each point the least distance to the later points, then the least
-    of those -- the pair distances are never collected into one list.
-    """
-    n = F.size(xs)
+def tile_count(n: int, tile: int, tasks: int = 1) -> int:
+    """Tiles of at most about ``tile`` points; more for a small set, so that ``tasks`` have work."""
+    return max(1, -(-n // tile), min(tasks, -(-n // 64)))
 
-    def later(i):
-        return F.transform(F.slice(xs, i + 2, n), lambda y: euclidean(F.element_at(xs, i + 1), y))
 
-    idx = F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    least = F.array_min(F.transform(idx, lambda i: F.array_min(later(i))))
-    least_pos = F.array_min(F.transform(idx, lambda i: F.array_min(F.filter(later(i), lambda d: d > 0))))
-    return least, least_pos
+def _tasks(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
-# Heads up to this many points are paired inside one row with built-in array functions;
-# larger heads are spread over tasks with a NumPy kernel.
-MAX_INLINE_HEAD = 256
+def work_units(weighted: DataFrame, n_tiles: int, stripe: int = STRIPE) -> DataFrame:
+    """Rows (a, s, b, idx, x, w) sorted by (a, s, b, idx): for candidate tile ``a`` and stripe ``s``
+    the candidates (b = -1) and then the points of each tile of the stripe. Tiles are hashes of
+    idx, so they are even for any pattern of ids. Cached, hash-partitioned by (a, s)."""
+    n_stripes = -(-n_tiles // stripe)
+    tiled = weighted.select(F.pmod(F.xxhash64("idx"), F.lit(n_tiles)).cast("int").alias("tile"), "idx", "x", "w")
+    cand = tiled.select(F.col("tile").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(n_stripes - 1))).alias("s"),
+                        F.lit(-1).alias("b"), "idx", "x", "w")
+    points = tiled.select(F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("a"),
+                          F.floor(F.col("tile") / stripe).cast("int").alias("s"), F.col("tile").alias("b"), "idx", "x", "w")
+    return cand.unionByName(points).repartition("a", "s").sortWithinPartitions("a", "s", "b", "idx").cache()
 
 
-def initial_radius(weighted: DataFrame, m: int) -> DataFrame:
-    """Half the least distance among the first ``m`` points by ``idx``.
+def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(a, s, b, idx, x, w) of each tile in a task's sorted rows (a tile may span batches)."""
+    held: list[tuple] = []
 
-    One row: ``(r0, r0_positive, head_size)``; ``r0_positive`` is half the least
-    *positive* distance among them (null when all coincide), used when duplicates make
-    ``r0`` zero. Only the m head points are combined; nothing else is paired.
-    """
-    head = weighted.orderBy("idx").limit(m)
-    if m > MAX_INLINE_HEAD:
-        return _initial_radius_distributed(head)
-    head = head.agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("h"))
-    least, least_pos = _head_minima(F.transform("h", lambda s: s["x"]))
-    return head.select((least / 2).alias("r0"), (least_pos / 2).alias("r0_positive"), F.size("h").alias("head_size"))
-
-
-def _initial_radius_distributed(head: DataFrame) -> DataFrame:
-    """Same result for a large head: each task pairs its head rows with the later ones."""
-    rows = head.select("idx", "x").collect()  # the head: at most m <= max_points vectors
-    order = sorted(rows, key=lambda r: r["idx"])
-    H = np.asarray([r["x"] for r in order], dtype=float)
-    pos = {int(r["idx"]): i for i, r in enumerate(order)}
-
-    def pair_mins(batches):
-        for pdf in batches:
-            out = []
-            for i, x in zip(pdf["idx"].to_numpy(), pdf["x"].to_numpy()):
-                p = pos[int(i)]
-                if p + 1 < len(H):
-                    dv = block_distances(np.asarray([x], dtype=float), H[p + 1:])[0]
-                    positive = dv[dv > 0]
-                    out.append((float(dv.min()), float(positive.min()) if len(positive) else None))
-            if out:
-                yield pd.DataFrame(out, columns=["d", "dpos"])
+    def whole():
+        return (*held[0][:3], *[np.concatenate([h[k] for h in held]) for k in (3, 4, 5)])
 
-    mins = head.select("idx", "x").mapInPandas(pair_mins, "d double, dpos double")
-    return mins.agg((F.min("d") / 2).alias("r0"), (F.min("dpos") / 2).alias("r0_positive"),
-                    F.lit(len(H)).alias("head_size"))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, s, b, idx, w = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5))
+        x = matrix(batch.column(4))
+        new = np.flatnonzero(np.r_[True, (np.diff(a) != 0) | (np.diff(s) != 0) | (np.diff(b) != 0)])
+        for i, j in zip(new, np.r_[new[1:], len(a)]):
+            key = (int(a[i]), int(s[i]), int(b[i]))
+            if held and held[0][:3] != key:
+                yield whole()
+                held = []
+            held.append((*key, idx[i:j], x[i:j], w[i:j]))
+    if held:
+        yield whole()
 
 
-def _kernel(spec: dict, emit_all: bool = False):
-    """Per-block task: apply each guess's newest center to its coverage, then ball weights.
+def _uncovered(x: np.ndarray, centers: np.ndarray, cover: float) -> np.ndarray:
+    out = np.ones(len(x), bool)
+    if len(centers):
+        out &= (block_distances(x, centers) > cover).all(axis=1)
+    return out
 
-    ``spec[g] = (ball_radius, cover_radius, new_center_idx | None, pick, uncovered_mask | None)``
-    where the mask is the packed uncovered bitmap (points in ``idx`` order) from the
-    previous step. Each block applies the newest center of every guess (one distance row
-    per distinct new center), reports the uncovered weight and the updated bitmap (block 0
-    only), and -- when the guess still picks -- the ball weight of its best candidate
-    (with ``emit_all``: of every candidate) from a candidates x c NumPy distance block.
-    """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        allp = pdf[pdf["role"] == 1].sort_values("idx")
-        cand = pdf[pdf["role"] == 0]
-        rows: list[tuple] = []
-        if allp.empty:
-            return pd.DataFrame(rows, columns=["g", "kind", "idx", "val", "mask"])
-        X = np.stack(allp["x"].to_numpy())
-        w = allp["w"].to_numpy(dtype=np.int64)
-        ids = allp["idx"].to_numpy()
-        row_of = {int(i): r for r, i in enumerate(ids)}
-        block = int(pdf["block"].iloc[0])
-        cidx = cand["idx"].to_numpy()
-        D = None
-        center_rows: dict[int, np.ndarray] = {}
-        for g, (ball, cover, new_c, pick, mask) in spec.items():
-            if mask is None:
-                unc = np.ones(len(ids), dtype=bool)
-            else:
-                unc = np.unpackbits(np.frombuffer(mask, dtype=np.uint8), count=len(ids)).astype(bool)
-            if new_c is not None:
-                if new_c not in center_rows:
-                    center_rows[new_c] = block_distances(X[[row_of[new_c]]], X)[0]
-                unc &= ~(center_rows[new_c] <= cover)
-            wz = int(w[unc].sum())
-            if block == 0:
-                rows.append((g, 1, -1, wz, None))
-                rows.append((g, 2, -1, 0, np.packbits(unc).tobytes()))
-            if pick and wz > 0 and len(cidx):
-                if D is None:
-                    D = block_distances(np.stack(cand["x"].to_numpy()), X)
-                bw = (D <= ball).astype(np.int64) @ np.where(unc, w, 0)
-                if emit_all:
-                    rows.extend((g, 0, int(i), int(v), None) for i, v in zip(cidx[bw > 0], bw[bw > 0]))
-                elif bw.max() > 0:
-                    # pre-aggregate: only this block's best candidate (largest ball, lowest idx)
-                    top = np.nonzero(bw == bw.max())[0]
-                    best = top[np.argmin(cidx[top])]
-                    rows.append((g, 0, int(cidx[best]), int(bw[best]), None))
-        return pd.DataFrame(rows, columns=["g", "kind", "idx", "val", "mask"])
+_PARTIAL = "g int, a int, n long, sums binary, ids binary, wz double"
+
+
+def _partial_sums(spec: dict):
+    """For mapInArrow over work units: ball weights of a candidate tile within one stripe, per
+    guess. ``spec[g] = (ball_radius, cover_radius, centers (array), pick)``. Tile 0 of the
+    candidates also reports the stripe's uncovered weight."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cand: tuple | None = None
+        sums: dict[int, np.ndarray] = {}
+        left: dict[int, float] = {}
+
+        def done() -> pa.RecordBatch:
+            ids = cand[1].astype(np.int64).tobytes()
+            rows = [(g, cand[0][0], len(cand[1]), sums[g].tobytes(), ids, left[g]) for g in spec]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in
+                 enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.float64()))],
+                ["g", "a", "n", "sums", "ids", "wz"])
+
+        for a, s, b, idx, x, w in tiles_of(batches):
+            if cand is None or cand[0] != (a, s):
+                if cand is not None:
+                    yield done()
+                if b >= 0:  # an empty candidate tile
+                    cand = ((a, s), np.empty(0, np.int64), x[:0])
+                else:
+                    cand = ((a, s), idx, x)
+                sums = {g: np.zeros(len(cand[1])) for g in spec}
+                left = dict.fromkeys(spec, 0.0)
+                if b < 0:
+                    continue
+            dist = None
+            for g, (ball, cover, centers, pick) in spec.items():
+                weight = w * _uncovered(x, centers, cover)
+                total = float(weight.sum())
+                left[g] += total if a == 0 else 0.0
+                if pick and total > 0 and len(cand[1]):
+                    if dist is None:
+                        dist = block_distances(cand[2], x)
+                    sums[g] += (dist <= ball).astype(float) @ weight  # whole numbers: exact below 2^53
+        if cand is not None:
+            yield done()
 
     return run
 
 
-KERNEL_SCHEMA = "g int, kind int, idx long, val long, mask binary"
+def _tile_sums(all_candidates: bool):
+    """For mapInArrow over partial sums sorted by (g, a): per candidate tile the best candidate
+    (or all of them), and the uncovered weight."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sums, ids, left = None, None, None, 0.0
 
+        def done() -> list[tuple]:
+            if all_candidates:
+                return [(key[0], int(i), float(v), left) for i, v in zip(ids, sums)]
+            if not len(sums) or sums.max() <= 0:
+                return [(key[0], None, 0.0, left)]
+            best = ids[sums == sums.max()].min()
+            return [(key[0], int(best), float(sums.max()), left)]
 
-def _blocks(c: int, spark) -> int:
-    par = spark.sparkContext.defaultParallelism
-    return max(1, min(4 * par, math.ceil(c / CANDIDATES_PER_BLOCK)))
+        def rows(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.float64()))],
+                ["g", "idx", "val", "wz"])
 
+        for batch in batches:
+            out = []
+            for g, a, raw, raw_ids, wz in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5))):  # a row a tile
+                if (g, a) != key:
+                    if key is not None:
+                        out += done()
+                    key, sums, ids, left = (g, a), np.zeros(len(raw) // 8), np.frombuffer(raw_ids, np.int64), 0.0
+                sums += np.frombuffer(raw)
+                left += wz
+            if out:
+                yield rows(out)
+        if key is not None:
+            yield rows(done())
 
-def blocked_table(weighted: DataFrame, blocks: int, head=None) -> DataFrame:
-    """Kernel input, hash-partitioned by ``block`` and cached.
+    return run
 
-    Each block holds its candidates (``role = 0``, ``idx mod blocks``) and one replica of
-    the whole weighted set (``role = 1``): blocks x c rows, bounded because c is. Cached
-    with its partitioning, so every greedy step runs without a shuffle of its input.
-    With ``head`` given, candidate rows also carry ``_dh``, their distance to it (used to
-    bound the diameter), computed while the cache is filled.
-    """
-    cand = weighted.select(F.pmod(F.col("idx"), F.lit(blocks)).cast("int").alias("block"),
-                           F.lit(0).alias("role"), "idx", "x", "w")
-    if head is not None:
-        cand = cand.withColumn("_dh", nearest_udf([head])("x")["d"])
-    else:
-        cand = cand.withColumn("_dh", F.lit(None).cast("double"))
-    rep = weighted.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                          F.lit(1).alias("role"), "idx", "x", "w", F.lit(None).cast("double").alias("_dh"))
-    table = cand.unionByName(rep).repartition(blocks, "block").cache()
-    return table
-
-
-def greedy_step(table: DataFrame, spec: dict) -> dict[int, tuple[int | None, int, bytes]]:
-    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered
-    weight, uncovered bitmap)}.
-
-    The per-block kernel output is reduced by a partial ``max_by`` per guess (largest
-    ball weight, then lowest idx), so only one row per guess and block is shuffled.
-    """
-    out = table.groupBy("block").applyInPandas(_kernel(spec), schema=KERNEL_SCHEMA)
-    best = out.groupBy("g").agg(
-        F.expr("max_by(idx, named_struct('v', val, 'i', -idx)) FILTER (WHERE kind = 0)").alias("c_idx"),
-        F.expr("max(val) FILTER (WHERE kind = 1)").alias("wz"),
-        F.expr("max(mask) FILTER (WHERE kind = 2)").alias("mask"),
-    )
-    return {int(r["g"]): (None if r["c_idx"] is None else int(r["c_idx"]), int(r["wz"] or 0),
-                          bytes(r["mask"]) if r["mask"] is not None else None)
-            for r in best.collect()}
-
-
-def ball_weights(weighted: DataFrame, radius: float) -> DataFrame:
+
+def _scored(units: DataFrame, spec: dict, all_candidates: bool = False) -> DataFrame:
+    """(g, idx, val, wz) per guess and candidate tile (or candidate)."""
+    partial = units.mapInArrow(_partial_sums(spec), _PARTIAL)
+    return partial.repartition("g", "a").sortWithinPartitions("g", "a").mapInArrow(
+        _tile_sums(all_candidates), "g int, idx long, val double, wz double")
+
+
+def greedy_step(units: DataFrame, spec: dict) -> dict[int, tuple[int | None, int]]:
+    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered weight)}."""
+    best = _scored(units, spec).groupBy("g").agg(
+        F.max(F.when(F.col("idx").isNotNull(), F.struct("val", -F.col("idx")))).alias("best"), F.sum("wz").alias("wz"))
+    return {r["g"]: (None if r["best"] is None else -r["best"][1], int(r["wz"])) for r in best.collect()}
+
+
+def ball_weights(weighted: DataFrame, radius: float, tile: int = TILE) -> DataFrame:
     """Ball weight of every point with all points uncovered: ``(idx, ball_weight)``."""
-    spark = weighted.sparkSession
     ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
-    table = blocked_table(ws, _blocks(ws.count(), spark))
-    table.count()
-    out = table.groupBy("block").applyInPandas(_kernel({0: (float(radius), 0.0, None, True, None)}, emit_all=True),
-                                               schema=KERNEL_SCHEMA)
-    return out.where("kind = 0").select("idx", F.col("val").alias("ball_weight"))
+    units = work_units(ws, tile_count(ws.count(), tile, _tasks(ws)))
+    out = _scored(units, {0: (float(radius), 0.0, np.empty((0, 0)), True)}, all_candidates=True)
+    return out.select("idx", F.col("val").cast("long").alias("ball_weight"))
+
+
+# ---------------------------------------------------------------- first guess
+
+def _pair_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over work units: the least and the least positive distance in a unit."""
+    cand, key = None, None
+    least, positive = [], []
+    for a, s, b, idx, x, _ in tiles_of(batches):
+        if b < 0:
+            cand, key = (idx, x), (a, s)
+        elif key == (a, s) and b >= a:
+            dist = block_distances(cand[1], x)
+            if a == b:
+                dist[np.tril_indices(len(dist))] = np.inf
+            if dist.size:
+                least.append(dist.min())
+                positive.append(np.where(dist > 0, dist, np.inf).min())
+    if least:
+        yield pa.RecordBatch.from_arrays([pa.array([float(min(least))]), pa.array([float(min(positive))])], ["d", "dpos"])
+
+
+def initial_radius(weighted: DataFrame, m: int, tile: int = TILE) -> DataFrame:
+    """Half the least distance among the first ``m`` points by ``idx``.
+
+    One row: ``(r0, r0_positive, head_size)``; ``r0_positive`` is half the least *positive*
+    distance among them (null when all coincide), used when duplicates make ``r0`` zero. The
+    m-th idx is found by selection and the head is compared tile by tile, so the head may be of
+    any size; nothing else is paired.
+    """
+    ws = weighted.select("idx", "x", F.lit(1).cast("long").alias("w"))
+    last = kth_value(ws, "idx", m - 1)
+    head = ws if last is None else ws.where(F.col("idx") <= last)
+    size = head.count()
+    minima = work_units(head, tile_count(size, tile, _tasks(ws))).mapInArrow(_pair_minima, "d double, dpos double")
+    known = lambda c: F.when(F.min(c) < float("inf"), F.min(c) / 2)
+    return minima.agg(known("d").alias("r0"), known("dpos").alias("r0_positive"), F.lit(size).cast("int").alias("head_size"))
 
 
+# ---------------------------------------------------------------- greedy
+
 @dataclass
 class GreedyResult:
     centers: DataFrame  # (step, idx, point_id, x)
@@ -261,71 +288,67 @@ def guess_schedule(r0: float, r0_positive: float | None, fallback_positive: floa
 
 
 def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float = 0.0,
-                              max_points: int = DEFAULT_MAX_POINTS) -> GreedyResult:
-    """Weighted greedy on ``(idx, point_id, x, w)``; ``idx`` orders the points (ties, head)."""
+                              max_points: int | None = None, tile: int = TILE) -> GreedyResult:
+    """Weighted greedy on ``(idx, point_id, x, w)``; ``idx`` orders the points (ties, head).
+
+    Raises ValueError for malformed vectors, mixed dimensions, duplicate idx, weights below 1,
+    and z not below the total weight.
+    """
     _check_params(k, z, alpha)
     spark = weighted.sparkSession
-    ws = weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")).cache()
-    stats = ws.agg(F.count(F.lit(1)).alias("c"), F.sum("w").alias("wt"),
-                   F.min(F.size("x")).alias("dmin"), F.max(F.size("x")).alias("dmax"),
-                   F.min("w").alias("wmin"), F.min_by(F.struct("idx", "x"), F.col("idx")).alias("head")).first()
-    c, w_total = int(stats["c"]), int(stats["wt"] or 0)
-    if c == 0:
+    # written once: everything below, the centers included, reads the same rows
+    ws = checkpoint(weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")))
+    if check_vectors(ws.select(F.col("idx").alias("point_id"), "x")) is None:
         raise ValueError("empty point set")
-    if c > max_points:
-        raise ValueError(
-            f"{c} points exceed max_points={max_points}: the greedy is quadratic in the number "
-            "of points; build a coreset first (coreset_kcenter_outliers)")
-    if stats["dmin"] != stats["dmax"]:
-        raise ValueError("points have mixed dimensions")
-    if stats["wmin"] < 1:
+    stats = ws.groupBy("idx").agg(F.count(F.lit(1)).alias("c"), F.sum("w").alias("w"), F.min("w").alias("wmin")).agg(
+        F.sum("c").alias("c"), F.max("c").alias("cmax"), F.sum("w").alias("w"), F.min("wmin").alias("wmin"),
+        F.min("idx").alias("head")).first()
+    if stats["cmax"] > 1:
+        raise ValueError("duplicate point ids")
+    if stats["wmin"] is None or stats["wmin"] < 1:
         raise ValueError("weights must be >= 1")
-    head, head_idx = stats["head"]["x"], int(stats["head"]["idx"])
-
-    m = k + z + 1
-    r0row = initial_radius(ws, m).first()
-    r0, r0_pos = float(r0row["r0"] or 0.0), r0row["r0_positive"]
-    blocks = _blocks(c, spark)
-    table = blocked_table(ws.select("idx", "x", "w"), blocks, head)
-    far = table.agg(F.max("_dh").alias("dmax"), F.min(F.when(F.col("_dh") > 0, F.col("_dh"))).alias("dpos")).first()
-    schedule = guess_schedule(r0, r0_pos, (far["dpos"] / 2) if far["dpos"] else None,
-                              2 * float(far["dmax"] or 0.0), alpha)
-    G = len(schedule)
-    ball_r = {g: (1 + 2 * alpha) * r for g, r in enumerate(schedule)}
-    cover_r = {g: (3 + 4 * alpha) * r for g, r in enumerate(schedule)}
-
-    chosen: dict[int, list[int]] = {g: [] for g in range(G)}
-    pending: dict[int, int | None] = {}
-    masks: dict[int, bytes | None] = {}
+    if z >= stats["w"]:
+        raise ValueError(f"z={z} must be smaller than the total weight ({stats['w']})")
+    if max_points is not None and stats["c"] > max_points:
+        raise ValueError(f"{stats['c']} points exceed max_points={max_points}")
+
+    head_idx = stats["head"]
+    head = ws.where(F.col("idx") == head_idx).first()["x"]
+    from_head = ws.select(nearest_udf([(0, np.array([head], dtype=float))])("x")["d"].alias("d"))
+    far = from_head.agg(F.max("d").alias("dmax"), F.min(F.when(F.col("d") > 0, F.col("d"))).alias("dpos")).first()
+    r0 = initial_radius(ws, k + z + 1, tile).first()
+    schedule = guess_schedule(float(r0["r0"] or 0.0), r0["r0_positive"], far["dpos"] / 2 if far["dpos"] else None,
+                              2 * far["dmax"], alpha)
+
+    units = work_units(ws.select("idx", "x", "w"), tile_count(stats["c"], tile, _tasks(ws)))
+    chosen: dict[int, list[int]] = {g: [] for g in range(len(schedule))}
+    at: dict[int, list[float]] = {}
     wz: dict[int, int] = {}
     done: set[int] = set()
-    bound = G
+    bound = len(schedule)
     try:
-        while True:
-            live = [g for g in range(G) if g not in done and g <= bound]
-            if not live:
-                break
-            # the state per guess: uncovered bitmap (G x c bits) and the center not yet applied
-            spec = {g: (ball_r[g], cover_r[g], pending.get(g), len(chosen[g]) < k, masks.get(g)) for g in live}
-            step = greedy_step(table, spec)
+        while live := [g for g in range(len(schedule)) if g not in done and g <= bound]:
+            spec = {g: ((1 + 2 * alpha) * schedule[g], (3 + 4 * alpha) * schedule[g],
+                        np.array([at[i] for i in chosen[g]], dtype=float), len(chosen[g]) < k) for g in live}
+            step = greedy_step(units, spec)
             for g in live:
-                pick, wz[g], masks[g] = step[g]
-                pending[g] = None
+                pick, wz[g] = step[g]
                 if wz[g] == 0 or len(chosen[g]) == k:
                     done.add(g)
                 else:
                     # a guess with uncovered weight always has a positive ball; index 0 is
                     # what a sequential scan keeps if it had none
-                    pending[g] = pick if pick is not None else head_idx
-                    chosen[g].append(pending[g])
+                    chosen[g].append(head_idx if pick is None else pick)
+            wanted = sorted({c[-1] for c in chosen.values() if c} - at.keys())  # at most one a guess
+            if wanted:
+                at |= {r["idx"]: r["x"] for r in ws.where(F.col("idx").isin(wanted)).select("idx", "x").collect()}
             certain = [g for g, v in wz.items() if v <= z]
-            bound = min(certain) if certain else G
+            bound = min(certain) if certain else len(schedule)
     finally:
-        table.unpersist()
-        ws.unpersist()  # the centers below re-derive their few rows from the input lineage
+        units.unpersist()
 
     g_star = min(g for g in done if wz[g] <= z)
     steps = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
-    centers = steps.join(ws, "idx").select("step", "idx", "point_id", "x")
+    centers = ws.join(F.broadcast(steps), "idx").select("step", "idx", "point_id", "x")  # k rows
     return GreedyResult(centers=centers, r_initial=schedule[0], r_final=schedule[g_star], guesses=g_star + 1,
                         uncovered_weight=wz[g_star], schedule=schedule, center_idx=list(chosen[g_star]))

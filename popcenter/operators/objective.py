@@ -1,18 +1,13 @@
 """Distance to the nearest center and the k-center objective with z outliers.
 
-The centers (at most k vectors, size-checked) are captured by an Arrow-batched NumPy UDF
--- the task-closure way of shipping them -- so scoring the points is a narrow projection
-with no join and no exchange on the points side. Distances are bit-identical to the
-built-in ``euclidean`` expression, which is evaluated row by row outside codegen and is
-an order of magnitude slower on wide vectors.
-
-The objective is the (z+1)-th largest nearest-center distance. For z+1 up to
-``TOPK_LIMIT`` it is ``orderBy(desc).offset(z).limit(1)``, which Spark plans as
-``TakeOrderedAndProject`` (each task keeps its top z+1, the driver merges them) -- no full
-sort. A larger z would put an unbounded heap in every task, so the value is then found by
-exact distributed selection: histogram passes (``HISTOGRAM_BUCKETS`` equal-width buckets,
-a partial aggregate each) narrow the distance range to the bucket holding the answer until
-few enough rows remain for the top-k form.
+The centers, however many, are broadcast in blocks of bounded size; scoring the points is a
+narrow projection with no join and no exchange on the points side. Points and centers are
+checked first (one aggregate of built-ins each): malformed coordinates and mixed dimensions
+raise instead of dropping out of the result.
+
+The objective is the (z+1)-th largest nearest-center distance, found for every z by the same
+exact selection: the distances are checkpointed (8 bytes a point) and histogram passes narrow
+the range that holds the answer. No task keeps z rows.
 """
 
 from __future__ import annotations
@@ -20,31 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import nearest_udf
-
-# Largest center set (k * dimension coordinates, 32 MB) shipped with the tasks.
-MAX_CENTER_COORDS = 4_000_000
-# Largest z+1 served by a per-task top-k; beyond it, histogram selection.
-TOPK_LIMIT = 100_000
-HISTOGRAM_BUCKETS = 1024
-
-
-def _centers_list(centers: DataFrame, order_col: str) -> list[list[float]]:
-    """The centers, ordered by ``order_col``, as a list of vectors (size-checked)."""
-    n, dim = centers.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
-    if n == 0:
-        raise ValueError("no centers")
-    if n * (dim or 0) > MAX_CENTER_COORDS:
-        raise ValueError(f"{n} centers of dimension {dim} exceed {MAX_CENTER_COORDS} coordinates")
-    rows = centers.select(order_col, "x").collect()  # at most k rows, checked above
-    return [list(map(float, r["x"])) for r in sorted(rows, key=lambda r: r[order_col])]
+from popcenter.functions.vectors import center_blocks, check_vectors, nearest_udf
+from popcenter.operators.selection import kth_value
+from popcenter.session import checkpoint
 
 
 def nearest_center(points: DataFrame, centers: DataFrame, order_col: str = "step") -> DataFrame:
     """``(point_id, nearest, distance)``: closest center (position in ``order_col`` order,
     ties to the lowest) and the distance to it, for every point."""
-    udf = nearest_udf(_centers_list(centers, order_col))
-    scored = points.select("point_id", udf("x").alias("_n"))
+    dim = check_vectors(centers.select(F.col(order_col).alias("point_id"), "x"), "centers")
+    if dim is None:
+        raise ValueError("no centers")
+    check_vectors(points, dim=dim)
+    scored = points.select("point_id", nearest_udf(center_blocks(centers, order_col))("x").alias("_n"))
     return scored.select("point_id", F.col("_n.pos").alias("nearest"), F.col("_n.d").alias("distance"))
 
 
@@ -55,46 +38,7 @@ def kcenter_objective(points: DataFrame, centers: DataFrame, z: int, order_col:
     """
     if z < 0:
         raise ValueError(f"z must be >= 0, got {z}")
-    d = nearest_center(points, centers, order_col).select(F.col("distance").alias("objective"))
-    if z + 1 <= TOPK_LIMIT:
-        return d.orderBy(F.col("objective").desc()).offset(z).limit(1)
-    return _select_by_histogram(d, z)
-
-
-def _select_by_histogram(d: DataFrame, z: int) -> DataFrame:
-    """(z+1)-th largest ``objective`` by repeated histogram narrowing (exact).
-
-    Each pass counts the rows of the current range per equal-width bucket (with each
-    bucket's min and max, so its rows are exactly those in ``[min, max]``), keeps the
-    bucket holding the wanted rank, and recurses into it; a bucket of one repeated value
-    is the answer. Only bucket summaries reach the driver.
-    """
-    spark = d.sparkSession
-    d = d.cache()
-    try:
-        row = d.agg(F.count(F.lit(1)).alias("n"), F.min("objective").alias("lo"),
-                    F.max("objective").alias("hi")).first()
-        if row["n"] <= z:
-            return spark.createDataFrame([], "objective double")
-        lo, hi, rank = float(row["lo"]), float(row["hi"]), z  # wanted: rank-th (0-based) largest in [lo, hi]
-        while lo < hi:
-            window = d.where((F.col("objective") >= lo) & (F.col("objective") <= hi))
-            width = (hi - lo) / HISTOGRAM_BUCKETS
-            bucket = F.least(F.floor((F.col("objective") - F.lit(lo)) / F.lit(width)),
-                             F.lit(HISTOGRAM_BUCKETS - 1)).cast("int")
-            hist = window.groupBy(bucket.alias("b")).agg(
-                F.count(F.lit(1)).alias("c"), F.min("objective").alias("lo"), F.max("objective").alias("hi"))
-            above = 0
-            for h in sorted(hist.collect(), key=lambda r: -r["b"]):  # at most HISTOGRAM_BUCKETS rows
-                if above + h["c"] > rank:
-                    break
-                above += h["c"]
-            rank -= above
-            lo, hi = float(h["lo"]), float(h["hi"])
-            if h["c"] <= TOPK_LIMIT:
-                narrowed = d.where((F.col("objective") >= lo) & (F.col("objective") <= hi))
-                value = narrowed.orderBy(F.col("objective").desc()).offset(rank).limit(1).first()[0]
-                return spark.createDataFrame([(float(value),)], "objective double")
-        return spark.createDataFrame([(lo,)], "objective double")
-    finally:
-        d.unpersist()
+    distances = checkpoint(nearest_center(points, centers, order_col).select("distance"))
+    value = kth_value(distances, "distance", z, largest=True)
+    rows = distances.sparkSession.range(0 if value is None else 1)
+    return rows.select(F.lit(value).cast("double").alias("objective"))

@@ -1,7 +1,7 @@
 """Composite clustering jobs.
 
 * ``kcenter_outliers``          -- weighted greedy directly on the points (unit weights).
-                                   Quadratic in n, so it refuses more than ``max_points``.
+                                   Quadratic in n; ``max_points`` is an optional guard.
 * ``coreset_kcenter_outliers``  -- round 1: FFT coreset of k+z+1 points per part;
                                    round 2: weighted greedy on the coreset (alpha=2).
 * ``clustering_summary``        -- the end-to-end job: n, both rounds, the objective over
@@ -11,13 +11,13 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popcenter.operators.coreset import fft_coreset
-from popcenter.operators.kcenter import DEFAULT_MAX_POINTS, GreedyResult, weighted_kcenter_outliers
+from popcenter.operators.kcenter import GreedyResult, weighted_kcenter_outliers
 from popcenter.operators.objective import kcenter_objective
 from popcenter.operators.partitioning import assign_parts
 
@@ -35,7 +35,7 @@ def unit_weighted(points: DataFrame) -> DataFrame:
 
 
 def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0,
-                     max_points: int = DEFAULT_MAX_POINTS) -> GreedyResult:
+                     max_points: int | None = None) -> GreedyResult:
     """Sequential-algorithm semantics on all points, run as a Spark job."""
     _check(k, z)
     return weighted_kcenter_outliers(unit_weighted(points), k, z, alpha, max_points=max_points)
@@ -47,7 +47,6 @@ class CoresetResult:
     greedy: GreedyResult
     round1_sec: float = 0.0
     round2_sec: float = 0.0
-    timings: dict = field(default_factory=dict)
 
 
 def coreset_weighted(coreset: DataFrame, m: int) -> DataFrame:
@@ -57,13 +56,13 @@ def coreset_weighted(coreset: DataFrame, m: int) -> DataFrame:
 
 
 def coreset_kcenter_outliers(points: DataFrame, k: int, z: int, num_parts: int, alpha: float = 2.0,
-                             part_method: str = "hash", max_points: int = DEFAULT_MAX_POINTS) -> CoresetResult:
+                             part_method: str = "hash", max_points: int | None = None) -> CoresetResult:
     """Two rounds: per-part FFT coreset with weights, then the weighted greedy on it."""
     _check(k, z)
     m = k + z + 1
-    if m * num_parts > max_points:
-        raise ValueError(f"coreset of up to {m * num_parts} points exceeds max_points={max_points}; "
-                         "use fewer parts")
+    n = points.count()
+    if z >= n:
+        raise ValueError(f"z={z} must be smaller than the number of points ({n})")
     t0 = time.perf_counter()
     parts = points if "part" in points.columns else assign_parts(points, num_parts, part_method)
     cs = fft_coreset(parts, m)
@@ -92,8 +91,6 @@ def clustering_summary(points: DataFrame, k: int, z: int, num_parts: int, alpha:
     cs = res.coreset.agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("weight"),
                          F.max("rho").alias("rho")).first()
     n = int(cs["weight"])
-    if z >= n:
-        raise ValueError(f"z={z} must be smaller than the number of points ({n})")
     num_centers = len(g.center_idx)
     obj = kcenter_objective(pts, g.centers, z)
     summary = obj.select(

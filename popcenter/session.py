@@ -7,6 +7,9 @@ Only a local-mode session without that setting gets a fresh temporary folder.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,7 +37,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Order: a directory already set on the SparkContext, then ``spark.checkpoint.dir``
     from the session conf. Without either, a local-mode session (tests) gets a fresh
-    temporary folder; a cluster session raises, because a machine-local folder would
+    temporary folder, removed at exit; a cluster session raises, because a machine-local folder would
     not survive the loss of an executor.
     """
     sc = spark.sparkContext
@@ -45,8 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="popcenter-ckpt-"))
+    if re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # one process: tests and the bench
+        folder = tempfile.mkdtemp(prefix="popcenter-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set: point it at a shared folder (HDFS/S3/ABFS) "

@@ -42,6 +42,13 @@ def points64_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select(F.col("vec_id").alias("point_id"), F.col("embedding").cast("array<double>").alias("x"))
 
 
+def points1_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-dimensional points ``(c_acctbal)`` from ``customer``: spread out, so a small radius
+    covers few of them and the greedy takes several centers and guesses."""
+    customer = table(spark, sf_dir, "customer")
+    return customer.select(F.col("c_custkey").alias("point_id"), F.array(F.col("c_acctbal").cast("double")).alias("x"))
+
+
 def points2_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """2-dimensional points ``(p_size, p_retailprice)`` from ``part`` (has duplicates)."""
     part = table(spark, sf_dir, "part")

@@ -50,7 +50,7 @@ def test_udf_matches_builtin_distance(spark):
     cents = [r.x for r in pts.orderBy("point_id").limit(3).collect()]
     lit = F.array(*[F.array(*[F.lit(v) for v in c]) for c in cents])
     a = pts.select("point_id", F.array_min(F.transform(lit, lambda c: euclidean(F.col("x"), c))).alias("d"))
-    b = pts.select("point_id", nearest_udf(cents)("x")["d"].alias("d"))
+    b = pts.select("point_id", nearest_udf([(0, np.array(cents[:2])), (2, np.array(cents[2:]))])("x")["d"].alias("d"))
     assert sorted(a.collect()) == sorted(b.collect())  # bit-identical
 
 
@@ -180,11 +180,26 @@ def test_objective_matches_brute_force_and_is_monotone(spark):
         assert near[i] == (ds.index(min(ds)), min(ds))
 
 
-def test_objective_plan_has_no_exchange_on_points_and_takes_ordered(spark):
+def test_scoring_plan_has_no_exchange_on_points(spark):
     pts = points64_view(spark, SF01)
     centers = pts.orderBy("point_id").limit(3).select(F.col("point_id").alias("step"), "x")
-    plan = kcenter_objective(pts, centers, 3)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    plan = nearest_center(pts, centers)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+def test_centers_in_many_blocks(spark, monkeypatch):
+    import popcenter.functions.vectors as V
+
+    X = _clustered(seed=2, per=12)
+    pts, C = _pts(spark, X), X[::3].tolist()
+    centers = spark.createDataFrame([(10 * i, c) for i, c in enumerate(C)], "step int, x array<double>")
+    one = sorted(nearest_center(pts, centers).collect())
+    monkeypatch.setattr(V, "BLOCK_COORDS", 4)
+    monkeypatch.setattr(V, "BLOCK_DISTANCES", 5)
+    assert sorted(nearest_center(pts, centers).collect()) == one
+    for i, nearest, d in one:
+        ds = [brute.dist(X[i].tolist(), c) for c in C]
+        assert (nearest, d) == (ds.index(min(ds)), min(ds))
 
 
 # ---------------------------------------------------------------- guarantees on small inputs
@@ -221,75 +236,132 @@ def test_coreset_bound_and_summary(spark):
     assert res.coreset.agg(F.sum("weight")).first()[0] == 2000
 
 
-def test_fft_join_fallback_matches_udf_path(spark, monkeypatch):
-    """Oversized center sets go through a table join scored with built-in expressions."""
-    import popcenter.operators.coreset as C
-
-    pts = assign_parts(points2_view(spark, SF01), 4, "mod")
-    fast = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
-    monkeypatch.setattr(C, "MAX_UDF_COORDS", 0)
-    slow = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
-    monkeypatch.setattr(C, "MAX_BROADCAST_BYTES", 0)
-    shuffled = sorted((r.part, r.pos, r.point_id, r.weight, r.rho) for r in fft_coreset(pts, 6).collect())
-    assert fast == slow == shuffled
-
+def test_selection_of_any_rank(spark, monkeypatch):
+    import popcenter.operators.selection as S
 
-def test_objective_histogram_selection_matches_top_k(spark, monkeypatch):
-    """Large z goes through exact histogram selection; force it with a tiny top-k limit."""
-    import popcenter.operators.objective as O
-
-    X = _clustered(seed=5, per=60) .tolist() + [[0.0, 0.0]] * 30  # ties at one distance
+    X = _clustered(seed=5, per=60).tolist() + [[0.0, 0.0]] * 30  # ties at one distance
     pts = _pts(spark, X)
     centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [50.0, -20.0])], "step int, x array<double>")
     C = [[0.0, 0.0], [50.0, -20.0]]
-    monkeypatch.setattr(O, "TOPK_LIMIT", 7)
-    monkeypatch.setattr(O, "HISTOGRAM_BUCKETS", 4)
-    for z in (7, 20, 100, 250, len(X) - 1):
+    monkeypatch.setattr(S, "BUCKETS", 4)
+    for z in (7, 250, len(X) - 1):
         assert kcenter_objective(pts, centers, z).first()["objective"] == brute.objective(X, C, z)
     assert kcenter_objective(pts, centers, len(X)).count() == 0
-
-
-def test_initial_radius_distributed_matches_inline(spark, monkeypatch):
-    import popcenter.operators.kcenter as K
-
-    X = _clustered(seed=9, per=15, clusters=4, outliers=3) .tolist() + [[1.0, 1.0]] * 2
+    ids = [2**62 + i * i for i in range(40)] + [-5, 2**62 + 3]
+    df = spark.createDataFrame([(i,) for i in ids], "v long")
+    for k in (0, 1, 20, 41):
+        assert S.kth_value(df, "v", k) == sorted(ids)[k]
+        assert S.kth_value(df, "v", k, largest=True) == sorted(ids)[-1 - k]
+    assert S.kth_value(df, "v", 42) is None
+    tiny = spark.createDataFrame([(0.0,), (5e-324,), (1.5e308,), (-1.5e308,)], "v double")
+    assert [S.kth_value(tiny, "v", k) for k in range(4)] == [-1.5e308, 0.0, 5e-324, 1.5e308]
+
+
+def test_initial_radius_over_many_tiles(spark):
+    X = _clustered(seed=9, per=15, clusters=4, outliers=3).tolist() + [[1.0, 1.0]] * 2
     ws = unit_weighted(_pts(spark, X))
     for m in (5, 40, len(X) + 10):
-        inline = initial_radius(ws, m).first()
-        monkeypatch.setattr(K, "MAX_INLINE_HEAD", 0)
-        spread = initial_radius(ws, m).first()
-        monkeypatch.setattr(K, "MAX_INLINE_HEAD", 256)
-        assert (spread["r0"], spread["r0_positive"], spread["head_size"]) == \
-            (inline["r0"], inline["r0_positive"], inline["head_size"])
-        assert inline["r0"] == brute.initial_radius(X, m)
+        one, many = initial_radius(ws, m).first(), initial_radius(ws, m, tile=4).first()
+        assert one == many and one["r0"] == brute.initial_radius(X, m)
+        assert one["head_size"] == min(m, len(X))
 
 
-def test_greedy_step_plan_reads_cache_without_shuffle(spark):
+def test_greedy_over_many_tiles(spark, monkeypatch):
+    """Tiny tiles and stripes, ids in strides: the same centers, and every tile has its share."""
+    import popcenter.operators.kcenter as K
+
+    X = _clustered(seed=13, per=20, clusters=4, outliers=3)
+    ids = [8 * i for i in range(len(X))]
+    monkeypatch.setattr(K, "STRIPE", 3)
+    units = K.work_units(unit_weighted(_pts(spark, X, ids)).select("idx", "x", "w"), 8, stripe=3)
+    tiles = [r["count"] for r in units.where("b = -1 and s = 0").groupBy("a").count().collect()]
+    assert len(tiles) == 8 and sum(tiles) == len(X) and units.where("b >= 0").count() == 8 * len(X)
+    res = weighted_kcenter_outliers(unit_weighted(_pts(spark, X, ids)), 4, 3, 0.0, tile=9)
+    S, r, guesses = brute.weighted_greedy(X.tolist(), [1] * len(X), 4, 3, 0.0)
+    assert res.center_idx == [8 * i for i in S] and (res.r_final, res.guesses) == (r, guesses)
+    assert [tuple(t.x) for t in sorted(res.centers.collect(), key=lambda t: t.step)] == [tuple(X[i]) for i in S]
+
+
+def test_greedy_alpha2_takes_several_centers_and_guesses(spark):
+    X = [[float(v)] for v in np.round(np.random.default_rng(5).uniform(-999, 9999, 300), 2)]
+    res = kcenter_outliers(_pts(spark, X), 3, 60, 2.0)
+    S, r, g = brute.weighted_greedy(X, [1] * len(X), 3, 60, 2.0)
+    assert res.center_idx == S and (res.r_final, res.guesses) == (r, g)
+    assert len(S) >= 2 and g >= 2
+
+
+def test_fft_takes_few_passes(spark):
+    from popcenter.operators.coreset import fft_traversal
+
+    rng = np.random.default_rng(3)
+    X = np.round(rng.normal(size=(4000, 2)) * 100, 3)
+    pts = assign_parts(_pts(spark, X), 2, "mod").repartition(6)
+    m = 64
+    out = fft_traversal(pts, m)
+    assert out.passes <= m // 3
+    tight = fft_traversal(pts, 9, candidates=1)  # one center a pass at most
+    got, few = {}, {}
+    for r in out.coreset.collect():
+        got.setdefault(r.part, []).append((r.pos, r.point_id, r.weight, r.rho))
+    for r in tight.coreset.collect():
+        few.setdefault(r.part, []).append((r.pos, r.point_id, r.weight, r.rho))
+    for part in range(2):
+        P = [(i, X[i].tolist()) for i in range(len(X)) if i % 2 == part]
+        assert sorted(got[part]) == brute.fft(P, m)
+        assert sorted(few[part]) == brute.fft(P, 9)
+
+
+def test_malformed_points_raise(spark):
+    """What a positional parser rejects never changes a result silently."""
+    bad = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, [5.0, 5.0]), (3, [9.0, 9.0]), (4, [3.0, None])],
+                                "point_id long, x array<double>")
+    mixed = _pts(spark, [[0.0, 0.0], [1.0, 0.0, 2.0], [4.0, 4.0]])
+    good = _pts(spark, [[0.0, 0.0], [1.0, 0.0], [4.0, 4.0], [9.0, 9.0]])
+    centers = spark.createDataFrame([(0, [0.0, 0.0])], "step int, x array<double>")
+    wide = spark.createDataFrame([(0, [0.0, 0.0, 100.0])], "step int, x array<double>")
+    for call in (lambda p, c: nearest_center(p, c), lambda p, c: kcenter_objective(p, c, 1)):
+        with pytest.raises(ValueError, match="malformed"):
+            call(bad, centers)
+        with pytest.raises(ValueError, match="mixed"):
+            call(mixed, centers)
+        with pytest.raises(ValueError, match="dimension"):
+            call(good, wide)
+        with pytest.raises(ValueError, match="no centers"):
+            call(good, centers.limit(0))
+    for z in (0, 1):
+        with pytest.raises(ValueError, match="malformed"):
+            kcenter_outliers(bad, 1, z)
+    with pytest.raises(ValueError, match="malformed"):
+        fft_coreset(assign_parts(bad, 2), 2)
+    with pytest.raises(ValueError, match="mixed"):
+        kcenter_outliers(mixed, 1, 0)
+    for z in (4, 7):
+        with pytest.raises(ValueError, match="smaller"):
+            kcenter_outliers(good, 1, z)
+        with pytest.raises(ValueError, match="smaller"):
+            coreset_kcenter_outliers(good, 1, z, 2)
+    with pytest.raises(ValueError, match="duplicate"):
+        kcenter_outliers(_pts(spark, [[0.0], [1.0], [5.0]], [1, 2, 2]), 2, 0)
+
+
+def test_greedy_step_reads_its_cache_without_shuffling_points(spark):
     import popcenter.operators.kcenter as K
 
-    ws = unit_weighted(points64_view(spark, SF01)).cache()
-    head = ws.orderBy("idx").first()["x"]
-    table = K.blocked_table(ws.select("idx", "x", "w"), 2, head)
-    table.agg(F.max("_dh")).first()  # the greedy fills the cache this way before its first step
-    step = table.groupBy("block").applyInPandas(K._kernel({0: (1.0, 3.0, None, True, None)}),
-                                                schema=K.KERNEL_SCHEMA)
+    units = K.work_units(unit_weighted(points64_view(spark, SF01)).select("idx", "x", "w"), 2)
+    units.count()
+    step = K._scored(units, {0: (1.0, 3.0, np.empty((0, 0)), True)})
     step.collect()
     final = step._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     above_cache = final.split("InMemoryRelation")[0]
-    assert "FlatMapGroupsInPandas" in above_cache and "Exchange" not in above_cache
-    table.unpersist()
-    ws.unpersist()
+    assert above_cache.count("MapInArrow") == 2 and above_cache.count("Exchange") == 1  # the partial sums alone
+    units.unpersist()
 
 
-def test_fft_pass_plan_pre_aggregates_once(spark):
+def test_fft_candidates_are_cut_before_the_shuffle(spark):
     import popcenter.operators.coreset as C
 
-    pts = assign_parts(points64_view(spark, SF01), 4).select("part", "point_id", "x").cache()
-    pts.count()
-    centers = {p: [(0, [0.0] * 64)] for p in range(4)}
-    q = C._farthest_udf_frame(pts, centers).groupBy("part").agg(
-        F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))
-    plan = q._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
-    assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
-    assert plan.count("Exchange") == 1  # only the per-part candidates are shuffled
-    pts.unpersist()
+    state = assign_parts(points64_view(spark, SF01), 4).select(
+        "part", "point_id", "x", F.lit(1.0).alias("d"), F.lit(0).alias("pos"))
+    best = state.select("part", "point_id", "x", "d").mapInArrow(C._top_of_task(5), "part int, point_id long, x array<double>, d double")
+    assert best.groupBy("part").count().agg(F.max("count")).first()[0] <= 5 * state.rdd.getNumPartitions()
+    assert {p: len(r) for p, r in C._candidates(state, 5).items()} == {p: 5 for p in range(4)}

@@ -8,12 +8,13 @@ from __future__ import annotations
 import sys
 
 sys.path.insert(0, ".")
+import numpy as np  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from popcenter.operators import coreset as C  # noqa: E402
 from popcenter.operators import kcenter as K  # noqa: E402
 from popcenter.operators import retail as R  # noqa: E402
-from popcenter.operators.objective import kcenter_objective  # noqa: E402
+from popcenter.operators.objective import nearest_center  # noqa: E402
 from popcenter.operators.partitioning import assign_parts  # noqa: E402
 from popcenter.plans.kcenter import unit_weighted  # noqa: E402
 from popcenter.session import local_session  # noqa: E402
@@ -29,17 +30,12 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
-    view = retail_view(spark, sf)
-    pts = assign_parts(points64_view(spark, sf), 8).select("part", "point_id", "x").cache()
-    pts.count()  # the FFT fills this cache in its first job
-    centers = {p: [(0, [0.0] * 64)] for p in range(8)}
-    ws = unit_weighted(points64_view(spark, sf)).cache()
-    head = ws.orderBy("idx").first()["x"]
-    table = K.blocked_table(ws.select("idx", "x", "w"), 2, head)
-    table.agg(F.max("_dh")).first()  # as in the greedy: the diameter bound fills the cache
-    step = table.groupBy("block").applyInPandas(K._kernel({0: (1.0, 3.0, None, True, None)}),
-                                                schema=K.KERNEL_SCHEMA).groupBy("g").agg(
-        F.expr("max_by(idx, named_struct('v', val, 'i', -idx)) FILTER (WHERE kind = 0)").alias("c_idx"))
+    view = retail_view(spark, sf, purchases_only=True)
+    state = assign_parts(points64_view(spark, sf), 8).select(
+        "part", "point_id", "x", F.lit(1.0).alias("d"), F.lit(0).alias("pos"))
+    units = K.work_units(unit_weighted(points64_view(spark, sf)).select("idx", "x", "w"), 8)
+    units.count()
+    step = K._scored(units, {0: (1.0, 3.0, np.empty((0, 0)), True)})
     label_centers = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(
         F.min_by(F.col("embedding").cast("array<double>"), "vec_id").alias("x")).select(
         F.col("label").alias("step"), "x")
@@ -47,11 +43,13 @@ def main() -> None:
         ("Top-10 products of one country (T1 over A3, F1, F2)",
          R.top_products(R.product_popularity(view, "NATION_1"), 10)),
         ("Two-stage popularity (A2)", R.popularity_two_stage(view)),
-        ("One FFT pass (A4): per-batch farthest candidates, then max_by per part",
-         C._farthest_udf_frame(pts, centers).groupBy("part").agg(
-             F.max_by(F.struct("point_id", "x"), F.struct(F.col("d"), -F.col("point_id"))).alias("c"))),
-        ("One greedy step (A6/A7): kernel over the cached block table, max_by per guess", step),
-        ("Objective with z=3 (T3, J2)", kcenter_objective(points64_view(spark, sf), label_centers, 3)),
+        ("One FFT pass (A4): new centers applied to the running distances",
+         state.mapInArrow(C._applier({0: (1, np.zeros((1, 64)))}), C._STATE)),
+        ("Candidates of an FFT pass (A4): cut in the task, merged per part",
+         state.select("part", "point_id", "x", "d").mapInArrow(
+             C._top_of_task(257), "part int, point_id long, x array<double>, d double")),
+        ("One greedy step (A6/A7): partial ball weights from the cached units, summed per tile", step),
+        ("Nearest center (J2)", nearest_center(points64_view(spark, sf), label_centers)),
     ]
     out = ["# PLANS", "", f"Physical plans (`explain(\"formatted\")`, before execution) at `{sf}`,",
            "generated by `python tools/explain_plans.py`. Cached inputs are materialized first, as in",
