@@ -59,8 +59,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+#: With it, Spark deletes the shuffle files of an SQL execution when that ends.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint(df):
-    """Eager reliable checkpoint in the session's shared checkpoint directory."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Eager reliable checkpoint in the session's shared checkpoint directory.
 
+    The shuffle files that led to it are dropped at once: nothing reads them again, and a job of
+    several checkpointed steps would otherwise hold them all until the driver collects garbage.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
