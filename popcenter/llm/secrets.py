@@ -15,13 +15,14 @@ themselves: a value in a format of a known issuer (``KNOWN``) is a secret; a run
 and a placeholder is not. Up to about ``MAX_ROWS`` of them, picked by a hash of the candidate,
 train the forest; candidates whose hash mod 5 is 0 are never among them, so accuracy can be held out.
 
-How it scales: texts are read three times and never shuffled or sent whole; word counts are
-distinct words a document, pre-aggregated before the shuffle; the dictionary has at most
+How it scales: texts are read twice (candidates, word counts) and never shuffled or sent whole;
+the candidates are written to the checkpoint folder; word counts are distinct words a document,
+pre-aggregated before the shuffle; the dictionary has at most
 (mean distinct words a document) / DICTIONARY_SHARE words, whatever the corpus's size. Training
 rows are bounded and in one task on purpose, so that the forest is the same on every cluster.
 
 Results in special cases: null and empty texts have no candidates; a null path is an empty one;
-overlapping candidates are one, the longer match of the first pattern; without labels of both
+a run that overlaps an assignment is not a candidate of its own; without labels of both
 kinds every candidate counts as a secret (score 1): nothing is dropped unjudged; repeated rows
 have the same findings; an empty table gives no findings.
 """
@@ -30,15 +31,18 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from popcenter.llm.common import read, unit, words
+from popcenter.llm.common import read, unit
+from popcenter.llm.text import buffer, list_array, slices, word_spans
+from popcenter.session import checkpoint
 
 RUN = 16
 MAX_ROWS = 4000
@@ -49,30 +53,78 @@ NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|
 FAKE = "example|dummy|placeholder|changeme|sample|test|fake|your|xxxx|redacted"
 KNOWN = (r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
          r"^sk_live_[A-Za-z0-9]{16,}$", r"^AIza[0-9A-Za-z_-]{35}$", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$")
-PATTERN = (rf"(?P<name>(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)(?P<value>[^\s\"',;]{{6,}})"
-           rf"|(?P<run>(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{RUN},}})")
+NAME = re.compile(rf"(?:{NAMES})[\"']?\s{{0,3}}\Z", re.IGNORECASE)
+VALUE = re.compile(r"[:=]\s{0,3}[\"']?([^\s\"',;]{6,})")
 AROUND = 48
 FEATURES = ("length", "lower_lower", "upper_upper", "digit_digit", "changes", "other", "unusual", "covered", "depth",
             "path_fake", "named", "assigned", "near_fake")
 
 
+def run_bytes() -> np.ndarray:
+    """For each byte: is it a letter or digit of ASCII or one of ``+/_=-``?"""
+    table = np.zeros(256, bool)
+    table[0x30:0x3A] = table[0x41:0x5B] = table[0x61:0x7B] = True
+    table[[0x2B, 0x2D, 0x2F, 0x3D, 0x5F]] = True
+    return table
+
+
+def places(buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int]]:
+    """(document, first byte, end) of all candidates of a slice, in order. Byte classes find the
+    long runs and the signs ``:`` and ``=``; only what is around a sign is matched as text."""
+    text, out = buf.tobytes(), []
+    signs = np.flatnonzero((buf == 0x3A) | (buf == 0x3D))
+    docs = np.searchsorted(offs, signs, "right") - 1
+    taken: list[tuple[int, int]] = []
+    for at, d in zip(signs.tolist(), docs.tolist()):
+        lo, hi = int(offs[d]), int(offs[d + 1])
+        name = NAME.search(text[max(lo, at - 40):at].decode("utf-8", "ignore"))
+        if not name or taken and at < taken[-1][1]:
+            continue
+        # a value goes on to its first separator, whatever its length
+        size = 256
+        while True:
+            value = VALUE.match(text[at:min(hi, at + size)].decode("utf-8", "ignore"))
+            if at + size >= hi or value is None or at + len(value[0].encode()) < at + size - 8:
+                break
+            size *= 4
+        if value:
+            first = at + len(value[0][:value.start(1)].encode())
+            end = first + len(value[1].encode())
+            taken.append((at - len(name[0].encode()), end))
+            out.append((d, first, end))
+    starts, ends, first = word_spans(buf, offs, run_bytes())
+    long = np.flatnonzero(ends - starts >= RUN)
+    begin = np.array([t[0] for t in taken], np.int64)
+    for lo, hi, d in zip(starts[long].tolist(), ends[long].tolist(), (np.searchsorted(first, long, "right") - 1).tolist()):
+        k = int(np.searchsorted(begin, hi)) - 1  # the last assignment that begins before the run ends
+        if k < 0 or taken[k][1] <= lo:
+            out.append((d, lo, hi))
+    return sorted(out)
+
+
 def proposer():
     """A column function: the candidates of a text with their places and surroundings."""
-    find = re.compile(PATTERN, re.IGNORECASE)
 
     @arrow_udf("array<struct<start:int,candidate:string,before:string,after:string>>")
     def propose(text: pa.Array) -> pa.Array:
-        out = []
-        for t in text.to_pylist():
-            rows = []
-            for m in find.finditer(t or ""):
-                g = "value" if m.group("value") else "run"
-                lo, hi = m.span(g)
-                rows.append({"start": lo, "candidate": t[lo:hi], "before": t[max(0, lo - AROUND):lo],
-                             "after": t[hi:hi + AROUND]})
-            out.append(rows)
-        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("candidate", pa.string()),
-                                                 ("before", pa.string()), ("after", pa.string())])))
+        buf, offs = buffer(text)
+        rows, counts = [], np.zeros(len(text), np.int64)
+        for i, j in slices(offs):
+            b, o = buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
+            found = places(b, o)
+            if not found:
+                continue
+            counts[i:j] = np.bincount([f[0] for f in found], minlength=j - i)
+            chars = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])
+            data = b.tobytes()
+            for d, lo, hi in found:
+                cut = lambda x, y: data[x:y].decode("utf-8", "ignore")
+                rows.append((int(chars[lo] - chars[o[d]]), cut(lo, hi), cut(max(int(o[d]), lo - AROUND), lo),
+                             cut(hi, min(int(o[d + 1]), hi + AROUND))))
+        values = pa.StructArray.from_arrays(
+            [pa.array([r[k] for r in rows], pa.string() if k else pa.int32()) for k in range(4)],
+            ["start", "candidate", "before", "after"])
+        return list_array(values, counts)
 
     return propose
 
@@ -83,20 +135,14 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
                        F.explode(proposer()(F.col("text"))).alias("c")).select("doc_id", "path", "c.*")
 
 
-def trigrams(word: Column) -> Column:
-    return F.when(F.length(word) >= 3, F.transform(
-        F.sequence(F.lit(1), F.length(word) - 2), lambda i: F.substring(word, i, F.lit(3)))) \
-        .otherwise(F.array().cast("array<string>"))
-
-
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> list[str]:
     """Character trigrams of the words (letters only, lower case) of many documents."""
     n = docs.count()
-    plain = F.filter(F.array_distinct(F.transform(words(F.lower("text")), lambda w: F.regexp_replace(w, r"^\p{P}+|\p{P}+$", ""))),
-                     lambda w: w.rlike(r"^\p{L}{3,30}$"))
-    common = docs.select(F.explode(F.array_distinct(plain)).alias("w")).groupBy("w").agg(F.count("*").alias("c")) \
-        .where((F.col("c") >= share * n) & (F.col("c") >= 3))
-    rows = common.select(F.explode(trigrams(F.col("w"))).alias("g")).distinct().orderBy("g").collect()
+    each = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    common = docs.select(F.explode(each).alias("w")).groupBy("w").agg(F.count("*").alias("c")).where(
+        (F.col("c") >= share * n) & (F.col("c") >= 3) & F.length("w").between(3, 30))
+    grams = F.transform(F.sequence(F.lit(1), F.length("w") - 2), lambda i: F.substring("w", i, F.lit(3)))
+    rows = common.select(F.explode(grams).alias("g")).distinct().orderBy("g").collect()
     return [r["g"] for r in rows]
 
 
@@ -163,7 +209,7 @@ def judge(found: DataFrame, forest, grams: list[str]) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source") -> DataFrame:
     """doc_id, path, start, candidate, before, after, score and is_secret of every candidate."""
-    found = candidates(docs, path)
+    found = checkpoint(candidates(docs, path))
     grams = dictionary(docs)
     forest = fit(self_evident(found) if labelled is None else labelled, grams)
     return judge(found, forest, grams).withColumn("is_secret", F.col("score") >= 0.5)

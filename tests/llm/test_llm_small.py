@@ -227,6 +227,21 @@ def test_secrets(spark):
     assert all(r["is_secret"] for r in secrets.scan_secrets(docs.where("doc_id > 400")).collect())  # nothing to learn from
 
 
+def test_secret_candidates():
+    import numpy as np
+    import pyarrow as pa
+
+    from popcenter.llm.text import buffer
+
+    texts = ["é api_key : 'AbC123é!?', x", "API-KEY=" + "z9é" * 900 + " end", "http://a.b/c", "token=short", "secret=\n  abcdef;",
+             "x" * 15 + " " + "x" * 16, "pwd=aaaaaa=bbbbbbbbbbbbbbbbbbbbbbbbb tail", "=:=:", "a:bcdefgh", "", "my_password\"   =   \"s p\"",
+             "auth=tokentokentoken=abcdefgh ok", "k" * 20 + "=" + "v" * 9]
+    buf, offs = buffer(pa.array(texts))
+    got = [(d, bytes(buf[lo:hi]).decode()) for d, lo, hi in secrets.places(buf, np.asarray(offs))]
+    assert got == [(0, "AbC123é!?"), (1, "z9é" * 900), (4, "abcdef"), (5, "x" * 16),
+                   (6, "aaaaaa=bbbbbbbbbbbbbbbbbbbbbbbbb"), (11, "tokentokentoken=abcdefgh"), (12, "k" * 20 + "=" + "v" * 9)]
+
+
 def test_quality(spark, docs, rows):
     rnd = random.Random(2)
     good = [(k, prose(rnd, 60), 1) for k in range(0, 600, 2)]
