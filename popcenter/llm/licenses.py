@@ -9,9 +9,10 @@ template stands, one window holds all of it.
 
 Bands: BANDS MinHash values, one a band. A window that holds a share c of a template's shingles
 has Jaccard similarity J >= c t / (t + 2 L - c t) with it, at least 0.19 at c = 0.8 and L < 2 t,
-so 96 bands miss it with probability (1 - 0.19)^96 < 2e-9 at worst. Windows that share a band
+so 64 bands miss it with probability (1 - 0.19)^64 < 2e-6 at worst. Windows that share a band
 value with a template are verified: the template's shingles in the window are counted, and a
-share of at least CONTAINMENT is a match. The block minima of one pass serve all windows.
+share of at least CONTAINMENT is a match. Every shingle is hashed once a band; the minima of
+longer blocks come from those of shorter ones.
 
 How it scales: documents are read once and not shuffled; templates (a library of license texts)
 are broadcast in blocks of bounded bytes. Matches of one template in overlapping windows are
@@ -36,7 +37,7 @@ from popcenter.llm.text import (Grams, U, buffer, letters, list_array, load, low
                                 word_hashes, word_spans)
 
 SHINGLE = 5
-BANDS = 96
+BANDS = 64
 CONTAINMENT = 0.8
 FOUND = "array<struct<template:string,start_word:int,end_word:int,containment:double>>"
 #: Notices by which texts state their license, from the licenses' own wording.
@@ -98,33 +99,43 @@ class Library:
 def scanner(library: list, k: int = SHINGLE, bands: int = BANDS, containment: float = CONTAINMENT):
     """A column function: the findings of a text."""
 
-    def scan_class(lib: Library, size: int, block: int, grams: Grams, first: np.ndarray, found: list) -> None:
+    def scan_size(lib: Library, size: int, grams: Grams, first: np.ndarray, found: list) -> None:
+        """Findings of the templates whose shingles have ``size`` words."""
         count = np.maximum(np.diff(first) - size + 1, 0)
         at = ranges(first[:-1], count)
         if not len(at):
             return
         h = grams.at(at, size)
-        n_blocks = -(-count // block)
         base = np.cumsum(count) - count
-        begin = np.repeat(base, n_blocks) + ranges(np.zeros(len(count), np.int64), n_blocks) * block
-        doc = np.repeat(np.arange(len(count)), n_blocks)
-        # a window is a block and the next one of its document
-        pair = np.append(doc[1:] == doc[:-1], False)
-        stop = np.minimum(begin + np.where(pair, 2 * block, block), (base + count)[doc])
-        members, signature = lib.classes[size, block], lib.signatures[size, block]
-        share = np.zeros((len(members), len(begin)), bool)
+        levels, n_blocks, length = [], count, 1
+        for block in sorted(b for n, b in lib.classes if n == size):
+            # a block's minimum comes from the blocks of the level below
+            inside, below = -(-count // block), np.cumsum(n_blocks) - n_blocks
+            index = ranges(np.zeros(len(count), np.int64), inside)
+            merged = np.repeat(below, inside) + index * (block // length)
+            doc = np.repeat(np.arange(len(count)), inside)
+            begin = base[doc] + index * block
+            pair = np.append(doc[1:] == doc[:-1], False)  # a window is a block and the next one of its document
+            stop = np.minimum(begin + np.where(pair, 2 * block, block), (base + count)[doc])
+            share = np.zeros((len(lib.classes[size, block]), len(begin)), bool)
+            levels.append((block, merged, doc, begin, pair, stop, share))
+            n_blocks, length = inside, block
         for b in range(bands):
-            low = np.minimum.reduceat(mix(h ^ mix(np.array([b + 1], U))), begin)
-            low = np.where(pair, np.minimum(low, np.append(low[1:], low[-1])), low)
-            for m in range(len(members)):
-                share[m] |= low == signature[m, b]
-        for m, w in zip(*np.nonzero(share)):
-            t, own = members[m]
-            inside = np.isin(h[begin[w]:stop[w]], own)
-            held = len(np.unique(h[begin[w]:stop[w]][inside])) / len(own)
-            if held >= containment:
-                places = at[begin[w] + np.flatnonzero(inside)] - first[doc[w]]
-                found.append((int(doc[w]), lib.ids[t], int(places[0]), int(places[-1]) + size, held))
+            low = mix(h ^ mix(np.array([b + 1], U)))
+            for block, merged, _, _, pair, _, share in levels:
+                low = np.minimum.reduceat(low, merged) if len(merged) < len(low) else low
+                window = np.where(pair, np.minimum(low, np.append(low[1:], low[-1])), low)
+                for m, value in enumerate(lib.signatures[size, block][:, b]):
+                    share[m] |= window == value
+        for block, _, doc, begin, _, stop, share in levels:
+            for m, w in zip(*np.nonzero(share)):
+                t, own = lib.classes[size, block][m]
+                window = h[begin[w]:stop[w]]
+                same = np.isin(window, own)
+                held = len(np.unique(window[same])) / len(own)
+                if held >= containment:
+                    places = at[begin[w] + np.flatnonzero(same)] - first[doc[w]]
+                    found.append((int(doc[w]), lib.ids[t], int(places[0]), int(places[-1]) + size, held))
 
     @arrow_udf(FOUND)
     def scan(text: pa.Array) -> pa.Array:
@@ -135,8 +146,8 @@ def scanner(library: list, k: int = SHINGLE, bands: int = BANDS, containment: fl
             grams, first = shingles((buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]))
             found: list = []
             for lib in libs or (Library(*load(b), k, bands) for b in library):
-                for size, block in lib.classes:
-                    scan_class(lib, size, block, grams, first, found)
+                for size in {n for n, _ in lib.classes}:
+                    scan_size(lib, size, grams, first, found)
             joined: list = []
             for d, template, lo, hi, held in sorted(found):
                 if joined and joined[-1][:2] == [d, template] and lo < joined[-1][3]:

@@ -93,7 +93,7 @@ def op8_mix(spark, sf_dir: str) -> DataFrame:
         "doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_hash"), word_count(F.col("text")).alias("words"))
     weighed = slim.join(label_weights(spark, sf_dir), F.col("doc_id") == F.col("label_id"), "left")
     mixed = mix(weighed, F.col("words"), F.col("label_weight"), keys=("doc_id", "text_hash"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source")
 
 
 def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Registered queries of this package and the DuckDB SQL of those that SQL can express."""
+"""Registered queries of this package; ``oracle_sql`` has the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from popcenter.llm.licenses import op2_licenses
 from popcenter.llm.lines import op9_line_frequency
 from popcenter.llm.mixing import op8_mix
 from popcenter.llm.neardup import op4_near_duplicates
+from popcenter.llm.oracles import oracle_sql
 from popcenter.llm.quality import op7_quality
 from popcenter.llm.secrets import op1_secrets
 from popcenter.llm.sharding import op3_interleaved_shards
@@ -14,6 +15,9 @@ from popcenter.llm.substrings import op5_substrings
 from popcenter.llm.urls import op6_url_filter
 
 
+__all__ = ["oracle_sql", "queries"]
+
+
 def queries():
     return {
         "op1_secrets": op1_secrets,
@@ -28,6 +32,3 @@ def queries():
         "op10_suffix_arrays": op10_suffix_arrays,
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
