@@ -13,8 +13,8 @@ its middle word lies within the budget, so the total misses the target by half a
 How it scales: prefix sums within a source are summed over cells of the key range first, then
 within a cell; no window holds a whole source, and whole rows are shuffled once.
 
-Quality weights: documents that the labels call good weigh 2, bad 0.5, all others 1 (a column
-``weight`` can be passed instead).
+Quality weights are a column of the caller's. The query weighs documents that the labels call good
+2, bad ones 0.5, all others 1; the pipeline stage weighs by the variety of a text's words.
 
 Results in special cases: null text has size 0; a source of size 0 has target 0; null sources
 are one source, the last; equal rows are interchangeable; a null or non-positive weight counts
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from popcenter.llm.common import keep_columns, read, unit, word_count
+from popcenter.llm.common import keep_columns, let, read, unit, word_count, words
 
 CELL_ROWS = 8192
 ADDED = ("size", "source_size", "target", "epochs", "selected", "taken")
@@ -96,11 +96,16 @@ def op8_mix(spark, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source")
 
 
+def variety(text: Column) -> Column:
+    """A quality weight from the text alone: 0.5 plus the share of its words that are distinct."""
+    return let(words(text), lambda w: F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.0)) + 0.5
+
+
 def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents of the mix; one taken k times comes as k rows. The stage
-    weighs all documents alike (the quality classifier has judged them before)."""
+    """Pipeline stage: the documents of the mix; one taken k times comes as k rows. Documents
+    weigh by the variety of their words, which needs no join to the labels."""
     names = docs.columns
-    mixed = mix(docs, word_count(F.col("text")), F.lit(1.0))
+    mixed = mix(docs, word_count(F.col("text")), variety(F.col("text")))
     copies = (F.col("epochs") + F.col("selected").cast("long")).cast("int")
     return mixed.select(*[F.col(f"`{c}`") for c in names],
                         F.explode(F.array_repeat(F.lit(0), copies)).alias("__copy")).drop("__copy")
