@@ -37,7 +37,12 @@ def keep_columns(df: DataFrame, *added: str) -> list[Column]:
     """Columns of ``df`` that an operator hands on: all but those whose name it adds itself
     (an input column of the same name, in any letter case, gives way)."""
     taken = {a.lower() for a in added}
-    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+    return [named(c) for c in df.columns if c.lower() not in taken]
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from popcenter.llm.common import keep_columns, let, read, unit, word_count, words
+from popcenter.llm.common import keep_columns, let, named, read, unit, word_count, words
 
 CELL_ROWS = 8192
 ADDED = ("size", "source_size", "target", "epochs", "selected", "taken")
@@ -104,8 +104,8 @@ def variety(text: Column) -> Column:
 def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents of the mix; one taken k times comes as k rows. Documents
     weigh by the variety of their words, which needs no join to the labels."""
-    names = docs.columns
-    mixed = mix(docs, word_count(F.col("text")), variety(F.col("text")))
+    inner = {c: f"__{c}" if c.lower() in ADDED else c for c in docs.columns}  # extra columns keep their values
+    mixed = mix(docs.withColumnsRenamed(inner), word_count(F.col("text")), variety(F.col("text")))
     copies = (F.col("epochs") + F.col("selected").cast("long")).cast("int")
-    return mixed.select(*[F.col(f"`{c}`") for c in names],
+    return mixed.select(*[named(inner[c]).alias(c) for c in docs.columns],
                         F.explode(F.array_repeat(F.lit(0), copies)).alias("__copy")).drop("__copy")

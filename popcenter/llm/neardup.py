@@ -258,6 +258,6 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that are kept, one of each component (repeated rows of the
     same doc_id are the same document)."""
     gone = near_duplicates(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_hash"))
+        F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_hash"))
     return docs.join(gone, same, "left_anti")

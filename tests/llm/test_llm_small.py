@@ -151,8 +151,9 @@ def test_mix_prefers_heavy_documents(spark):
 
 
 def test_mix_stage_repeats_documents(spark, docs, rows):
+    docs = docs.withColumn("size", F.lit("kept")).withColumn("Taken", F.col("doc_id"))
     out = mixing.mix_documents(spark, docs, None)
-    assert out.columns == docs.columns
+    assert out.columns == docs.columns and out.where("size <> 'kept' or not Taken <=> doc_id").count() == 0
     assert max(Counter((r["doc_id"], r["text"]) for r in out.collect()).values()) <= 4  # repeated rows, twice each
 
 
@@ -259,6 +260,14 @@ def test_quality(spark, docs, rows):
     assert {r[0] for r in made.select(quality.scorer(empty)("text")).collect()} == {0.5}
 
 
+def test_stages_keep_extra_columns(spark, docs):
+    odd = docs.withColumn("g_id", F.lit(1)).withColumn("found", F.lit("x")).withColumn("n.`shingles", F.lit(2)).withColumn("row", F.lit(3))
+    for stage in (neardup.drop_near_duplicates, decontamination.drop_leaks, mixing.mix_documents, sharding.shard_documents):
+        out = stage(spark, odd, "/root/testdata/sf0.001")
+        assert out.columns[:len(odd.columns)] == odd.columns and out.count() > 0
+        assert out.where("g_id = 1 and found = 'x' and row = 3").count() == out.count()
+
+
 def test_empty_tables(spark, docs):
     none, labels = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([], "item_id long, text string")
