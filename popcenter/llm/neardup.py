@@ -206,9 +206,10 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
     ties = keyed.join(hubs, "band").where(F.col("hi") != F.col("hub")).select("hi", "hub").distinct()
     clusters = checkpoint(components(ties, "hi", "hub").select(F.col("node").alias("hi"), F.col("root").alias("cluster")))
 
-    members = full.select("doc_id", "text_hash", "n", "hi", "lo").join(clusters, "hi").groupBy("hi", "lo", "cluster", "n") \
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    members = members.select("*", name)
+    # one row a class, summed up before the shuffle: a class may hold a third of all rows
+    reps = full.groupBy("hi", "lo").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"),
+                                        F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    members = reps.join(clusters, "hi").select("*", name)
     weight = F.sum(F.col("n") * 8)
     blocks = members.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_blocks"), F.min("name").alias("hub"))
     members = members.join(blocks, "cluster").select(
@@ -240,8 +241,7 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
         links = links.unionByName(checkpoint(linked(left.select(*cols).unionByName(right.select(*cols)))))
     roots = components(links)
 
-    named = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least")).withColumn("name", name) \
-        .join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
+    named = reps.select("hi", "lo", "least", name).join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     answer = named.join(ids, "root").select(F.col("hi").alias("c_hi"), F.col("lo").alias("c_lo"), "component_id")
     out = sig.join(answer, (F.col("n") > 0) & (F.col("hi") == F.col("c_hi")) & (F.col("lo") == F.col("c_lo")), "left")
