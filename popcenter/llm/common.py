@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def cell_count(rows: int) -> int:
+    """Cells into which an order over ``rows`` rows is cut: of 1,024 rows, or the square root of
+    ``rows`` if that is more, so that neither a cell nor the list of cells gets too long for a window."""
+    return max(1, -(-rows // max(1024, math.isqrt(rows))))
+
+
 def keep_columns(df: DataFrame, *added: str) -> list[Column]:
     """Columns of ``df`` that an operator hands on: all but those whose name it adds itself
     (an input column of the same name, in any letter case, gives way)."""

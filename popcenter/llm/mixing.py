@@ -27,9 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from popcenter.llm.common import keep_columns, let, named, read, unit, word_count, words
+from popcenter.llm.common import cell_count, keep_columns, let, named, read, unit, word_count, words
 
-CELL_ROWS = 8192
 ADDED = ("size", "source_size", "target", "epochs", "selected", "taken")
 
 
@@ -58,7 +57,7 @@ def mix(docs: DataFrame, size: Column, weight: Column, seed: int = 11, source: s
     key = -F.log(unit(seed, *[F.col(k) for k in keys])) / w
     rows = docs.select(F.struct(*kept).alias("row"), F.col(source).alias("src"),
                        size.cast("long").alias("size"), key.alias("key"))
-    cells = max(1, -(-docs.count() // CELL_ROWS))
+    cells = cell_count(docs.count())
     rows = rows.withColumn("cell", F.floor((1 - F.exp(-F.col("key"))) * cells).cast("int"))
     sums = rows.groupBy("src", "cell").agg(F.sum("size").alias("s_cell"))
     goal = targets(sums.groupBy("src").agg(F.sum("s_cell").alias("source_size")))

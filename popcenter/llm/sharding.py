@@ -6,7 +6,7 @@ the fractional rank (2r - 1) / (2n). All rows are sorted by it (ties: by source)
 proportions of the whole.
 
 How it scales: a source is never ordered as one group. The random order is cut into cells of
-some thousands of rows; cell counts give offsets, and a window numbers the rows of one
+about 1,024 rows, or the square root of all rows if that is more; cell counts give offsets, and a window numbers the rows of one
 (source, cell). The place of a row in the order over all sources follows in closed form from
 the row counts of the sources (how many rows of each other source have a smaller fractional
 rank), so no second sort is needed: whole rows are shuffled once. Sources are the components
@@ -23,9 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from popcenter.llm.common import keep_columns, read, unit
-
-CELL_ROWS = 8192
+from popcenter.llm.common import cell_count, keep_columns, read, unit
 
 
 def interleave(docs: DataFrame, n_shards: int, seed: int = 7, source: str = "source",
@@ -35,7 +33,7 @@ def interleave(docs: DataFrame, n_shards: int, seed: int = 7, source: str = "sou
         raise ValueError("n_shards must be at least 1")
     kept = keep_columns(docs, "shard", "slot")
     total = docs.count()
-    cells = max(1, -(-total // CELL_ROWS))
+    cells = cell_count(total)
     u = unit(seed, *[F.col(k) for k in keys])
     rows = docs.select(F.struct(*kept).alias("row"), F.col(source).alias("src"), u.alias("u"))
     rows = rows.withColumn("cell", F.floor(F.col("u") * cells).cast("int"))
