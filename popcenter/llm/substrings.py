@@ -192,7 +192,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     """doc_id, text_hash, low, high: runs of repeated windows, as numbers of their first words."""
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     anchors = base.select(F.explode(anchors_of(window, gram)("text")).alias("r_anchor"))
-    again = anchors.groupBy("r_anchor").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("r_anchor")
+    # written out, so that the join's sides are plain shuffles and Spark can split a hot anchor
+    again = checkpoint(anchors.groupBy("r_anchor").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("r_anchor"))
     seeds = base.select("doc_id", "text_hash", F.explode(seeds_of(window, gram)("text")).alias("s")).select(
         "doc_id", "text_hash", "s.*")
     seeds = checkpoint(seeds.join(again, F.col("anchor") == F.col("r_anchor"), "left_semi"))
