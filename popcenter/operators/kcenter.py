@@ -239,13 +239,13 @@ def initial_radius(weighted: DataFrame, m: int, tile: int = TILE) -> DataFrame:
 
     One row: ``(r0, r0_positive, head_size)``; ``r0_positive`` is half the least *positive*
     distance among them (null when all coincide), used when duplicates make ``r0`` zero. The
-    m-th idx is found by selection and the head is compared tile by tile, so the head may be of
-    any size; nothing else is paired.
+    m-th idx (they are distinct) is found by selection and the head is compared tile by tile, so
+    the head may be of any size; nothing else is paired.
     """
     ws = weighted.select("idx", "x", F.lit(1).cast("long").alias("w"))
     last = kth_value(ws, "idx", m - 1)
     head = ws if last is None else ws.where(F.col("idx") <= last)
-    size = head.count()
+    size = ws.count() if last is None else m
     minima = work_units(head, tile_count(size, tile, _tasks(ws))).mapInArrow(_pair_minima, "d double, dpos double")
     known = lambda c: F.when(F.min(c) < float("inf"), F.min(c) / 2)
     return minima.agg(known("d").alias("r0"), known("dpos").alias("r0_positive"), F.lit(size).cast("int").alias("head_size"))
