@@ -51,6 +51,9 @@ SHINGLE = 5
 BANDS, ROWS = 45, 8
 LINK = (85, 100)
 BLOCK_BYTES = 16 << 20
+#: The pipeline stage: its threshold, and 61 bands of 7, which miss a pair at 0.80 with probability
+#: (1 - 0.8^7)^61, about 6e-7 (45 bands of 8 would miss 2.6e-4 of them).
+STAGE_LINK, STAGE_BANDS, STAGE_ROWS = (80, 100), 61, 7
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -255,9 +258,9 @@ def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that are kept, one of each component (repeated rows of the
-    same doc_id are the same document)."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(
+    """Pipeline stage: the documents that are kept, one of each component of pairs at 0.80 and above
+    (repeated rows of the same doc_id are the same document)."""
+    gone = near_duplicates(docs, STAGE_LINK, STAGE_BANDS, STAGE_ROWS).where(~F.col("kept")).select(
         F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_hash"))
     return docs.join(gone, same, "left_anti")
