@@ -3,28 +3,35 @@
 Base measures are taken from every whole text. The method: lines are normalised (lower case,
 white space collapsed) and hashed; for each host (the document's ``source``) the distinct
 documents that hold a line are counted, where exact copies of one text are one document. A
-line in more than ``max(MIN_DOCS, MAX_SHARE * documents of the host)`` of them is boilerplate;
-a document that loses more than ``MAX_LOST`` of its words that way is depleted and rejected.
+line in more than ``max(MIN_DOCS, MAX_SHARE * documents of the host)`` of them is boilerplate and
+goes: ``kept_text`` is the text without such lines, all other lines as they were. A document that
+loses more than ``MAX_LOST`` of its words that way is depleted and rejected.
 
 How it scales: the line counts are distinct (host, line, text) triples, pre-aggregated before
-the shuffle and counted again; the boilerplate lines are joined to slim line rows (the measures
-and the word count of a line, no text), which AQE can split where one line is in a third of all
-documents. Texts are never shuffled.
+the shuffle and counted again. A host has at most 1 / MAX_SHARE times as many boilerplate lines as
+its documents have lines on average; their hashes, one row a host, are written to the checkpoint
+folder, so Spark knows their size and joins them to the documents: broadcast where they are small
+(texts are then not shuffled), else by a sort-merge join that AQE can split at a large host. Lines
+are filtered within the row.
 
 Repeated 3-word windows are found inside a row in n log n: each window is a long of hash bits
 above and its position below, the longs are sorted, and neighbours of equal hash bits are
 compared as words before they count, so a collision of hashes changes nothing.
 
-Results in special cases: null and empty texts have no words and fail the base rule; null
+Results in special cases: null and empty texts have no words and fail the base rule, and stay null
+and empty; rejected documents have a ``kept_text`` too (``kept`` is false); null
 sources are one host; repeated rows are judged alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.llm.common import SPACE, let, read, words
+from popcenter.llm.common import SPACE, let, read, word_count, words
+from popcenter.session import ensure_checkpoint_dir
 
 MIN_DOCS = 20
 MAX_SHARE = 0.05
@@ -62,12 +69,15 @@ def repeat_words(w: Column) -> Column:
     return found.cast("long")
 
 
+def normal(line: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
+
+
 def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, source, text) with the base measures and ``lines``: the hash and the
-    word count of each line that has a word."""
+    """``docs`` (doc_id, source, text) with the base measures and ``lines``: the hashes of the
+    lines that have a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0)
-    normal = lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE, " ")))
     measured = F.struct(
         let(words(F.col("text")), lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -75,11 +85,9 @@ def measures(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         let(lines, lambda v: F.struct(
             (F.size(v) - F.size(F.array_distinct(v))).cast("long").alias("n_dup_lines"),
-            F.transform(v, lambda x: let(normal(x), lambda y: F.struct(
-                F.xxhash64(y).alias("h"), (F.length(y) - F.length(F.replace(y, F.lit(" "), F.lit(""))) + 1).alias("n"))))
-            .alias("lines"))).alias("l"))
-    return docs.select("doc_id", "source", F.explode(F.array(measured)).alias("m")).select(
-        "doc_id", "source", "m.w.n_words", "m.w.word_chars", "m.n_symbols", "m.l.n_dup_lines",
+            F.transform(v, lambda x: F.xxhash64(normal(x))).alias("lines"))).alias("l"))
+    return docs.select("doc_id", "source", "text", F.explode(F.array(measured)).alias("m")).select(
+        "doc_id", "source", "text", "m.w.n_words", "m.w.word_chars", "m.n_symbols", "m.l.n_dup_lines",
         "m.w.n_repeat_words", "m.l.lines")
 
 
@@ -87,8 +95,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     """host, line (hash), n_docs of the lines above the limit."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("source").alias("host"), F.xxhash64(text, F.length(text)).alias("t"), text.alias("text"))
-    lines = F.array_distinct(F.transform(
-        F.split(F.col("text"), "\n"), lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE, " ")))))
+    lines = F.array_distinct(F.transform(F.split(F.col("text"), "\n"), normal))
     each = base.select("host", "t", F.explode(F.array_remove(lines, "")).alias("y")) \
         .select("host", "t", F.xxhash64("y").alias("line")).distinct()
     per_line = each.groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
@@ -97,20 +104,30 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
         .where(F.col("n_docs") > F.col("all_docs") * max_share).select("host", "line", "n_docs")
 
 
+def host_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """host, boilerplate (the hashes of its frequent lines), written and read again."""
+    spark = docs.sparkSession
+    out = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4()}"
+    frequent_lines(docs, min_docs, max_share).groupBy("host").agg(F.collect_list("line").alias("boilerplate")).write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def line_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
                max_lost: float = MAX_LOST) -> DataFrame:
-    """doc_id, source, the measures, n_lost_words, base_failed and kept, one row per input row."""
+    """doc_id, source, the measures, kept_text, n_lost_words, base_failed and kept, one row per
+    input row."""
     names = ("doc_id", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    rows = measures(docs).withColumn("row", F.monotonically_increasing_id())
-    one = rows.select("row", *names, F.explode_outer("lines").alias("x")).select(
-        "row", *names, F.col("x.h").alias("h"), F.coalesce(F.col("x.n"), F.lit(0)).cast("long").alias("n"))
-    hit = frequent_lines(docs, min_docs, max_share)
-    joined = one.join(hit, F.col("source").eqNullSafe(F.col("host")) & (F.col("h") == F.col("line")), "left")
-    lost = F.sum(F.when(F.col("line").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("n_lost_words")
-    out = joined.groupBy("row", *names).agg(lost)
+    joined = measures(docs).join(host_lines(docs, min_docs, max_share), F.col("source").eqNullSafe(F.col("host")), "left")
+    gone = F.array_intersect("lines", F.coalesce("boilerplate", F.array().cast("array<bigint>")))
+    rest = lambda g: F.array_join(F.filter(
+        F.split("text", "\n"), lambda x: ~F.array_contains(g, F.xxhash64(normal(x)))), "\n")
+    done = lambda text, n: F.struct(text.alias("kept_text"), n.cast("long").alias("n_lost_words"))
+    cleaned = let(gone, lambda g: F.when(F.size(g) == 0, done(F.col("text"), F.lit(0))).otherwise(
+        let(rest(g), lambda t: done(t, F.col("n_words") - word_count(t)))))
+    out = joined.select(*names, F.explode(F.array(cleaned)).alias("c")).select(*names, "c.kept_text", "c.n_lost_words")
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return out.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("n_lost_words") <= F.col("n_words") * max_lost)).drop("row")
+        "kept", ~F.col("base_failed") & (F.col("n_lost_words") <= F.col("n_words") * max_lost))
 
 
 def op9_line_frequency(spark, sf_dir: str) -> DataFrame:
