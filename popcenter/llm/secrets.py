@@ -11,8 +11,10 @@ Spark's ``RandomForestClassifier``.
 
 Labelled findings (candidate, before, after, path, label) come from the caller. The registered
 query has no hand-made labels, so it takes findings of its own documents that speak for
-themselves: a value in a format of a known issuer (``KNOWN``) is a secret; a run of letters alone
-and a placeholder is not. Up to about ``MAX_ROWS`` of them, picked by a hash of the candidate,
+themselves: a value in a format of a known issuer (``KNOWN``), or of hex digits (``HEX``) given to
+the name of a credential, is a secret; a placeholder is not, nor are letters alone that no such name
+precedes. Letters given to such a name, and hex without one (a commit id, a checksum), are left
+unlabelled and teach nothing. Up to about ``MAX_ROWS`` of them, picked by a hash of the candidate,
 train the forest; candidates whose hash mod 5 is 0 are never among them, so accuracy can be held out.
 
 How it scales: texts are read twice (candidates, word counts) and never shuffled or sent whole;
@@ -52,7 +54,10 @@ TREES, DEPTH, SEED = 40, 8, 5
 NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer"
 FAKE = "example|dummy|placeholder|changeme|sample|test|fake|your|xxxx|redacted"
 KNOWN = (r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
-         r"^sk_live_[A-Za-z0-9]{16,}$", r"^AIza[0-9A-Za-z_-]{35}$", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$")
+         r"^sk_live_[A-Za-z0-9]{16,}$", r"^AIza[0-9A-Za-z_-]{35}$")
+HEX = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$"
+#: Text that ends where the value of a credential's name begins.
+GIVEN = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?\z"
 NAME = re.compile(rf"(?:{NAMES})[\"']?\s{{0,3}}\Z", re.IGNORECASE)
 VALUE = re.compile(r"[:=]\s{0,3}[\"']?([^\s\"',;]{6,})")
 AROUND = 48
@@ -180,7 +185,8 @@ def self_evident(found: DataFrame) -> DataFrame:
     known = F.lit(False)
     for p in KNOWN:
         known = known | c.rlike(p)
-    label = F.when(fake | c.rlike(r"^[A-Za-z]+$"), F.lit(0.0)).when(known, F.lit(1.0))
+    given = F.col("before").rlike(GIVEN)
+    label = F.when(fake | (c.rlike(r"^[A-Za-z]+$") & ~given), F.lit(0.0)).when(known | (c.rlike(HEX) & given), F.lit(1.0))
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
 
