@@ -128,6 +128,14 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN l
 """
 
 
+COPIES = f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), {ASCII_LOWER}) AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_near_duplicates": NEAR_DUPLICATES,
@@ -136,4 +144,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mix": MIX,
         "op9_line_frequency": LINES,
         "op10_suffix_arrays": LEAKS,
+        "op12_digest_index": COPIES,
     }

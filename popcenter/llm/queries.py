@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from popcenter.llm.decontamination import op10_suffix_arrays
+from popcenter.llm.exact import op12_digest_index
 from popcenter.llm.licenses import op2_licenses
 from popcenter.llm.lines import op9_line_frequency
 from popcenter.llm.mixing import op8_mix
@@ -30,5 +31,6 @@ def queries():
         "op8_mix": op8_mix,
         "op9_line_frequency": op9_line_frequency,
         "op10_suffix_arrays": op10_suffix_arrays,
+        "op12_digest_index": op12_digest_index,
     }
 
