@@ -9,6 +9,7 @@ from popcenter.llm.lines import op9_line_frequency
 from popcenter.llm.mixing import op8_mix
 from popcenter.llm.neardup import op4_near_duplicates
 from popcenter.llm.oracles import oracle_sql
+from popcenter.llm.periods import op13_periodic_runs
 from popcenter.llm.quality import op7_quality
 from popcenter.llm.secrets import op1_secrets
 from popcenter.llm.sharding import op3_interleaved_shards
@@ -32,5 +33,6 @@ def queries():
         "op9_line_frequency": op9_line_frequency,
         "op10_suffix_arrays": op10_suffix_arrays,
         "op12_digest_index": op12_digest_index,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
