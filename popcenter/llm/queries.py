@@ -13,6 +13,7 @@ from popcenter.llm.periods import op13_periodic_runs
 from popcenter.llm.quality import op7_quality
 from popcenter.llm.secrets import op1_secrets
 from popcenter.llm.sharding import op3_interleaved_shards
+from popcenter.llm.spelling import op11_spelling
 from popcenter.llm.substrings import op5_substrings
 from popcenter.llm.urls import op6_url_filter
 
@@ -32,6 +33,7 @@ def queries():
         "op8_mix": op8_mix,
         "op9_line_frequency": op9_line_frequency,
         "op10_suffix_arrays": op10_suffix_arrays,
+        "op11_spelling": op11_spelling,
         "op12_digest_index": op12_digest_index,
         "op13_periodic_runs": op13_periodic_runs,
     }
