@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this package that SQL can express.
 
-Not here: op1 and op7 (trained models), op2 (MinHash windows), op3 (DuckDB has no CRC-32) and the
-pipeline; tests/llm holds them against plain Python or held-out accuracy.
+Not here: op1 and op7 (trained models), op2 (MinHash windows), op3 and the pipeline; tests/llm holds
+op7 against held-out labels and op4, op5, op10 to op13 against plain Python as well.
 """
 
 from __future__ import annotations
@@ -136,6 +136,67 @@ FROM d
 """
 
 
+# CRC-32 of a list of bytes, by the table of its bytes; ``crc.t`` must be in scope
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of the UTF-8 of a text whose code points are below U+0800."""
+    u = "CAST(unicode(ch) AS BIGINT)"
+    data = (f"flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN {u} < 128 THEN [{u}] "
+            f"ELSE [192 + ({u} >> 6), 128 + ({u} & 63)] END))")
+    return (f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {data}), "
+            "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))")
+
+
+SPELLING = f"""
+WITH RECURSIVE {CRC_TABLE},
+found AS (SELECT doc_id, translate(run, {ASCII_LOWER}) AS run, count(*) AS c FROM (
+            SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents) GROUP BY ALL),
+marked AS (SELECT run, c, {_crc("concat(CAST(doc_id AS VARCHAR), ':', run)")} AS h FROM found, crc),
+spelled AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+            FROM marked),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+holes AS (SELECT word, n, length(word) AS l, i, substr(word, 1, i - 1) || substr(word, i + 1) AS hole
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b
+           ON a.i = b.i AND a.l = b.l AND a.hole = b.hole AND a.word <> b.word
+         UNION SELECT holes.word, v.word, v.n FROM holes JOIN v ON hole = v.word
+         UNION SELECT v.word, holes.word, holes.n FROM holes JOIN v ON hole = v.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS top, max(near_n) AS top_n FROM near GROUP BY word),
+j AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * n THEN top END AS form,
+             CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM v LEFT JOIN best USING (word)),
+way(word, goal) AS (SELECT word, form FROM j WHERE form IS NOT NULL
+                  UNION ALL SELECT way.word, j.form FROM way JOIN j ON j.word = way.goal WHERE j.form IS NOT NULL),
+last AS (SELECT way.word, way.goal FROM way JOIN j ON j.word = way.goal WHERE j.form IS NULL)
+SELECT word, form, coalesce(last.goal, word) AS root, n, n_near, form_n FROM j LEFT JOIN last USING (word)
+"""
+
+PERIODS = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, {_words("text")} AS w, {_crc("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+a AS (SELECT doc_id, w, h, (h // 10) % nullif(len(w), 0) AS a, 1 + (len(w) - (h // 10) % nullif(len(w), 0)) // (3 + (h // 10) % 8) AS p FROM d),
+l AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND len(w) > 0
+        THEN list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w FROM a),
+pos AS (SELECT doc_id, n, i, w[i + 1] AS t FROM (SELECT doc_id, w, len(w) AS n, unnest(range(len(w))) AS i FROM l)),
+eq AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM pos x JOIN pos y
+       ON x.doc_id = y.doc_id AND x.t = y.t AND y.i > x.i AND y.i - x.i <= x.n // 3),
+st AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+       FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM eq)
+       GROUP BY doc_id, q, part HAVING count(*) >= 2 * q AND count(*) + q >= 24),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM st GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS c FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS s,
+                  first(struct_pack(s := start, n := length, q := period) ORDER BY length / period DESC, start, period) AS b
+           FROM runs GROUP BY doc_id)
+SELECT l.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.n AS length, b.q AS period, 1000 * b.n // b.q AS exponent_milli,
+       sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256, CAST(len(w) AS BIGINT) AS n_words
+FROM l LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_near_duplicates": NEAR_DUPLICATES,
@@ -144,5 +205,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_mix": MIX,
         "op9_line_frequency": LINES,
         "op10_suffix_arrays": LEAKS,
+        "op11_spelling": SPELLING,
         "op12_digest_index": COPIES,
+        "op13_periodic_runs": PERIODS,
     }
