@@ -99,6 +99,75 @@ def block_distances(a, b):
     return np.sqrt(acc)
 
 
+def pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of row pairs, summed in the order of ``block_distances``."""
+    acc = np.zeros(len(a))
+    for d in range(a.shape[1]):
+        diff = a[:, d] - b[:, d]
+        acc += diff * diff
+    return np.sqrt(acc)
+
+
+def squares(a: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, a)
+
+
+class Nearness:
+    """Exact threshold tests on the distances of two stacks of vectors. Squared distances come from one
+    matrix product with a bound on their error; only pairs within the error are computed
+    coordinate by coordinate, so every answer is that of ``block_distances``."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self.a, self.b = a, b
+        with np.errstate(over="ignore", invalid="ignore"):
+            a2, b2 = squares(a), squares(b)
+            self.approx = a2[:, None] + b2[None, :] - 2 * (a @ b.T)
+            scale = (a2.max() if len(a) else 0.0) + (b2.max() if len(b) else 0.0)
+        self.error = (a.shape[1] + 16) * 1e-15 * scale
+        self.sure = bool(np.isfinite(self.error))
+        self._exact: np.ndarray | None = None
+
+    def exact(self) -> np.ndarray:
+        if self._exact is None:
+            self._exact = block_distances(self.a, self.b)
+        return self._exact
+
+    def within(self, radius: float) -> np.ndarray:
+        """block_distances(a, b) <= radius"""
+        square = radius * radius
+        if not self.sure or not np.isfinite(square):
+            return self.exact() <= radius
+        margin = self.error + (self.a.shape[1] + 16) * 1e-15 * square
+        inside = self.approx <= square + margin
+        i, j = np.nonzero(inside & (self.approx >= square - margin))
+        if 4 * len(i) > inside.size:
+            return self.exact() <= radius
+        inside[i, j] = pair_distances(self.a[i], self.b[j]) <= radius
+        return inside
+
+    def least(self, least: float, positive: float, apart: bool = False) -> tuple[float, float]:
+        """The least and least positive distance, given those known so far. ``apart``: only of
+        pairs (i, j) with i < j."""
+        if not self.approx.size:
+            return least, positive
+        if not self.sure:
+            d = self.exact()[np.triu_indices(len(self.a), 1)] if apart else self.exact().ravel()
+            return min(least, d.min(initial=np.inf)), min(positive, np.where(d > 0, d, np.inf).min(initial=np.inf))
+        bound = positive * positive if positive < 1e150 else np.inf
+        i, j = np.nonzero(self.approx <= bound * (1 + 1e-12) + 2 * self.error)
+        if apart:
+            i, j = i[i < j], j[i < j]
+        order = np.argsort(self.approx[i, j], kind="stable")
+        for at in range(0, len(order), BLOCK_DISTANCES >> 4):
+            some = order[at:at + (BLOCK_DISTANCES >> 4)]
+            if self.approx[i[some[0]], j[some[0]]] > positive * positive * (1 + 1e-12) + 2 * self.error:
+                break
+            d = pair_distances(self.a[i[some]], self.b[j[some]])
+            least = min(least, d.min())
+            positive = min(positive, np.where(d > 0, d, np.inf).min())
+        return least, positive
+
+
 def nearest_rows(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Position of and distance to the closest center (the first of equals) of each row."""
     pos, dist = np.zeros(len(x), np.int64), np.full(len(x), np.inf)

@@ -6,31 +6,33 @@ is a candidate, covered ones too; ties: the lowest order index), then mark every
 uncovered point within ``(3+4*alpha)*r`` of it as covered. The guess is accepted when the
 uncovered weight is at most z; otherwise r doubles.
 
-Spark form. Guesses share no state, so all of them run side by side (a guess index ``g``).
-The weighted set, of any size, is hashed into tiles of about ``TILE`` points. A unit of work is
-one tile of candidates and a stripe of ``STRIPE`` tiles of points; the table of units is laid
-out once and cached. One greedy step is one job:
-
-1. a task goes through its stripe tile by tile: it finds each guess's uncovered points from the
-   centers chosen so far, one distance block candidates x points, and adds up the candidates'
-   ball weights for every guess. Distances are never stored, and no array is larger than a tile
-   by a tile, whatever the size of the set;
-2. the partial ball weights, one row per guess, candidate tile and stripe, are summed per
-   candidate tile, whose best candidate (largest weight, then lowest idx) goes on;
-3. the best of each guess is one row for the driver.
-
-The driver keeps the chosen centers (k vectors a guess) and nothing that grows with the set. It
-stops a guess once it is finished and drops every guess above the smallest one already certain
-to be accepted (uncovered weight only decreases). The accepted guess is the smallest with
+Spark form. Guesses share no state, so all of them run side by side (a guess index ``g``). The
+weighted set, of any size, is packed once into tiles of neighbouring points (``tiles``); pairs of strips
+of tiles are the work units. Tiles and units are laid out once and cached, partitioned by tile and
+by unit, and no vector moves after that. What changes is the cover state: a bitmap per tile and guess.
+A greedy step is two jobs:
+
+1. each tile's bitmap is updated by the newest center of each guess (a tile that lies outside of the
+   cover radius, or inside as a whole, is decided by its center and radius), and the uncovered weights
+   are added up: guesses that are finished, or too large to matter, go no further. The bitmaps, an eighth of a byte
+   per point and guess, go to the units of their tile;
+2. a unit adds up, for each pair of its tiles and each guess, the uncovered weight of one tile in the balls of the
+   other's points, both ways from one block of distances. Pairs that lie apart, and pairs that
+   lie within the ball as a whole, are settled by the tiles' bounds without distances. The partial sums of a tile, one row per
+   unit and guess, are added up where the tile lies; its best candidate (largest weight, then lowest idx)
+   goes on with its vector, and the best of each guess is one row for the driver.
+
+Each distance between a point and a center is computed once a guess. The driver keeps the chosen centers (k per guess) and nothing that grows
+with the set. It stops a guess once it is finished and drops every guess above the smallest
+one already certain to be accepted (uncovered weight only decreases). The accepted guess is the smallest with
 uncovered weight <= z, exactly as in the sequential loop. The guesses are fixed in advance:
 enough doublings that the last one covers everything with one center (the diameter is bounded
-by twice the largest distance from the first point). The work is quadratic in the set, as the
-algorithm is; ``max_points`` is an optional guard, off by default.
+by twice the largest distance from the first point). Pairs of tiles are quadratic in the set, as the
+algorithm is, where bounds do not settle them; ``max_points`` is an optional guard, off by default.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,12 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcenter.functions.vectors import block_distances, check_vectors, matrix, nearest_udf
+from popcenter.functions.vectors import Nearness, block_distances, malformed, nearest_udf
 from popcenter.operators.selection import kth_value
+from popcenter.operators.tiles import TILE, bounds, pack_tiles, strip_count, tiles_in, work_units
 from popcenter.session import checkpoint
 
-TILE = 1024
-STRIPE = 16
+#: Steps after which the bitmaps' lineage is cut.
+CUT_STEPS = 16
 
 
 def _check_params(k: int, z: int, alpha: float) -> None:
@@ -55,183 +58,260 @@ def _check_params(k: int, z: int, alpha: float) -> None:
         raise ValueError(f"alpha must be >= 0, got {alpha}")
 
 
-# ---------------------------------------------------------------- tiles
-
-def tile_count(n: int, tile: int, tasks: int = 1) -> int:
-    """Tiles of at most about ``tile`` points; more for a small set, so that ``tasks`` have work."""
-    return max(1, -(-n // tile), min(tasks, -(-n // 64)))
-
-
 def _tasks(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-def work_units(weighted: DataFrame, n_tiles: int, stripe: int = STRIPE) -> DataFrame:
-    """Rows (a, s, b, idx, x, w) sorted by (a, s, b, idx): for candidate tile ``a`` and stripe ``s``
-    the candidates (b = -1) and then the points of each tile of the stripe. Tiles are hashes of
-    idx, so they are even for any pattern of ids. Cached, hash-partitioned by (a, s)."""
-    n_stripes = -(-n_tiles // stripe)
-    tiled = weighted.select(F.pmod(F.xxhash64("idx"), F.lit(n_tiles)).cast("int").alias("tile"), "idx", "x", "w")
-    cand = tiled.select(F.col("tile").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(n_stripes - 1))).alias("s"),
-                        F.lit(-1).alias("b"), "idx", "x", "w")
-    points = tiled.select(F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("a"),
-                          F.floor(F.col("tile") / stripe).cast("int").alias("s"), F.col("tile").alias("b"), "idx", "x", "w")
-    return cand.unionByName(points).repartition("a", "s").sortWithinPartitions("a", "s", "b", "idx").cache()
+# ---------------------------------------------------------------- cover state
 
+def _pack(covered: np.ndarray) -> bytes:
+    return np.packbits(covered, axis=1).tobytes()
 
-def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(a, s, b, idx, x, w) of each tile in a task's sorted rows (a tile may span batches)."""
-    held: list[tuple] = []
 
-    def whole():
-        return (*held[0][:3], *[np.concatenate([h[k] for h in held]) for k in (3, 4, 5)])
+def _unpack(bits: bytes | None, guesses: int, n: int) -> np.ndarray:
+    if bits is None:
+        return np.zeros((guesses, n), bool)
+    return np.unpackbits(np.frombuffer(bits, np.uint8).reshape(guesses, -1), axis=1, count=n).astype(bool)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, s, b, idx, w = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5))
-        x = matrix(batch.column(4))
-        new = np.flatnonzero(np.r_[True, (np.diff(a) != 0) | (np.diff(s) != 0) | (np.diff(b) != 0)])
-        for i, j in zip(new, np.r_[new[1:], len(a)]):
-            key = (int(a[i]), int(s[i]), int(b[i]))
-            if held and held[0][:3] != key:
-                yield whole()
-                held = []
-            held.append((*key, idx[i:j], x[i:j], w[i:j]))
-    if held:
-        yield whole()
-
-
-def _uncovered(x: np.ndarray, centers: np.ndarray, cover: float) -> np.ndarray:
-    out = np.ones(len(x), bool)
-    if len(centers):
-        out &= (block_distances(x, centers) > cover).all(axis=1)
-    return out
 
+def _bits_in(state: pa.Table) -> dict[int, bytes]:
+    """The bitmaps by tile; the empty side of a cogroup has no columns."""
+    return dict(zip(state.column("tile").to_pylist(), state.column("bits").to_pylist())) if state.num_rows else {}
 
-_PARTIAL = "g int, a int, n long, sums binary, ids binary, wz double"
-
-
-def _partial_sums(spec: dict):
-    """For mapInArrow over work units: ball weights of a candidate tile within one stripe, per
-    guess. ``spec[g] = (ball_radius, cover_radius, centers (array), pick)``. Tile 0 of the
-    candidates also reports the stripe's uncovered weight."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cand: tuple | None = None
-        sums: dict[int, np.ndarray] = {}
-        left: dict[int, float] = {}
-
-        def done() -> pa.RecordBatch:
-            ids = cand[1].astype(np.int64).tobytes()
-            rows = [(g, cand[0][0], len(cand[1]), sums[g].tobytes(), ids, left[g]) for g in spec]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in
-                 enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.float64()))],
-                ["g", "a", "n", "sums", "ids", "wz"])
-
-        for a, s, b, idx, x, w in tiles_of(batches):
-            if cand is None or cand[0] != (a, s):
-                if cand is not None:
-                    yield done()
-                if b >= 0:  # an empty candidate tile
-                    cand = ((a, s), np.empty(0, np.int64), x[:0])
-                else:
-                    cand = ((a, s), idx, x)
-                sums = {g: np.zeros(len(cand[1])) for g in spec}
-                left = dict.fromkeys(spec, 0.0)
-                if b < 0:
+
+def _covering(guesses: int, newest: dict[int, tuple[np.ndarray, float]]):
+    """For a cogroup of tiles and their bitmaps: ``newest[g] = (center, cover radius)`` applied."""
+    def run(key, tiles: pa.Table, old: pa.Table) -> pa.Table:
+        out = []
+        held = _bits_in(old)
+        strip = dict(zip(tiles.column("tile").to_pylist(), tiles.column("strip").to_pylist()))
+        for t in tiles_in(tiles):
+            covered, computed = _unpack(held.get(t.tile), guesses, len(t.ids)), 0
+            for g, (center, cover) in newest.items():
+                d = float(block_distances(t.center, center[None, :])[0, 0])
+                slack = 1e-9 * (d + t.radius)
+                if d - t.radius - slack > cover:
                     continue
-            dist = None
-            for g, (ball, cover, centers, pick) in spec.items():
-                weight = w * _uncovered(x, centers, cover)
-                total = float(weight.sum())
-                left[g] += total if a == 0 else 0.0
-                if pick and total > 0 and len(cand[1]):
-                    if dist is None:
-                        dist = block_distances(cand[2], x)
-                    sums[g] += (dist <= ball).astype(float) @ weight  # whole numbers: exact below 2^53
-        if cand is not None:
-            yield done()
+                if d + t.radius + slack <= cover:
+                    covered[g] = True
+                else:
+                    covered[g] |= block_distances(t.x, center[None, :])[:, 0] <= cover
+                    computed += len(t.ids)
+            out.append((strip[t.tile], t.tile, _pack(covered), (~covered @ t.w).tolist(), computed))
+        return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_BITS)], schema=_BITS)
 
     return run
 
 
-def _tile_sums(all_candidates: bool):
-    """For mapInArrow over partial sums sorted by (g, a): per candidate tile the best candidate
-    (or all of them), and the uncovered weight."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sums, ids, left = None, None, None, 0.0
-
-        def done() -> list[tuple]:
-            if all_candidates:
-                return [(key[0], int(i), float(v), left) for i, v in zip(ids, sums)]
-            if not len(sums) or sums.max() <= 0:
-                return [(key[0], None, 0.0, left)]
-            best = ids[sums == sums.max()].min()
-            return [(key[0], int(best), float(sums.max()), left)]
-
-        def rows(out):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.float64()))],
-                ["g", "idx", "val", "wz"])
-
-        for batch in batches:
-            out = []
-            for g, a, raw, raw_ids, wz in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5))):  # a row a tile
-                if (g, a) != key:
-                    if key is not None:
-                        out += done()
-                    key, sums, ids, left = (g, a), np.zeros(len(raw) // 8), np.frombuffer(raw_ids, np.int64), 0.0
-                sums += np.frombuffer(raw)
-                left += wz
-            if out:
-                yield rows(out)
-        if key is not None:
-            yield rows(done())
+_BITS = pa.schema([("strip", pa.int32()), ("tile", pa.int64()), ("bits", pa.binary()), ("left", pa.list_(pa.float64())),
+                   ("computed", pa.int64())])
+
+
+def cover(tiles: DataFrame, bits: DataFrame | None, guesses: int, newest: dict) -> DataFrame:
+    """The bitmaps (strip, tile, bits, left, computed) after the newest centers; ``left`` is each guess's
+    uncovered weight in the tile, ``computed`` counts distances."""
+    old = tiles.select("tile", F.lit(None).cast("binary").alias("bits")).limit(0) if bits is None else bits.select("tile", "bits")
+    return tiles.groupBy("tile").cogroup(old.groupBy("tile")).applyInArrow(
+        _covering(guesses, newest), "strip int, tile long, bits binary, left array<double>, computed long")
+
+
+def uncovered(bits: DataFrame) -> dict[int, int]:
+    """Uncovered weight by guess."""
+    left = bits.select(F.posexplode("left").alias("g", "w")).groupBy("g").agg(F.sum("w").alias("w"))
+    return {r["g"]: int(r["w"]) for r in left.collect()}  # a row a guess
+
+
+# ---------------------------------------------------------------- ball weights
+
+_PARTIAL = pa.schema([("tile", pa.int64()), ("g", pa.int32()), ("sums", pa.binary()),
+                      ("pairs", pa.int64()), ("skipped", pa.int64()), ("taken", pa.int64())])
+
+
+def _partial_sums(guesses: int, balls: dict[int, float]):
+    """For a cogroup of a unit's tiles and bitmaps: per tile and guess the uncovered weight in the
+    balls of the tile's points, of the points of this unit. ``balls[g]`` is the ball radius. Counts
+    pairs of tiles and guesses, and those that the bounds settled."""
+    def run(key, tiles: pa.Table, state: pa.Table) -> pa.Table:
+        held = {t for t, h in zip(tiles.column("tile").to_pylist(), tiles.column("held").to_pylist()) if h}
+        bits = _bits_in(state)
+        both = tiles_in(tiles)
+        own, other = [t for t in both if t.tile in held], [t for t in both if t.tile not in held]
+        weight = {}
+        for t in both:
+            covered = _unpack(bits.get(t.tile), guesses, len(t.ids))
+            weight[t.tile] = {g: t.w * ~covered[g] for g in balls}
+        some = {t: [w.any() for w in by.values()] for t, by in weight.items()}
+        sums = {t.tile: {g: np.zeros(len(t.ids)) for g in balls} for t in both}
+        pairs = skipped = taken = 0
+        # within one strip each tile meets itself and those behind it, else all of the other strip
+        meets = [(a, b) for a in own for b in other] if other else [(a, b) for i, a in enumerate(own) for b in own[i:]]
+        for a, b in meets:
+            low, high = bounds(a, b)
+            near = None
+            for (g, ball), has_a, has_b in zip(balls.items(), some[a.tile], some[b.tile]):
+                wa, wb = weight[a.tile][g], weight[b.tile][g]
+                pairs += 1
+                if low > ball or not (has_a or has_b):
+                    skipped += 1
+                elif high <= ball:
+                    taken += 1
+                    sums[a.tile][g] += wb.sum()
+                    if a is not b:
+                        sums[b.tile][g] += wa.sum()
+                else:
+                    near = near or Nearness(a.x, b.x)
+                    inside = near.within(ball).astype(float)  # whole weights: exact below 2^53
+                    if has_b:
+                        sums[a.tile][g] += inside @ wb
+                    if has_a and a is not b:
+                        sums[b.tile][g] += wa @ inside
+        out = []
+        for t in both:
+            for g in balls:
+                out.append((t.tile, g, sums[t.tile][g].tobytes(), pairs, skipped, taken))
+                pairs = skipped = taken = 0
+        return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_PARTIAL)], schema=_PARTIAL)
 
     return run
 
 
-def _scored(units: DataFrame, spec: dict, all_candidates: bool = False) -> DataFrame:
-    """(g, idx, val, wz) per guess and candidate tile (or candidate)."""
-    partial = units.mapInArrow(_partial_sums(spec), _PARTIAL)
-    return partial.repartition("g", "a").sortWithinPartitions("g", "a").mapInArrow(
-        _tile_sums(all_candidates), "g int, idx long, val double, wz double")
+_BEST = "g int, idx long, val double, x array<double>, pairs long, skipped long, taken long"
+_BEST_ARROW = pa.schema([("g", pa.int32()), ("idx", pa.int64()), ("val", pa.float64()), ("x", pa.list_(pa.float64())),
+                         ("pairs", pa.int64()), ("skipped", pa.int64()), ("taken", pa.int64())])
 
 
-def greedy_step(units: DataFrame, spec: dict) -> dict[int, tuple[int | None, int]]:
-    """One greedy step for every guess in ``spec``: {g: (chosen idx or None, uncovered weight)}."""
-    best = _scored(units, spec).groupBy("g").agg(
-        F.max(F.when(F.col("idx").isNotNull(), F.struct("val", -F.col("idx")))).alias("best"), F.sum("wz").alias("wz"))
-    return {r["g"]: (None if r["best"] is None else -r["best"][1], int(r["wz"])) for r in best.collect()}
+def _tile_sums(all_candidates: bool):
+    """For a cogroup of a tile and its partial sums: per guess the best candidate (or all)."""
+    def run(key, tiles: pa.Table, partial: pa.Table) -> pa.Table:
+        out = []
+        for t in tiles_in(tiles):
+            by: dict[int, list] = {}
+            for tile, g, sums, *rest in zip(*(partial.column(c).to_pylist() for c in _PARTIAL.names)):
+                if tile == t.tile:
+                    now = by.setdefault(g, [np.zeros(len(t.ids)), 0, 0, 0])
+                    now[0] += np.frombuffer(sums)
+                    now[1:] = [a + b for a, b in zip(now[1:], rest)]
+            for g, (sums, *rest) in by.items():
+                if all_candidates:
+                    out += [(g, int(i), float(v), None, 0, 0, 0) for i, v in zip(t.ids, sums)]
+                elif sums.max() > 0:
+                    at = np.flatnonzero(sums == sums.max())
+                    best = at[t.ids[at].argmin()]
+                    out.append((g, int(t.ids[best]), float(sums[best]), t.x[best].tolist(), *rest))
+                else:
+                    out.append((g, None, 0.0, None, *rest))
+        return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_BEST_ARROW)], schema=_BEST_ARROW)
+
+    return run
+
+
+@dataclass
+class Layout:
+    """A weighted set laid out for the greedy: tiles by tile, units by unit, both cached."""
+    tiles: DataFrame
+    units: DataFrame
+    strips: int
+
+    def close(self) -> None:
+        self.units.unpersist()
+        self.tiles.unpersist()
+
+
+def lay_out(weighted: DataFrame, n: int, dim: int, tile: int = TILE, strips: int | None = None) -> Layout:
+    """``strips`` times the set is copied, once; see ``tiles``."""
+    strips = strips or strip_count(n, dim, _tasks(weighted), tile)
+    packed = pack_tiles(weighted, n, dim, strips, tile)
+    tiles = packed.repartition(min(4 * strips, -(-n // tile)), "tile").cache()
+    return Layout(tiles, work_units(tiles, strips).cache(), strips)
+
+
+def scored(layout: Layout, bits: DataFrame | None, guesses: int, balls: dict, all_candidates: bool = False) -> DataFrame:
+    """(g, idx, val, x, ...) per guess and tile (or candidate)."""
+    s = layout.strips
+    if bits is None:
+        state = layout.tiles.select(F.lit(0).alias("unit"), "tile", F.lit(None).cast("binary").alias("bits")).limit(0)
+    else:
+        low, high = F.least("strip", "other"), F.greatest("strip", "other")
+        state = bits.select(F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("other"), "strip", "tile", "bits").select(
+            (low * s + high).alias("unit"), "tile", "bits")
+    partial = layout.units.groupBy("unit").cogroup(state.groupBy("unit")).applyInArrow(
+        _partial_sums(guesses, balls), "tile long, g int, sums binary, pairs long, skipped long, taken long")
+    return layout.tiles.groupBy("tile").cogroup(partial.groupBy("tile")).applyInArrow(_tile_sums(all_candidates), _BEST)
+
+
+def best_candidates(layout: Layout, bits: DataFrame | None, guesses: int, balls: dict) -> dict:
+    """For every guess in ``balls`` a row with idx and x of the best candidate (null: no positive ball) and the
+    counts pairs, skipped and taken of tile pairs."""
+    rank = F.when(F.col("idx").isNotNull(), F.struct("val", -F.col("idx")))
+    best = scored(layout, bits, guesses, balls).groupBy("g").agg(
+        F.max_by("idx", rank).alias("idx"), F.max_by("x", rank).alias("x"), *[F.sum(c).alias(c) for c in ("pairs", "skipped", "taken")])
+    return {r["g"]: r for r in best.collect()}  # a row a guess
 
 
 def ball_weights(weighted: DataFrame, radius: float, tile: int = TILE) -> DataFrame:
     """Ball weight of every point with all points uncovered: ``(idx, ball_weight)``."""
-    ws = weighted.select("idx", "x", F.col("w").cast("long").alias("w"))
-    units = work_units(ws, tile_count(ws.count(), tile, _tasks(ws)))
-    out = _scored(units, {0: (float(radius), 0.0, np.empty((0, 0)), True)}, all_candidates=True)
-    return out.select("idx", F.col("val").cast("long").alias("ball_weight"))
+    ws = checkpoint(weighted.select("idx", "x", F.col("w").cast("long").alias("w")))
+    size = ws.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("dim")).first()
+    if not size["n"]:
+        return ws.select("idx", F.lit(0).cast("long").alias("ball_weight"))
+    layout = lay_out(ws, size["n"], size["dim"], tile)
+    out = checkpoint(scored(layout, None, 1, {0: float(radius)}, all_candidates=True).select(
+        "idx", F.col("val").cast("long").alias("ball_weight")))
+    layout.close()
+    return out
 
 
 # ---------------------------------------------------------------- first guess
 
-def _pair_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over work units: the least and the least positive distance in a unit."""
-    cand, key = None, None
-    least, positive = [], []
-    for a, s, b, idx, x, _ in tiles_of(batches):
-        if b < 0:
-            cand, key = (idx, x), (a, s)
-        elif key == (a, s) and b >= a:
-            dist = block_distances(cand[1], x)
-            if a == b:
-                dist[np.tril_indices(len(dist))] = np.inf
-            if dist.size:
-                least.append(dist.min())
-                positive.append(np.where(dist > 0, dist, np.inf).min())
-    if least:
-        yield pa.RecordBatch.from_arrays([pa.array([float(min(least))]), pa.array([float(min(positive))])], ["d", "dpos"])
+_MINIMA = pa.schema([("d", pa.float64()), ("dpos", pa.float64()), ("blocks", pa.int64())])
+
+
+def _tile_minima(batches):
+    """For mapInArrow over tiles: the least and least positive distance within each."""
+    for batch in batches:
+        for t in tiles_in(pa.Table.from_batches([batch])):
+            d, dpos = Nearness(t.x, t.x).least(np.inf, np.inf, apart=True)
+            yield pa.RecordBatch.from_arrays([pa.array([d]), pa.array([dpos]), pa.array([1], pa.int64())], schema=_MINIMA)
+
+
+def _unit_minima(least: float, positive: float):
+    """For groups of a unit's tiles: the minima between different tiles, where their bounds and the
+    minima known so far leave it open. Of a pair of tiles only the points near the other tile are compared."""
+    def run(key, tiles):
+        held = {t for t, h in zip(tiles.column("tile").to_pylist(), tiles.column("held").to_pylist()) if h}
+        both = tiles_in(tiles)
+        own, other = [t for t in both if t.tile in held], [t for t in both if t.tile not in held]
+        d, dpos, blocks = least, positive, 0
+        for a, b in [(a, b) for a in own for b in other] if other else [(a, b) for i, a in enumerate(own) for b in own[i + 1:]]:
+            if bounds(a, b)[0] > dpos:
+                continue
+            reach = lambda t: (t.radius + dpos) * (1 + 1e-9)
+            x = a.x[block_distances(a.x, b.center)[:, 0] <= reach(b)]
+            y = b.x[block_distances(b.x, a.center)[:, 0] <= reach(a)]
+            if len(x) and len(y):
+                d, dpos = Nearness(x, y).least(d, dpos)
+                blocks += 1
+        return pa.table([pa.array([d]), pa.array([dpos]), pa.array([blocks], pa.int64())], schema=_MINIMA)
+
+    return run
+
+
+def closest_pair(points: DataFrame, n: int, dim: int, tile: int = TILE) -> tuple[float, float, int]:
+    """The least and the least positive distance among ``points`` (idx, x, w), infinite if there is none,
+    and the number of blocks of distances computed. Neighbours are packed into one tile, so the
+    minima within tiles (linear in n) are near the minima of all and settle most pairs of tiles."""
+    strips = strip_count(n, dim, _tasks(points), tile)
+    tiles = pack_tiles(points, n, dim, strips, tile)
+    if n > tile:
+        tiles = tiles.cache()
+    kernel = "d double, dpos double, blocks long"
+    row = tiles.mapInArrow(_tile_minima, kernel).agg(F.min("d").alias("d"), F.min("dpos").alias("dpos"), F.sum("blocks").alias("b")).first()
+    if n > tile:
+        more = work_units(tiles, strips).groupBy("unit").applyInArrow(_unit_minima(row["d"], row["dpos"]), kernel)
+        first, row = row["b"], more.agg(F.min("d").alias("d"), F.min("dpos").alias("dpos"), F.sum("blocks").alias("b")).first()
+        tiles.unpersist()
+        return row["d"], row["dpos"], first + row["b"]
+    return row["d"], row["dpos"], row["b"]
 
 
 def initial_radius(weighted: DataFrame, m: int, tile: int = TILE) -> DataFrame:
@@ -239,16 +319,24 @@ def initial_radius(weighted: DataFrame, m: int, tile: int = TILE) -> DataFrame:
 
     One row: ``(r0, r0_positive, head_size)``; ``r0_positive`` is half the least *positive*
     distance among them (null when all coincide), used when duplicates make ``r0`` zero. The
-    m-th idx (they are distinct) is found by selection and the head is compared tile by tile, so
-    the head may be of any size; nothing else is paired.
+    m-th idx (they are distinct) is found by selection, and the closest pair of the head, of any size, from
+    tiles of neighbouring points.
     """
     ws = weighted.select("idx", "x", F.lit(1).cast("long").alias("w"))
-    last = kth_value(ws, "idx", m - 1)
-    head = ws if last is None else ws.where(F.col("idx") <= last)
-    size = ws.count() if last is None else m
-    minima = work_units(head, tile_count(size, tile, _tasks(ws))).mapInArrow(_pair_minima, "d double, dpos double")
-    known = lambda c: F.when(F.min(c) < float("inf"), F.min(c) / 2)
-    return minima.agg(known("d").alias("r0"), known("dpos").alias("r0_positive"), F.lit(size).cast("int").alias("head_size"))
+    stats = ws.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("dim")).first()
+    r0, positive, size = _initial_radius(ws, m, stats["n"], stats["dim"] or 0, tile)
+    known = lambda v: F.lit(v).cast("double")
+    return weighted.sparkSession.range(1).select(known(r0).alias("r0"), known(positive).alias("r0_positive"),
+                                                 F.lit(size).cast("int").alias("head_size"))
+
+
+def _initial_radius(ws: DataFrame, m: int, n: int, dim: int, tile: int) -> tuple[float | None, float | None, int]:
+    size = min(m, n)
+    if size < 2:
+        return None, None, size
+    head = ws if n <= m else ws.where(F.col("idx") <= kth_value(ws, "idx", m - 1))
+    d, dpos, _ = closest_pair(head, size, dim, tile)
+    return d / 2, (dpos / 2 if dpos < float("inf") else None), size
 
 
 # ---------------------------------------------------------------- greedy
@@ -262,6 +350,10 @@ class GreedyResult:
     uncovered_weight: int
     schedule: list[float] = field(default_factory=list)
     center_idx: list[int] = field(default_factory=list)
+    #: Pairs of tiles looked at over all steps and guesses, and those that bounds settled.
+    tile_pairs: int = 0
+    pruned_pairs: int = 0
+    steps: int = 0
 
 
 def guess_schedule(r0: float, r0_positive: float | None, fallback_positive: float | None,
@@ -287,22 +379,20 @@ def guess_schedule(r0: float, r0_positive: float | None, fallback_positive: floa
     return out
 
 
-def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float = 0.0,
-                              max_points: int | None = None, tile: int = TILE) -> GreedyResult:
-    """Weighted greedy on ``(idx, point_id, x, w)``; ``idx`` orders the points (ties, head).
-
-    Raises ValueError for malformed vectors, mixed dimensions, duplicate idx, weights below 1,
-    and z not below the total weight.
-    """
-    _check_params(k, z, alpha)
-    spark = weighted.sparkSession
-    # written once: everything below, the centers included, reads the same rows
-    ws = checkpoint(weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")))
-    if check_vectors(ws.select(F.col("idx").alias("point_id"), "x")) is None:
-        raise ValueError("empty point set")
-    stats = ws.groupBy("idx").agg(F.count(F.lit(1)).alias("c"), F.sum("w").alias("w"), F.min("w").alias("wmin")).agg(
+def _checked(ws: DataFrame, z: int, max_points: int | None):
+    """Statistics of the set in one aggregate, or ValueError."""
+    by_idx = ws.groupBy("idx").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("w").alias("w"), F.min("w").alias("wmin"), F.min(F.size("x")).alias("lo"),
+        F.max(F.size("x")).alias("hi"), F.count_if(malformed("x") | F.col("idx").isNull()).alias("bad"))
+    stats = by_idx.agg(
         F.sum("c").alias("c"), F.max("c").alias("cmax"), F.sum("w").alias("w"), F.min("wmin").alias("wmin"),
-        F.min("idx").alias("head")).first()
+        F.min("idx").alias("head"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bad").alias("bad")).first()
+    if not stats["c"]:
+        raise ValueError("empty point set")
+    if stats["bad"]:
+        raise ValueError(f"{stats['bad']} of the points have a missing id or a missing or malformed coordinate")
+    if stats["lo"] != stats["hi"]:
+        raise ValueError(f"points have mixed dimensions ({stats['lo']} to {stats['hi']})")
     if stats["cmax"] > 1:
         raise ValueError("duplicate point ids")
     if stats["wmin"] is None or stats["wmin"] < 1:
@@ -311,44 +401,65 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
         raise ValueError(f"z={z} must be smaller than the total weight ({stats['w']})")
     if max_points is not None and stats["c"] > max_points:
         raise ValueError(f"{stats['c']} points exceed max_points={max_points}")
+    return stats["c"], stats["hi"], stats["head"], int(stats["w"])
+
+
+def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float = 0.0, max_points: int | None = None,
+                              tile: int = TILE, strips: int | None = None) -> GreedyResult:
+    """Weighted greedy on ``(idx, point_id, x, w)``; ``idx`` orders the points (ties, head).
 
-    head_idx = stats["head"]
-    head = ws.where(F.col("idx") == head_idx).first()["x"]
-    from_head = ws.select(nearest_udf([(0, np.array([head], dtype=float))])("x")["d"].alias("d"))
+    Raises ValueError for malformed vectors, mixed dimensions, duplicate idx, weights below 1,
+    and z not below the total weight.
+    """
+    _check_params(k, z, alpha)
+    spark = weighted.sparkSession
+    # written once: everything below, the centers included, reads the same rows
+    ws = checkpoint(weighted.select("idx", "point_id", "x", F.col("w").cast("long").alias("w")))
+    n, dim, head_idx, total_weight = _checked(ws, z, max_points)
+    head = np.array(ws.where(F.col("idx") == head_idx).first()["x"], dtype=float)
+    from_head = ws.select(nearest_udf([(0, head[None, :])])("x")["d"].alias("d"))
     far = from_head.agg(F.max("d").alias("dmax"), F.min(F.when(F.col("d") > 0, F.col("d"))).alias("dpos")).first()
-    r0 = initial_radius(ws, k + z + 1, tile).first()
-    schedule = guess_schedule(float(r0["r0"] or 0.0), r0["r0_positive"], far["dpos"] / 2 if far["dpos"] else None,
-                              2 * far["dmax"], alpha)
-
-    units = work_units(ws.select("idx", "x", "w"), tile_count(stats["c"], tile, _tasks(ws)))
-    chosen: dict[int, list[int]] = {g: [] for g in range(len(schedule))}
-    at: dict[int, list[float]] = {}
-    wz: dict[int, int] = {}
+    r0, r0_positive, _ = _initial_radius(ws, k + z + 1, n, dim, tile)
+    schedule = guess_schedule(r0 or 0.0, r0_positive, far["dpos"] / 2 if far["dpos"] else None, 2 * far["dmax"], alpha)
+
+    layout = lay_out(ws, n, dim, tile, strips)
+    total = len(schedule)
+    chosen: dict[int, list[int]] = {g: [] for g in range(total)}
+    newest: dict[int, tuple[np.ndarray, float]] = {}
+    wz = dict.fromkeys(range(total), total_weight)
     done: set[int] = set()
-    bound = len(schedule)
+    steps, pairs, pruned = 0, 0, 0
+    bits = None
+    live = list(range(total))
     try:
-        while live := [g for g in range(len(schedule)) if g not in done and g <= bound]:
-            spec = {g: ((1 + 2 * alpha) * schedule[g], (3 + 4 * alpha) * schedule[g],
-                        np.array([at[i] for i in chosen[g]], dtype=float), len(chosen[g]) < k) for g in live}
-            step = greedy_step(units, spec)
+        while live:
+            best = best_candidates(layout, bits, total, {g: (1 + 2 * alpha) * schedule[g] for g in live})
+            steps += 1
             for g in live:
-                pick, wz[g] = step[g]
-                if wz[g] == 0 or len(chosen[g]) == k:
-                    done.add(g)
-                else:
-                    # a guess with uncovered weight always has a positive ball; index 0 is
-                    # what a sequential scan keeps if it had none
-                    chosen[g].append(head_idx if pick is None else pick)
-            wanted = sorted({c[-1] for c in chosen.values() if c} - at.keys())  # at most one a guess
-            if wanted:
-                at |= {r["idx"]: r["x"] for r in ws.where(F.col("idx").isin(wanted)).select("idx", "x").collect()}
+                row = best[g]
+                pairs, pruned = pairs + row["pairs"], pruned + row["skipped"] + row["taken"]
+                # a guess with uncovered weight always has a positive ball; index 0 is
+                # what a sequential scan keeps if it had none
+                chosen[g].append(head_idx if row["idx"] is None else row["idx"])
+                newest[g] = (head if row["idx"] is None else np.array(row["x"]), (3 + 4 * alpha) * schedule[g])
+            before = bits
+            bits = cover(layout.tiles, before, total, {g: newest[g] for g in live})
+            bits = checkpoint(bits) if steps % CUT_STEPS == 0 else bits.persist()
+            left = uncovered(bits)
+            if before is not None:
+                before.unpersist()
+            wz |= {g: left[g] for g in live}
+            done |= {g for g in live if wz[g] == 0 or len(chosen[g]) == k}
             certain = [g for g, v in wz.items() if v <= z]
-            bound = min(certain) if certain else len(schedule)
+            live = [g for g in live if g not in done and g <= min(certain, default=total)]
     finally:
-        units.unpersist()
+        layout.close()
+        if bits is not None:
+            bits.unpersist()
 
     g_star = min(g for g in done if wz[g] <= z)
-    steps = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
-    centers = ws.join(F.broadcast(steps), "idx").select("step", "idx", "point_id", "x")  # k rows
+    steps_table = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")
+    centers = ws.join(F.broadcast(steps_table), "idx").select("step", "idx", "point_id", "x")  # k rows
     return GreedyResult(centers=centers, r_initial=schedule[0], r_final=schedule[g_star], guesses=g_star + 1,
-                        uncovered_weight=wz[g_star], schedule=schedule, center_idx=list(chosen[g_star]))
+                        uncovered_weight=wz[g_star], schedule=schedule, center_idx=list(chosen[g_star]),
+                        tile_pairs=pairs, pruned_pairs=pruned, steps=steps)

@@ -243,8 +243,9 @@ def test_selection_of_any_rank(spark, monkeypatch):
     pts = _pts(spark, X)
     centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [50.0, -20.0])], "step int, x array<double>")
     C = [[0.0, 0.0], [50.0, -20.0]]
-    monkeypatch.setattr(S, "BUCKETS", 4)
-    for z in (7, 250, len(X) - 1):
+    monkeypatch.setattr(S, "END", 2)
+    monkeypatch.setattr(S, "LIST", 3)
+    for z in (0, 7, 250, len(X) - 1):
         assert kcenter_objective(pts, centers, z).first()["objective"] == brute.objective(X, C, z)
     assert kcenter_objective(pts, centers, len(X)).count() == 0
     ids = [2**62 + i * i for i in range(40)] + [-5, 2**62 + 3]
@@ -257,6 +258,29 @@ def test_selection_of_any_rank(spark, monkeypatch):
     assert [S.kth_value(tiny, "v", k) for k in range(4)] == [-1.5e308, 0.0, 5e-324, 1.5e308]
 
 
+def test_selection_takes_few_scans(spark, monkeypatch):
+    """Heavy tails, one value in most rows, even values: three jobs at most for any rank."""
+    import popcenter.operators.selection as S
+
+    n = 200_000
+    rng = np.random.default_rng(6)
+    tables = {"heavy": np.exp(rng.normal(size=n) * 12), "equal": np.where(rng.uniform(size=n) < 0.7, 5.0, rng.uniform(0, 10, n)),
+              "even": np.arange(n) * 1.5, "two": rng.integers(0, 2, n).astype(float)}
+    monkeypatch.setattr(S, "LIST", 300)
+    tracker = spark.sparkContext.statusTracker()
+    for name, values in tables.items():
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4).cache()
+        df.count()
+        want = np.sort(values)
+        for k in (0, 1500, n // 3, n - 700, n - 1):
+            spark.sparkContext.setJobGroup(f"{name}{k}", "")
+            assert S.kth_value(df, "v", k) == want[k] and S.kth_value(df, "v", k, largest=True) == want[n - 1 - k]
+            scans = len(tracker.getJobIdsForGroup(f"{name}{k}"))
+            assert scans <= 2 * 2 * 3, scans  # two calls, an aggregate being a map and a result job under AQE
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        df.unpersist()
+
+
 def test_initial_radius_over_many_tiles(spark):
     X = _clustered(seed=9, per=15, clusters=4, outliers=3).tolist() + [[1.0, 1.0]] * 2
     ws = unit_weighted(_pts(spark, X))
@@ -266,20 +290,96 @@ def test_initial_radius_over_many_tiles(spark):
         assert one["head_size"] == min(m, len(X))
 
 
-def test_greedy_over_many_tiles(spark, monkeypatch):
-    """Tiny tiles and stripes, ids in strides: the same centers, and every tile has its share."""
-    import popcenter.operators.kcenter as K
-
+@pytest.mark.parametrize("strips", [1, 4])
+def test_greedy_over_many_tiles(spark, strips):
+    """Tiny tiles, ids in strides: the same centers, and many pairs of tiles settled by their bounds."""
     X = _clustered(seed=13, per=20, clusters=4, outliers=3)
     ids = [8 * i for i in range(len(X))]
-    monkeypatch.setattr(K, "STRIPE", 3)
-    units = K.work_units(unit_weighted(_pts(spark, X, ids)).select("idx", "x", "w"), 8, stripe=3)
-    tiles = [r["count"] for r in units.where("b = -1 and s = 0").groupBy("a").count().collect()]
-    assert len(tiles) == 8 and sum(tiles) == len(X) and units.where("b >= 0").count() == 8 * len(X)
-    res = weighted_kcenter_outliers(unit_weighted(_pts(spark, X, ids)), 4, 3, 0.0, tile=9)
+    res = weighted_kcenter_outliers(unit_weighted(_pts(spark, X, ids)), 4, 3, 0.0, tile=9, strips=strips)
     S, r, guesses = brute.weighted_greedy(X.tolist(), [1] * len(X), 4, 3, 0.0)
     assert res.center_idx == [8 * i for i in S] and (res.r_final, res.guesses) == (r, guesses)
     assert [tuple(t.x) for t in sorted(res.centers.collect(), key=lambda t: t.step)] == [tuple(X[i]) for i in S]
+    assert res.tile_pairs / 4 < res.pruned_pairs < res.tile_pairs
+
+
+def test_layout_is_linear_in_the_points(spark):
+    """Rows laid out: the tiles hold each point once, the units ``strips`` times, whatever the number of tiles."""
+    import popcenter.operators.kcenter as K
+
+    X = np.random.default_rng(1).uniform(0, 1000, size=(20_000, 2))
+    ws = unit_weighted(_pts(spark, X)).select("idx", "x", "w")
+    for tile in (256, 1024):
+        layout = K.lay_out(ws, len(X), 2, tile, strips=5)
+        n_tiles, rows = layout.tiles.agg(F.count("*"), F.sum("n")).first()
+        copies, in_units = layout.units.agg(F.count("*"), F.sum("n")).first()
+        assert rows == len(X) and n_tiles >= len(X) // tile
+        assert copies == 5 * n_tiles and in_units == 5 * len(X)
+        radii = sorted(r["radius"] for r in layout.tiles.collect())
+        assert radii[len(radii) // 2] < 250  # neighbours, not a sample of the square
+        layout.close()
+
+
+def test_cover_state_is_carried(spark):
+    """A bitmap per tile and guess, lowered by the newest centers alone; tiles outside or inside as a whole cost nothing."""
+    import popcenter.operators.kcenter as K
+
+    X = _clustered(seed=21, per=30, clusters=3, outliers=0)
+    ws = unit_weighted(_pts(spark, X)).select("idx", "x", "w")
+    layout = K.lay_out(ws, len(X), 2, 10, strips=2)
+    D = brute.dist_matrix(X)
+
+    def covered(bits):
+        out = [set(), set()]
+        rows = {r["tile"]: r for r in layout.tiles.collect()}
+        for r in bits.collect():
+            ids = np.frombuffer(rows[r["tile"]]["ids"], np.int64)
+            for g, some in enumerate(K._unpack(r["bits"], 2, len(ids))):
+                out[g] |= set(ids[some].tolist())
+        return out
+
+    one = K.cover(layout.tiles, None, 2, {0: (X[0], 5.0), 1: (X[0], 2.0)}).persist()
+    assert covered(one) == [set(np.flatnonzero(D[0] <= 5.0)), set(np.flatnonzero(D[0] <= 2.0))]
+    two = K.cover(layout.tiles, one, 2, {1: (X[40], 3.0)})
+    assert covered(two) == [covered(one)[0], covered(one)[1] | set(np.flatnonzero(D[40] <= 3.0))]
+    assert two.agg(F.sum("computed")).first()[0] < len(X)
+    layout.close()
+
+
+def test_nearness_is_exact():
+    from popcenter.functions.vectors import Nearness, block_distances
+
+    rng = np.random.default_rng(4)
+    for dim, scale in ((1, 1.0), (2, 1e6), (64, 1.0), (3, 1e200), (2, 1e-170)):
+        a, b = rng.normal(size=(60, dim)) * scale, rng.normal(size=(50, dim)) * scale
+        b[:20] = a[:20]
+        with np.errstate(over="ignore"):
+            d = block_distances(a, b)
+            for radius in (0.0, np.quantile(d, 0.01), np.quantile(d, 0.5), d.max(), np.nextafter(d[0, 1], 0)):
+                assert (Nearness(a, b).within(radius) == (d <= radius)).all()
+            least, positive = Nearness(a, b).least(np.inf, np.inf)
+        assert least == d.min() and positive == np.where(d > 0, d, np.inf).min()
+        with np.errstate(over="ignore"):
+            own = block_distances(a, a)[np.triu_indices(60, 1)]
+            assert Nearness(a, a).least(np.inf, np.inf, apart=True)[0] == own.min()
+
+
+def test_closest_pair_of_a_long_head(spark):
+    """100,000 points: few blocks of distances, the result of a sorted sweep."""
+    from popcenter.operators.kcenter import closest_pair
+
+    rng = np.random.default_rng(8)
+    X = np.round(rng.uniform(0, 1e6, size=(100_000, 2)), 3)
+    X[70_000] = X[5]  # one pair coincides: least 0, least positive by the sweep
+    order = np.argsort(X[:, 0], kind="stable")
+    S, best = X[order], np.inf
+    for lag in range(1, 60):
+        d = np.sqrt(((S[lag:] - S[:-lag]) ** 2).sum(axis=1))
+        best = min(best, d[d > 0].min())
+    assert (S[60:, 0] - S[:-60, 0]).min() > best  # no pair further apart in the order can be nearer
+    ws = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(X)], "idx long, x array<double>, w long")
+    d, dpos, blocks = closest_pair(ws, len(X), 2)
+    assert d == 0 and abs(dpos - best) <= 1e-9 * best
+    assert blocks < 3000  # of about 19,000 pairs of tiles
 
 
 def test_greedy_alpha2_takes_several_centers_and_guesses(spark):
@@ -344,17 +444,21 @@ def test_malformed_points_raise(spark):
         kcenter_outliers(_pts(spark, [[0.0], [1.0], [5.0]], [1, 2, 2]), 2, 0)
 
 
-def test_greedy_step_reads_its_cache_without_shuffling_points(spark):
+def test_greedy_step_moves_no_vectors(spark):
     import popcenter.operators.kcenter as K
 
-    units = K.work_units(unit_weighted(points64_view(spark, SF01)).select("idx", "x", "w"), 2)
-    units.count()
-    step = K._scored(units, {0: (1.0, 3.0, np.empty((0, 0)), True)})
+    layout = K.lay_out(unit_weighted(points64_view(spark, SF01)).select("idx", "x", "w"), 1000, 64, 100, strips=3)
+    layout.units.count(), layout.tiles.count()
+    bits = K.cover(layout.tiles, None, 1, {0: (np.zeros(64), 0.5)}).persist()
+    bits.count()
+    step = K.scored(layout, bits, 1, {0: 1.0})
     step.collect()
     final = step._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    above_cache = final.split("InMemoryRelation")[0]
-    assert above_cache.count("MapInArrow") == 2 and above_cache.count("Exchange") == 1  # the partial sums alone
-    units.unpersist()
+    lines = [x for x in final.split("\n") if "InMemoryRelation" not in x]
+    above = "\n".join(x for x in lines if " x#" not in x or "FlatMap" not in x)
+    # the bitmaps go to their units and the partial sums to their tiles; tiles and units are read where they lie
+    assert sum("Exchange hashpartitioning(unit" in x or "Exchange hashpartitioning(tile" in x for x in above.split("InMemoryTableScan")[0].split("\n")) <= 2
+    layout.close()
 
 
 def test_fft_candidates_are_cut_before_the_shuffle(spark):
