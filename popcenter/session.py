@@ -11,8 +11,9 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "popcenter") -> SparkSession:
@@ -80,3 +81,29 @@ def checkpoint(df):
             spark.conf.unset(_DROP_SHUFFLES)
         else:
             spark.conf.set(_DROP_SHUFFLES, before)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class BucketedTable:
+    """A frame written once below the checkpoint directory, bucketed by ``key``: two such tables of the same
+    number of buckets are joined or cogrouped by the key without an exchange. ``drop`` deletes the files."""
+
+    def __init__(self, df: DataFrame, key: str, buckets: int):
+        self.spark = df.sparkSession
+        self.path, self.name = scratch_folder(self.spark, "table"), f"popcenter_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, key).option("path", self.path).saveAsTable(self.name)
+        self.df = self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_folder(self.spark, self.path)

@@ -461,11 +461,90 @@ def test_greedy_step_moves_no_vectors(spark):
     layout.close()
 
 
-def test_fft_candidates_are_cut_before_the_shuffle(spark):
+def _folder_bytes(path):
+    import os
+
+    path = path.removeprefix("file:")
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files if f.endswith(".parquet"))
+
+
+def test_fft_state_is_narrow_and_superseded_states_go(spark, monkeypatch):
+    """Bytes written per pass do not depend on the dimension, two states exist at most, nothing is left behind,
+    and neither points nor state are exchanged."""
+    import os
+
+    import popcenter.operators.coreset as C
+    from popcenter.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    written, alive, plans = {}, [], []
+
+    class Watched(C.BucketedTable):
+        def __init__(self, df, key, buckets):
+            if "d" in df.columns:
+                plans.append(df._jdf.queryExecution().executedPlan().toString())
+            super().__init__(df, key, buckets)
+            if "d" in df.columns:
+                alive.append(sum(1 for f in os.listdir(root) if f.startswith("table-")))
+                written.setdefault(dim, []).append(_folder_bytes(self.path))
+
+    monkeypatch.setattr(C, "BucketedTable", Watched)
+    monkeypatch.setattr(C, "PENDING", 1)
+    rng = np.random.default_rng(3)
+    for dim in (2, 32):
+        X = rng.normal(size=(6000, dim))
+        passes = C.fft_traversal(assign_parts(_pts(spark, X), 2, "mod").repartition(4), 16, tile=500, tile_top=2, candidates=4).passes
+        assert passes > len(written[dim]) > 1
+    assert max(alive) <= 3  # the points, the last state and the new one
+    assert max(written[32]) < 1.2 * max(written[2]) and max(written[32]) < 6000 * 40
+    for plan in plans[1:2]:  # the second pass: points and state, bucketed alike
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    left = {f for f in set(os.listdir(root)) - before if f.startswith(("table-", "centers-"))}
+    assert not left
+
+
+@pytest.mark.parametrize("block", [1 << 20, 7])
+def test_fft_centers_travel_in_blocks(spark, monkeypatch, block):
     import popcenter.operators.coreset as C
 
-    state = assign_parts(points64_view(spark, SF01), 4).select(
-        "part", "point_id", "x", F.lit(1.0).alias("d"), F.lit(0).alias("pos"))
-    best = state.select("part", "point_id", "x", "d").mapInArrow(C._top_of_task(5), "part int, point_id long, x array<double>, d double")
-    assert best.groupBy("part").count().agg(F.max("count")).first()[0] <= 5 * state.rdd.getNumPartitions()
-    assert {p: len(r) for p, r in C._candidates(state, 5).items()} == {p: 5 for p in range(4)}
+    monkeypatch.setattr(C, "BLOCK_COORDS", block)
+    X = _clustered(seed=31, per=60, clusters=4, outliers=5)
+    got = {}
+    for r in C.fft_traversal(assign_parts(_pts(spark, X), 3, "mod"), 20, candidates=9, tile=16, tile_top=4).coreset.collect():
+        got.setdefault(r.part, []).append((r.pos, r.point_id, r.weight, r.rho))
+    for part in range(3):
+        assert sorted(got[part]) == brute.fft([(i, x) for i, x in enumerate(X.tolist()) if i % 3 == part], 20)
+
+
+def test_fft_candidates_are_cut_before_the_shuffle(spark):
+    """Of each part a task hands on ``top`` candidates, merged in two levels where there are many buckets."""
+    import popcenter.operators.coreset as C
+    from popcenter.session import BucketedTable
+
+    rng = np.random.default_rng(12)
+    X = np.round(rng.normal(size=(3000, 3)), 6)
+    pts = assign_parts(_pts(spark, X), 2, "mod")
+    packed = pts.select("part", "point_id", "x").repartition(5).sortWithinPartitions("part", "point_id").mapInArrow(C._packer(64), "part int, tile long, ids binary, x binary")
+    tiles = BucketedTable(packed.repartition(90, "tile"), "tile", 90)
+    far = {}
+    state = tiles.df.groupBy("tile").applyInArrow(
+        lambda key, t: C._applier([])(key, t, t.slice(0, 0)), C._STATE)
+    D = np.linalg.norm(X, axis=1)
+
+    def at_origin(key, t, s):
+        import pyarrow as pa
+        part, tile, ids, x = C._points_in(t)
+        d = np.linalg.norm(x, axis=1)
+        return pa.table({"part": pa.array([part], pa.int32()), "tile": pa.array([tile]), "d": pa.array([d.tobytes()], pa.binary()),
+                         "pos": pa.array([np.zeros(len(ids), np.int32).tobytes()], pa.binary()), "chosen": pa.array([1], pa.int32())})
+
+    state = tiles.df.groupBy("tile").cogroup(state.groupBy("tile")).applyInArrow(at_origin, C._STATE)
+    for r in C._candidates(tiles.df, state, 9, 7, 7, 90, []).collect():
+        far.setdefault(r["part"], []).append((r["d"], r["point_id"], r["bound"]))
+    for part, rows in far.items():
+        want = sorted(((D[i], i) for i in range(part, len(X), 2)), reverse=True)
+        best = sorted(rows, reverse=True)[:7]
+        assert [i for _, i, _ in best] == [i for _, i in want[:7]]
+        assert len(rows) <= 9 * 7 and all(b >= 0 for _, _, b in rows)
+    tiles.drop()
