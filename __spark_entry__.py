@@ -20,7 +20,9 @@ from popcenter.operators.objective import kcenter_objective, nearest_center
 from popcenter.operators.partitioning import assign_parts
 from popcenter.plans.kcenter import clustering_summary, coreset_weighted, kcenter_outliers
 from popcenter.plans.retail import retail_popularity
-from popcenter.sources import parse_points, points1_view, points2_view, points64_view, points_as_text, retail_view
+from popcenter.session import scratch_folder
+from popcenter.sources import (parse_points, points1_view, points2_view, points64_view, points_as_text, read_points, read_transactions,
+                               retail_view)
 from popcenter.sources.retail import parse_transactions
 
 try:  # the training-data operators are an add-on: without them everything else still works
@@ -88,6 +90,22 @@ def _retail_as_text(spark, d) -> DataFrame:
     return v.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in fields]).alias("value"))
 
 
+def _text_popularity(spark, d) -> DataFrame:
+    """Popularity from text files: the view is written as lines and read back by the text source."""
+    folder = scratch_folder(spark, "retail-text")
+    _retail_as_text(spark, d).write.text(folder)
+    return R.product_popularity(read_transactions(spark, folder))
+
+
+def _points_from_text(spark, d) -> DataFrame:
+    """The part points, in the order of their ids, written as text files and read back: their ids are then
+    the numbers of their lines."""
+    folder = scratch_folder(spark, "points-text")
+    lines = points_as_text(points2_view(spark, d))
+    lines.repartitionByRange(PARTS, "point_id").sortWithinPartitions("point_id").select("value").write.text(folder)
+    return read_points(spark, folder)
+
+
 def _label_centers(spark, d) -> DataFrame:
     """One center per label: the label's smallest-id embedding (step = label)."""
     pts = spark.read.parquet(f"{d}/embeddings.parquet")
@@ -172,13 +190,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "popularity_listing": lambda s, d: R.popularity_listing(R.product_popularity(_purchases(s, d), COUNTRY)),
         "top_products": lambda s, d: R.top_products(R.product_popularity(_purchases(s, d)), TOP_H),
         "top_products_country": lambda s, d: R.top_products(R.product_popularity(_purchases(s, d), COUNTRY), TOP_H),
-        "retail_text_popularity": lambda s, d: R.product_popularity(parse_transactions(_retail_as_text(s, d))),
+        "retail_text_popularity": _text_popularity,
         "popularity_listing_positions": lambda s, d: R.listing_positions(R.product_popularity(_purchases(s, d))),
         "retail_report_top": _retail_report(None, TOP_H),
         "retail_report_listing": _retail_report(COUNTRY, 0),
         "retail_rejects": _retail_rejects,
         # points and distances
         "parse_points": lambda s, d: parse_points(points_as_text(points2_view(s, d)), id_col="point_id"),
+        "read_points": _points_from_text,
+        "kcenter_outliers_text": _kcenter_outliers(_points_from_text, K2, Z2),
         "nearest_center": lambda s, d: nearest_center(points64_view(s, d), _label_centers(s, d)).select(
             "point_id", "nearest", F.round("distance", 9).alias("distance")),
         "kcenter_objective": lambda s, d: kcenter_objective(points64_view(s, d), _label_centers(s, d),
@@ -214,6 +234,8 @@ def oracle_sql() -> dict[str, str]:
     cs2 = O.fft_ctes(O.POINTS2, PARTS, m2)
     cs64 = O.fft_ctes(O.POINTS64, PARTS, m64)
     unit2 = f"SELECT point_id AS idx, point_id, x, CAST(1 AS BIGINT) AS w FROM ({O.POINTS2}) u"
+    lines2 = f"SELECT row_number() OVER (ORDER BY point_id) - 1 AS point_id, x FROM ({O.POINTS2}) u"
+    unit_lines2 = f"SELECT point_id AS idx, point_id, x, CAST(1 AS BIGINT) AS w FROM ({lines2}) v"
     unit64 = f"SELECT point_id AS idx, point_id, x, CAST(1 AS BIGINT) AS w FROM ({O.POINTS64}) u"
     return {
         **(llm_queries.oracle_sql() if llm_queries else {}),
@@ -234,6 +256,8 @@ def oracle_sql() -> dict[str, str]:
         "retail_report_listing": O.retail_report(COUNTRY, 0),
         "retail_rejects": O.retail_rejects(COUNTRY),
         "parse_points": O.parse_points_sql(),
+        "read_points": lines2,
+        "kcenter_outliers_text": O.greedy_centers("", unit_lines2, K2, Z2, 0.0),
         "nearest_center": O.nearest(O.POINTS64, O.LABEL_CENTERS),
         "kcenter_objective": O.objective(O.POINTS64, O.LABEL_CENTERS, OBJECTIVE_Z),
         "fft_coreset": O.fft_coreset(O.POINTS64, PARTS, m64),

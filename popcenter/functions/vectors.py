@@ -10,6 +10,9 @@ equal inputs give bit-identical distances whichever form computes them:
 
 from __future__ import annotations
 
+import math
+from typing import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -193,25 +196,91 @@ def center_blocks(centers: DataFrame, order_col: str) -> list:
     return out
 
 
+class Balls:
+    """Centers grouped around pivots, so that most groups are passed over without a distance: a point
+    whose distance to a pivot exceeds the group's radius by more than its best distance so far has no closer center
+    there. ``computed`` counts distances."""
+
+    def __init__(self, centers: np.ndarray, first: int = 0):
+        k = len(centers)
+        self.computed, self.groups = 0, []
+        pivots = centers[np.linspace(0, k - 1, max(1, math.isqrt(k))).astype(int)] if k else centers
+        at, d = nearest_rows(centers, pivots)
+        self.pivots, radius = [], []
+        for g in np.unique(at):
+            rows = np.flatnonzero(at == g)  # ascending, so the first of equals is the lowest position
+            self.groups.append((rows + first, centers[rows]))
+            self.pivots.append(pivots[g])
+            radius.append(d[rows].max())
+        self.pivots, self.radius = np.array(self.pivots), np.array(radius)
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``nearest_rows``: position of and distance to the closest center (the first of equals)."""
+        pos, dist = np.full(len(x), -1, np.int64), np.full(len(x), np.inf)
+        step = max(1, BLOCK_DISTANCES // max(1, len(self.groups)))
+        for i in range(0, len(x), step):
+            self._nearest(x[i:i + step], pos[i:i + step], dist[i:i + step])
+        return pos, dist
+
+    def _nearest(self, x: np.ndarray, pos: np.ndarray, dist: np.ndarray) -> None:
+        to = block_distances(x, self.pivots)
+        self.computed += to.size
+        home = to.argmin(axis=1)
+        at_least = to - self.radius - 1e-9 * (to + self.radius)  # rounding
+        at_least[~np.isfinite(at_least)] = -np.inf
+        for own in (True, False):  # the group of the closest pivot first: it sets a low best distance
+            for g, (numbers, centers) in enumerate(self.groups):
+                rows = np.flatnonzero(home == g if own else (home != g) & (at_least[:, g] <= dist))
+                if not len(rows):
+                    continue
+                p, d = nearest_rows(x[rows], centers)
+                self.computed += len(rows) * len(centers)
+                closer = (d < dist[rows]) | ((d == dist[rows]) & ((numbers[p] < pos[rows]) | (pos[rows] < 0)))
+                pos[rows[closer]], dist[rows[closer]] = numbers[p[closer]], d[closer]
+
+
 def nearest_udf(blocks):
     """Arrow-batched UDF ``x -> struct(pos int, d double)`` against the centers of ``blocks``
     (broadcasts of (first position, matrix), or such pairs).
 
     ``pos`` is the first closest center (lowest position on ties). Distances are bit-identical
-    to ``euclidean``. The x's must have the centers' dimension and no nulls (``check_vectors``).
+    to ``euclidean``. The x's must have the centers' dimension and no nulls (``check_vectors``). A task reads and groups a
+    block of centers once if there is one, else once for every ``4 * BLOCK_COORDS`` coordinates of points; it holds one block at a time.
     """
 
     @arrow_udf("struct<pos:int,d:double>")
-    def nearest(xs: pa.Array) -> pa.Array:
-        x = matrix(xs)
-        pos, dist = np.full(len(x), -1), np.full(len(x), np.inf)
-        for block in blocks:
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        only = None
+
+        def grouped(block):
+            nonlocal only
+            if only is not None:
+                return only
             first, centers = block if isinstance(block, tuple) else block.value
-            p, d = nearest_rows(x, centers)
-            closer = d < dist
-            pos, dist = np.where(closer, p + first, pos), np.where(closer, d, dist)
             if not isinstance(block, tuple):
-                vars(block).pop("_value", None)  # a task holds one block at a time
-        return pa.StructArray.from_arrays([pa.array(pos.astype(np.int32)), pa.array(dist)], ["pos", "d"])
+                vars(block).pop("_value", None)
+            balls = Balls(centers, first)
+            if len(blocks) == 1:
+                only = balls
+            return balls
+
+        def answered(held):
+            x = np.concatenate([matrix(b) for b in held if len(b)]) if any(len(b) for b in held) else np.empty((0, 0))
+            pos, dist = np.full(len(x), -1), np.full(len(x), np.inf)
+            for block in blocks if len(x) else ():
+                p, d = grouped(block).nearest(x)
+                closer = (d < dist) | (pos < 0)
+                pos, dist = np.where(closer, p, pos), np.where(closer, d, dist)
+            return pa.StructArray.from_arrays([pa.array(pos.astype(np.int32)), pa.array(dist)], ["pos", "d"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch.flatten())
+            if size >= (4 * BLOCK_COORDS if len(blocks) > 1 else 1):
+                yield answered(held)
+                held, size = [], 0
+        if held:
+            yield answered(held)
 
     return nearest

@@ -41,12 +41,11 @@ def retail_popularity(rows: DataFrame, country: str | None = "all", h: int = 0,
                       num_partitions: int | None = None) -> RetailReport:
     """Counts plus either the top-H products (h > 0) or both full listings (h == 0).
 
-    The distinct pairs are computed once and kept in the checkpoint folder; the pair count, the
-    popularity and both listings come from them, and the raw rows are read again only to be
-    counted. With h == 0 the two listings come from the two popularity computations (single
-    aggregate and two-stage) so they can be compared, as a debugging aid. ``num_partitions``
-    redistributes the raw rows round-robin first (an extra shuffle; by default the scan's
-    splits and AQE decide).
+    The raw rows are read once: one pre-aggregated pass gives the distinct pairs and the number of rows, and is
+    kept in the checkpoint folder; everything else comes from it. With h == 0 the two listings come from the two popularity
+    computations (single aggregate and two-stage) so they can be compared, as a debugging aid. ``num_partitions``
+    redistributes the raw rows (the four columns that are used) round-robin first: an extra shuffle; by default the scan's
+    splits and AQE decide.
     """
     if h < 0:
         raise ValueError(f"h must be >= 0, got {h}")
@@ -54,10 +53,11 @@ def retail_popularity(rows: DataFrame, country: str | None = "all", h: int = 0,
         if num_partitions < 1:
             raise ValueError(f"num_partitions must be >= 1, got {num_partitions}")
         rows = rows.repartition(num_partitions)
-    pairs = checkpoint(R.product_customer_pairs(rows, country))
+    counted = checkpoint(R.counted_pairs(rows, country))
+    pairs = counted.where("qualifies").select("product_id", "customer_id")
     popularity = R.popularity_of_pairs(pairs)
     return RetailReport(
-        row_count=R.row_count(rows),
+        row_count=counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")),
         pair_count=pairs.agg(F.count(F.lit(1)).alias("pair_count")),
         popularity=popularity,
         top_products=R.top_products(popularity, h) if h > 0 else None,

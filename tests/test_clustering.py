@@ -202,6 +202,26 @@ def test_centers_in_many_blocks(spark, monkeypatch):
         assert (nearest, d) == (ds.index(min(ds)), min(ds))
 
 
+def test_balls_settle_most_centers():
+    """Many centers: far fewer distances than points x centers, and the same answers bit for bit, ties included."""
+    from popcenter.functions.vectors import Balls, nearest_rows
+
+    rng = np.random.default_rng(17)
+    for dim, few in ((1, True), (2, True), (16, False)):
+        C = np.round(rng.uniform(0, 1000, size=(2500, dim)), 1)
+        C[2000:2100] = C[:100]  # equal centers: the first counts
+        X = np.round(rng.uniform(-50, 1050, size=(4000, dim)), 1)
+        X[:50] = C[1990:2040]
+        X[50] = 1e200
+        with np.errstate(over="ignore", invalid="ignore"):
+            balls = Balls(C, 7)
+            pos, d = balls.nearest(X)
+            want, least = nearest_rows(X, C)
+        assert (pos == want + 7).all() and (d == least).all()
+        if few:
+            assert balls.computed < 0.25 * len(X) * len(C)
+
+
 # ---------------------------------------------------------------- guarantees on small inputs
 
 def _opt(X, k, z):

@@ -156,14 +156,15 @@ def test_listing_positions(spark):
     assert [r.product_id for r in got] == sorted((r[0] for r in pop.collect()), key=str.encode)
 
 
-def test_purchases_predicate_reaches_the_scan_and_two_exchanges(spark):
+def test_purchases_predicate_reaches_the_scan(spark):
     v = retail_view(spark, SF001, purchases_only=True)
     assert R.pair_count(v).first()[0] == R.pair_count(retail_view(spark, SF001)).first()[0]
     df = R.popularity_two_stage(v)
     plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     pushed = [x for x in plan.split("\n") if "PushedFilters" in x and "l_quantity" in x]
     assert pushed and all("GreaterThan(l_quantity,0" in x for x in pushed)
-    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    # distinct pairs, slices, products; each behind a partial aggregate (tested below)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
 
 
 def test_report_with_explicit_partitions(spark):
@@ -174,3 +175,59 @@ def test_report_with_explicit_partitions(spark):
     assert rep.pair_count.first()[0] == base.pair_count.first()[0]
     with pytest.raises(ValueError):
         retail_popularity(v, "all", 1, num_partitions=0)
+
+
+def test_two_stage_has_a_partial_aggregate_below_each_exchange(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = R.popularity_two_stage(retail_view(spark, SF001, purchases_only=True), buckets=4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.split("Join")[0].split("\n")
+    exchanges = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    assert len(exchanges) >= 3
+    for i in exchanges[:3]:
+        assert "HashAggregate" in lines[i + 1]
+
+
+def test_report_reads_the_rows_once(spark):
+    """Row count and pairs come from one pass, also after a redistribution."""
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda q: seen.add(1) or q, "double")
+    v = retail_view(spark, SF001).select("product_id", "customer_id", F.col("quantity").cast("double").alias("q"), "country")
+    rows = v.coalesce(1).withColumn("quantity", counted("q")).drop("q")
+    rep = retail_popularity(rows, None, 5, num_partitions=3)
+    assert rep.row_count.first()[0] == 6000 and rep.pair_count.first()[0] == 3730 and rep.top_products.count() == 5
+    assert seen.value == 6000
+    none = retail_popularity(rows.limit(0), None, 5)
+    assert none.row_count.first()[0] == 0 and none.pair_count.first()[0] == 0
+
+
+def test_top_products_of_any_h(spark, monkeypatch):
+    pop = R.product_popularity(retail_view(spark, SF001))
+    full = sorted(((r.popularity, r.product_id) for r in pop.collect()), key=lambda t: (-t[0], t[1]))
+    monkeypatch.setattr(R, "HEAP", 3)
+    for h in (4, 57, len(full), len(full) + 9):  # ties at the threshold go by product id
+        top = [(r.rank, r.popularity, r.product_id) for r in R.top_products(pop, h).orderBy("rank").collect()]
+        assert top == [(k + 1, *row) for k, row in enumerate(full[:h])]
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
+    from popcenter.sources import read_points
+    from popcenter.sources.points import numbered_lines
+
+    texts = {"b.txt": [f"{i},{i * 2}" for i in range(700)], "a.txt": ["7,7", "", "8,8"], "c.txt": [], "d.txt": ["1.5,x" * 3, "9,9,"]}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("".join(line + "\n" for line in lines))
+    want = list(enumerate(line for name in sorted(texts) for line in texts[name]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("128m", "400", "64"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            lines = numbered_lines(spark, str(tmp_path))
+            assert lines.rdd.getNumPartitions() >= (1 if split == "128m" else 8)
+            assert sorted(map(tuple, lines.collect())) == want
+            ids = sorted(r["point_id"] for r in read_points(spark, str(tmp_path)).collect())
+            assert ids == [i for i, line in want if line.strip()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
