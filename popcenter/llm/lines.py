@@ -2,12 +2,12 @@
 
 Base measures are taken from every whole text. The method: lines are normalised (lower case,
 white space collapsed) and hashed; for each host (the document's ``source``) the distinct
-documents that hold a line are counted, where exact copies of one text are one document. A
+documents (``doc_id``) that hold a line are counted, copies of a text included. A
 line in more than ``max(MIN_DOCS, MAX_SHARE * documents of the host)`` of them is boilerplate and
 goes: ``kept_text`` is the text without such lines, all other lines as they were. A document that
 loses more than ``MAX_LOST`` of its words that way is depleted and rejected.
 
-How it scales: the line counts are distinct (host, line, text) triples, pre-aggregated before
+How it scales: the line counts are distinct (host, line, document) triples, pre-aggregated before
 the shuffle and counted again. A host has at most 1 / MAX_SHARE times as many boilerplate lines as
 its documents have lines on average; their hashes, one row a host, are written to the checkpoint
 folder, so Spark knows their size and joins them to the documents: broadcast where they are small
@@ -20,7 +20,8 @@ compared as words before they count, so a collision of hashes changes nothing.
 
 Results in special cases: null and empty texts have no words and fail the base rule, and stay null
 and empty; rejected documents have a ``kept_text`` too (``kept`` is false); null
-sources are one host; repeated rows are judged alike; an empty table gives an empty result.
+sources are one host; repeated rows (one ``doc_id``) are one document, rows without an id are told apart by their text; all rows are judged,
+repeated ones alike; columns other than doc_id, source and text are not handed on; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -94,7 +95,8 @@ def measures(docs: DataFrame) -> DataFrame:
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """host, line (hash), n_docs of the lines above the limit."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col("source").alias("host"), F.xxhash64(text, F.length(text)).alias("t"), text.alias("text"))
+    document = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit("id"), "doc_id")).otherwise(F.xxhash64(text, F.length(text)))
+    base = docs.select(F.col("source").alias("host"), document.alias("t"), text.alias("text"))
     lines = F.array_distinct(F.transform(F.split(F.col("text"), "\n"), normal))
     each = base.select("host", "t", F.explode(F.array_remove(lines, "")).alias("y")) \
         .select("host", "t", F.xxhash64("y").alias("line")).distinct()

@@ -196,8 +196,8 @@ def linker(link: tuple[int, int] = LINK):
 
 def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int = BANDS, rows: int = ROWS,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id and kept for every row of ``docs``
-    (doc_id, text)."""
+    """doc_id, text_hash, n_shingles, component_id, component and kept for every row of ``docs``
+    (doc_id, text). ``component`` names a component whatever the ids in it (null: no words)."""
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sig = checkpoint(base.withColumn("s", signer(bands, rows)("text")).select("doc_id", "text_hash", "s.*"))
     name = F.concat_ws(".", "hi", "lo").alias("name")
@@ -246,10 +246,10 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
 
     named = reps.select("hi", "lo", "least", name).join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    answer = named.join(ids, "root").select(F.col("hi").alias("c_hi"), F.col("lo").alias("c_lo"), "component_id")
+    answer = named.join(ids, "root").select(F.col("hi").alias("c_hi"), F.col("lo").alias("c_lo"), "component_id", F.col("root").alias("component"))
     out = sig.join(answer, (F.col("n") > 0) & (F.col("hi") == F.col("c_hi")) & (F.col("lo") == F.col("c_lo")), "left")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")) \
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "component") \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -258,9 +258,20 @@ def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that are kept, one of each component of pairs at 0.80 and above
-    (repeated rows of the same doc_id are the same document)."""
-    gone = near_duplicates(docs, STAGE_LINK, STAGE_BANDS, STAGE_ROWS).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    """Pipeline stage: one row of each component of pairs at 0.80 and above, that of the smallest (doc_id, text
+    hash), ids that are not null first. Of repeated rows one stays, and of copies without an id one; texts without words
+    have no component and all stay."""
+    judged = near_duplicates(docs, STAGE_LINK, STAGE_BANDS, STAGE_ROWS)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
+    stay = judged.groupBy("component").agg(first).where(F.col("component").isNotNull()).select("one.doc_id", "one.text_hash")
+    rows = judged.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("component").alias("component"))
+    named = checkpoint(rows.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"), "n", "component").join(
+        stay.withColumn("stays", F.lit(True)), F.col("r_id").eqNullSafe(F.col("doc_id")) & (F.col("r_hash") == F.col("text_hash")), "left"
+    ).where(F.col("component").isNull() | F.col("stays")).select(
+        F.col("r_id").alias("__id"), F.col("r_hash").alias("__hash"), ((F.col("n") > 1) & F.col("component").isNotNull()).alias("repeated")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    once = docs.join(named.where(~F.col("repeated")), same, "left_semi")
+    again = docs.join(named.where("repeated"), same, "left_semi")  # few: only these rows are grouped
+    if named.where("repeated").isEmpty():
+        return once
+    return once.unionByName(again.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"]).drop("__hash"))

@@ -93,8 +93,8 @@ r AS (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM g
 rw AS (SELECT doc_id, count(DISTINCT p) AS n FROM r GROUP BY doc_id),
 x AS (SELECT doc_id, source, t, lower(trim(regexp_replace(unnest(ls), '{SPACE}', ' ', 'g'))) AS line FROM b),
 f AS (SELECT source, line FROM x GROUP BY source, line
-      HAVING count(DISTINCT t) > {MIN_DOCS} AND count(DISTINCT t) > {MAX_SHARE} * (
-        SELECT count(DISTINCT t) FROM d WHERE d.source IS NOT DISTINCT FROM x.source)),
+      HAVING count(DISTINCT doc_id) > {MIN_DOCS} AND count(DISTINCT doc_id) > {MAX_SHARE} * (
+        SELECT count(DISTINCT doc_id) FROM d WHERE d.source IS NOT DISTINCT FROM x.source)),
 lost AS (SELECT doc_id, CAST(sum(len(string_split(line, ' '))) AS BIGINT) AS n FROM x
          WHERE EXISTS (SELECT 1 FROM f WHERE f.source IS NOT DISTINCT FROM x.source AND f.line = x.line) GROUP BY doc_id),
 o AS (SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,

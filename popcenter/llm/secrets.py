@@ -24,7 +24,7 @@ pre-aggregated before the shuffle; the dictionary has at most
 rows are bounded and in one task on purpose, so that the forest is the same on every cluster.
 
 Results in special cases: null and empty texts have no candidates; a null path is an empty one;
-a run that overlaps an assignment is not a candidate of its own; without labels of both
+a run that overlaps an assignment is cut at its borders, and each piece of ``RUN`` bytes is a candidate; without labels of both
 kinds every candidate counts as a secret (score 1): nothing is dropped unjudged; repeated rows
 have the same findings; an empty table gives no findings.
 """
@@ -100,10 +100,24 @@ def places(buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int]]:
     starts, ends, first = word_spans(buf, offs, run_bytes())
     long = np.flatnonzero(ends - starts >= RUN)
     begin = np.array([t[0] for t in taken], np.int64)
+    letter = run_bytes()
+    letter[[0x2B, 0x2D, 0x2F, 0x3D, 0x5F]] = False
     for lo, hi, d in zip(starts[long].tolist(), ends[long].tolist(), (np.searchsorted(first, long, "right") - 1).tolist()):
-        k = int(np.searchsorted(begin, hi)) - 1  # the last assignment that begins before the run ends
-        if k < 0 or taken[k][1] <= lo:
-            out.append((d, lo, hi))
+        # what the assignments leave of a run, without the signs at the cuts
+        k, to = int(np.searchsorted(begin, hi)) - 1, hi
+        pieces = []
+        while k >= 0 and taken[k][1] > lo:
+            pieces.append((taken[k][1], to))
+            to = taken[k][0]
+            k -= 1
+        pieces.append((lo, to))
+        for x, y in pieces:
+            while x < y and x != lo and not letter[buf[x]]:
+                x += 1
+            while x < y and y != hi and not letter[buf[y - 1]]:
+                y -= 1
+            if y - x >= RUN:
+                out.append((d, x, y))
     return sorted(out)
 
 

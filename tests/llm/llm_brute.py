@@ -93,17 +93,19 @@ def base_rules(text):
 
 
 def lost_words(rows, min_docs, max_share):
-    """Words of each (source, text) row in lines above the limit."""
+    """Words of each (doc_id, source, text) row in lines above the limit. Rows without an id are told apart
+    by their text."""
     norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x).strip(" ").lower()
-    texts = defaultdict(set)
+    docs = defaultdict(set)
     holds = defaultdict(set)
-    for s, t in rows:
-        texts[s].add(t or "")
+    for d, s, t in rows:
+        name = ("id", d) if d is not None else ("text", t or "")
+        docs[s].add(name)
         for x in (t or "").split("\n"):
             if norm(x):
-                holds[s, norm(x)].add(t)
-    frequent = {k for k, v in holds.items() if len(v) > min_docs and len(v) > max_share * len(texts[k[0]])}
-    return [sum(len(norm(x).split(" ")) for x in (t or "").split("\n") if (s, norm(x)) in frequent) for s, t in rows]
+                holds[s, norm(x)].add(name)
+    frequent = {k for k, v in holds.items() if len(v) > min_docs and len(v) > max_share * len(docs[k[0]])}
+    return [sum(len(norm(x).split(" ")) for x in (t or "").split("\n") if (s, norm(x)) in frequent) for _, s, t in rows]
 
 
 def targets(sizes, weights=(3, 1, 2)):

@@ -2,7 +2,10 @@
 
 import random
 
-from popcenter.llm import neardup
+import pytest
+from pyspark.sql import functions as F
+
+from popcenter.llm import mixing, neardup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -30,3 +33,40 @@ def test_dedup_stage_links_at_080(spark):
     assert sorted(got) == sorted(kept)
     # the query's own contract stays at 0.85
     assert {r["doc_id"] for r in neardup.near_duplicates(docs).where("kept").collect()} == kept | {3 * k + 1 for k in range(4, 40, 5)}
+
+
+def test_dedup_stage_keeps_one_row_of_a_component(spark):
+    rnd = random.Random(5)
+    prose = lambda n: " ".join(f"u{rnd.randrange(9000)}" for _ in range(n))
+    base, lone = prose(120), prose(80)
+    rows = [(1, base), (1, base), (1, base + " more"), (None, base), (2, base), (None, lone), (None, lone), (None, lone.upper()),
+            (5, ""), (5, ""), (None, None), (6, " \t"), (7, prose(60))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], SCHEMA).repartition(4)
+    got = [(r["doc_id"], r["text"]) for r in neardup.drop_near_duplicates(spark, docs, "").collect()]
+    near = [g for g in got if (g[1] or "").startswith(base[:60])]
+    assert len(near) == 1 and near[0][0] == 1
+    assert sum((g[1] or "").lower() == lone for g in got) == 1
+    rest = [g for g in got if g not in near and (g[1] or "").lower() != lone]
+    assert sorted(rest, key=repr) == sorted([(5, ""), (5, ""), (None, None), (6, " \t"), rows[-1]], key=repr)
+
+
+@pytest.mark.parametrize("weights", [[0.01], [0.1], [0.5], [2], [50], [0.01, 50], [0.5, 1, 2]])
+def test_mixing_cells_are_even_for_any_weights(spark, weights):
+    n = 200_000
+    w = F.get(F.array(*[F.lit(float(x)) for x in weights]), F.pmod(F.col("id"), F.lit(len(weights))).cast("int"))
+    rows = spark.range(n).select((-F.log(mixing.unit(11, F.col("id"))) / w).alias("key"))
+    cells = mixing.cells_by_rank(rows).groupBy("cell").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    got = sorted(cells.collect(), key=lambda r: r["cell"])
+    assert len(got) > mixing.cell_count(n) / 2
+    assert max(r["n"] for r in got) <= 4 * n / len(got)
+    assert all(a["hi"] <= b["lo"] for a, b in zip(got, got[1:]))  # cells follow the keys
+
+
+def test_many_mixing_cells(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BORDERS", 20)
+    monkeypatch.setattr(mixing, "cell_count", lambda n: 100)
+    rows = spark.range(50_000).select((-F.log(mixing.unit(11, F.col("id"))) / F.when(F.col("id") % 2 == 0, 0.01).otherwise(50.0)).alias("key"))
+    got = sorted(mixing.cells_by_rank(rows).groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect(), key=lambda r: r["cell"])
+    assert len(got) >= 80 and max(r["n"] for r in got) <= 4 * 50_000 / len(got)
+    assert all(a["hi"] <= b["lo"] for a, b in zip(got, got[1:]))
