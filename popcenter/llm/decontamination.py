@@ -1,6 +1,6 @@
 """Benchmark decontamination with training suffix arrays.
 
-Every task cuts its documents into shards of some megabytes (a longer document is a shard of
+Every task gathers its documents into shards of ``SHARD_BYTES`` (a longer document is a shard of
 its own) and builds a word suffix array of each: ranks of single words, then of 3, 9 and 27
 words (2, 4, 8, 16 where a shard is too long for three ranks in 64 bits) by sorting, never across
 the end of a document. Every suffix of the benchmark is looked up in every shard's array by
@@ -15,7 +15,9 @@ non-ASCII characters; two words are equal if their 64-bit hashes are.
 How it scales: the documents are read once and not shuffled. The benchmark is sent to the
 tasks in blocks of ``BLOCK_BYTES`` of text, one broadcast each, and a shard's suffix array is
 searched with one block after the other, so neither the driver nor a task holds more than one
-block; the work grows with the corpus times the logarithm of a shard.
+block. A task prepares a single block once, several blocks once for every shard. The work is that of sorting the corpus
+within shards plus one search of the benchmark, a logarithm of a shard per suffix, for each shard: (corpus / SHARD_BYTES) *
+benchmark. A shard takes about 25 times its bytes of memory, so larger executors may take larger shards.
 
 Results in special cases: a null or empty text has no words and matches nothing; items without
 words are never found; a null item_id is reported as an empty string; repeated items count as
@@ -24,6 +26,8 @@ one in the list of items; an empty benchmark or table gives no match or no row.
 
 from __future__ import annotations
 
+from typing import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +39,7 @@ from popcenter.llm.text import buffer, letters, list_array, load, lower, ranges,
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
 FOUND = ("struct<n_words:bigint,n_hit:bigint,"
          "matches:array<struct<item:string,item_start:int,doc_start:int,n_words:int>>>")
 
@@ -140,17 +145,12 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
     return out
 
 
-def finder(test_blocks: list, window: int = WINDOW):
+def finder(test_blocks: list, window: int = WINDOW, shard_bytes: int = SHARD_BYTES):
     """A column function: a text's words, its words inside any window, and its longest matches."""
 
-    @arrow_udf(FOUND)
-    def find(text: pa.Array) -> pa.Array:
+    def searched(text: pa.Array, one: tuple | None) -> pa.Array:
         buf, offs = buffer(text)
-        shards = list(slices(offs))
-        one = None
-        if len(test_blocks) == 1:
-            ids, texts = load(test_blocks[0])
-            one = ids, Tests(pa.array(texts, pa.large_string()), window)
+        shards = list(slices(offs, shard_bytes))
         n_words, n_hit, counts, cols = [], [], [], []
         for i, j in shards:
             words, first = corpus_words(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
@@ -197,13 +197,29 @@ def finder(test_blocks: list, window: int = WINDOW):
             [pa.array(cat(n_words).astype(np.int64)), pa.array(cat(n_hit).astype(np.int64)),
              list_array(rows, cat(counts).astype(np.int64))], ["n_words", "n_hit", "matches"])
 
+    @arrow_udf(FOUND)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        one = None
+        if len(test_blocks) == 1:
+            ids, texts = load(test_blocks[0])
+            one = ids, Tests(pa.array(texts, pa.large_string()), window)
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.cast(pa.large_string()))
+            size += held[-1].nbytes
+            if size >= shard_bytes:
+                yield searched(pa.concat_arrays(held), one)
+                held, size = [], 0
+        if held:
+            yield searched(pa.concat_arrays(held), one)
+
     return find
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` with a column ``found`` (see ``FOUND``); a column of that name is replaced."""
-    return docs.withColumn("found", finder(blocks(benchmark, block_bytes), window)(F.col(text)))
+    return docs.withColumn("found", finder(blocks(benchmark, block_bytes), window, shard_bytes)(F.col(text)))
 
 
 def op10_suffix_arrays(spark, sf_dir: str) -> DataFrame:

@@ -14,9 +14,15 @@ value with a template are verified: the template's shingles in the window are co
 share of at least CONTAINMENT is a match. Every shingle is hashed once a band; the minima of
 longer blocks come from those of shorter ones.
 
+Occurrences: a matched window is cut where the template's order falls back, so that notices that follow one another, with or
+without other words between them, are findings of their own. A piece that holds less than CONTAINMENT of the
+template is joined to the next one, unless that holds enough by itself (a copy may repeat some of its own words); what is
+left over at the end counts to the finding before it only where it adds to it. Findings of one occurrence in overlapping
+windows overlap in words and are joined.
+
 How it scales: documents are read once and not shuffled; templates (a library of license texts)
-are broadcast in blocks of bounded bytes. Matches of one template in overlapping windows are
-joined to one finding.
+are broadcast in blocks of bounded bytes. A task prepares a single block once, several blocks once for
+every batch of texts.
 
 Results in special cases: null, empty and short texts have no match; templates without words or
 with a null text are skipped; templates of equal words are all reported; a null template_id is
@@ -25,6 +31,8 @@ reported as an empty string; repeated rows have the same findings; other columns
 
 from __future__ import annotations
 
+from typing import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +48,8 @@ SHINGLE = 5
 BANDS = 64
 CONTAINMENT = 0.8
 FOUND = "array<struct<template:string,start_word:int,end_word:int,containment:double>>"
-#: Notices by which texts state their license, from the licenses' own wording.
+#: Notices by which texts state their license, from the licenses' own wording. They are the
+#: registered query's library; ``scan_licenses`` takes any other, whole license texts included.
 TEMPLATES = (
     ("Apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
     ("MIT-line", "Released under the MIT License."),
@@ -60,6 +69,26 @@ TEMPLATES = (
     ("GPL-or-later-notice", "This program is free software: you can redistribute it and/or modify it under the terms of "
      "the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or "
      "(at your option) any later version."),
+    ("ISC-permission", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+     "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-or-later-notice", "This library is free software; you can redistribute it and/or modify it under the terms of the "
+     "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+     "(at your option) any later version."),
+    ("AGPL-or-later-notice", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, "
+     "or (at your option) any later version."),
+    ("EPL-2.0-notice", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+     "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("Unlicense-notice", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+     "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+     "for any purpose, commercial or non-commercial, and by any means."),
+    ("CC-BY-4.0-line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0-line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0-notice", "To the extent possible under law, the author has waived all copyright and related or neighboring "
+     "rights to this work."),
+    ("Zlib-notice", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+     "be held liable for any damages arising from the use of this software."),
+    ("BSL-1.0-line", "Distributed under the Boost Software License, Version 1.0."),
     ("MPL-2.0-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -80,6 +109,32 @@ def minima(h: np.ndarray, begin: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
+def occurrences(places: np.ndarray, found: np.ndarray, steps: list[np.ndarray], size: int, least: float) -> list[tuple[int, int, float]]:
+    """(first place, end, share) of each copy of a template of ``size`` shingles, from the places of its shingles
+    (``found`` numbers them) in a text and each shingle's places in the template (``steps``)."""
+    pieces: list[list[int]] = []
+    last = -1
+    for k, f in enumerate(found.tolist()):
+        ahead = steps[f][np.searchsorted(steps[f], last, "right"):]
+        if not len(ahead) or not pieces:  # the template's order falls back: a new copy may begin
+            pieces.append([])
+            ahead = steps[f]
+        last = int(ahead[0])
+        pieces[-1].append(k)
+    out: list[tuple[list[int], set]] = []
+    open_: list[int] = []
+    for piece in pieces:
+        alone = len(set(found[piece].tolist())) >= least * size
+        open_ = piece if alone else open_ + piece
+        held = set(found[open_].tolist())
+        if len(held) >= least * size:
+            out.append((open_, held))
+            open_ = []
+    if open_ and out and not set(found[open_].tolist()) <= out[-1][1]:
+        out[-1] = (out[-1][0] + open_, out[-1][1] | set(found[open_].tolist()))
+    return [(int(places[rows[0]]), int(places[rows[-1]]), len(held) / size) for rows, held in out]
+
+
 class Library:
     """A block of templates, by size class (length of a shingle in words, shingles of a block)."""
 
@@ -89,10 +144,11 @@ class Library:
         for t, n in enumerate(np.diff(first)):
             if n:
                 size = int(min(n, k))
-                h = np.unique(grams.at(np.arange(first[t], first[t + 1] - size + 1), size))
+                h, where = np.unique(grams.at(np.arange(first[t], first[t + 1] - size + 1), size), return_inverse=True)
+                steps = [np.flatnonzero(where == k) for k in range(len(h))]
                 block = 1 << int(len(h) - 1).bit_length()
-                self.classes.setdefault((size, block), []).append((t, h))
-        self.signatures = {c: np.stack([minima(h, np.array([0]), bands)[:, 0] for _, h in members])
+                self.classes.setdefault((size, block), []).append((t, h, steps))
+        self.signatures = {c: np.stack([minima(h, np.array([0]), bands)[:, 0] for _, h, _ in members])
                            for c, members in self.classes.items()}
 
 
@@ -129,18 +185,16 @@ def scanner(library: list, k: int = SHINGLE, bands: int = BANDS, containment: fl
                     share[m] |= window == value
         for block, _, doc, begin, _, stop, share in levels:
             for m, w in zip(*np.nonzero(share)):
-                t, own = lib.classes[size, block][m]
+                t, own, steps = lib.classes[size, block][m]
                 window = h[begin[w]:stop[w]]
-                same = np.isin(window, own)
-                held = len(np.unique(window[same])) / len(own)
-                if held >= containment:
-                    places = at[begin[w] + np.flatnonzero(same)] - first[doc[w]]
-                    found.append((int(doc[w]), lib.ids[t], int(places[0]), int(places[-1]) + size, held))
+                number = np.minimum(np.searchsorted(own, window), len(own) - 1)
+                same = own[number] == window
+                places = at[begin[w] + np.flatnonzero(same)] - first[doc[w]]
+                for lo, hi, held in occurrences(places, number[same], steps, len(own), containment):
+                    found.append((int(doc[w]), lib.ids[t], lo, hi + size, held))
 
-    @arrow_udf(FOUND)
-    def scan(text: pa.Array) -> pa.Array:
+    def scanned(text: pa.Array, libs: list | None) -> pa.Array:
         buf, offs = buffer(text)
-        libs = [Library(*load(b), k, bands) for b in library] if len(library) == 1 else None
         rows, counts = [], np.zeros(len(text), np.int64)
         for i, j in slices(offs):
             grams, first = shingles((buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]))
@@ -163,6 +217,12 @@ def scanner(library: list, k: int = SHINGLE, bands: int = BANDS, containment: fl
             ["template", "start_word", "end_word", "containment"])
         return list_array(values, counts)
 
+    @arrow_udf(FOUND)
+    def scan(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        libs = [Library(*load(b), k, bands) for b in library] if len(library) == 1 else None
+        for text in texts:
+            yield scanned(text, libs)
+
     return scan
 
 

@@ -141,3 +141,41 @@ def url_verdict(url, rules):
 
 def crc(text):
     return None if text is None else zlib.crc32(text.encode())
+
+
+def license_findings(text, templates, k=5, least=0.8):
+    """[(template, start, end, containment)]: the text's places of a template's shingles, cut where the template's order
+    falls back; a piece that holds enough of it is a finding, others are gathered until they do, what is left over counts
+    to the last finding if it adds to it."""
+    w, out = LETTER_WORD.findall(lower(text or "")), []
+    for name, t in templates:
+        tw = LETTER_WORD.findall(lower(t))
+        size = min(k, len(tw))
+        if not size:
+            continue
+        own = defaultdict(list)
+        for i in range(len(tw) - size + 1):
+            own[tuple(tw[i:i + size])].append(i)
+        pieces, last = [], -1
+        for i in range(len(w) - size + 1):
+            at = own.get(tuple(w[i:i + size]))
+            if at is None:
+                continue
+            ahead = [a for a in at if a > last]
+            if not ahead or not pieces:
+                pieces.append([])
+                ahead = at
+            last = ahead[0]
+            pieces[-1].append(i)
+        found, held = [], []
+        for p in pieces:
+            alone = len({tuple(w[i:i + size]) for i in p}) >= least * len(own)
+            held = p if alone else held + p
+            if len({tuple(w[i:i + size]) for i in held}) >= least * len(own):
+                found.append(held)
+                held = []
+        seen = lambda rows: {tuple(w[i:i + size]) for i in rows}
+        if held and found and not seen(held) <= seen(found[-1]):
+            found[-1] = found[-1] + held
+        out += [(name, f[0], f[-1] + size, round(len(seen(f)) / len(own), 9)) for f in found]
+    return out

@@ -185,14 +185,14 @@ def test_shards(docs, rows, n):
             assert abs(c - len(members) * total[s] / len(rows)) <= 2
 
 
-RULES = [*urls.RULES, ("example.net/en/1", "block"), ("a.b.c/x", "block"), ("noslash", "block"), (None, "block")]
+RULES = [*urls.RULES, ("example.net/en/1", "block"), ("a.b.c/x", "block"), ("b.c/xyz4", "allow"), ("q.b.c/x4", "block"), ("noslash", "block"), (None, "block")]
 
 
 @pytest.mark.parametrize("block", [1, 100])
 def test_urls(spark, block):
     given = [None, "", "no scheme", "HTTP://X.Net/", "http://x.net", "http://net/", "http://example.net/en/2?x=/de/",
              "http://www.example.net/en/12#a", "http://notexample.net/en/1", "a://b://c.org/fr/", "http://org/fr/x", "http://org/de/",
-             "http://z.a.b.c/xyz", "http://a.b.c/y", "http://a.b.c?x", "http://user@Example.COM/de/ü", "http://é.org/fr/\n"] * 2
+             "http://z.a.b.c/xyz", "http://q.b.c/xyz4", "http://q.b.c/x4", "http://a.b.c/y", "http://a.b.c?x", "http://user@Example.COM/de/ü", "http://é.org/fr/\n"] * 2
     pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(given)], "page_id long, url string, rule string")
     out = urls.filter_urls(pages, spark.createDataFrame(RULES, "entry string, verdict string"), block_entries=block)
     got = out.select("page_id", "host", "path", "rule", "verdict").collect()
@@ -200,6 +200,16 @@ def test_urls(spark, block):
     same(got, [(k, *B.url_verdict(u, usable)) for k, u in enumerate(given)])
     none = urls.filter_urls(pages, spark.createDataFrame([], "entry string, verdict string"))
     assert {r["verdict"] for r in none.collect()} == {"allow"}
+    assert urls.filter_urls(pages.limit(0), spark.createDataFrame(RULES, "entry string, verdict string")).collect() == []
+
+
+def test_equally_long_entries(spark):
+    """Of entries of one length but different shapes a block wins, then the first by code point."""
+    rules = [("b.c/xx", "allow"), ("a.b.c/", "block"), ("d.e/yy", "allow"), ("x.d.e/", "allow")]
+    pages = spark.createDataFrame([(1, "h://a.b.c/xx1"), (2, "h://x.d.e/yy")], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.filter_urls(pages, spark.createDataFrame(
+        rules, "entry string, verdict string")).collect()}
+    assert got == {1: ("a.b.c/", "block"), 2: ("d.e/yy", "allow")}
 
 
 def test_licenses(spark, docs, rows):
@@ -220,6 +230,42 @@ def test_licenses(spark, docs, rows):
     assert 0.8 <= at[902, "Apache-2.0-notice"]["containment"] < 1
 
 
+def test_repeated_notices_are_findings_of_their_own(spark):
+    """Notices in a row, with and without other words between them; a copy that repeats some of its own words is one."""
+    text = dict(licenses.TEMPLATES)
+    mpl, gpl, bsd = text["MPL-2.0-notice"], text["GPL-3.0-line"], text["BSD-redistribution"]
+    n = {k: len(B.LETTER_WORD.findall(B.lower(v))) for k, v in text.items()}
+    m, g, b = n["MPL-2.0-notice"], n["GPL-3.0-line"], n["BSD-redistribution"]
+    words = mpl.split()
+    stutter = " ".join(words[:12] + words[6:])
+    rows = [(1, f"{mpl} {mpl}"), (2, " ".join([mpl] * 3)), (3, f"{gpl} some other words here {gpl}"), (4, f"{bsd}\n{bsd}"), (5, stutter),
+            (6, " ".join(words[:9]) + " and then " + " ".join(words[9:]))]
+    out = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), licenses.default_templates(spark)).collect()
+    got = sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in out)
+    assert got[:-1] == [(1, 0, m), (1, m, 2 * m), (2, 0, m), (2, m, 2 * m), (2, 2 * m, 3 * m), (3, 0, g), (3, g + 4, 2 * g + 4),
+                        (4, 0, b), (4, b, 2 * b)]
+    assert got[-1] == (5, 0, len(B.LETTER_WORD.findall(B.lower(stutter))))  # 6 holds 9 of 13 shingles: too few
+
+
+def test_licenses_against_brute_force(spark, docs, rows):
+    rnd = random.Random(11)
+    some = [(t, x) for t, x in licenses.TEMPLATES]
+    made = []
+    for k in range(60):
+        parts = []
+        for _ in range(rnd.randrange(4)):
+            name, x = rnd.choice(some)
+            w = x.split()
+            if rnd.random() < 0.3 and len(w) > 20:
+                w[rnd.randrange(len(w))] = "changed"
+            parts += [prose(rnd, rnd.randrange(0, 40)), " ".join(w)]
+        made.append((1000 + k, " \n".join(parts + [prose(rnd, rnd.randrange(30))])))
+    every = [(r[0], r[1]) for r in rows if r[0] is not None] + made
+    out = licenses.scan_licenses(spark.createDataFrame(every, "doc_id long, text string"), licenses.default_templates(spark)).collect()
+    got = Counter((r["doc_id"], r["template"], r["start_word"], r["end_word"], round(r["containment"], 9)) for r in out)
+    assert got == Counter((d, *f) for d, t in every for f in B.license_findings(t, some))
+
+
 def test_secrets(spark):
     rnd = random.Random(3)
     hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
