@@ -1,7 +1,7 @@
 """Benchmark decontamination with training suffix arrays.
 
-Every task gathers its documents into shards of ``SHARD_BYTES`` (a longer document is a shard of
-its own) and builds a word suffix array of each: ranks of single words, then of 3, 9 and 27
+Every task gathers its documents into shards of as many bytes as the benchmark has, at least ``SHARD_BYTES`` and at most
+``LARGEST_SHARD`` (a longer document is a shard of its own) and builds a word suffix array of each: ranks of single words, then of 3, 9 and 27
 words (2, 4, 8, 16 where a shard is too long for three ranks in 64 bits) by sorting, never across
 the end of a document. Every suffix of the benchmark is looked up in every shard's array by
 binary search; the entries that agree in the first ``WINDOW`` words are its verbatim matches.
@@ -16,8 +16,10 @@ How it scales: the documents are read once and not shuffled. The benchmark is se
 tasks in blocks of ``BLOCK_BYTES`` of text, one broadcast each, and a shard's suffix array is
 searched with one block after the other, so neither the driver nor a task holds more than one
 block. A task prepares a single block once, several blocks once for every shard. The work is that of sorting the corpus
-within shards plus one search of the benchmark, a logarithm of a shard per suffix, for each shard: (corpus / SHARD_BYTES) *
-benchmark. A shard takes about 25 times its bytes of memory, so larger executors may take larger shards.
+within shards plus one search of the benchmark, a logarithm of a shard per suffix, for each shard: with shards as large as
+the benchmark that is in proportion to the corpus, beyond ``LARGEST_SHARD`` it is (corpus / LARGEST_SHARD) * benchmark.
+A shard takes about 25 times its bytes of memory, so larger executors may take larger shards. Smaller ones sort faster (they
+fit the processor's caches), hence no larger than needed.
 
 Results in special cases: a null or empty text has no words and matches nothing; items without
 words are never found; a null item_id is reported as an empty string; repeated items count as
@@ -39,7 +41,7 @@ from popcenter.llm.text import buffer, letters, list_array, load, lower, ranges,
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES, LARGEST_SHARD = 2 << 20, 16 << 20
 FOUND = ("struct<n_words:bigint,n_hit:bigint,"
          "matches:array<struct<item:string,item_start:int,doc_start:int,n_words:int>>>")
 
@@ -145,6 +147,11 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
     return out
 
 
+def shard_size(benchmark: DataFrame) -> int:
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(size, SHARD_BYTES), LARGEST_SHARD)
+
+
 def finder(test_blocks: list, window: int = WINDOW, shard_bytes: int = SHARD_BYTES):
     """A column function: a text's words, its words inside any window, and its longest matches."""
 
@@ -217,9 +224,10 @@ def finder(test_blocks: list, window: int = WINDOW, shard_bytes: int = SHARD_BYT
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
-               block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES, shard_bytes: int | None = None) -> DataFrame:
     """``docs`` with a column ``found`` (see ``FOUND``); a column of that name is replaced."""
-    return docs.withColumn("found", finder(blocks(benchmark, block_bytes), window, shard_bytes)(F.col(text)))
+    find = finder(blocks(benchmark, block_bytes), window, shard_bytes or shard_size(benchmark))
+    return docs.withColumn("found", find(F.col(text)))
 
 
 def op10_suffix_arrays(spark, sf_dir: str) -> DataFrame:
@@ -235,5 +243,6 @@ def op10_suffix_arrays(spark, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that hold no window of the benchmark."""
-    find = finder(blocks(read(spark, sf_dir, "benchmark")))
+    benchmark = read(spark, sf_dir, "benchmark")
+    find = finder(blocks(benchmark), shard_bytes=shard_size(benchmark))
     return docs.where(find("text")["n_hit"] == 0)

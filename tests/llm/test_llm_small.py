@@ -87,11 +87,11 @@ def test_substrings(docs, rows, window, gram):
 ITEMS = [(1, None), (2, ""), (3, "..!"), (None, "w1 w2"), (4, "Five, words; are ONE shingle"), (4, "one"), (10, "one")]
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 40])
-def test_leaks(spark, docs, rows, block_bytes):
+@pytest.mark.parametrize("block_bytes,shard_bytes", [(8 << 20, None), (40, None), (8 << 20, 300)])
+def test_leaks(spark, docs, rows, block_bytes, shard_bytes):
     items = [*ITEMS, (5, rows[11][1].title()), (6, " ".join(rows[15][1].split()[100:130])), (7, rows[17][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out = decontamination.find_leaks(docs.withColumn("found", F.lit(1)), bench, block_bytes=block_bytes)
+    out = decontamination.find_leaks(docs.withColumn("found", F.lit(1)), bench, block_bytes=block_bytes, shard_bytes=shard_bytes)
     names = F.array_sort(F.array_distinct("found.matches.item"))
     got = out.select("doc_id", "found.n_words", "found.n_hit", F.size(names),
                      F.sha2(F.array_join(names, ",").cast("binary"), 256), F.col("found.n_hit") > 0).collect()
