@@ -17,7 +17,7 @@ from popcenter.operators import retail as R  # noqa: E402
 from popcenter.operators.objective import nearest_center  # noqa: E402
 from popcenter.operators.partitioning import assign_parts  # noqa: E402
 from popcenter.plans.kcenter import unit_weighted  # noqa: E402
-from popcenter.session import local_session  # noqa: E402
+from popcenter.session import BucketedTable, local_session  # noqa: E402
 from popcenter.sources import points64_view, retail_view  # noqa: E402
 
 
@@ -31,11 +31,17 @@ def main() -> None:
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     view = retail_view(spark, sf, purchases_only=True)
-    state = assign_parts(points64_view(spark, sf), 8).select(
-        "part", "point_id", "x", F.lit(1.0).alias("d"), F.lit(0).alias("pos"))
-    units = K.work_units(unit_weighted(points64_view(spark, sf)).select("idx", "x", "w"), 8)
-    units.count()
-    step = K._scored(units, {0: (1.0, 3.0, np.empty((0, 0)), True)})
+    points = points64_view(spark, sf)
+    layout = K.lay_out(unit_weighted(points).select("idx", "x", "w"), points.count(), 64, strips=3)
+    layout.tiles.count(), layout.units.count()
+    bits = K.cover(layout.tiles, None, 1, {0: (np.zeros(64), 1.0)}).persist()
+    bits.count()
+    pts = assign_parts(points, 8).select("part", "point_id", "x")
+    packed = pts.sortWithinPartitions("part", "point_id").mapInArrow(C._packer(C.TILE), "part int, tile long, ids binary, x binary")
+    tiles = BucketedTable(packed.repartition(8, "tile"), "tile", 8)
+    start = tiles.df.groupBy("tile").applyInArrow(lambda key, t: C._applier([])(key, t, t.slice(0, 0)), C._STATE)
+    state = BucketedTable(start, "tile", 8)
+    applied = tiles.df.groupBy("tile").cogroup(state.df.groupBy("tile")).applyInArrow(C._applier([]), C._STATE)
     label_centers = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(
         F.min_by(F.col("embedding").cast("array<double>"), "vec_id").alias("x")).select(
         F.col("label").alias("step"), "x")
@@ -43,12 +49,12 @@ def main() -> None:
         ("Top-10 products of one country (T1 over A3, F1, F2)",
          R.top_products(R.product_popularity(view, "NATION_1"), 10)),
         ("Two-stage popularity (A2)", R.popularity_two_stage(view)),
-        ("One FFT pass (A4): new centers applied to the running distances",
-         state.mapInArrow(C._applier({0: (1, np.zeros((1, 64)))}), C._STATE)),
-        ("Candidates of an FFT pass (A4): cut in the task, merged per part",
-         state.select("part", "point_id", "x", "d").mapInArrow(
-             C._top_of_task(257), "part int, point_id long, x array<double>, d double")),
-        ("One greedy step (A6/A7): partial ball weights from the cached units, summed per tile", step),
+        ("State of an FFT traversal (A4): points and state in the same buckets", applied),
+        ("Candidates of an FFT pass (A4): cut in the task",
+         C._candidates(tiles.df, state.df, 9, C.CANDIDATES, C.TILE_TOP, 8, [])),
+        ("Cover state of a greedy step (J3, F7, A9): bitmaps by tile", K.cover(layout.tiles, bits, 1, {0: (np.ones(64), 1.0)})),
+        ("Ball weights of a greedy step (A6/A7): units read where they lie, partial sums to their tiles",
+         K.scored(layout, bits, 1, {0: 1.0})),
         ("Nearest center (J2)", nearest_center(points64_view(spark, sf), label_centers)),
     ]
     out = ["# PLANS", "", f"Physical plans (`explain(\"formatted\")`, before execution) at `{sf}`,",
@@ -59,6 +65,8 @@ def main() -> None:
         out += [f"## {title}", "", "```", plan(df).strip(), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(out))
+    tiles.drop()
+    state.drop()
     spark.stop()
 
 
