@@ -204,6 +204,13 @@ def self_evident(found: DataFrame) -> DataFrame:
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
 
+def usable(labelled: DataFrame) -> DataFrame:
+    """The caller's findings with a candidate and a label of 0 or 1; null surroundings and paths are empty."""
+    empty = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("before", "after", "path")]
+    return labelled.where(F.col("candidate").isNotNull()).select(
+        "candidate", *empty, F.col("label").cast("double").alias("label")).where(F.col("label").isin(0.0, 1.0))
+
+
 def fit(labelled: DataFrame, grams: list[str], max_rows: int = MAX_ROWS):
     """The forest, or None without labels of both kinds. About ``max_rows`` rows train it, half of
     them of each label where there are as many."""
@@ -228,10 +235,12 @@ def judge(found: DataFrame, forest, grams: list[str]) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source") -> DataFrame:
-    """doc_id, path, start, candidate, before, after, score and is_secret of every candidate."""
+    """doc_id, path, start, candidate, before, after, score and is_secret of every candidate. ``labelled`` has
+    candidate, before, after, path and label (1 a secret, 0 a false positive); rows without a candidate or a
+    label teach nothing."""
     found = checkpoint(candidates(docs, path))
     grams = dictionary(docs)
-    forest = fit(self_evident(found) if labelled is None else labelled, grams)
+    forest = fit(self_evident(found) if labelled is None else usable(labelled), grams)
     return judge(found, forest, grams).withColumn("is_secret", F.col("score") >= 0.5)
 
 

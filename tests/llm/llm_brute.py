@@ -179,3 +179,24 @@ def license_findings(text, templates, k=5, least=0.8):
             found[-1] = found[-1] + held
         out += [(name, f[0], f[-1] + size, round(len(seen(f)) / len(own), 9)) for f in found]
     return out
+
+
+def shards(rows, n_shards, seed=7):
+    """[(key, shard, slot)] of [(key, doc_id, text, source)]: each source in the order of a hash, all rows by their fractional
+    rank in it (ties: by source, null last), cut into runs of even lengths."""
+    def place(doc_id, text):
+        parts = [str(seed), *[str(v) for v in (doc_id, text) if v is not None]]
+        return int(hashlib.md5("|".join(parts).encode()).hexdigest()[:13], 16)
+
+    by = defaultdict(list)
+    for key, d, t, s in rows:
+        by[s].append((place(d, t), d is not None, d or 0, t is not None, t or "", key))
+    order = []
+    for s, members in by.items():
+        for r, m in enumerate(sorted(members, key=lambda m: m[:5])):
+            order.append((Fraction(2 * r + 1, 2 * len(members)), s is None, s or "", m[5]))
+    out, total = [], len(rows)
+    for i, (_, _, _, key) in enumerate(sorted(order, key=lambda o: o[:3])):
+        shard = i * n_shards // total
+        out.append((key, shard, i - -(-shard * total // n_shards)))
+    return out

@@ -1,5 +1,7 @@
 """op1: what labels itself, and what does not."""
 
+import random
+
 from popcenter.llm import secrets
 
 COMMIT, MD5 = "3f2a9c0d1e4b5a697887766554433221100ffeed", "9e107d9d372bb6826bd81d3542a419d6"
@@ -15,3 +17,21 @@ def test_self_evident_labels(spark):
     assert {r["candidate"] for r in found.collect()} == set(want)
     got = {r["candidate"]: r["label"] for r in secrets.self_evident(found).collect()}
     assert got == {c: v for c, v in want.items() if v is not None}
+
+
+def test_labelled_findings_of_the_caller(spark):
+    """Commit ids and checksums labelled as false positives are dropped, credentials of the same shape are kept; odd rows
+    among the labels (nulls, other labels, extra columns) teach nothing and break nothing."""
+    rnd = random.Random(8)
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    rows = [(f"{hexa(40)}", "fixed in commit ", " by the team", "src/a", 0.0, 1) for _ in range(120)]
+    rows += [(f"{hexa(40)}", "set the api_key=", " in the file", "src/a", 1.0, 1) for _ in range(120)]
+    rows += [(None, "x", "y", "z", 1.0, 1), (hexa(40), None, None, None, 0.0, 1), (hexa(20), "a", "b", "c", None, 1), (hexa(20), "a", "b", "c", 7.0, 1)]
+    labelled = spark.createDataFrame(rows, "candidate string, before string, after string, path string, label double, start int")
+    texts = [(k, "src/a", f"fixed in commit {hexa(40)} by the team") for k in range(40)]
+    texts += [(100 + k, "src/a", f"set the api_key={hexa(40)} in the file") for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, source string, text string").withColumn("path", secrets.F.lit(1)).withColumn("start", secrets.F.lit(2))
+    out = secrets.scan_secrets(docs, labelled).collect()
+    assert len(out) == 80 and all(r["is_secret"] == (r["doc_id"] >= 100) for r in out)
+    none = secrets.scan_secrets(docs, labelled.limit(0)).collect()
+    assert len(none) == 80 and all(r["is_secret"] for r in none)

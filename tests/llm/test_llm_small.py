@@ -172,6 +172,8 @@ def test_mix_stage_repeats_documents(spark, docs, rows):
 def test_shards(docs, rows, n):
     out = sharding.interleave(docs.withColumn("slot", F.lit("x")).withColumn("SHARD", F.lit(1)), n)
     got = out.select("doc_id", "text", "source", "shard", "slot").collect()
+    want = B.shards([((r[0], r[1], r[3]), r[0], r[1], r[3]) for r in rows], n)  # the order itself, by plain Python
+    assert Counter(((r["doc_id"], r["text"], r["source"]), r["shard"], r["slot"]) for r in got) == Counter(want)
     assert Counter((r["doc_id"], r["text"], r["source"]) for r in got) == Counter((r[0], r[1], r[3]) for r in rows)
     by = defaultdict(list)
     for r in got:

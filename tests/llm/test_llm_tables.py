@@ -23,6 +23,8 @@ def test_op3(spark, table):
     got = queries()["op3_interleaved_shards"](spark, SF001).collect()
     size = {r["doc_id"]: (len((r["text"] or "").encode()) + 16, B.crc(r["text"])) for r in table["documents"]}
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == size
+    rows = [(r["doc_id"], r["doc_id"], B.crc(r["text"]), r["source"]) for r in table["documents"]]
+    assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == sorted(B.shards(rows, 40))
     assert {r["law"] for r in got} == {"rows"} and {r["grown_shard"] for r in got} == {None}
 
 
@@ -60,3 +62,17 @@ def test_pipeline(spark, table):
         read.add(name)
     assert len(read) == 5 and {"shard", "slot"} <= set(docs.columns)
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF001).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """An empty table, and one of nulls and repeated rows, go through all stages."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    odd = docs.limit(20).unionByName(docs.limit(20)).unionByName(docs.selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in docs.dtypes]).limit(3))
+    odd.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*docs.columns, "shard", "slot"]
+    out.collect()
