@@ -4,6 +4,11 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 Parquet into the shared checkpoint folder and reads it again as the next stage's input, so a
 lost executor costs one stage's tasks at most and no stage's plan grows with those before it.
 All stages but the last return the columns of ``documents``; the last adds ``shard`` and ``slot``.
+
+Results in special cases: an empty table gives an empty result; rows with nulls are judged like empty texts (each
+stage's docstring has the details); of repeated rows and of copies without an id the near-duplicate stage keeps
+one; texts without words are kept by it; the mix may repeat a document, as its targets ask. The stages' folders stay
+below the checkpoint directory, as the result is read from the last one.
 """
 
 from __future__ import annotations
