@@ -45,8 +45,8 @@ from popcenter.operators.selection import kth_value
 from popcenter.operators.tiles import TILE, bounds, pack_tiles, strip_count, tiles_in, work_units
 from popcenter.session import checkpoint
 
-#: Steps after which the bitmaps' lineage is cut.
-CUT_STEPS = 16
+#: Steps after which the lineage of the bitmaps is cut: the plan of a step grows with the steps before it.
+CUT_STEPS = 2
 
 
 def _check_params(k: int, z: int, alpha: float) -> None:

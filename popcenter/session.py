@@ -68,7 +68,9 @@ def checkpoint(df):
     """Eager reliable checkpoint in the session's shared checkpoint directory.
 
     The shuffle files that led to it are dropped at once: nothing reads them again, and a job of
-    several checkpointed steps would otherwise hold them all until the driver collects garbage.
+    several checkpointed steps would otherwise hold them all until the driver collects garbage. The
+    setting is the session's while the checkpoint is written: queries of other threads that end in that time drop
+    theirs too, so run those in a session of their own (``spark.newSession()``).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
