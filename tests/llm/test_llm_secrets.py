@@ -1,6 +1,9 @@
 """op1: what labels itself, and what does not."""
 
+import math
 import random
+import re
+from collections import Counter
 
 from popcenter.llm import secrets
 
@@ -35,3 +38,47 @@ def test_labelled_findings_of_the_caller(spark):
     assert len(out) == 80 and all(r["is_secret"] == (r["doc_id"] >= 100) for r in out)
     none = secrets.scan_secrets(docs, labelled.limit(0)).collect()
     assert len(none) == 80 and all(r["is_secret"] for r in none)
+
+
+def test_hand_labelled_contexts(spark):
+    """With the hand-labelled surroundings alone, without labels from the caller: commit ids, checksums and serial
+    numbers in sentences that the table does not have are dropped, credentials of the same shapes are kept."""
+    rnd = random.Random(4)
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP") for _ in range(n))
+    false = [f"cherry-picked commit {hexa(40)} onto main", f"its md5 {hexa(32)} agrees", f"they saw {hexa(40)} in the list",
+             f"sha256 {hexa(64)} of the archive", f"card {''.join(rnd.choice('0123456789') for _ in range(16))} was used"]
+    true = [f"set password={word(12)} now", f"my api_key: {hexa(32)} works", f"secret = '{word(9)}4{word(9)}' there", f"token={hexa(40)} in it"]
+    texts = [(k, "src/a", false[k % 5].replace("onto", "onto" + " " * (k // 5))) for k in range(40)]
+    texts += [(100 + k, "src/a", true[k % 4]) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, source string, text string")
+    out = secrets.scan_secrets(docs, secrets.labelled_contexts(spark)).collect()
+    assert len(out) == 80
+    wrong = [(r["candidate"], r["before"]) for r in out if r["is_secret"] != (r["doc_id"] >= 100)]
+    assert not wrong, wrong
+
+
+def test_features_against_plain_python(spark):
+    texts = ["the cat sat on the mat", "the cat ate", "The cät and the dog", "a dog, the cat!", "zzz cat the dog", None, ""] + ["the catalog"] * 3
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    language = secrets.dictionary(docs, share=0.25)
+    count = Counter(w for t in texts if t for w in set(re.findall(r"[^\W\d_]+", t.lower())))
+    words = {w for w, n in count.items() if n >= 0.25 * len(texts) and n >= 3 and 3 <= len(w) <= 30}
+    assert words == {"the", "cat", "dog", "catalog"} and language.words == words
+    fold = lambda w: [min(ord(c) - 97, 26) for c in w]
+    times = Counter()
+    for w, n in count.items():
+        times.update({p: 0 for p in zip(fold(w), fold(w)[1:])})
+        for p in zip(fold(w), fold(w)[1:]):
+            times[p] += n
+    total = Counter()
+    for (a, _), n in times.items():
+        total[a] += n
+    for s, cover in (("thecatalogX9", 10 / 12), ("catcat", 1.0), ("xxthxe", 0.0), ("", 0.0), ("TheDog-é", 6 / 8), ("9a", 0.0)):
+        assert secrets.coverage(s, language) == cover
+        runs = [fold(r) for r in re.findall(r"[a-zé]+", s.lower())]
+        bits = [-math.log2((times[p] + 1) / (total[p[0]] + 27)) for r in runs for p in zip(r, r[1:])]
+        assert math.isclose(secrets.mean_surprise(s, language), sum(bits) / max(1, len(bits)), rel_tol=1e-12)
+    found = spark.createDataFrame([("thecatalogX9", "commit ", "", "src/test"), ("", "", "", "")], "candidate string, before string, after string, path string")
+    rows = secrets.with_features(found, language).collect()
+    assert rows[0]["covered"] == 10 / 12 and rows[0]["near_digest"] == 1 and rows[0]["path_fake"] == 1 and rows[1]["surprise"] == 0
