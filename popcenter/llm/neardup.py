@@ -11,16 +11,22 @@ Steps, each over all documents:
 1. Documents of equal sets become one class (128-bit digest of the set): groups of copies of
    any size meet in a pre-aggregated sum, not in one task.
 2. BANDS bands of ROWS bins each; classes that share a band value are candidates. A pair at the
-   threshold of 0.85 is missed with probability (1 - 0.85^8)^45, about 6e-7. Every member of a
-   band value is tied to its smallest one (no pairs are listed), and the ties' connected
-   components are the candidate clusters.
+   threshold of 0.85 is missed with probability (1 - 0.85^8)^45, about 6e-7. No pairs are listed: every
+   member of a band value is held against its smallest one, by their whole sketches (one byte a
+   bin). A tie needs agreement of SLACK less than the threshold, which a pair at 0.85 fails with a
+   probability of the order of 1e-7. Where the members of a band value then lie in several components, those
+   outside its largest one are held against all its members, by sketches too, in blocks of
+   SKETCH_BLOCK; of band values with the same members one is enough. The ties' connected components are the
+   candidate clusters. So clusters hold together by pairs of about 0.75 and more: chains of weaker
+   likeness, which band values alone would tie, fall apart.
 3. Within a cluster every pair is decided on the full sets, so no candidate gets lost. The sets
    of a cluster are cut into blocks of about BLOCK_BYTES and one member, the hub, joins each
    block. A task links the members of one block and returns a spanning forest of the links
    (linear in the rows it read); components over these forests follow. In a cluster of several
    blocks the members outside its largest component are then compared with all its members, two
    blocks a task. So a cluster of copies of one text costs in proportion to its size, whatever
-   that is, and only members that did not link are compared further.
+   that is, and only members that did not link are compared further. What is known of a cluster
+   reaches its rows by (cluster, salt), SALTS salts a cluster, so none is one join key.
 4. Connected components of the links, and the smallest doc_id of each.
 
 Sets are compared as sets of 64-bit shingle hashes.
@@ -33,6 +39,7 @@ answer; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +58,9 @@ SHINGLE = 5
 BANDS, ROWS = 45, 8
 LINK = (85, 100)
 BLOCK_BYTES = 16 << 20
+SLACK = 0.1
+SKETCH_BLOCK = 4096
+SALTS = 64
 #: The pipeline stage: its threshold, and 61 bands of 7, which miss a pair at 0.80 with probability
 #: (1 - 0.8^7)^61, about 6e-7 (45 bands of 8 would miss 2.6e-4 of them).
 STAGE_LINK, STAGE_BANDS, STAGE_ROWS = (80, 100), 61, 7
@@ -90,12 +100,13 @@ def sketches(shingles: np.ndarray, at: np.ndarray, bins: int) -> np.ndarray:
 
 
 def signer(bands: int = BANDS, rows: int = ROWS):
-    """A column function: size and digest of a text's shingle set, and its band values."""
+    """A column function: size and digest of a text's shingle set, its band values, and its sketch
+    with one byte a bin."""
 
-    @arrow_udf("struct<n:bigint,hi:bigint,lo:bigint,bands:array<bigint>>")
+    @arrow_udf("struct<n:bigint,hi:bigint,lo:bigint,bands:array<bigint>,sketch:binary>")
     def sign(text: pa.Array) -> pa.Array:
         buf, offs = buffer(text)
-        n, hi, lo, keys = [], [], [], []
+        n, hi, lo, keys, marks = [], [], [], [], []
         for i, j in slices(offs):
             x, at = shingle_sets(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             size = np.diff(at)
@@ -109,11 +120,14 @@ def signer(bands: int = BANDS, rows: int = ROWS):
             for r in range(rows):
                 key = mix(key ^ s[:, :, r])
             keys.append(key.reshape(-1))
+            mark = iter((s & U(0xFF)).astype(np.uint8).reshape(len(full), bands * rows))
+            marks += [next(mark).tobytes() if z else b"" for z in size.tolist()]
         cat = lambda v: np.concatenate(v) if v else np.empty(0, U)
         sizes = cat(n).astype(np.int64)
         return pa.StructArray.from_arrays(
             [pa.array(sizes), signed(cat(hi)), signed(cat(lo)),
-             list_array(signed(cat(keys)), np.where(sizes > 0, bands, 0))], ["n", "hi", "lo", "bands"])
+             list_array(signed(cat(keys)), np.where(sizes > 0, bands, 0)), pa.array(marks, pa.binary())],
+            ["n", "hi", "lo", "bands", "sketch"])
 
     return sign
 
@@ -194,6 +208,73 @@ def linker(link: tuple[int, int] = LINK):
     return links
 
 
+def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
+    """The number of bins in which two sketches agree."""
+    return pa.array([int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum())
+                     for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int32())
+
+
+def tier(need: int):
+    """For applyInArrow over rows (hi, root, side, sketch): ties (hi, hub) between members of side 0 and
+    members of side 1 that agree in ``need`` bins, a spanning forest over the roots."""
+    def ties(table: pa.Table) -> pa.Table:
+        hi, side = table["hi"].to_numpy(), table["side"].to_numpy()
+        _, part = np.unique(table["root"].to_numpy(), return_inverse=True)
+        sketch = np.stack([np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out: list[tuple[int, int]] = []
+        for i in left:
+            other = right[part[right] != part[i]]
+            for j in other[(sketch[other] == sketch[i]).sum(axis=1) >= need]:
+                if part[j] != part[i]:
+                    out.append((hi[i], hi[j]))
+                    part[part == part[j]] = part[i]
+        return pa.table({"hi": pa.array([x for x, _ in out], pa.int64()), "hub": pa.array([y for _, y in out], pa.int64())})
+
+    return ties
+
+
+def candidate_ties(full: DataFrame, need: int, block: int = SKETCH_BLOCK) -> DataFrame:
+    """hi, hub: ties that join all classes which share a band value and agree in ``need`` bins of their sketches
+    (hi, lo, bands, sketch), and no others."""
+    classes = full.groupBy("hi", "lo").agg(F.first("bands").alias("bands"))
+    keyed = classes.select("hi", F.explode("bands").alias("band"))
+    hubs = keyed.groupBy("band").agg(F.min("hi").alias("hub"), F.max("hi").alias("top")).where(F.col("hub") != F.col("top"))
+    shared = checkpoint(keyed.join(hubs.drop("top"), "band"))
+    pairs = shared.where(F.col("hi") != F.col("hub")).select("hi", "hub").distinct()
+    nodes = shared.select("hi").distinct()
+    sketch = checkpoint(full.join(nodes, "hi", "left_semi").groupBy("hi").agg(F.first("sketch").alias("sketch")))
+    of_hub = sketch.select(F.col("hi").alias("hub"), F.col("sketch").alias("of_hub"))
+    near = checkpoint(pairs.join(of_hub, "hub").join(sketch, "hi").where(arrow_udf(agreement, "int")("sketch", "of_hub") >= need).select("hi", "hub"))
+
+    # band values whose members still lie in several components; a pair alone has been decided
+    roots = components(near, "hi", "hub").select(F.col("node").alias("hi"), "root")
+    member = shared.select("band", "hi").join(roots, "hi", "left").withColumn("root", F.coalesce("root", "hi"))
+    per_root = member.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum(F.xxhash64("hi").cast("decimal(38,0)")).alias("s"))
+    open_ = per_root.groupBy("band").agg(F.max_by("root", F.struct("c", "root")).alias("largest"), F.max("c").alias("most"),
+                                         F.sum("c").alias("n"), F.sum("s").alias("s")).where("n > 2 and most < n")
+    chosen = open_.groupBy("n", "s").agg(F.min(F.struct("band", "largest", "most")).alias("one")).select("one.*", "n")
+    rows = checkpoint(member.join(chosen, "band"))
+    if rows.isEmpty():
+        return near
+    blocks = lambda size: F.ceil(size / block).cast("int")
+    own = lambda n: F.array(F.pmod(F.xxhash64("hi"), n).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    n_left, n_right = blocks(F.col("n") - F.col("most")), blocks(F.col("n"))
+    left = rows.where(F.col("root") != F.col("largest")).select("band", "hi", "root", F.lit(0).alias("side"), own(n_left).alias("p"), every(n_right).alias("q"))
+    right = rows.select("band", "hi", "root", F.lit(1).alias("side"), every(n_left).alias("p"), own(n_right).alias("q"))
+    work = left.unionByName(right).join(sketch, "hi").withColumn("p", F.explode("p")).withColumn("q", F.explode("q"))
+    more = work.groupBy("band", "p", "q").applyInArrow(tier(need), "hi bigint, hub bigint")
+    return near.unionByName(checkpoint(more))
+
+
+def with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` (cluster, name, ...) joined with one row of facts a cluster, by (cluster, salt)."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)))
+    salts = salted.select("cluster", "salt").distinct().join(facts, "cluster")
+    return salted.join(salts, ["cluster", "salt"]).drop("salt")
+
+
 def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int = BANDS, rows: int = ROWS,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, component and kept for every row of ``docs``
@@ -203,10 +284,7 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
     name = F.concat_ws(".", "hi", "lo").alias("name")
     full = sig.where(F.col("n") > 0)
 
-    classes = full.groupBy("hi", "lo").agg(F.first("bands").alias("bands"))
-    keyed = classes.select("hi", F.explode("bands").alias("band"))
-    hubs = keyed.groupBy("band").agg(F.min("hi").alias("hub"), F.max("hi").alias("top")).where(F.col("hub") != F.col("top"))
-    ties = keyed.join(hubs, "band").where(F.col("hi") != F.col("hub")).select("hi", "hub").distinct()
+    ties = candidate_ties(full, math.ceil((link[0] / link[1] - SLACK) * bands * rows))
     clusters = checkpoint(components(ties, "hi", "hub").select(F.col("node").alias("hi"), F.col("root").alias("cluster")))
 
     # one row a class, summed up before the shuffle: a class may hold a third of all rows
@@ -215,7 +293,7 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
     members = reps.join(clusters, "hi").select("*", name)
     weight = F.sum(F.col("n") * 8)
     blocks = members.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_blocks"), F.min("name").alias("hub"))
-    members = members.join(blocks, "cluster").select(
+    members = with_facts(members, blocks).select(
         F.col("one.doc_id").alias("m_id"), F.col("one.text_hash").alias("m_hash"), "cluster", "n_blocks", "hub", "name", "n",
         F.pmod(F.xxhash64("name"), F.col("n_blocks")).cast("int").alias("block"))
     same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash"))
@@ -234,11 +312,11 @@ def near_duplicates(docs: DataFrame, link: tuple[int, int] = LINK, bands: int =
         parts = several.join(components(links), F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
         sizes = parts.groupBy("cluster", "root").agg(F.count("*").alias("c"))
         largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
-        rest = parts.join(largest, "cluster").where(F.col("root") != F.col("largest"))
+        rest = with_facts(parts, largest).where(F.col("root") != F.col("largest"))
         n_rest = rest.groupBy("cluster").agg(F.ceil(weight / block_bytes).cast("int").alias("n_rest"))
-        left = rest.join(n_rest, "cluster").withColumn("p", F.pmod(F.xxhash64("name"), F.col("n_rest")).cast("int")) \
+        left = with_facts(rest, n_rest).withColumn("p", F.pmod(F.xxhash64("name"), F.col("n_rest")).cast("int")) \
             .withColumn("q", F.explode(every)).withColumn("side", F.lit(0))
-        right = several.join(n_rest, "cluster").withColumn("p", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1))) \
+        right = with_facts(several, n_rest).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1))) \
             .withColumn("q", F.col("block")).withColumn("side", F.lit(1))
         cols = ("cluster", "p", "q", "side", "name", "set")
         links = links.unionByName(checkpoint(linked(left.select(*cols).unionByName(right.select(*cols)))))

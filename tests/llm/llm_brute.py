@@ -14,7 +14,7 @@ def lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=85):
     """[(doc_id, n_shingles, component_id, kept)] of [(doc_id, text)], in order."""
     sets = []
     for _, t in rows:
@@ -30,7 +30,7 @@ def near_duplicates(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):

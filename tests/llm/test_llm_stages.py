@@ -2,7 +2,10 @@
 
 import random
 
+import llm_brute
+import numpy as np
 import pytest
+from conftest import SF001
 from pyspark.sql import functions as F
 
 from popcenter.llm import mixing, neardup
@@ -70,3 +73,52 @@ def test_many_mixing_cells(spark, monkeypatch):
         F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect(), key=lambda r: r["cell"])
     assert len(got) >= 80 and max(r["n"] for r in got) <= 4 * 50_000 / len(got)
     assert all(a["hi"] <= b["lo"] for a, b in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("block", [7, 4096])
+def test_ties_within_shared_band_values(spark, block):
+    """All classes share band values with a stranger that is the smallest of them: families are tied all the same,
+    strangers and families among each other are not, and no tie is weaker than asked."""
+    rng = np.random.default_rng(7)
+    bins, need, sketch, family, hi = 360, 270, {}, {}, 0
+    for f, size in enumerate([1, 40, 25, 1, 1, 3]):
+        base = rng.integers(0, 256, bins)
+        for _ in range(size):
+            s = base.copy()
+            s[rng.choice(bins, 18, replace=False)] = rng.integers(0, 256, 18)
+            sketch[hi], family[hi] = s.astype(np.uint8), f
+            hi += 1
+    rows = [(h, 0, [5, 6] if h % 2 else [5, 6, 7], bytearray(s.tobytes())) for h, s in sketch.items()]
+    rows += [(1000, 0, [99], bytearray(bytes(bins)))]
+    full = spark.createDataFrame(rows + rows[:9], "hi long, lo long, bands array<long>, sketch binary")
+    ties = neardup.candidate_ties(full, need, block).collect()
+    assert all((sketch[t["hi"]] == sketch[t["hub"]]).sum() >= need for t in ties)
+    root = {h: h for h in sketch}
+    for t in ties:
+        a, b = root[t["hi"]], root[t["hub"]]
+        root = {h: a if r == b else r for h, r in root.items()}
+    assert {(h, g) for h in root for g in root if root[h] == root[g]} == {(h, g) for h in family for g in family if family[h] == family[g]}
+
+
+def test_chains_of_weak_likeness_fall_apart(spark):
+    """300 texts, each about 0.7 like the next one: few of these pairs become ties, so no cluster of all of them has to be
+    compared; 40 copies with one changed word each are one component."""
+    rnd = random.Random(2)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(300 * 35 + 400)]
+    rows = [(k, " ".join(words[35 * k:35 * k + 200])) for k in range(300)]
+    base = [f"c{k}" for k in range(200)]
+    rows += [(1000 + k, " ".join(base[:4 * k] + [f"x{k}"] + base[4 * k + 1:])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("s", neardup.signer()("text"))
+    ties = neardup.candidate_ties(docs.select("doc_id", "s.*"), 270)
+    near = docs.select("doc_id", "s.hi").join(ties, "hi").where("doc_id < 1000")
+    assert near.count() <= 40
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs.drop("s")).collect()}
+    assert got == {**{k: k for k in range(300)}, **{1000 + k: 1000 for k in range(40)}}
+
+
+def test_stage_threshold_against_brute_force(spark):
+    """Components at 0.80 on all documents of sf0.001 are those of comparing every pair."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    out = neardup.near_duplicates(docs, neardup.STAGE_LINK, neardup.STAGE_BANDS, neardup.STAGE_ROWS)
+    got = sorted((r["doc_id"], r["component_id"]) for r in out.collect())
+    assert got == sorted((d, c) for d, _, c, _ in llm_brute.near_duplicates([(r["doc_id"], r["text"]) for r in docs.collect()], 80))
