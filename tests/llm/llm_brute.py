@@ -1,6 +1,7 @@
 """Plain Python versions of the training-data operators, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -200,3 +201,35 @@ def shards(rows, n_shards, seed=7):
         shard = i * n_shards // total
         out.append((key, shard, i - -(-shard * total // n_shards)))
     return out
+
+
+def quality_scores(train, texts, epochs, alpha, beta, l1, l2):
+    """Scores of ``texts`` by a regression fitted to [(text, label)], row after row: FTRL-proximal with one weight per
+    n-gram (no hashing) and a bias."""
+    def grams(text):
+        words = re.findall(r"[!-/:-@\[-`{-~]|[^\x00-\x20!-/:-@\[-`{-~\x7f]+", text or "")
+        count = Counter(("word", w) for w in words)
+        count.update(("twice",) if a == b else ("pair", a, b) for a, b in zip(words, words[1:]))
+        total = max(1, sum(count.values()))
+        return {**{g: c / math.sqrt(total) for g, c in count.items()}, ("bias",): 1.0}
+
+    z, n = Counter(), Counter()
+
+    def weight(g):
+        if abs(z[g]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[g]) - z[g]) / ((beta + math.sqrt(n[g])) / alpha + l2)
+
+    def score(x):
+        return 1 / (1 + math.exp(-sum(weight(g) * v for g, v in x.items())))
+
+    rows = [(grams(t), y) for t, y in train]
+    for _ in range(epochs):
+        for x, y in rows:
+            error = score(x) - y
+            old = {g: weight(g) for g in x}
+            for g, v in x.items():
+                step = error * v
+                z[g] += step - (math.sqrt(n[g] + step * step) - math.sqrt(n[g])) / alpha * old[g]
+                n[g] += step * step
+    return [score(grams(t)) for t in texts]
