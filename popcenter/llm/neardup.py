@@ -14,7 +14,7 @@ Steps, each over all documents:
    threshold of 0.85 is missed with probability (1 - 0.85^8)^45, about 6e-7. No pairs are listed: every
    member of a band value is held against its smallest one, by their whole sketches (one byte a
    bin). A tie needs agreement of SLACK less than the threshold, which a pair at 0.85 fails with a
-   probability of the order of 1e-7. Where the members of a band value then lie in several components, those
+   probability of about 3e-7. Where the members of a band value then lie in several components, those
    outside its largest one are held against all its members, by sketches too, in blocks of
    SKETCH_BLOCK; of band values with the same members one is enough. The ties' connected components are the
    candidate clusters. So clusters hold together by pairs of about 0.75 and more: chains of weaker
