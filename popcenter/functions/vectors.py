@@ -93,13 +93,18 @@ def block_distances(a, b):
     ``euclidean`` -- so a threshold test gives the same answer here and in SQL.
     Used inside Arrow tasks only; Spark partitions the work.
     """
+    return np.sqrt(square_distances(a, b))
+
+
+def square_distances(a, b):
+    """The squares that ``block_distances`` takes the roots of."""
     if a.shape[0] and b.shape[0] and a.shape[1] != b.shape[1]:
         raise ValueError(f"vectors of dimension {a.shape[1]} and {b.shape[1]}")
     acc = np.zeros((a.shape[0], b.shape[0]))
     for d in range(a.shape[1]):
         diff = a[:, d, None] - b[None, :, d]
         acc += diff * diff
-    return np.sqrt(acc)
+    return acc
 
 
 def pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -9,18 +9,22 @@ uncovered weight is at most z; otherwise r doubles.
 Spark form. Guesses share no state, so all of them run side by side (a guess index ``g``). The
 weighted set, of any size, is packed once into tiles of neighbouring points (``tiles``); pairs of strips
 of tiles are the work units. Tiles and units are laid out once and cached, partitioned by tile and
-by unit, and no vector moves after that. What changes is the cover state: a bitmap per tile and guess.
+by unit, and no vector moves after that. What changes is the cover state, a bitmap per tile and guess, and the
+balls' weights, whole numbers in as few bytes as hold them.
 A greedy step is two jobs:
 
-1. each tile's bitmap is updated by the newest center of each guess (a tile that lies outside of the
-   cover radius, or inside as a whole, is decided by its center and radius), and the uncovered weights
-   are added up: guesses that are finished, or too large to matter, go no further. The bitmaps, an eighth of a byte
-   per point and guess, go to the units of their tile;
-2. a unit adds up, for each pair of its tiles and each guess, the uncovered weight of one tile in the balls of the
-   other's points, both ways from one block of distances. Pairs that lie apart, and pairs that
-   lie within the ball as a whole, are settled by the tiles' bounds without distances. The partial sums of a tile, one row per
+1. a unit adds up, for each pair of its tiles and each guess, the uncovered weight of one tile in the balls of the
+   other's points, both ways. Pairs that lie apart, and pairs that lie within the ball as a whole, are settled by the
+   tiles' bounds without distances; in few dimensions the pairs left open are settled in the same way by leaves of
+   ``LEAF`` points. The partial sums of a tile, one row per
    unit and guess, are added up where the tile lies; its best candidate (largest weight, then lowest idx)
-   goes on with its vector, and the best of each guess is one row for the driver.
+   goes on with its vector, and the best of each guess is one row for the driver. The sums stay with the tile: after the
+   first step only the weight that became covered is looked at, and taken off the balls it lies in. A point becomes
+   covered once, so all steps after the first cost at most as much as the first one;
+2. each tile's bitmap is updated by the newest center of each guess (a tile that lies outside of the
+   cover radius, or inside as a whole, is decided by its center and radius), and the uncovered weights
+   are added up: guesses that are finished, or too large to matter, go no further. The bitmaps of what became covered, an
+   eighth of a byte per point and guess, go to the units of their tile.
 
 Each distance between a point and a center is computed once a guess. The driver keeps the chosen centers (k per guess) and nothing that grows
 with the set. It stops a guess once it is finished and drops every guess above the smallest
@@ -42,7 +46,8 @@ from pyspark.sql import functions as F
 
 from popcenter.functions.vectors import Nearness, block_distances, malformed, nearest_udf
 from popcenter.operators.selection import kth_value
-from popcenter.operators.tiles import TILE, bounds, pack_tiles, strip_count, tiles_in, work_units
+from popcenter.operators.tiles import (LEAF_DIMS, TILE, Leaves, Tile, add_balls, bounds, pack_tiles, strip_count, tiles_in,
+                                       work_units)
 from popcenter.session import checkpoint
 
 #: Steps after which the lineage of the bitmaps is cut: the plan of a step grows with the steps before it.
@@ -87,6 +92,7 @@ def _covering(guesses: int, newest: dict[int, tuple[np.ndarray, float]]):
         strip = dict(zip(tiles.column("tile").to_pylist(), tiles.column("strip").to_pylist()))
         for t in tiles_in(tiles):
             covered, computed = _unpack(held.get(t.tile), guesses, len(t.ids)), 0
+            before = covered.copy()
             for g, (center, cover) in newest.items():
                 d = float(block_distances(t.center, center[None, :])[0, 0])
                 slack = 1e-9 * (d + t.radius)
@@ -97,22 +103,23 @@ def _covering(guesses: int, newest: dict[int, tuple[np.ndarray, float]]):
                 else:
                     covered[g] |= block_distances(t.x, center[None, :])[:, 0] <= cover
                     computed += len(t.ids)
-            out.append((strip[t.tile], t.tile, _pack(covered), (~covered @ t.w).tolist(), computed))
+            fresh = covered & ~before
+            out.append((strip[t.tile], t.tile, _pack(covered), _pack(fresh) if fresh.any() else None, (~covered @ t.w).tolist(), computed))
         return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_BITS)], schema=_BITS)
 
     return run
 
 
-_BITS = pa.schema([("strip", pa.int32()), ("tile", pa.int64()), ("bits", pa.binary()), ("left", pa.list_(pa.float64())),
-                   ("computed", pa.int64())])
+_BITS = pa.schema([("strip", pa.int32()), ("tile", pa.int64()), ("bits", pa.binary()), ("fresh", pa.binary()),
+                   ("left", pa.list_(pa.float64())), ("computed", pa.int64())])
 
 
 def cover(tiles: DataFrame, bits: DataFrame | None, guesses: int, newest: dict) -> DataFrame:
-    """The bitmaps (strip, tile, bits, left, computed) after the newest centers; ``left`` is each guess's
-    uncovered weight in the tile, ``computed`` counts distances."""
+    """The bitmaps (strip, tile, bits, fresh, left, computed) after the newest centers; ``fresh`` has the points that
+    only these cover (null: none), ``left`` is each guess's uncovered weight in the tile, ``computed`` counts distances."""
     old = tiles.select("tile", F.lit(None).cast("binary").alias("bits")).limit(0) if bits is None else bits.select("tile", "bits")
     return tiles.groupBy("tile").cogroup(old.groupBy("tile")).applyInArrow(
-        _covering(guesses, newest), "strip int, tile long, bits binary, left array<double>, computed long")
+        _covering(guesses, newest), "strip int, tile long, bits binary, fresh binary, left array<double>, computed long")
 
 
 def uncovered(bits: DataFrame) -> dict[int, int]:
@@ -123,83 +130,131 @@ def uncovered(bits: DataFrame) -> dict[int, int]:
 
 # ---------------------------------------------------------------- ball weights
 
-_PARTIAL = pa.schema([("tile", pa.int64()), ("g", pa.int32()), ("sums", pa.binary()),
+_PARTIAL = pa.schema([("tile", pa.int64()), ("g", pa.int32()), ("sign", pa.int32()), ("base", pa.float64()), ("sums", pa.binary()),
                       ("pairs", pa.int64()), ("skipped", pa.int64()), ("taken", pa.int64())])
 
 
-def _partial_sums(guesses: int, balls: dict[int, float]):
-    """For a cogroup of a unit's tiles and bitmaps: per tile and guess the uncovered weight in the
-    balls of the tile's points, of the points of this unit. ``balls[g]`` is the ball radius. Counts
-    pairs of tiles and guesses, and those that the bounds settled."""
+def _shrunk(sums: np.ndarray) -> tuple[float, bytes]:
+    """Whole numbers as their least and what is above it, in as few bytes as hold it (none, if all are equal)."""
+    base = sums.min()
+    above = sums - base
+    most = above.max()
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if most <= np.iinfo(k).max), np.float64)
+    return float(base), above.astype(kind).tobytes() if most else b""
+
+
+def _grown(base: float, above: bytes, n: int) -> np.ndarray:
+    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.float64}.get(len(above) // n)
+    return base + (np.frombuffer(above, kind).astype(float) if kind else np.zeros(n))
+
+
+def _by_tiles(own: list[Tile], other: list[Tile], weight, balls: dict[int, float]):
+    """(tile, g, sums, pairs, skipped, taken): distances of a pair of tiles at once, for all guesses."""
+    both = own + other
+    weights = {t.tile: {g: weight(t, g) for g in balls} for t in both}
+    some = {t: [w.any() for w in by.values()] for t, by in weights.items()}
+    sums = {t.tile: {g: np.zeros(len(t.ids)) for g in balls} for t in both}
+    pairs = skipped = taken = 0
+    # within one strip each tile meets itself and those behind it, else all of the other strip
+    meets = [(a, b) for a in own for b in other] if other else [(a, b) for i, a in enumerate(own) for b in own[i:]]
+    for a, b in meets:
+        low, high = bounds(a, b)
+        near = None
+        for (g, ball), has_a, has_b in zip(balls.items(), some[a.tile], some[b.tile]):
+            wa, wb = weights[a.tile][g], weights[b.tile][g]
+            pairs += 1
+            if low > ball or not (has_a or has_b):
+                skipped += 1
+            elif high <= ball:
+                taken += 1
+                sums[a.tile][g] += wb.sum()
+                if a is not b:
+                    sums[b.tile][g] += wa.sum()
+            else:
+                near = near or Nearness(a.x, b.x)
+                inside = near.within(ball).astype(float)  # whole weights: exact below 2^53
+                if has_b:
+                    sums[a.tile][g] += inside @ wb
+                if has_a and a is not b:
+                    sums[b.tile][g] += wa @ inside
+    for t in both:
+        for g in balls:
+            yield t.tile, g, sums[t.tile][g], pairs, skipped, taken
+            pairs = skipped = taken = 0
+
+
+def _by_leaves(own: list[Tile], other: list[Tile], weight, balls: dict[int, float]):
+    """As ``_by_tiles``, in few dimensions: pairs of tiles that bounds leave open are looked at by leaves. A guess
+    at a time, so a task holds the weights and sums of one."""
+    origin = own[0].x[0]
+    a = Leaves(own, origin)
+    b = Leaves(other, origin) if other else a
+    for g, ball in balls.items():
+        for side in {id(s): s for s in (a, b)}.values():
+            side.weigh([weight(t, g) for t in side.tiles])
+        pairs, skipped, taken = add_balls(a, b, ball) if a.tile_w.any() or b.tile_w.any() else (0, 0, 0)
+        for side in {id(s): s for s in (a, b)}.values():
+            for tile, sums in side.totals():
+                yield tile, g, sums, pairs, skipped, taken
+                pairs = skipped = taken = 0
+
+
+def _partial_sums(guesses: int, balls: dict[int, float], fresh: bool):
+    """For a cogroup of a unit's tiles and bitmaps: per tile and guess the uncovered weight (``fresh``: the newly
+    covered one, to be taken off) in the balls of the tile's points, of the points of this unit. ``balls[g]`` is the
+    ball radius. Counts pairs of tiles and guesses, and those that the bounds settled."""
     def run(key, tiles: pa.Table, state: pa.Table) -> pa.Table:
-        held = {t for t, h in zip(tiles.column("tile").to_pylist(), tiles.column("held").to_pylist()) if h}
         bits = _bits_in(state)
+        if fresh and not bits:
+            return _PARTIAL.empty_table()
+        held = {t for t, h in zip(tiles.column("tile").to_pylist(), tiles.column("held").to_pylist()) if h}
         both = tiles_in(tiles)
         own, other = [t for t in both if t.tile in held], [t for t in both if t.tile not in held]
-        weight = {}
-        for t in both:
-            covered = _unpack(bits.get(t.tile), guesses, len(t.ids))
-            weight[t.tile] = {g: t.w * ~covered[g] for g in balls}
-        some = {t: [w.any() for w in by.values()] for t, by in weight.items()}
-        sums = {t.tile: {g: np.zeros(len(t.ids)) for g in balls} for t in both}
-        pairs = skipped = taken = 0
-        # within one strip each tile meets itself and those behind it, else all of the other strip
-        meets = [(a, b) for a in own for b in other] if other else [(a, b) for i, a in enumerate(own) for b in own[i:]]
-        for a, b in meets:
-            low, high = bounds(a, b)
-            near = None
-            for (g, ball), has_a, has_b in zip(balls.items(), some[a.tile], some[b.tile]):
-                wa, wb = weight[a.tile][g], weight[b.tile][g]
-                pairs += 1
-                if low > ball or not (has_a or has_b):
-                    skipped += 1
-                elif high <= ball:
-                    taken += 1
-                    sums[a.tile][g] += wb.sum()
-                    if a is not b:
-                        sums[b.tile][g] += wa.sum()
-                else:
-                    near = near or Nearness(a.x, b.x)
-                    inside = near.within(ball).astype(float)  # whole weights: exact below 2^53
-                    if has_b:
-                        sums[a.tile][g] += inside @ wb
-                    if has_a and a is not b:
-                        sums[b.tile][g] += wa @ inside
-        out = []
-        for t in both:
-            for g in balls:
-                out.append((t.tile, g, sums[t.tile][g].tobytes(), pairs, skipped, taken))
-                pairs = skipped = taken = 0
+
+        def weight(t: Tile, g: int) -> np.ndarray:
+            if t.tile not in bits:
+                return t.w * (not fresh)
+            row = np.frombuffer(bits[t.tile], np.uint8).reshape(guesses, -1)[g]
+            return t.w * (np.unpackbits(row, count=len(t.ids)) == fresh)
+
+        by = _by_leaves if own[0].x.shape[1] <= LEAF_DIMS else _by_tiles
+        out = [(tile, g, -1 if fresh else 1, *_shrunk(sums), *counts) for tile, g, sums, *counts in by(own, other, weight, balls)
+               if any(counts) or sums.any()]
         return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_PARTIAL)], schema=_PARTIAL)
 
     return run
 
 
-_BEST = "g int, idx long, val double, x array<double>, pairs long, skipped long, taken long"
-_BEST_ARROW = pa.schema([("g", pa.int32()), ("idx", pa.int64()), ("val", pa.float64()), ("x", pa.list_(pa.float64())),
-                         ("pairs", pa.int64()), ("skipped", pa.int64()), ("taken", pa.int64())])
+_BEST = ("g int, idx long, val double, x array<double>, tile long, sign int, base double, sums binary, "
+         "pairs long, skipped long, taken long")
+_BEST_ARROW = pa.schema([("g", pa.int32()), ("idx", pa.int64()), ("val", pa.float64()), ("x", pa.list_(pa.float64())), *[
+    _PARTIAL.field(c) for c in ("tile", "sign", "base", "sums", "pairs", "skipped", "taken")]])
 
 
-def _tile_sums(all_candidates: bool):
-    """For a cogroup of a tile and its partial sums: per guess the best candidate (or all)."""
+def _tile_sums(balls: dict[int, float], all_candidates: bool):
+    """For a cogroup of a tile and its partial sums (and totals so far): per guess the totals and the best candidate,
+    or all candidates."""
     def run(key, tiles: pa.Table, partial: pa.Table) -> pa.Table:
         out = []
+        rows: dict[tuple, list] = {}
+        if partial.num_rows:
+            for tile, g, *rest in zip(*(partial.column(c).to_pylist() for c in _PARTIAL.names)):
+                rows.setdefault((tile, g), []).append(rest)
         for t in tiles_in(tiles):
-            by: dict[int, list] = {}
-            for tile, g, sums, *rest in zip(*(partial.column(c).to_pylist() for c in _PARTIAL.names)):
-                if tile == t.tile:
-                    now = by.setdefault(g, [np.zeros(len(t.ids)), 0, 0, 0])
-                    now[0] += np.frombuffer(sums)
-                    now[1:] = [a + b for a, b in zip(now[1:], rest)]
-            for g, (sums, *rest) in by.items():
+            for g in balls:
+                sums, counts = np.zeros(len(t.ids)), [0, 0, 0]
+                for sign, base, above, *more in rows.get((t.tile, g), ()):
+                    sums += sign * _grown(base, above, len(t.ids))
+                    counts = [a + b for a, b in zip(counts, more)]
+                kept = (t.tile, 1, *_shrunk(sums), *counts)
                 if all_candidates:
-                    out += [(g, int(i), float(v), None, 0, 0, 0) for i, v in zip(t.ids, sums)]
+                    out += [(g, int(i), float(v), None, t.tile, None, None, None, 0, 0, 0) for i, v in zip(t.ids, sums)]
                 elif sums.max() > 0:
                     at = np.flatnonzero(sums == sums.max())
                     best = at[t.ids[at].argmin()]
-                    out.append((g, int(t.ids[best]), float(sums[best]), t.x[best].tolist(), *rest))
+                    out.append((g, int(t.ids[best]), float(sums[best]), t.x[best].tolist(), *kept))
                 else:
-                    out.append((g, None, 0.0, None, *rest))
+                    out.append((g, None, 0.0, None, *kept))
         return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_BEST_ARROW)], schema=_BEST_ARROW)
 
     return run
@@ -225,25 +280,33 @@ def lay_out(weighted: DataFrame, n: int, dim: int, tile: int = TILE, strips: int
     return Layout(tiles, work_units(tiles, strips).cache(), strips)
 
 
-def scored(layout: Layout, bits: DataFrame | None, guesses: int, balls: dict, all_candidates: bool = False) -> DataFrame:
-    """(g, idx, val, x, ...) per guess and tile (or candidate)."""
+def scored(layout: Layout, bits: DataFrame | None, guesses: int, balls: dict, all_candidates: bool = False,
+           totals: DataFrame | None = None) -> DataFrame:
+    """(g, idx, val, x, ...) per guess and tile (or candidate). ``totals`` are the rows of the step before: what ``bits``
+    newly covers is taken off them, else the balls are added up from all uncovered points."""
     s = layout.strips
     if bits is None:
         state = layout.tiles.select(F.lit(0).alias("unit"), "tile", F.lit(None).cast("binary").alias("bits")).limit(0)
     else:
         low, high = F.least("strip", "other"), F.greatest("strip", "other")
-        state = bits.select(F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("other"), "strip", "tile", "bits").select(
+        held = bits.select("strip", "tile", "bits") if totals is None else bits.where(F.col("fresh").isNotNull()).select(
+            "strip", "tile", F.col("fresh").alias("bits"))
+        state = held.select(F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("other"), "strip", "tile", "bits").select(
             (low * s + high).alias("unit"), "tile", "bits")
     partial = layout.units.groupBy("unit").cogroup(state.groupBy("unit")).applyInArrow(
-        _partial_sums(guesses, balls), "tile long, g int, sums binary, pairs long, skipped long, taken long")
-    return layout.tiles.groupBy("tile").cogroup(partial.groupBy("tile")).applyInArrow(_tile_sums(all_candidates), _BEST)
+        _partial_sums(guesses, balls, totals is not None),
+        "tile long, g int, sign int, base double, sums binary, pairs long, skipped long, taken long")
+    if totals is not None:
+        none = [F.lit(0).cast("long").alias(c) for c in ("pairs", "skipped", "taken")]
+        partial = partial.unionByName(totals.where(F.col("g").isin(list(balls))).select("tile", "g", "sign", "base", "sums", *none))
+    return layout.tiles.groupBy("tile").cogroup(partial.groupBy("tile")).applyInArrow(_tile_sums(balls, all_candidates), _BEST)
 
 
-def best_candidates(layout: Layout, bits: DataFrame | None, guesses: int, balls: dict) -> dict:
-    """For every guess in ``balls`` a row with idx and x of the best candidate (null: no positive ball) and the
+def best_candidates(scores: DataFrame) -> dict:
+    """For every guess of ``scored`` rows a row with idx and x of the best candidate (null: no positive ball) and the
     counts pairs, skipped and taken of tile pairs."""
     rank = F.when(F.col("idx").isNotNull(), F.struct("val", -F.col("idx")))
-    best = scored(layout, bits, guesses, balls).groupBy("g").agg(
+    best = scores.groupBy("g").agg(
         F.max_by("idx", rank).alias("idx"), F.max_by("x", rank).alias("x"), *[F.sum(c).alias(c) for c in ("pairs", "skipped", "taken")])
     return {r["g"]: r for r in best.collect()}  # a row a guess
 
@@ -429,12 +492,17 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
     wz = dict.fromkeys(range(total), total_weight)
     done: set[int] = set()
     steps, pairs, pruned = 0, 0, 0
-    bits = None
+    bits = scores = None
     live = list(range(total))
     try:
         while live:
-            best = best_candidates(layout, bits, total, {g: (1 + 2 * alpha) * schedule[g] for g in live})
             steps += 1
+            totals = scores
+            scores = scored(layout, bits, total, {g: (1 + 2 * alpha) * schedule[g] for g in live}, totals=totals)
+            scores = checkpoint(scores) if steps % CUT_STEPS == 0 else scores.persist()
+            best = best_candidates(scores)
+            if totals is not None:
+                totals.unpersist()
             for g in live:
                 row = best[g]
                 pairs, pruned = pairs + row["pairs"], pruned + row["skipped"] + row["taken"]
@@ -454,8 +522,9 @@ def weighted_kcenter_outliers(weighted: DataFrame, k: int, z: int, alpha: float
             live = [g for g in live if g not in done and g <= min(certain, default=total)]
     finally:
         layout.close()
-        if bits is not None:
-            bits.unpersist()
+        for state in (bits, scores):
+            if state is not None:
+                state.unpersist()
 
     g_star = min(g for g in done if wz[g] <= z)
     steps_table = spark.createDataFrame([(s, i) for s, i in enumerate(chosen[g_star])], "step int, idx long")

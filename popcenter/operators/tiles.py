@@ -14,19 +14,29 @@ of which a task holds) only beyond ``strips * STRIP_BYTES`` of points. It does n
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from popcenter.functions.vectors import block_distances, matrix
+from popcenter.functions.vectors import block_distances, matrix, square_distances
 
 TILE = 512
 STRIP_BYTES = 64 << 20
+#: Bytes of a point in a task beside its coordinates: ids, weights, and the sums of all guesses.
+POINT_BYTES = 80
+#: Points of a leaf, and the dimensions up to which tiles are looked at by leaves.
+LEAF = 64
+LEAF_DIMS = 8
+#: Distances held at once between a leaf and others: they stay in the cache.
+LEAF_DISTANCES = 1 << 16
 #: Coordinates whose spread is looked at to choose the two by which points are sorted.
 SORT_DIMS = 8
+MOST_RINGS = 2000
 
 _TILE = "strip int, tile long, n int, ids binary, x binary, w binary, center binary, radius double"
 _ARROW = pa.schema([("strip", pa.int32()), ("tile", pa.int64()), ("n", pa.int32()), ("ids", pa.binary()), ("x", pa.binary()),
@@ -57,12 +67,143 @@ def bounds(a: Tile, b: Tile) -> tuple[float, float]:
     return d - reach - slack, d + reach + slack
 
 
+class Leaves:
+    """The tiles of a strip in leaves of ``LEAF`` points (``_packer`` puts neighbours into one), with their centers and
+    radii; a tile's last leaf is filled up with copies of weight 0. For one guess: weights and sums of its points."""
+
+    def __init__(self, tiles: list[Tile], origin: np.ndarray):
+        self.tiles = tiles
+        self.center, self.radius = np.concatenate([t.center for t in tiles]), np.array([t.radius for t in tiles])
+        size = np.array([-(-len(t.ids) // LEAF) for t in tiles])
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.tile_of = np.repeat(np.arange(len(tiles)), size)
+        filled = [np.pad(t.x, ((0, n * LEAF - len(t.ids)), (0, 0)), mode="edge") for t, n in zip(tiles, size)]
+        self.x = np.concatenate(filled).reshape(len(self.tile_of), LEAF, -1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.mid = self.x.mean(axis=1)
+            off = self.x - self.mid[:, None, :]
+            self.reach = np.sqrt((off * off).sum(axis=2).max(axis=1)) * (1 + 1e-12)
+            # (x, x.x, 1) . (-2y, 1, y.y) is the squared distance but for rounding
+            off = self.x - origin
+            square, one = (off * off).sum(axis=2)[:, :, None], np.ones((*off.shape[:2], 1))
+            self.left, self.right = np.concatenate([off, square, one], axis=2), np.concatenate([-2 * off, one, square], axis=2)
+            self.scale = float(square.max())
+
+    def weigh(self, weights: list[np.ndarray]) -> None:
+        self.w = np.concatenate([np.pad(w, (0, -len(w) % LEAF)) for w in weights]).reshape(-1, LEAF)
+        self.leaf_w = self.w.sum(axis=1)
+        self.tile_w = np.array([w.sum() for w in weights])
+        self.sums = np.zeros(self.w.shape)
+        self.leaf_sums, self.tile_sums = np.zeros(len(self.w)), np.zeros(len(self.tiles))
+
+    def totals(self) -> Iterator[tuple[int, np.ndarray]]:
+        for k, t in enumerate(self.tiles):
+            rows = slice(self.first[k], self.first[k + 1])
+            yield t.tile, (self.sums[rows] + self.leaf_sums[rows, None]).reshape(-1)[:len(t.ids)] + self.tile_sums[k]
+
+
+def _apart(a: np.ndarray, b: np.ndarray, reach: np.ndarray, ball: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which balls around the rows of ``a`` and ``b`` lie apart, and which within ``ball`` as a whole (see ``bounds``)."""
+    d = block_distances(a, b)
+    slack = 1e-9 * (d + reach)
+    return d - reach - slack > ball, d + reach + slack <= ball
+
+
+def square_limit(radius: float) -> float:
+    """The largest double whose square root is at most ``radius``: a squared distance is within it exactly if the
+    distance is within the radius."""
+    if radius < 0 or radius == np.inf:
+        return -1.0 if radius < 0 else radius
+    s = min(radius * radius, sys.float_info.max)
+    while math.sqrt(s) > radius:
+        s = math.nextafter(s, 0.0)
+    while (above := math.nextafter(s, math.inf)) < math.inf and math.sqrt(above) <= radius:
+        s = above
+    return s
+
+
+def add_balls(a: Leaves, b: Leaves, ball: float) -> tuple[int, int, int]:
+    """Adds to the sums of ``a`` the weight of ``b`` in the balls of its points, and the other way round (``b`` may
+    be ``a``). The number of pairs of tiles, of those apart (or without weight) and of those taken as a whole."""
+    limit, pairs, skipped, taken = square_limit(float(ball)), 0, 0, 0
+    margin = (a.x.shape[2] + 16) * 1e-15 * (a.scale + b.scale + limit)
+    if not 1000 * margin < limit:  # the product is too coarse for so small a ball, or overflows
+        margin = None
+    for i in range(len(a.tiles)):
+        js = np.arange(i if a is b else 0, len(b.tiles))
+        apart, inside = _apart(a.center[[i]], b.center[js], a.radius[i] + b.radius[js], ball)
+        apart = apart[0] | ~((a.tile_w[i] > 0) | (b.tile_w[js] > 0))
+        inside = inside[0] & ~apart
+        pairs, skipped, taken = pairs + len(js), skipped + int(apart.sum()), taken + int(inside.sum())
+        whole = js[inside]
+        a.tile_sums[i] += b.tile_w[whole].sum()
+        b.tile_sums[whole[whole != i] if a is b else whole] += a.tile_w[i]
+        js = js[~apart & ~inside]
+        if len(js):
+            _add_leaves(a, i, b, js, ball, limit, margin)
+    return pairs, skipped, taken
+
+
+def _near(a: Leaves, r: int, b: Leaves, some: np.ndarray, limit: float, margin: float | None) -> np.ndarray:
+    """block_distances(...) <= radius for the points of leaf ``r`` and of the leaves ``some``: by one matrix product,
+    and coordinate by coordinate where its error leaves it open."""
+    x, points = a.x[r], lambda: b.x[some].reshape(-1, a.x.shape[2])
+    if margin is None:
+        return square_distances(x, points()) <= limit
+    product = a.left[r] @ b.right[some].reshape(-1, a.left.shape[2]).T
+    near, maybe = product <= limit - margin, product <= limit + margin
+    if np.count_nonzero(near) != np.count_nonzero(maybe):
+        i, j = np.nonzero(near != maybe)
+        diff = x[i] - points()[j]
+        near[i, j] = sum(diff[:, k] * diff[:, k] for k in range(diff.shape[1])) <= limit
+    return near
+
+
+def _add_leaves(a: Leaves, i: int, b: Leaves, js: np.ndarray, ball: float, limit: float, margin: float | None) -> None:
+    """``add_balls`` of tile ``i`` and the tiles ``js``."""
+    rows, cols = np.arange(a.first[i], a.first[i + 1]), np.concatenate([np.arange(b.first[j], b.first[j + 1]) for j in js])
+    back = (b.tile_of[cols] != i) if a is b else np.ones(len(cols), bool)  # a tile meets itself once, one way
+    apart, inside = _apart(a.mid[rows], b.mid[cols], a.reach[rows, None] + b.reach[cols], ball)
+    apart |= ~((b.leaf_w[cols] > 0) | ((a.leaf_w[rows, None] > 0) & back))
+    inside &= ~apart
+    a.leaf_sums[rows] += inside @ b.leaf_w[cols]
+    b.leaf_sums[cols] += (a.leaf_w[rows] @ inside) * back
+    step = max(1, LEAF_DISTANCES // LEAF ** 2)
+    for r, open_ in zip(rows, ~apart & ~inside):
+        met, forth = cols[open_], back[open_]
+        for at in range(0, len(met), step):
+            some = met[at:at + step]
+            weight = b.leaf_w[some].sum()
+            # whole weights: exact below 2^24, or below 2^53
+            kind = np.float32 if max(weight, a.leaf_w[r]) < 1 << 24 else np.float64
+            near = _near(a, r, b, some, limit, margin).astype(kind)
+            if weight:
+                a.sums[r] += near @ b.w[some].ravel().astype(kind)
+            if a.leaf_w[r]:
+                b.sums[some] += (a.w[r].astype(kind) @ near).reshape(-1, LEAF) * forth[at:at + step, None]
+
+
+def _by_neighbours(x: np.ndarray) -> np.ndarray:
+    """An order in which each ``LEAF`` points are neighbours: halved along the widest dimension again and again."""
+    def order(rows: np.ndarray) -> list[np.ndarray]:
+        if len(rows) <= LEAF:
+            return [rows]
+        rows = rows[np.argsort(x[rows, (x[rows].max(axis=0) - x[rows].min(axis=0)).argmax()], kind="stable")]
+        half = LEAF * -(-len(rows) // (2 * LEAF))
+        return order(rows[:half]) + order(rows[half:])
+
+    return np.concatenate(order(np.arange(len(x))))
+
+
 def _packer(tile: int):
     """For mapInArrow over the sorted rows (strip, idx, x, w) of one strip."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, k = [], 0, 0
 
         def out(strip, ids, x, w):
+            if 0 < x.shape[1] <= LEAF_DIMS:
+                at = _by_neighbours(x)
+                ids, x, w = ids[at], x[at], w[at]
             center = x.mean(axis=0)
             radius = float(block_distances(x, center[None, :]).max())
             row = (strip, (strip << 32) + k, len(ids), ids.tobytes(), np.ascontiguousarray(x).tobytes(),
@@ -87,26 +228,38 @@ def _packer(tile: int):
 def strip_count(n: int, dim: int, tasks: int, tile: int = TILE) -> int:
     """Enough strips for the tasks to have a few units each, if there is work for them, and for a
     strip to fit ``STRIP_BYTES``."""
-    wanted = min(math.ceil(math.sqrt(4 * tasks)), -(-n // (2 * tile)))
-    return max(1, wanted, -(-n * (8 * dim + 16) // STRIP_BYTES))
+    wanted = min(math.ceil(math.sqrt((16 if dim <= LEAF_DIMS else 4) * tasks)), -(-n // (2 * tile)))
+    return max(1, wanted, -(-n * (8 * dim + POINT_BYTES) // STRIP_BYTES))
+
+
+def _ring(borders: np.ndarray):
+    @arrow_udf("int")
+    def ring(values: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(borders, values.to_numpy(zero_copy_only=False), "right").astype(np.int32))
+
+    return ring
 
 
 def _sort_keys(points: DataFrame, n: int, dim: int, tile: int) -> list:
     """What neighbours are sorted by: rings of the coordinate with the largest spread, then the one with
-    the second largest. One tile needs no order but idx."""
+    the second largest, as many rings as make tiles about as wide as high. One tile needs no order but idx."""
     if n <= tile or not dim:
         return [F.col("idx")]
     parts = [F.get("x", F.lit(i)) for i in range(min(dim, SORT_DIMS))]
-    if dim > 1:
-        row = points.agg(*[(F.max(p) - F.min(p)).alias(f"s{i}") for i, p in enumerate(parts)]).first()
-        parts = [parts[i] for i in sorted(range(len(parts)), key=lambda i: -row[i])]
-    rings = math.ceil(math.sqrt(-(-n // tile)))
-    if dim == 1 or rings == 1:
+    if dim == 1:
         return [parts[0], F.col("idx")]
+    row = points.agg(*[(F.max(p) - F.min(p)).alias(f"s{i}") for i, p in enumerate(parts)]).first()
+    spread, at = zip(*sorted(((row[i], i) for i in range(len(parts))), key=lambda s: -s[0])[:2])
+    first, second, tiles = parts[at[0]], parts[at[1]], -(-n // tile)
+    flat = dim == 2 and 0 < spread[0] < math.inf
+    if flat and spread[0] >= tiles * spread[1]:
+        return [first, F.col("idx")]
+    rings = min(MOST_RINGS, math.ceil(math.sqrt(tiles * (spread[0] / spread[1] if flat else 1))))
+    if rings == 1:
+        return [first, F.col("idx")]
     shares = F.array(*[F.lit(i / rings) for i in range(1, rings)])
-    borders = points.agg(F.percentile_approx(parts[0], shares, F.lit(max(1000, 20 * rings)))).first()[0]
-    ring = F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= parts[0]))
-    return [ring, parts[1], F.col("idx")]
+    borders = points.agg(F.percentile_approx(first, shares, F.lit(max(1000, 20 * rings)))).first()[0]
+    return [_ring(np.array(borders))(first), second, F.col("idx")]
 
 
 def pack_tiles(points: DataFrame, n: int, dim: int, strips: int, tile: int = TILE) -> DataFrame:
