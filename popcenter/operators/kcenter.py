@@ -16,7 +16,8 @@ A greedy step is two jobs:
 1. a unit adds up, for each pair of its tiles and each guess, the uncovered weight of one tile in the balls of the
    other's points, both ways. Pairs that lie apart, and pairs that lie within the ball as a whole, are settled by the
    tiles' bounds without distances; in few dimensions the pairs left open are settled in the same way by leaves of
-   ``LEAF`` points. The partial sums of a tile, one row per
+   ``LEAF`` points. Where a strip's points lie on few lines (``Lines``: one dimension, or all coordinates but one of few values)
+   no distance is computed: a ball holds consecutive points of a line. The partial sums of a tile, one row per
    unit and guess, are added up where the tile lies; its best candidate (largest weight, then lowest idx)
    goes on with its vector, and the best of each guess is one row for the driver. The sums stay with the tile: after the
    first step only the weight that became covered is looked at, and taken off the balls it lies in. A point becomes
@@ -46,8 +47,8 @@ from pyspark.sql import functions as F
 
 from popcenter.functions.vectors import Nearness, block_distances, malformed, nearest_udf
 from popcenter.operators.selection import kth_value
-from popcenter.operators.tiles import (LEAF_DIMS, TILE, Leaves, Tile, add_balls, bounds, pack_tiles, strip_count, tiles_in,
-                                       work_units)
+from popcenter.operators.tiles import (LEAF_DIMS, TILE, Leaves, Tile, add_balls, add_lines, bounds, lines_of, pack_tiles,
+                                       strip_count, tiles_in, work_units)
 from popcenter.session import checkpoint
 
 #: Steps after which the lineage of the bitmaps is cut: the plan of a step grows with the steps before it.
@@ -199,6 +200,22 @@ def _by_leaves(own: list[Tile], other: list[Tile], weight, balls: dict[int, floa
                 pairs = skipped = taken = 0
 
 
+def _by_lines(a, b, weight, balls: dict[int, float]):
+    """As ``_by_tiles``, for strips of few lines (``lines_of``). All pairs of tiles count as taken, without distances."""
+    sides = [a] if a is b else [a, b]
+    met = len(a.tiles) * (len(a.tiles) + 1) // 2 if a is b else len(a.tiles) * len(b.tiles)
+    for g, ball in balls.items():
+        for side in sides:
+            side.weigh([weight(t, g) for t in side.tiles])
+        pairs = met if a.upto[-1] or b.upto[-1] else 0
+        if pairs:
+            add_lines(a, b, ball)
+        for side in sides:
+            for tile, sums in side.totals():
+                yield tile, g, sums, pairs, 0, pairs
+                pairs = 0
+
+
 def _partial_sums(guesses: int, balls: dict[int, float], fresh: bool):
     """For a cogroup of a unit's tiles and bitmaps: per tile and guess the uncovered weight (``fresh``: the newly
     covered one, to be taken off) in the balls of the tile's points, of the points of this unit. ``balls[g]`` is the
@@ -217,9 +234,12 @@ def _partial_sums(guesses: int, balls: dict[int, float], fresh: bool):
             row = np.frombuffer(bits[t.tile], np.uint8).reshape(guesses, -1)[g]
             return t.w * (np.unpackbits(row, count=len(t.ids)) == fresh)
 
-        by = _by_leaves if own[0].x.shape[1] <= LEAF_DIMS else _by_tiles
-        out = [(tile, g, -1 if fresh else 1, *_shrunk(sums), *counts) for tile, g, sums, *counts in by(own, other, weight, balls)
-               if any(counts) or sums.any()]
+        low = own[0].x.shape[1] <= LEAF_DIMS
+        if low and (lines := lines_of(own, other)):
+            found = _by_lines(*lines, weight, balls)
+        else:
+            found = (_by_leaves if low else _by_tiles)(own, other, weight, balls)
+        out = [(tile, g, -1 if fresh else 1, *_shrunk(sums), *counts) for tile, g, sums, *counts in found if any(counts) or sums.any()]
         return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_PARTIAL)], schema=_PARTIAL)
 
     return run

@@ -3,7 +3,8 @@
 A weighted set ``(idx, x, w)`` is sorted by two coordinates (borders of the first by approximate
 quantiles, the second within them), range-partitioned into ``strips`` and packed into rows of about ``TILE``
 points with a center and a radius. By the triangle inequality these bound all distances between
-two tiles: a pair of tiles may be skipped, or taken whole, without a distance being computed.
+two tiles: a pair of tiles may be skipped, or taken whole, without a distance being computed. Strips whose
+points lie on few lines need no bounds: points are looked up on sorted lines, n log n for each line and guess.
 
 Every unordered pair of strips is one work unit: the pairs of tiles between them, each looked at once for
 both directions. A tile is copied to ``strips`` units, so the units hold ``strips`` times the set; the
@@ -34,6 +35,9 @@ LEAF = 64
 LEAF_DIMS = 8
 #: Distances held at once between a leaf and others: they stay in the cache.
 LEAF_DISTANCES = 1 << 16
+#: Lines of a strip up to which it is looked at by lines, and coordinates above which it is not (their squares overflow).
+MOST_LINES = 256
+LINE_COORDS = 1e150
 #: Coordinates whose spread is looked at to choose the two by which points are sorted.
 SORT_DIMS = 8
 MOST_RINGS = 2000
@@ -183,6 +187,124 @@ def _add_leaves(a: Leaves, i: int, b: Leaves, js: np.ndarray, ball: float, limit
                 b.sums[some] += (a.w[r].astype(kind) @ near).reshape(-1, LEAF) * forth[at:at + step, None]
 
 
+class Lines:
+    """The tiles of a strip in lines along ``axis``: points that agree in all other coordinates, sorted by this one. Points
+    that agree in all are one site. For one guess: weights and sums of its points."""
+
+    def __init__(self, tiles: list[Tile], axis: int):
+        self.tiles, self.axis = tiles, axis
+        x = np.concatenate([t.x for t in tiles])
+        others = [k for k in range(x.shape[1]) if k != axis]
+        order = np.lexsort((x[:, axis], *(x[:, k] for k in others)))
+        x = x[order]
+        turn = np.ones(len(x), bool)  # a line's first point
+        turn[1:] = (x[1:, others] != x[:-1, others]).any(axis=1)
+        new = turn.copy()  # a site's first point
+        new[1:] |= x[1:, axis] != x[:-1, axis]
+        self.site = np.empty(len(x), np.int64)
+        self.site[order] = np.cumsum(new) - 1
+        self.at = x[new, axis]
+        self.fixed = x[turn]
+        self.start = np.append(np.flatnonzero(turn[new]), len(self.at))
+        self.size = np.diff(self.start)
+        self.low, self.high = self.at[self.start[:-1]], self.at[self.start[1:] - 1]
+
+    def weigh(self, weights: list[np.ndarray]) -> None:
+        self.upto = np.append(0.0, np.cumsum(np.bincount(self.site, np.concatenate(weights), len(self.at))))
+        self.sums, self.line_sums = np.zeros(len(self.at)), np.zeros(len(self.size))
+
+    def totals(self) -> Iterator[tuple[int, np.ndarray]]:
+        sums, first = (self.sums + np.repeat(self.line_sums, self.size))[self.site], 0
+        for t in self.tiles:
+            yield t.tile, sums[first:first + len(t.ids)]
+            first += len(t.ids)
+
+
+def lines_of(own: list[Tile], other: list[Tile]) -> tuple[Lines, Lines] | None:
+    """The lines of two strips (of one, if ``other`` is empty) along the coordinate with the most values; None, if there
+    are too many lines for their points."""
+    x = np.concatenate([t.x for t in own + other])
+    if not x.shape[1] or not (np.abs(x) < LINE_COORDS).all():
+        return None
+    values = [len(np.unique(x[:, k])) for k in range(x.shape[1])]
+    axis = int(np.argmax(values))
+    if any(n > MOST_LINES for k, n in enumerate(values) if k != axis):
+        return None
+    a = Lines(own, axis)
+    b = Lines(other, axis) if other else a
+    return (a, b) if all(len(s.size) <= MOST_LINES and len(s.size) ** 2 <= len(s.site) for s in (a, b)) else None
+
+
+def _line_reach(a: Lines, b: Lines, limit: float) -> np.ndarray:
+    """For each line of ``a`` and of ``b`` the largest double ``t`` such that two of their points that differ by ``t`` along
+    the lines are within the limit of squared distances, summed as ``square_distances`` does; -1, if there is none."""
+    fixed = [(a.fixed[:, None, k] - b.fixed[None, :, k]) ** 2 for k in range(a.fixed.shape[1])]
+
+    def within(t: np.ndarray) -> np.ndarray:
+        return sum(t * t if k == a.axis else square for k, square in enumerate(fixed)) <= limit
+
+    # doubles from 0 on are ordered as their bits are
+    shape = (len(a.size), len(b.size))
+    low, high = np.zeros(shape, np.int64), np.full(shape, np.float64(np.inf).view(np.int64))
+    with np.errstate(over="ignore"):
+        while (high - low > 1).any():
+            mid = low + (high - low) // 2
+            inside = within(mid.view(float))
+            low, high = np.where(inside, mid, low), np.where(inside, high, mid)
+        return np.where(within(np.zeros(shape)), low.view(float), -1.0)
+
+
+def _cut(line: np.ndarray, at: np.ndarray, before) -> np.ndarray:
+    """For each row the place in ``line`` where ``before(values, rows)`` turns false; it is true at the first and false at
+    the last place. ``at`` has guesses."""
+    at = np.clip(at, 1, len(line) - 1)
+    wrong = np.flatnonzero(~before(line[at - 1], slice(None)) | before(line[at], slice(None)))
+    low, high = np.zeros(len(wrong), np.int64), np.full(len(wrong), len(line) - 1)
+    while (high - low > 1).any():
+        mid = (low + high) // 2
+        yes = before(line[mid], wrong)
+        low, high = np.where(yes, mid, low), np.where(yes, high, mid)
+    at[wrong] = high
+    return at
+
+
+def _add_lines(a: Lines, b: Lines, reach: np.ndarray) -> None:
+    """Adds to the sums of ``a`` the weight of ``b`` in the balls of its points: on a line the points in a ball are
+    consecutive, as differences of doubles are in order."""
+    apart = (reach < 0) | (a.low[:, None] - b.high > reach) | (b.low - a.high[:, None] > reach)
+    inside = ~apart & (a.high[:, None] - b.low <= reach) & (b.high - a.low[:, None] <= reach)
+    a.line_sums += inside @ (b.upto[b.start[1:]] - b.upto[b.start[:-1]])
+    for k, open_ in enumerate((~apart & ~inside).T):
+        first, end = b.start[k], b.start[k + 1]
+        if not open_.any() or b.upto[first] == b.upto[end]:
+            continue
+        rows, line = np.flatnonzero(np.repeat(open_, a.size)), b.at[first:end]
+        y, t = a.at[rows], np.repeat(reach[open_, k], a.size[open_])
+        # from the first place that is not too low to the first one that is too high
+        some = y - line[0] > t
+        low = np.where(some, end, first)
+        some = np.flatnonzero(some & (y - line[-1] <= t))
+        y_, t_ = y[some], t[some]
+        if len(some):
+            low[some] = first + _cut(line, np.searchsorted(line, y_ - t_), lambda v, r: y_[r] - v > t_[r])
+        some = line[-1] - y > t
+        high = np.where(some, first, end)
+        some = np.flatnonzero(some & (line[0] - y <= t))
+        y_, t_ = y[some], t[some]
+        if len(some):
+            high[some] = first + _cut(line, np.searchsorted(line, y_ + t_, "right"), lambda v, r: v - y_[r] <= t_[r])
+        a.sums[rows] += b.upto[high] - b.upto[low]
+
+
+def add_lines(a: Lines, b: Lines, ball: float) -> None:
+    """As ``add_balls``, by lines: no distance is computed, each point is looked for on each line."""
+    reach = _line_reach(a, b, square_limit(float(ball)))
+    if b.upto[-1]:
+        _add_lines(a, b, reach)
+    if a is not b and a.upto[-1]:
+        _add_lines(b, a, reach.T)
+
+
 def _by_neighbours(x: np.ndarray) -> np.ndarray:
     """An order in which each ``LEAF`` points are neighbours: halved along the widest dimension again and again."""
     def order(rows: np.ndarray) -> list[np.ndarray]:
