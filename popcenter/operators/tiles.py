@@ -38,6 +38,8 @@ LEAF_DISTANCES = 1 << 16
 #: Lines of a strip up to which it is looked at by lines, and coordinates above which it is not (their squares overflow).
 MOST_LINES = 256
 LINE_COORDS = 1e150
+#: Points looked up on a line at once.
+LINE_ROWS = 1 << 14
 #: Coordinates whose spread is looked at to choose the two by which points are sorted.
 SORT_DIMS = 8
 MOST_RINGS = 2000
@@ -227,7 +229,7 @@ def lines_of(own: list[Tile], other: list[Tile]) -> tuple[Lines, Lines] | None:
     if not x.shape[1] or not (np.abs(x) < LINE_COORDS).all():
         return None
     values = [len(np.unique(x[:, k])) for k in range(x.shape[1])]
-    axis = int(np.argmax(values))
+    axis, x = int(np.argmax(values)), None
     if any(n > MOST_LINES for k, n in enumerate(values) if k != axis):
         return None
     a = Lines(own, axis)
@@ -279,21 +281,26 @@ def _add_lines(a: Lines, b: Lines, reach: np.ndarray) -> None:
         if not open_.any() or b.upto[first] == b.upto[end]:
             continue
         rows, line = np.flatnonzero(np.repeat(open_, a.size)), b.at[first:end]
-        y, t = a.at[rows], np.repeat(reach[open_, k], a.size[open_])
-        # from the first place that is not too low to the first one that is too high
-        some = y - line[0] > t
-        low = np.where(some, end, first)
-        some = np.flatnonzero(some & (y - line[-1] <= t))
+        t = np.repeat(reach[open_, k], a.size[open_])
+        for at in range(0, len(rows), LINE_ROWS):
+            some = rows[at:at + LINE_ROWS]
+            low, high = _on_line(a.at[some], t[at:at + LINE_ROWS], line)
+            a.sums[some] += b.upto[first + high] - b.upto[first + low]
+
+
+def _on_line(y: np.ndarray, t: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the first place of ``line`` that is at most ``t`` from ``y``, and the first one after it that is not."""
+    low = np.where(y - line[0] > t, len(line), 0)
+    some = np.flatnonzero((low > 0) & (y - line[-1] <= t))
+    if len(some):
         y_, t_ = y[some], t[some]
-        if len(some):
-            low[some] = first + _cut(line, np.searchsorted(line, y_ - t_), lambda v, r: y_[r] - v > t_[r])
-        some = line[-1] - y > t
-        high = np.where(some, first, end)
-        some = np.flatnonzero(some & (line[0] - y <= t))
-        y_, t_ = y[some], t[some]
-        if len(some):
-            high[some] = first + _cut(line, np.searchsorted(line, y_ + t_, "right"), lambda v, r: v - y_[r] <= t_[r])
-        a.sums[rows] += b.upto[high] - b.upto[low]
+        low[some] = _cut(line, np.searchsorted(line, y_ - t_), lambda v, r: y_[r] - v > t_[r])
+    high = np.where(line[-1] - y > t, 0, len(line))
+    some = np.flatnonzero((high == 0) & (line[0] - y <= t))
+    if len(some):
+        above, reach = y[some], t[some]
+        high[some] = _cut(line, np.searchsorted(line, above + reach, "right"), lambda v, r: v - above[r] <= reach[r])
+    return low, high
 
 
 def add_lines(a: Lines, b: Lines, ball: float) -> None:
